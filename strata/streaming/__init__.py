@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+Every run of this lake is a batch keyed by its execution date; there is no
+watermark, window, session or late-data logic to carry over, so no
+Structured Streaming query is defined. A date's batch is re-run whole with
+``strata.plans.medallion.run_medallion``.
+"""
