@@ -147,21 +147,27 @@ def _staging_path(target_path: str, fmt: str, run_id: str) -> str:
     return f"{parent}/_staging/{run_id}/{leaf}"
 
 
+def _drop_staging(spark: SparkSession, staged: str, fmt: str) -> None:
+    """Remove what is left of a run's staging folder."""
+    fs.delete(spark, staged if fmt == "snapshot" else staged.rsplit("/", 1)[0])
+
+
 def _publish(spark: SparkSession, staged: str, target_path: str, fmt: str, run_id: str) -> None:
     if fmt == "snapshot":
         snapshot.publish(spark, target_path, run_id)
         return
     fs.delete(spark, target_path)
     fs.rename(spark, staged, target_path)
-    fs.delete(spark, staged.rsplit("/", 1)[0])
+    _drop_staging(spark, staged, fmt)
 
 
 def _read_for_quarantine(spark: SparkSession, path: str, endpoint: Endpoint) -> DataFrame:
     """Read a batch so that it can always be copied: text formats as text."""
     fmt = table_format(spark, endpoint.format)
-    if fmt in ("csv", "json") and endpoint.schema is not None:
-        opts = dict(endpoint.options)
-        opts["mode"] = "PERMISSIVE"
+    opts = {**endpoint.options, "mode": "PERMISSIVE"}
+    if fmt == "csv":
+        return spark.read.options(header="true", **opts).csv(path)
+    if fmt == "json" and endpoint.schema is not None:
         return read_batch(spark, path, fmt, all_strings(endpoint.schema), opts)
     return read_batch(spark, path, fmt, endpoint.schema, endpoint.options)
 
@@ -178,12 +184,9 @@ def _quarantine_staged(spark: SparkSession, staged: str, fmt: str, lake: Lake, d
     if fmt in ("parquet", "snapshot"):
         fs.delete(spark, path)
         fs.rename(spark, staged, path)
-        if fmt != "snapshot":
-            fs.delete(spark, staged.rsplit("/", 1)[0])
-        return path
-    staged_df = read_batch(spark, staged, fmt)
-    write_batch(staged_df, path, "parquet")
-    fs.delete(spark, staged.rsplit("/", 1)[0])
+    else:
+        write_batch(read_batch(spark, staged, fmt), path, "parquet")
+    _drop_staging(spark, staged, fmt)
     return path
 
 
@@ -264,14 +267,15 @@ def run_step(
 
     def fail_source(gate: GateResult) -> None:
         result.gates.append(gate)
-        fs.delete(spark, staged)
+        _drop_staging(spark, staged, fmt)
         reason = f"source_fail_{step.name}"
+        note = ""
         try:
             raw = _read_for_quarantine(spark, source_paths[primary], endpoints[primary])
             result.quarantine_path = quarantine_batch(raw, lake, execution_date, reason)
         except Exception as err:
-            result.error = f"quarantine failed: {err}"
-        finish("source_fail", result.error or gate.error or _describe(gate))
+            note = f"; quarantine failed: {_first_line(err)}"
+        finish("source_fail", _describe(gate) + note)
         raise GateFailed(result)
 
     frames: dict[str, DataFrame] = {}
@@ -281,7 +285,7 @@ def run_step(
     except Exception as err:
         if src_suite:
             fail_source(technical_failure(src_suite, err))
-        finish("failed", str(err).splitlines()[0] if str(err) else type(err).__name__)
+        finish("failed", _first_line(err))
         raise
 
     # rows_in: folded into the source observation when the source is gated
@@ -304,18 +308,18 @@ def run_step(
         out = apply_transform(spark, step.transform, observed)
         tgt_cols = metric_columns(tgt_suite, out.schema)
     except Exception as err:
-        finish("failed", str(err).splitlines()[0])
+        finish("failed", _first_line(err))
         raise
     obs_out = Observation(f"out_{step.name}_{uuid.uuid4().hex[:8]}")
     try:
         write_batch(out.observe(obs_out, *tgt_cols), staged, fmt, options=step.target.options)
     except Exception as err:
-        fs.delete(spark, staged)
+        _drop_staging(spark, staged, fmt)
         if src_suite:
             gate = check_suite(frames[primary], src_suite)
             if not gate.success:
                 fail_source(gate)
-        finish("failed", str(err).splitlines()[0] if str(err) else type(err).__name__)
+        finish("failed", _first_line(err))
         raise
 
     if obs_in is not None:
@@ -334,17 +338,23 @@ def run_step(
         result.gates.append(gate_out)
         if not gate_out.success:
             reason = f"target_fail_{step.name}"
+            note = ""
             try:
                 result.quarantine_path = _quarantine_staged(spark, staged, fmt, lake, execution_date, reason)
             except Exception as err:
-                result.error = f"quarantine failed: {err}"
-            finish("target_fail", result.error or _describe(gate_out))
+                note = f"; quarantine failed: {_first_line(err)}"
+            finish("target_fail", _describe(gate_out) + note)
             raise GateFailed(result)
 
     _publish(spark, staged, target_path, fmt, run_id)
     return finish("success")
 
 
+def _first_line(err: BaseException) -> str:
+    text = str(err).strip()
+    return text.splitlines()[0] if text else type(err).__name__
+
+
 def _describe(gate: GateResult) -> str:
     if gate.error:
         return gate.error

@@ -1,6 +1,6 @@
 """Readers and writers, one dispatch per format.
 
-Formats: ``csv`` (header line), ``json`` (newline-delimited by default;
+Formats: ``csv`` (header line; columns matched by name), ``json`` (newline-delimited by default;
 ``multiLine`` for one array or pretty-printed document per file), ``parquet``,
 ``delta`` (when the data source is on the class path) and ``snapshot``
 (our pointer-versioned Parquet table, the stand-in for ``delta``).
@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.sources import fs, snapshot
@@ -62,7 +63,11 @@ def read_batch(
         opts.setdefault("mode", "FAILFAST")
         if schema is None:
             opts.setdefault("inferSchema", "true")
-        return reader.options(**opts).csv(path)
+            return reader.options(**opts).csv(path)
+        # Columns are matched to the header by name, as text, then cast
+        # strictly: a declared CSV schema would be applied by position.
+        text = spark.read.options(**opts).csv(path)
+        return text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
     if fmt == "json":
         opts.setdefault("multiLine", "false")
         opts.setdefault("mode", "FAILFAST")
@@ -84,8 +89,6 @@ def read_table(
     With ``execution_date`` the filter on ``dt`` is a partition filter:
     only that directory is listed and scanned.
     """
-    from pyspark.sql import functions as F
-
     reader = spark.read.option("basePath", table_root)
     if schema is not None:
         reader = reader.schema(schema)
