@@ -278,3 +278,41 @@ RESULT_SCHEMA = T.StructType(
         T.StructField("success", T.BooleanType(), True),
     ]
 )
+
+
+def result_rows(suite: Suite, metrics: Mapping[str, object]) -> list[dict[str, object]]:
+    """``results_from_metrics`` for counts already on the driver (e.g. from
+    ``observe``): the same rule in plain Python, with no Spark job."""
+
+    def count(name: str) -> int:
+        value = metrics.get(name)
+        return int(value) if value is not None else 0
+
+    n = count(ROWS)
+    rows: list[dict[str, object]] = []
+    for i, e in enumerate(suite.expectations):
+        row: dict[str, object] = {
+            "suite": suite.name,
+            "expectation": e.type,
+            "column_name": e.column,
+            "element_count": n,
+            "missing_count": None,
+            "unexpected_count": None,
+            "unexpected_percent": None,
+        }
+        if e.type == ROW_COUNT_BETWEEN:
+            ok = (e.min_value is None or n >= e.min_value) and (e.max_value is None or n <= e.max_value)
+        else:
+            missing = count(_missing_name(i))
+            if e.type == NOT_NULL:
+                unexpected, base = missing, n
+            else:
+                unexpected, base = count(_unexpected_name(i)), n - missing
+            row["missing_count"], row["unexpected_count"] = missing, unexpected
+            if base > 0:
+                row["unexpected_percent"] = float(unexpected) * 100.0 / float(base)
+            ok = base == 0 or float(base - unexpected) / float(base) >= float(e.mostly)
+        row["success"] = bool(ok)
+        rows.append(row)
+    return rows
+

@@ -12,13 +12,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from strata.functions.expectations import (
-    RESULT_SCHEMA,
     Suite,
     metric_columns,
-    metric_schema,
+    result_rows,
     results_from_metrics,
 )
 
@@ -60,14 +59,9 @@ def check_suite(df: DataFrame, suite: Suite) -> GateResult:
         return technical_failure(suite, err)
 
 
-def verdict_from_metrics(
-    spark: SparkSession, suite: Suite, metrics: Mapping[str, object]
-) -> tuple[GateResult, DataFrame]:
-    """Gate verdict from metrics already gathered (e.g. by ``observe``)."""
+def verdict_from_metrics(suite: Suite, metrics: Mapping[str, object]) -> GateResult:
+    """Gate verdict from counts already gathered (e.g. by ``observe``)."""
     if not suite:
-        return GateResult(suite.name, True), spark.createDataFrame([], RESULT_SCHEMA)
-    schema = metric_schema(suite)
-    row = tuple(int(metrics[f.name]) if metrics.get(f.name) is not None else 0 for f in schema.fields)
-    table = results_from_metrics(spark.createDataFrame([row], schema), suite)
-    rows = table.collect()
-    return _verdict(suite, rows), spark.createDataFrame(rows, RESULT_SCHEMA)
+        return GateResult(suite.name, True)
+    results = tuple(result_rows(suite, metrics))
+    return GateResult(suite.name, all(bool(r["success"]) for r in results), results)

@@ -30,58 +30,63 @@ MAX_SALES_BATCH_ROWS = 2_000_000
 EMAIL_PATTERN = r"[^@]+@[^@]+\.[^@]+"
 PRICE_BOUNDS = (0, 10_000)
 
-SALES_BRONZE = Step(
-    name="stg_sales_bronze",
-    group="bronze",
-    source=Endpoint("{{ root }}/landing/sales_erp/dt={{ execution_date }}", "csv", LANDING_SALES),
-    target=Endpoint("{{ root }}/{{ group }}/sales_erp/dt={{ execution_date }}", "parquet"),
-    transform=transforms.bronze_sales,
-    source_expectations=(row_count_between(1, MAX_SALES_BATCH_ROWS), not_null("customer_id")),
-    target_expectations=(not_null("id"),),
-)
-
-SALES_SILVER = Step(
-    name="sales_silver",
-    group="silver",
-    source=Endpoint("{{ root }}/bronze/sales_erp/dt={{ execution_date }}", "parquet"),
-    target=Endpoint("{{ root }}/{{ group }}/sales/dt={{ execution_date }}", "delta"),
-    transform=transforms.silver_sales,
-    target_expectations=(between("price", *PRICE_BOUNDS),),
-    depends_on=("stg_sales_bronze",),
-)
-
-CUSTOMERS_BRONZE = Step(
-    name="stg_customers_bronze",
-    group="bronze",
-    source=Endpoint("{{ root }}/landing/customers_crm/dt={{ execution_date }}", "json", LANDING_CUSTOMERS),
-    target=Endpoint("{{ root }}/{{ group }}/customers_crm/dt={{ execution_date }}", "parquet"),
-    transform=transforms.bronze_customers,
-    source_expectations=(not_null("id"),),
-    target_expectations=(match_regex("email", EMAIL_PATTERN),),
-)
-
-CUSTOMERS_SILVER = Step(
-    name="customers_silver",
-    group="silver",
-    source=Endpoint("{{ root }}/bronze/customers_crm/dt={{ execution_date }}", "parquet"),
-    target=Endpoint("{{ root }}/{{ group }}/customers/dt={{ execution_date }}", "delta"),
-    transform=transforms.silver_customers,
-    target_expectations=(not_null("email"),),
-    depends_on=("stg_customers_bronze",),
-)
+def build_steps(
+    max_sales_rows: int = MAX_SALES_BATCH_ROWS,
+    email_pattern: str = EMAIL_PATTERN,
+    price_bounds: tuple[float, float] = PRICE_BOUNDS,
+) -> tuple[Step, ...]:
+    """The five steps, with the gate parameters given."""
+    sales_bronze = Step(
+        name="stg_sales_bronze",
+        group="bronze",
+        source=Endpoint("{{ root }}/landing/sales_erp/dt={{ execution_date }}", "csv", LANDING_SALES),
+        target=Endpoint("{{ root }}/{{ group }}/sales_erp/dt={{ execution_date }}", "parquet"),
+        transform=transforms.bronze_sales,
+        source_expectations=(row_count_between(1, max_sales_rows), not_null("customer_id")),
+        target_expectations=(not_null("id"),),
+    )
+    sales_silver = Step(
+        name="sales_silver",
+        group="silver",
+        source=Endpoint("{{ root }}/bronze/sales_erp/dt={{ execution_date }}", "parquet"),
+        target=Endpoint("{{ root }}/{{ group }}/sales/dt={{ execution_date }}", "delta"),
+        transform=transforms.silver_sales,
+        target_expectations=(between("price", *price_bounds),),
+        depends_on=("stg_sales_bronze",),
+    )
+    customers_bronze = Step(
+        name="stg_customers_bronze",
+        group="bronze",
+        source=Endpoint("{{ root }}/landing/customers_crm/dt={{ execution_date }}", "json", LANDING_CUSTOMERS),
+        target=Endpoint("{{ root }}/{{ group }}/customers_crm/dt={{ execution_date }}", "parquet"),
+        transform=transforms.bronze_customers,
+        source_expectations=(not_null("id"),),
+        target_expectations=(match_regex("email", email_pattern),),
+    )
+    customers_silver = Step(
+        name="customers_silver",
+        group="silver",
+        source=Endpoint("{{ root }}/bronze/customers_crm/dt={{ execution_date }}", "parquet"),
+        target=Endpoint("{{ root }}/{{ group }}/customers/dt={{ execution_date }}", "delta"),
+        transform=transforms.silver_customers,
+        target_expectations=(not_null("email"),),
+        depends_on=("stg_customers_bronze",),
+    )
+    sales_summary = Step(
+        name="sales_summary",
+        group="gold",
+        source={
+            "silver_sales": Endpoint("{{ root }}/silver/sales/dt={{ execution_date }}", "delta"),
+            "silver_customers": Endpoint("{{ root }}/silver/customers/dt={{ execution_date }}", "delta"),
+        },
+        target=Endpoint("{{ root }}/{{ group }}/sales_summary/dt={{ execution_date }}", "parquet"),
+        transform=marts.sales_summary,
+        depends_on=("sales_silver", "customers_silver"),
+    )
+    return customers_bronze, customers_silver, sales_bronze, sales_silver, sales_summary
 
-SALES_SUMMARY_STEP = Step(
-    name="sales_summary",
-    group="gold",
-    source={
-        "silver_sales": Endpoint("{{ root }}/silver/sales/dt={{ execution_date }}", "delta"),
-        "silver_customers": Endpoint("{{ root }}/silver/customers/dt={{ execution_date }}", "delta"),
-    },
-    target=Endpoint("{{ root }}/{{ group }}/sales_summary/dt={{ execution_date }}", "parquet"),
-    transform=marts.sales_summary,
-    depends_on=("sales_silver", "customers_silver"),
-)
 
+CUSTOMERS_BRONZE, CUSTOMERS_SILVER, SALES_BRONZE, SALES_SILVER, SALES_SUMMARY_STEP = build_steps()
 LAYER_STEPS: tuple[Step, ...] = (CUSTOMERS_BRONZE, CUSTOMERS_SILVER, SALES_BRONZE, SALES_SILVER)
 ALL_STEPS: tuple[Step, ...] = LAYER_STEPS + (SALES_SUMMARY_STEP,)
 

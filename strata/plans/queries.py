@@ -36,7 +36,7 @@ from strata.operators import generate, marts, transforms
 from strata.operators.gates import evaluate_suite
 from strata.operators.ingest import with_lineage
 from strata.plans import medallion
-from strata.plans.steps import Endpoint, GateFailed, Step, apply_transform, run_step
+from strata.plans.steps import Endpoint, GateFailed, Step, apply_transform, read_run_log, run_step
 from strata.session import scratch_path
 from strata.sources import snapshot
 from strata.sources.io import read_batch, read_table, write_batch
@@ -312,7 +312,7 @@ def q_run_metrics(spark, sf):
         target_expectations=(not_null("id", mostly=0.5),),
     )
     result = run_step(spark, step, BATCH_DATE, lake)
-    runs = spark.read.parquet(f"{lake.meta_root}/run_log")
+    runs = read_run_log(spark, lake)
     return runs.where(F.col("run_id") == F.lit(result.run_id)).select(
         "rows_in", "rows_out", (F.col("rows_in") - F.col("rows_out")).alias("rows_dropped")
     )

@@ -31,6 +31,7 @@ batch is still reported and quarantined as a source failure.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import logging
 import uuid
 from collections.abc import Callable, Mapping
@@ -190,41 +191,51 @@ def _quarantine_staged(spark: SparkSession, staged: str, fmt: str, lake: Lake, d
     return path
 
 
+RUN_LOG_SCHEMA = T.StructType(RUN_LOG.fields + [T.StructField("gate_status", T.StringType(), True)])
+
+
+def _stamp(value: _dt.datetime | None) -> str | None:
+    return value.isoformat(timespec="milliseconds") if value is not None else None
+
+
 def write_run_log(spark: SparkSession, lake: Lake, result: StepResult) -> None:
-    """Append the step's run row and gate rows to the lake's ``_meta`` tables."""
-    row = (
-        result.run_id,
-        result.step,
-        result.execution_date,
-        result.status,
-        result.rows_in,
-        result.rows_out,
-        result.target_path,
-        result.target_format,
-        result.quarantine_path,
-        result.error,
-        result.started_at,
-        result.finished_at,
-    )
-    run_schema = T.StructType(RUN_LOG.fields + [T.StructField("gate_status", T.StringType(), True)])
-    spark.createDataFrame([row + (result.gate_status,)], run_schema).coalesce(1).write.mode("append").parquet(
-        f"{lake.meta_root}/run_log"
-    )
-    gate_rows = [
-        (result.run_id, result.step, result.execution_date, r["suite"], r["expectation"], r["column_name"],
-         r["element_count"], r["missing_count"], r["unexpected_count"], r["unexpected_percent"], r["success"])
-        for g in result.gates
-        for r in g.results
-    ]
-    gate_rows += [
-        (result.run_id, result.step, result.execution_date, g.suite, None, None, None, None, None, None, False)
-        for g in result.gates
-        if g.error
-    ]
+    """Record the step run and its gate rows under the lake's ``_meta``.
+
+    One small JSON-lines file per step run, written through the file
+    system (no Spark job); ``read_run_log`` / ``read_gate_results`` read
+    them back with declared schemas.
+    """
+    run = {
+        "run_id": result.run_id,
+        "step": result.step,
+        "execution_date": result.execution_date,
+        "status": result.status,
+        "rows_in": result.rows_in,
+        "rows_out": result.rows_out,
+        "target_path": result.target_path,
+        "target_format": result.target_format,
+        "quarantine_path": result.quarantine_path,
+        "error": result.error,
+        "started_at": _stamp(result.started_at),
+        "finished_at": _stamp(result.finished_at),
+        "gate_status": result.gate_status,
+    }
+    leaf = f"{result.run_id}-{result.step}.json"
+    fs.write_text(spark, f"{lake.meta_root}/run_log/{leaf}", json.dumps(run))
+    keys = {"run_id": result.run_id, "step": result.step, "execution_date": result.execution_date}
+    gate_rows = [{**keys, **r} for g in result.gates for r in g.results]
+    gate_rows += [{**keys, "suite": g.suite, "success": False} for g in result.gates if g.error]
     if gate_rows:
-        spark.createDataFrame(gate_rows, GATE_RESULTS).coalesce(1).write.mode("append").parquet(
-            f"{lake.meta_root}/gate_results"
-        )
+        text = "\n".join(json.dumps(r) for r in gate_rows)
+        fs.write_text(spark, f"{lake.meta_root}/gate_results/{leaf}", text)
+
+
+def read_run_log(spark: SparkSession, lake: Lake) -> DataFrame:
+    return spark.read.schema(RUN_LOG_SCHEMA).json(f"{lake.meta_root}/run_log")
+
+
+def read_gate_results(spark: SparkSession, lake: Lake) -> DataFrame:
+    return spark.read.schema(GATE_RESULTS).json(f"{lake.meta_root}/gate_results")
 
 
 def _count_rows(frames: Mapping[str, DataFrame]) -> int:
@@ -325,7 +336,7 @@ def run_step(
     if obs_in is not None:
         metrics_in = obs_in.get
         result.rows_in = int(metrics_in.get(ROWS) or 0)
-        gate_in, _ = verdict_from_metrics(spark, src_suite, metrics_in)
+        gate_in = verdict_from_metrics(src_suite, metrics_in)
         if src_suite:
             if not gate_in.success:
                 fail_source(gate_in)
@@ -334,7 +345,7 @@ def run_step(
     metrics_out = obs_out.get
     result.rows_out = int(metrics_out.get(ROWS) or 0)
     if tgt_suite:
-        gate_out, _ = verdict_from_metrics(spark, tgt_suite, metrics_out)
+        gate_out = verdict_from_metrics(tgt_suite, metrics_out)
         result.gates.append(gate_out)
         if not gate_out.success:
             reason = f"target_fail_{step.name}"

@@ -138,3 +138,27 @@ def test_saved_suite_json_roundtrip():
     s = Suite.from_json(json.dumps(saved))
     assert s.expectations == (row_count_between(1, 2000000), not_null("customer_id"))
     assert Suite.from_json(s.to_json()) == s
+
+
+def test_driver_rule_equals_spark_rule(spark):
+    """``result_rows`` (driver, from observed counts) and
+    ``results_from_metrics`` (Spark) implement one rule."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from strata.functions.expectations import metric_schema, result_rows, results_from_metrics
+
+    suite = Suite("s", (row_count_between(2, 9), not_null("id", mostly=0.7), between("price", 0, 5, mostly=0.5),
+                        match_regex("email", "@")))
+    rng = random.Random(3)
+    schema = metric_schema(suite)
+    for _ in range(25):
+        n = rng.randint(0, 12)
+        counts = {f.name: rng.randint(0, n) for f in schema.fields}
+        counts["__rows"] = n
+        for i in (2, 3):  # unexpected never exceeds the present values
+            counts[f"__unexpected_{i}"] = min(counts[f"__unexpected_{i}"], n - counts[f"__missing_{i}"])
+        spark_rows = [r.asDict() for r in results_from_metrics(
+            spark.createDataFrame([tuple(counts[f.name] for f in schema.fields)], schema), suite).collect()]
+        assert spark_rows == result_rows(suite, counts)

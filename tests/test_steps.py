@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from strata.operators import generate, transforms
 from strata.plans import medallion
 from strata.plans.medallion import read_gold, read_silver, run_medallion
-from strata.plans.steps import Endpoint, GateFailed, Step, run_step
+from strata.plans.steps import Endpoint, GateFailed, Step, read_gate_results, read_run_log, run_step
 from strata.sources import fs
 from strata.sources.io import read_batch, read_table
 from strata.functions.expectations import between
@@ -18,8 +18,15 @@ def run(spark, step, lake, date=DATE):
     return run_step(spark, step, date, lake)
 
 
-def gate_rows(spark, lake):
-    return spark.read.parquet(f"{lake.meta_root}/gate_results")
+def test_gate_results_are_logged(spark, lake):
+    generate.dirty_batch(spark, lake, DATE, n_customers=100, n_sales=500)
+    with pytest.raises(GateFailed):
+        run(spark, medallion.SALES_BRONZE, lake)
+    rows = {(r["suite"], r["column_name"]): r for r in read_gate_results(spark, lake).collect()}
+    assert rows[("check_stg_sales_bronze_target", "id")]["unexpected_count"] == 51
+    assert rows[("check_stg_sales_bronze_source", "customer_id")]["success"] is True
+    run_row = read_run_log(spark, lake).collect()[0]
+    assert run_row["status"] == "target_fail" and run_row["rows_in"] == 500 and run_row["started_at"] is not None
 
 
 def test_clean_batch_reaches_gold(spark, lake):
@@ -30,7 +37,7 @@ def test_clean_batch_reaches_gold(spark, lake):
     gold = read_gold(spark, lake, DATE)
     assert gold.count() <= 5
     assert gold.agg(F.sum("total_orders")).collect()[0][0] == 2000
-    runs = spark.read.parquet(f"{lake.meta_root}/run_log")
+    runs = read_run_log(spark, lake)
     assert runs.where("status = 'success'").count() == 5
     assert not fs.exists(spark, lake.quarantine_root)
 
@@ -158,5 +165,5 @@ def test_bad_text_in_landing_fails_the_batch(spark, lake):
         run(spark, medallion.SALES_BRONZE, lake)
     assert not isinstance(err.value, GateFailed)  # the source gate passed; the strict cast failed
     assert not fs.exists(spark, lake.paths(DATE)["sales_bronze"])
-    runs = spark.read.parquet(f"{lake.meta_root}/run_log").collect()
+    runs = read_run_log(spark, lake).collect()
     assert runs[0]["status"] == "failed" and "oops" in runs[0]["error"]
