@@ -1,20 +1,24 @@
 """Gold mart and the KPI aggregates read from it.
 
 ``sales_summary`` is revenue by (region, sale_month) over silver sales left
-joined to silver customers. Region depends on the customer only, so sales
-are first summed per (customer_id, sale_month) and only those partial
-sums meet the customers table. The join then moves one row per customer
-and month instead of one per sale, and a hot customer (or the NULL key of
-unmatched sales) collapses to a handful of rows in the map-side combine
-before any shuffle. Sums and counts are distributive, and the average is
-carried as (sum, count), so the result equals join-then-aggregate,
-including fan-out over duplicate customer rows and the NULL region of
-unmatched sales.
-
-Join strategy is left to adaptive execution: customers are broadcast
-only when the runtime size of that side is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise the join is a
-sort-merge join with skew splitting.
+joined to silver customers. The plan depends on the size of the customers
+side, checked against ``spark.sql.autoBroadcastJoinThreshold`` from the
+optimizer's size estimate:
+
+* under the threshold, customers are broadcast: sales are joined where
+  they are read and summed straight to (region, month), so the only
+  shuffle carries the partial aggregates of a few groups per task;
+* over it, sales are first summed per (customer_id, sale_month) and only
+  those partial sums meet the customers in a shuffle join. The join then
+  moves one row per customer and month instead of one per sale, and a hot
+  customer (or the NULL key of unmatched sales) collapses to a handful of
+  rows in the map-side combine before any shuffle.
+
+Sums and counts are distributive and the average is carried as (sum,
+count), so both plans equal join-then-aggregate, including fan-out over
+duplicate customer rows and the NULL region of unmatched sales. Adaptive
+execution may still turn the shuffle join into a broadcast at run time
+when the customers side turns out small.
 """
 
 from __future__ import annotations
@@ -57,15 +61,69 @@ def enrich_sales(silver_sales: DataFrame, silver_customers: DataFrame) -> DataFr
     )
 
 
-def sales_summary(silver_sales: DataFrame, silver_customers: DataFrame) -> DataFrame:
+def _size_estimate(df: DataFrame) -> int | None:
+    """Optimizer's size estimate of ``df`` in bytes (None if unavailable)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return None
+
+
+def _broadcast_threshold(df: DataFrame) -> int:
+    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760") or "-1"
+    raw = raw.strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix) and raw[: -len(suffix)].strip().lstrip("-").isdigit():
+            return int(raw[: -len(suffix)]) * units[suffix]
+    return int(raw)
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """True when the optimizer's estimate of ``df`` is under the broadcast
+    threshold (a threshold of -1 disables broadcasting)."""
+    threshold = _broadcast_threshold(df)
+    size = _size_estimate(df)
+    return threshold >= 0 and size is not None and size <= threshold
+
+
+def _summary(grouped: DataFrame) -> DataFrame:
+    return grouped.select(
+        F.col("region"),
+        F.col("sale_month"),
+        F.col("total_revenue"),
+        F.col("total_orders").cast(T.LongType()).alias("total_orders"),
+        mean_of_cents("total_revenue", "cents", "priced").alias("avg_ticket"),
+    ).orderBy(F.desc_nulls_last("total_revenue"))
+
+
+def sales_summary(silver_sales: DataFrame, silver_customers: DataFrame, strategy: str = "auto") -> DataFrame:
     """Gold ``sales_summary``: region, sale_month, total_revenue,
     total_orders (non-NULL ids), avg_ticket (mean price, rounded to cents),
     ordered by total_revenue descending.
 
-    ``avg_ticket`` is the exact mean of the prices in cents, rounded half
-    away from zero, so it is the same whatever the partitioning; a double
-    average is not, at exact half-cent ties.
+    ``strategy``: ``auto`` (by the size check), ``broadcast`` or
+    ``pre_aggregate``. ``avg_ticket`` is the exact mean of the prices in
+    cents, rounded half away from zero, so it is the same whatever the
+    partitioning; a double average is not, at exact half-cent ties.
     """
+    regions = silver_customers.select(F.col("customer_id"), F.col("uf").alias("region"))
+    if strategy == "auto":
+        strategy = "broadcast" if fits_broadcast(regions) else "pre_aggregate"
+    if strategy == "broadcast":
+        sales = silver_sales.select(
+            "customer_id", "id", "price", month_start("sale_date").alias("sale_month")
+        )
+        joined = sales.join(F.broadcast(regions), on="customer_id", how="left")
+        grouped = joined.groupBy("region", "sale_month").agg(
+            F.sum("price").alias("total_revenue"),
+            F.count("id").alias("total_orders"),
+            F.count("price").alias("priced"),
+            F.sum(to_cents("price")).alias("cents"),
+        )
+        return _summary(grouped)
+    if strategy != "pre_aggregate":
+        raise ValueError(f"unknown strategy {strategy!r}")
     per_customer_month = silver_sales.groupBy(
         F.col("customer_id"), month_start("sale_date").alias("sale_month")
     ).agg(
@@ -74,39 +132,27 @@ def sales_summary(silver_sales: DataFrame, silver_customers: DataFrame) -> DataF
         F.count("price").alias("priced"),
         F.sum(to_cents("price")).alias("cents"),
     )
-    regions = silver_customers.select(F.col("customer_id"), F.col("uf").alias("region"))
     joined = per_customer_month.join(regions, on="customer_id", how="left")
-    summary = joined.groupBy("region", "sale_month").agg(
+    grouped = joined.groupBy("region", "sale_month").agg(
         F.sum("revenue").alias("total_revenue"),
         F.sum("orders").alias("total_orders"),
         F.sum("priced").alias("priced"),
         F.sum("cents").alias("cents"),
     )
-    return summary.select(
-        F.col("region"),
-        F.col("sale_month"),
-        F.col("total_revenue"),
-        F.col("total_orders").cast(T.LongType()).alias("total_orders"),
-        mean_of_cents("total_revenue", "cents", "priced").alias("avg_ticket"),
-    ).orderBy(F.desc_nulls_last("total_revenue"))
+    return _summary(grouped)
 
 
 def sales_summary_direct(silver_sales: DataFrame, silver_customers: DataFrame) -> DataFrame:
-    """The same mart as join-then-aggregate, kept as a brute-force check."""
+    """The same mart as the plain join-then-aggregate, kept as a
+    brute-force check for the planned variants."""
     enriched = enrich_sales(silver_sales, silver_customers)
-    summary = enriched.groupBy("region", "sale_month").agg(
+    grouped = enriched.groupBy("region", "sale_month").agg(
         F.sum("sale_value").alias("total_revenue"),
         F.count("id").alias("total_orders"),
         F.count("sale_value").alias("priced"),
         F.sum(to_cents("sale_value")).alias("cents"),
     )
-    return summary.select(
-        "region",
-        "sale_month",
-        "total_revenue",
-        "total_orders",
-        mean_of_cents("total_revenue", "cents", "priced").alias("avg_ticket"),
-    ).orderBy(F.desc_nulls_last("total_revenue"))
+    return _summary(grouped)
 
 
 def dashboard_kpis(gold: DataFrame) -> DataFrame:

@@ -131,16 +131,18 @@ def test_sales_summary_values(spark):
     assert ordered == sorted(ordered, reverse=True)
 
 
-def test_pre_aggregated_mart_equals_join_then_aggregate(spark):
+@pytest.mark.parametrize("strategy", ["broadcast", "pre_aggregate", "auto"])
+def test_mart_strategies_equal_join_then_aggregate(spark, strategy):
     s, c = silver_fixtures(spark)
-    assert _gold_rows(marts.sales_summary(s, c)) == _gold_rows(marts.sales_summary_direct(s, c))
+    assert _gold_rows(marts.sales_summary(s, c, strategy)) == _gold_rows(marts.sales_summary_direct(s, c))
 
 
-def test_pre_aggregated_mart_equals_brute_force_on_tables(spark):
+@pytest.mark.parametrize("strategy", ["broadcast", "pre_aggregate"])
+def test_mart_equals_brute_force_on_tables(spark, strategy):
     from strata.plans.queries import _silver_customers_with_orphans, _silver_sales
 
     s, c = _silver_sales(spark, SF_SMALL), _silver_customers_with_orphans(spark, SF_SMALL)
-    fast = {(r[0], r[1]): r for r in marts.sales_summary(s, c).collect()}
+    fast = {(r[0], r[1]): r for r in marts.sales_summary(s, c, strategy).collect()}
     slow = {(r[0], r[1]): r for r in marts.sales_summary_direct(s, c).collect()}
     assert fast.keys() == slow.keys()
     for k in fast:
@@ -149,14 +151,31 @@ def test_pre_aggregated_mart_equals_brute_force_on_tables(spark):
         assert math.isclose(fast[k]["total_revenue"], slow[k]["total_revenue"], rel_tol=1e-12)
 
 
-def test_mart_plan_aggregates_before_the_join(spark):
+def test_mart_plan_aggregates_before_a_shuffle_join(spark):
     s, c = silver_fixtures(spark)
-    plan = marts.sales_summary(s, c)._jdf.queryExecution().optimizedPlan().toString()
+    plan = marts.sales_summary(s, c, "pre_aggregate")._jdf.queryExecution().optimizedPlan().toString()
     join_at = plan.index("Join LeftOuter")
     assert plan.count("Aggregate") >= 2
     assert plan.rindex("Aggregate") > join_at  # an aggregate sits below the join
 
 
+def test_mart_broadcasts_only_a_small_customers_side(spark, tmp_path):
+    s, c = silver_fixtures(spark)
+    assert not marts.fits_broadcast(c)  # in-memory rows: size unknown, never broadcast
+    c.write.parquet(str(tmp_path / "c"))
+    c = spark.read.parquet(str(tmp_path / "c"))
+    assert marts.fits_broadcast(c)
+    plan = marts.sales_summary(s, c)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not marts.fits_broadcast(c)
+        opt = marts.sales_summary(s, c)._jdf.queryExecution().optimizedPlan().toString()
+        assert opt.count("Aggregate") >= 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_kpis_mean_of_means(spark):
     gold = spark.createDataFrame([("A", D1, 10.0, 1, 10.0), ("B", D1, 90.0, 9, 10.0), ("C", D1, 1.0, 1, 1.0)],
                                  "region string, sale_month date, total_revenue double, total_orders long, avg_ticket double")
