@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.functions.expectations import between, match_regex, not_null, row_count_between
 from strata.operators import marts, transforms
+from strata.operators.ingest import with_lineage
 from strata.plans.steps import Endpoint, GateFailed, Step, StepResult, run_step
 from strata.sources.io import read_or_empty
 from strata.sources.paths import Lake
@@ -91,6 +93,37 @@ LAYER_STEPS: tuple[Step, ...] = (CUSTOMERS_BRONZE, CUSTOMERS_SILVER, SALES_BRONZ
 ALL_STEPS: tuple[Step, ...] = LAYER_STEPS + (SALES_SUMMARY_STEP,)
 
 
+def _ingest_transform(domain: str):
+    def transform(df: DataFrame) -> DataFrame:
+        renamed = df.withColumnRenamed("_source_file", "__file")
+        return with_lineage(renamed, domain, source_file=F.col("__file")).drop("__file")
+
+    return transform
+
+
+def ingest_steps() -> tuple[Step, Step]:
+    """Direct ingestion: each landing batch copied as-is to Parquet with
+    ``_ingested_at``, ``_domain`` and ``_source_file``. The target is its own
+    table (``<domain>_ingest``) so it never collides with the gated bronze."""
+    sales = Step(
+        name="sales_ingest",
+        group="bronze",
+        source=Endpoint("{{ root }}/landing/sales_erp/dt={{ execution_date }}", "csv", LANDING_SALES,
+                        file_name_column="_source_file"),
+        target=Endpoint("{{ root }}/{{ group }}/sales_erp_ingest/dt={{ execution_date }}", "parquet"),
+        transform=_ingest_transform("sales"),
+    )
+    customers = Step(
+        name="customers_ingest",
+        group="bronze",
+        source=Endpoint("{{ root }}/landing/customers_crm/dt={{ execution_date }}", "json", LANDING_CUSTOMERS,
+                        file_name_column="_source_file"),
+        target=Endpoint("{{ root }}/{{ group }}/customers_crm_ingest/dt={{ execution_date }}", "parquet"),
+        transform=_ingest_transform("customers"),
+    )
+    return sales, customers
+
+
 def ordered(steps: Sequence[Step]) -> list[Step]:
     """Steps in dependency order (declared order breaks ties)."""
     done: set[str] = set()
@@ -137,3 +170,16 @@ def read_silver(spark: SparkSession, lake: Lake, execution_date: str) -> tuple[D
         read_or_empty(spark, paths["sales_silver"], SILVER_SALES, "delta"),
         read_or_empty(spark, paths["customers_silver"], SILVER_CUSTOMERS, "delta"),
     )
+
+
+def dashboard(spark: SparkSession, lake: Lake, execution_date: str) -> dict[str, DataFrame]:
+    """The BI view of one date's mart: headline KPIs, revenue and orders by
+    region, and the mart itself. A missing mart gives empty frames."""
+    gold = read_gold(spark, lake, execution_date)
+    return {
+        "kpis": marts.dashboard_kpis(gold),
+        "revenue_by_region": marts.revenue_by_region(gold),
+        "orders_by_region": marts.orders_by_region(gold),
+        "preview": gold,
+    }
+

@@ -59,6 +59,7 @@ class Endpoint:
     format: str
     schema: T.StructType | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    file_name_column: str | None = None
 
 
 @dataclass(frozen=True)
@@ -292,7 +293,7 @@ def run_step(
     frames: dict[str, DataFrame] = {}
     try:
         for k, ep in endpoints.items():
-            frames[k] = read_batch(spark, source_paths[k], ep.format, ep.schema, ep.options)
+            frames[k] = read_batch(spark, source_paths[k], ep.format, ep.schema, ep.options, ep.file_name_column)
     except Exception as err:
         if src_suite:
             fail_source(technical_failure(src_suite, err))

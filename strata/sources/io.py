@@ -49,12 +49,18 @@ def read_batch(
     fmt: str,
     schema: T.StructType | None = None,
     options: Mapping[str, str] | None = None,
+    file_name_column: str | None = None,
 ) -> DataFrame:
-    """Read one batch (a folder or file) in the given format."""
+    """Read one batch (a folder or file) in the given format.
+
+    ``file_name_column`` adds the base name of each row's file, taken from
+    the scan's hidden ``_metadata`` column.
+    """
     fmt = table_format(spark, fmt)
     opts = dict(options or {})
     if fmt == "snapshot":
-        return snapshot.read_snapshot(spark, path, schema)
+        df = snapshot.read_snapshot(spark, path, schema)
+        return _with_file_name(df, file_name_column)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
@@ -63,18 +69,27 @@ def read_batch(
         opts.setdefault("mode", "FAILFAST")
         if schema is None:
             opts.setdefault("inferSchema", "true")
-            return reader.options(**opts).csv(path)
+            return _with_file_name(reader.options(**opts).csv(path), file_name_column)
         # Columns are matched to the header by name, as text, then cast
         # strictly: a declared CSV schema would be applied by position.
         text = spark.read.options(**opts).csv(path)
-        return text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+        cols = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]
+        if file_name_column:
+            cols.append(F.col("_metadata.file_name").alias(file_name_column))
+        return text.select(*cols)
     if fmt == "json":
         opts.setdefault("multiLine", "false")
         opts.setdefault("mode", "FAILFAST")
-        return reader.options(**opts).json(path)
-    if fmt == "delta":
-        return reader.options(**opts).format("delta").load(path)
-    return reader.options(**opts).parquet(path)
+        df = reader.options(**opts).json(path)
+    elif fmt == "delta":
+        df = reader.options(**opts).format("delta").load(path)
+    else:
+        df = reader.options(**opts).parquet(path)
+    return _with_file_name(df, file_name_column)
+
+
+def _with_file_name(df: DataFrame, column: str | None) -> DataFrame:
+    return df.withColumn(column, F.col("_metadata.file_name")) if column else df
 
 
 def read_table(

@@ -167,3 +167,27 @@ def test_bad_text_in_landing_fails_the_batch(spark, lake):
     assert not fs.exists(spark, lake.paths(DATE)["sales_bronze"])
     runs = read_run_log(spark, lake).collect()
     assert runs[0]["status"] == "failed" and "oops" in runs[0]["error"]
+
+
+def test_ingest_with_lineage(spark, lake):
+    generate.clean_batch(spark, lake, DATE, n_customers=20, n_sales=60)
+    sales_step, customers_step = medallion.ingest_steps()
+    res = run(spark, sales_step, lake)
+    assert res.rows_out == 60
+    out = spark.read.parquet(res.target_path)
+    assert out.columns[-3:] == ["_ingested_at", "_domain", "_source_file"]
+    names = {r["_source_file"] for r in out.select("_source_file").distinct().collect()}
+    assert all(n.startswith("part-") and n.endswith(".csv") for n in names)
+    assert out.where("_domain = 'sales'").count() == 60
+    run(spark, customers_step, lake)
+    assert fs.exists(spark, lake.table("bronze", "customers_crm_ingest"))
+
+
+def test_dashboard_reads_the_mart(spark, lake):
+    generate.clean_batch(spark, lake, DATE, n_customers=50, n_sales=500)
+    run_medallion(spark, lake, DATE)
+    view = medallion.dashboard(spark, lake, DATE)
+    assert view["kpis"].collect()[0]["total_orders"] == 500
+    assert view["revenue_by_region"].count() == view["preview"].select("region").distinct().count()
+    empty = medallion.dashboard(spark, lake, "2000-01-01")
+    assert empty["preview"].count() == 0 and empty["kpis"].collect()[0]["total_orders"] is None
