@@ -107,8 +107,8 @@ def main() -> None:
             write_batch(landing_customers(spark, SF_DIR), paths["customers_landing"], "json"),
         )
     )
-    # order totals reach 500,000: the silver price gate uses that domain
-    steps = build_steps(price_bounds=(0, 500_000))
+    # order totals stay under one million: the silver price gate uses that domain
+    steps = build_steps(price_bounds=Q.ORDER_PRICE_BOUNDS)
     results = []
     times["medallion_run"] = _timed(lambda: results.extend(run_medallion(spark, lake, DATE, steps)))
     sales_rows = next(r.rows_in for r in results if r.step == "stg_sales_bronze")

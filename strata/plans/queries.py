@@ -318,6 +318,43 @@ def q_run_metrics(spark, sf):
     )
 
 
+# Fixed value: order totals lie below one million, the price bound of the
+# silver gate when orders play the sales batch.
+ORDER_PRICE_BOUNDS = (0, 1_000_000)
+
+
+def _landing_lake(spark: SparkSession, sf: str, customers: DataFrame | None = None) -> Lake:
+    """Landing files derived from the tables: orders as the sales CSV (date
+    as text), customers as newline JSON."""
+    lake = Lake(scratch_path(spark, "lake"))
+    paths = lake.paths(BATCH_DATE)
+    sales = landing_sales(spark, sf).withColumn("date", F.col("date").cast(T.DateType()).cast(T.StringType()))
+    write_batch(sales, paths["sales_landing"], "csv")
+    write_batch(customers if customers is not None else landing_customers(spark, sf), paths["customers_landing"], "json")
+    return lake
+
+
+def q_medallion_gold(spark, sf):
+    """Landing files -> every gated step -> the published gold mart."""
+    lake = _landing_lake(spark, sf)
+    medallion.run_medallion(spark, lake, BATCH_DATE, medallion.build_steps(price_bounds=ORDER_PRICE_BOUNDS))
+    return _cents(medallion.read_gold(spark, lake, BATCH_DATE), "total_revenue")
+
+
+def q_quarantine_source(spark, sf):
+    """Customers landing with every 3rd id NULL: the bronze source gate
+    fails and the raw landing batch (as text) is quarantined."""
+    faulty = landing_customers(spark, sf).withColumn(
+        "id", F.when(every("id", 3), F.lit(None).cast(T.LongType())).otherwise(F.col("id"))
+    )
+    lake = _landing_lake(spark, sf, customers=faulty)
+    try:
+        run_step(spark, medallion.CUSTOMERS_BRONZE, BATCH_DATE, lake)
+    except GateFailed:
+        pass
+    return read_table(spark, lake.quarantine_root, "parquet", execution_date=BATCH_DATE)
+
+
 def _order_keys(spark, sf):
     return table(spark, sf, "orders").select(F.col("o_orderkey").alias("n"))
 
@@ -430,6 +467,8 @@ QUERIES: dict[str, QueryFn] = {
     "gate_empty": q_gate_empty,
     "gate_suite": q_gate_suite,
     "quarantine_batch": q_quarantine_batch,
+    "quarantine_source": q_quarantine_source,
+    "medallion_gold": q_medallion_gold,
     "run_metrics": q_run_metrics,
     "fault_landing_sales": q_fault_landing_sales,
     "fault_landing_customers": q_fault_landing_customers,
@@ -603,6 +642,21 @@ ORACLES: dict[str, str] = {
     "quarantine_batch": (
         f"SELECT *, DATE '{BATCH_DATE}' AS dt, 'target_fail_stg_sales_bronze' AS reason FROM ({BRONZE_FS})"
     ),
+    "quarantine_source": (
+        "SELECT CAST(CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_custkey END AS VARCHAR) AS id, "
+        "c_name AS name, concat(lower(c_name), '@example.com') AS email, CAST(c_nationkey AS VARCHAR) AS city, "
+        f"lower(c_mktsegment) AS state, CAST(NULL AS VARCHAR) AS created_at, DATE '{BATCH_DATE}' AS dt, "
+        "'source_fail_stg_customers_bronze' AS reason FROM customer"
+    ),
+    "medallion_gold": (
+        "SELECT region, sale_month, round(sum(sale_value), 2) AS total_revenue, count(id) AS total_orders, "
+        "CAST((2 * sum(cents) + count(cents)) // (2 * count(cents)) AS DOUBLE) / 100 AS avg_ticket "
+        "FROM (SELECT s.id, s.price AS sale_value, c.uf AS region, "
+        "CAST(date_trunc('month', s.sale_date) AS DATE) AS sale_month, "
+        "CAST(round(s.price * 100) AS BIGINT) AS cents "
+        f"FROM ({SILVER_S}) s LEFT JOIN ({SILVER_C}) c ON s.customer_id = c.customer_id) "
+        "GROUP BY region, sale_month"
+    ),
     "run_metrics": (
         "SELECT count(*) AS rows_in, count(*) FILTER (WHERE price > 0) AS rows_out, "
         f"count(*) FILTER (WHERE price IS NULL OR NOT price > 0) AS rows_dropped FROM ({FS})"

@@ -195,3 +195,20 @@ def test_round_half_away_matches_reference_engine(spark, x):
 def test_round_half_away_nulls_and_nan(spark):
     rows = spark.createDataFrame([(None,), (float("nan"),)], "x double").select(round_half_away("x").alias("r")).collect()
     assert rows[0]["r"] is None and math.isnan(rows[1]["r"])
+
+
+def test_enrich_spreads_null_keys_over_partitions(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = [(i, None if i % 3 else 10, "a", 5.0, D1) for i in range(3000)]
+        sales = transforms.silver_sales(spark.createDataFrame(rows, SALES))
+        customers = transforms.silver_customers(spark.createDataFrame([(10, "A", "e", "c", "sp")], CUSTOMERS))
+        out = marts.enrich_sales(sales, customers)
+        assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
+        per_part = out.rdd.glom().map(len).collect()
+        assert sum(per_part) == 3000 and max(per_part) < 2000  # NULL keys are not in one task
+        assert out.where("region IS NULL").count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
