@@ -8,9 +8,12 @@ transform (SQL text or a DataFrame function) and two expectation suites.
     suite, rows_out) ─ write to a staging folder
 
 Both suites are measured by ``observe`` on the same pass that writes the
-data, so the source is scanned once. Observed metrics of a write are
-counted once per partition even when tasks are retried. Then, on the
-driver, only the metric rows are inspected:
+data, so the source is scanned once. Observed metrics of the write's final
+stage are counted once per partition even when tasks are retried. A
+transform that shuffles would put the source observation in a map stage,
+which a lost executor can re-run; such steps measure the source suite in
+its own aggregate first. Then, on the driver, only the metric rows are
+inspected:
 
 * source gate failed: the staging folder is dropped, the source batch is
   copied to ``quarantine/dt=<date>/reason=source_fail_<step>/`` and
@@ -239,6 +242,11 @@ def read_gate_results(spark: SparkSession, lake: Lake) -> DataFrame:
     return spark.read.schema(GATE_RESULTS).json(f"{lake.meta_root}/gate_results")
 
 
+def _has_exchange(df: DataFrame) -> bool:
+    """Whether the physical plan has a shuffle or broadcast exchange."""
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def _count_rows(frames: Mapping[str, DataFrame]) -> int:
     return int(sum(df.count() for df in frames.values()))
 
@@ -318,7 +326,23 @@ def run_step(
 
     try:
         out = apply_transform(spark, step.transform, observed)
+        if obs_in is not None and _has_exchange(out):
+            # The source observation would sit in a shuffle map stage, which
+            # a lost executor can re-run (counting twice): measure the
+            # source in its own aggregate instead, before the transform.
+            obs_in = None
+            if src_suite:
+                gate_in = check_suite(frames[primary], src_suite)
+                result.rows_in = gate_in.results[0]["element_count"] if gate_in.results else None
+                if not gate_in.success:
+                    fail_source(gate_in)
+                result.gates.append(gate_in)
+            else:
+                result.rows_in = _count_rows({primary: frames[primary]})
+            out = apply_transform(spark, step.transform, frames)
         tgt_cols = metric_columns(tgt_suite, out.schema)
+    except GateFailed:
+        raise
     except Exception as err:
         finish("failed", _first_line(err))
         raise

@@ -191,3 +191,26 @@ def test_dashboard_reads_the_mart(spark, lake):
     assert view["revenue_by_region"].count() == view["preview"].select("region").distinct().count()
     empty = medallion.dashboard(spark, lake, "2000-01-01")
     assert empty["preview"].count() == 0 and empty["kpis"].collect()[0]["total_orders"] is None
+
+
+def test_source_gate_of_a_shuffling_step_is_measured_on_its_own(spark, lake):
+    from strata.functions.expectations import not_null, row_count_between
+
+    generate.clean_batch(spark, lake, DATE, n_customers=30, n_sales=300)
+    per_customer = Step(
+        name="sales_by_customer",
+        group="silver",
+        source=medallion.SALES_BRONZE.source,
+        target=Endpoint("{{ root }}/{{ group }}/sales_by_customer/dt={{ execution_date }}", "parquet"),
+        transform=lambda df: df.groupBy("customer_id").agg(F.count("id").alias("n")),
+        source_expectations=(row_count_between(1, 1000), not_null("customer_id")),
+        target_expectations=(not_null("customer_id"),),
+    )
+    res = run(spark, per_customer, lake)
+    assert res.status == "success" and res.rows_in == 300
+    assert [g.suite for g in res.gates] == ["check_sales_by_customer_source", "check_sales_by_customer_target"]
+    assert spark.read.parquet(res.target_path).agg(F.sum("n")).collect()[0][0] == 300
+    tight = Step(**{**per_customer.__dict__, "source_expectations": (row_count_between(1, 10),)})
+    with pytest.raises(GateFailed) as err:
+        run(spark, tight, lake)
+    assert err.value.result.status == "source_fail"
