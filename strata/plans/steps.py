@@ -41,7 +41,6 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.expectations import ROWS, Expectation, Suite, metric_columns
@@ -399,9 +398,3 @@ def _describe(gate: GateResult) -> str:
         for r in gate.failed
     ]
     return f"{gate.suite} failed: " + "; ".join(parts)
-
-
-def with_batch_columns(df: DataFrame, execution_date: str, reason: str | None = None) -> DataFrame:
-    """The ``dt`` (and ``reason``) partition values as columns, for previews."""
-    out = df.withColumn("dt", F.lit(execution_date).cast(T.DateType()))
-    return out.withColumn("reason", F.lit(reason)) if reason is not None else out

@@ -12,7 +12,6 @@ The pipeline relies on three session properties:
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -82,8 +81,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique sub-folder of the shared scratch folder."""
     leaf = "-".join(p for p in parts if p) or "scratch"
     return f"{shared_dir(spark)}/strata/{leaf}-{uuid.uuid4().hex[:12]}"
-
-
-def local_master() -> str:
-    cpus = os.environ.get("BENCH_CPUS") or os.environ.get("STRATA_CPUS") or "8"
-    return f"local[{cpus}]"

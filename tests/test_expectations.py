@@ -1,6 +1,5 @@
 import json
 import math
-from pathlib import Path
 
 import pytest
 from pyspark.sql import types as T
@@ -145,8 +144,6 @@ def test_driver_rule_equals_spark_rule(spark):
     ``results_from_metrics`` (Spark) implement one rule."""
     import random
 
-    from pyspark.sql import functions as F
-
     from strata.functions.expectations import metric_schema, result_rows, results_from_metrics
 
     suite = Suite("s", (row_count_between(2, 9), not_null("id", mostly=0.7), between("price", 0, 5, mostly=0.5),

@@ -8,7 +8,7 @@ from strata.plans import medallion
 from strata.plans.medallion import read_gold, read_silver, run_medallion
 from strata.plans.steps import Endpoint, GateFailed, Step, read_gate_results, read_run_log, run_step
 from strata.sources import fs
-from strata.sources.io import read_batch, read_table
+from strata.sources.io import read_table
 from strata.functions.expectations import between
 
 DATE = "2026-04-19"
