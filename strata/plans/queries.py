@@ -39,7 +39,7 @@ from strata.plans import medallion
 from strata.plans.steps import Endpoint, GateFailed, Step, apply_transform, read_run_log, run_step
 from strata.session import scratch_path
 from strata.sources import snapshot
-from strata.sources.io import read_batch, read_table, write_batch
+from strata.sources.io import read_batch, read_table, write_batch  # noqa: F401 (read_batch re-used by tools)
 from strata.sources.paths import Lake, partition_dir
 from strata.sources.schemas import BRONZE_CUSTOMERS, BRONZE_SALES
 from strata.sources.testdata import every, landing_customers, landing_sales, table
