@@ -28,6 +28,7 @@ from strata.operators import generate  # noqa: E402
 from strata.plans import queries as Q  # noqa: E402
 from strata.plans.medallion import build_steps, run_medallion  # noqa: E402
 from strata.session import build_session, scratch_path  # noqa: E402
+from strata.sources import fs  # noqa: E402
 from strata.sources.io import write_batch  # noqa: E402
 from strata.sources.paths import Lake  # noqa: E402
 from strata.sources.testdata import landing_customers, landing_sales  # noqa: E402
@@ -124,6 +125,11 @@ def main() -> None:
         extra["clean_rows_per_sec"] = round(generate.CLEAN_SALES / max(times["clean_medallion_run"], 1e-9))
         assert all(r.status == "success" for r in clean_results)
 
+    # the bench's own lakes are not needed after timing
+    fs.delete(spark, lake.root)
+    if CLEAN:
+        fs.delete(spark, clean.root)
+
     total = round(sum(times.values()), 3)
     print(
         json.dumps(

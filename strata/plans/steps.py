@@ -241,9 +241,9 @@ def read_gate_results(spark: SparkSession, lake: Lake) -> DataFrame:
     return spark.read.schema(GATE_RESULTS).json(f"{lake.meta_root}/gate_results")
 
 
-def _has_exchange(df: DataFrame) -> bool:
-    """Whether the physical plan has a shuffle or broadcast exchange."""
-    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+def _physical_plan(df: DataFrame) -> str:
+    """The physical plan as text (exchanges and observed-metric nodes)."""
+    return str(df._jdf.queryExecution().executedPlan().toString())
 
 
 def _count_rows(frames: Mapping[str, DataFrame]) -> int:
@@ -316,7 +316,8 @@ def run_step(
             src_cols = metric_columns(src_suite, frames[primary].schema)
         except Exception as err:
             fail_source(technical_failure(src_suite, err))
-        obs_in = Observation(f"in_{step.name}_{uuid.uuid4().hex[:8]}")
+        obs_in_name = f"in_{step.name}_{uuid.uuid4().hex[:8]}"
+        obs_in = Observation(obs_in_name)
         observed = dict(frames)
         observed[primary] = frames[primary].observe(obs_in, *src_cols)
     else:
@@ -325,10 +326,12 @@ def run_step(
 
     try:
         out = apply_transform(spark, step.transform, observed)
-        if obs_in is not None and _has_exchange(out):
+        plan = _physical_plan(out) if obs_in is not None else ""
+        if obs_in is not None and ("Exchange" in plan or obs_in_name not in plan):
             # The source observation would sit in a shuffle map stage, which
-            # a lost executor can re-run (counting twice): measure the
-            # source in its own aggregate instead, before the transform.
+            # a lost executor can re-run (counting twice), or the transform
+            # does not read the source at all (nothing would be observed):
+            # measure the source in its own aggregate instead.
             obs_in = None
             if src_suite:
                 gate_in = check_suite(frames[primary], src_suite)

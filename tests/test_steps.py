@@ -214,3 +214,19 @@ def test_source_gate_of_a_shuffling_step_is_measured_on_its_own(spark, lake):
     with pytest.raises(GateFailed) as err:
         run(spark, tight, lake)
     assert err.value.result.status == "source_fail"
+
+
+def test_transform_that_ignores_its_source_does_not_hang(spark, lake):
+    from strata.functions.expectations import not_null
+
+    generate.clean_batch(spark, lake, DATE, n_customers=10, n_sales=20)
+    constant = Step(
+        name="constant",
+        group="silver",
+        source=medallion.SALES_BRONZE.source,
+        target=Endpoint("{{ root }}/{{ group }}/constant/dt={{ execution_date }}", "parquet"),
+        transform=lambda df: df.sparkSession.range(3).withColumnRenamed("id", "x"),
+        source_expectations=(not_null("customer_id"),),
+    )
+    res = run(spark, constant, lake)
+    assert (res.status, res.rows_in, res.rows_out) == ("success", 20, 3)
