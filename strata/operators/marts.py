@@ -107,23 +107,28 @@ def fits_broadcast(df: DataFrame) -> bool:
     return threshold >= 0 and size is not None and size <= threshold
 
 
-def _summary(grouped: DataFrame) -> DataFrame:
-    return grouped.select(
+def _summary(grouped: DataFrame, ordered: bool = True) -> DataFrame:
+    out = grouped.select(
         F.col("region"),
         F.col("sale_month"),
         F.col("total_revenue"),
         F.col("total_orders").cast(T.LongType()).alias("total_orders"),
         mean_of_cents("total_revenue", "cents", "priced").alias("avg_ticket"),
-    ).orderBy(F.desc_nulls_last("total_revenue"))
+    )
+    return out.orderBy(F.desc_nulls_last("total_revenue")) if ordered else out
 
 
-def sales_summary(silver_sales: DataFrame, silver_customers: DataFrame, strategy: str = "auto") -> DataFrame:
+def sales_summary(
+    silver_sales: DataFrame, silver_customers: DataFrame, strategy: str = "auto", ordered: bool = True
+) -> DataFrame:
     """Gold ``sales_summary``: region, sale_month, total_revenue,
     total_orders (non-NULL ids), avg_ticket (mean price, rounded to cents),
     ordered by total_revenue descending.
 
     ``strategy``: ``auto`` (by the size check), ``broadcast`` or
-    ``pre_aggregate``. ``avg_ticket`` is the exact mean of the prices in
+    ``pre_aggregate``. ``ordered=False`` leaves out the final sort, for
+    consumers that aggregate the mart again (the KPIs): Spark keeps a sort
+    under a double sum, which would cost a range shuffle for nothing. ``avg_ticket`` is the exact mean of the prices in
     cents, rounded half away from zero, so it is the same whatever the
     partitioning; a double average is not, at exact half-cent ties.
     """
@@ -141,7 +146,7 @@ def sales_summary(silver_sales: DataFrame, silver_customers: DataFrame, strategy
             F.count("price").alias("priced"),
             F.sum(to_cents("price")).alias("cents"),
         )
-        return _summary(grouped)
+        return _summary(grouped, ordered)
     if strategy != "pre_aggregate":
         raise ValueError(f"unknown strategy {strategy!r}")
     per_customer_month = silver_sales.groupBy(
@@ -159,7 +164,7 @@ def sales_summary(silver_sales: DataFrame, silver_customers: DataFrame, strategy
         F.sum("priced").alias("priced"),
         F.sum("cents").alias("cents"),
     )
-    return _summary(grouped)
+    return _summary(grouped, ordered)
 
 
 def sales_summary_direct(silver_sales: DataFrame, silver_customers: DataFrame) -> DataFrame:

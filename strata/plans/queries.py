@@ -127,8 +127,10 @@ def q_gold_enriched_sales(spark, sf):
     return marts.enrich_sales(_silver_sales(spark, sf), _silver_customers_with_orphans(spark, sf))
 
 
-def gold(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.sales_summary(_silver_sales(spark, sf), _silver_customers_with_orphans(spark, sf))
+def gold(spark: SparkSession, sf: str, ordered: bool = True) -> DataFrame:
+    return marts.sales_summary(
+        _silver_sales(spark, sf), _silver_customers_with_orphans(spark, sf), ordered=ordered
+    )
 
 
 def q_gold_sales_summary(spark, sf):
@@ -136,15 +138,15 @@ def q_gold_sales_summary(spark, sf):
 
 
 def q_dashboard_kpis(spark, sf):
-    return _cents(marts.dashboard_kpis(gold(spark, sf)), "total_revenue", "avg_ticket")
+    return _cents(marts.dashboard_kpis(gold(spark, sf, ordered=False)), "total_revenue", "avg_ticket")
 
 
 def q_revenue_by_region(spark, sf):
-    return _cents(marts.revenue_by_region(gold(spark, sf)), "total_revenue")
+    return _cents(marts.revenue_by_region(gold(spark, sf, ordered=False)), "total_revenue")
 
 
 def q_orders_by_region(spark, sf):
-    return marts.orders_by_region(gold(spark, sf))
+    return marts.orders_by_region(gold(spark, sf, ordered=False))
 
 
 def q_passthrough(spark, sf):

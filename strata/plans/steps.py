@@ -156,9 +156,15 @@ def _drop_staging(spark: SparkSession, staged: str, fmt: str) -> None:
     fs.delete(spark, staged if fmt == "snapshot" else staged.rsplit("/", 1)[0])
 
 
+# Versions of a snapshot table kept after a publish: the live one and the
+# one before it (a reader may still be scanning the previous version).
+SNAPSHOT_VERSIONS_KEPT = 2
+
+
 def _publish(spark: SparkSession, staged: str, target_path: str, fmt: str, run_id: str) -> None:
     if fmt == "snapshot":
         snapshot.publish(spark, target_path, run_id)
+        snapshot.vacuum(spark, target_path, keep=SNAPSHOT_VERSIONS_KEPT)
         return
     fs.delete(spark, target_path)
     fs.rename(spark, staged, target_path)

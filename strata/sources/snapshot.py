@@ -46,14 +46,23 @@ def read_snapshot(
     return reader.parquet(version_path(table_path, version))
 
 
-def vacuum(spark: SparkSession, table_path: str) -> None:
-    """Drop every version folder except the published one."""
+def vacuum(spark: SparkSession, table_path: str, keep: int = 1) -> list[str]:
+    """Drop old version folders; keep the published one and the ``keep - 1``
+    most recently written others (readers that resolved an older pointer
+    may still be scanning it). Returns the dropped version ids."""
     live = current_version(spark, table_path)
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/versions")
     hfs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not hfs.exists(root):
-        return
-    for status in hfs.listStatus(root):
-        if status.getPath().getName() != live:
-            hfs.delete(status.getPath(), True)
+        return []
+    others = sorted(
+        (st for st in hfs.listStatus(root) if st.getPath().getName() != live),
+        key=lambda st: st.getModificationTime(),
+        reverse=True,
+    )
+    dropped = []
+    for st in others[max(keep - 1, 0):]:
+        hfs.delete(st.getPath(), True)
+        dropped.append(st.getPath().getName())
+    return dropped

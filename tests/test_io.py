@@ -79,8 +79,10 @@ def test_snapshot_versions_and_pointer(spark, tmp_path):
     assert read_batch(spark, table, "snapshot").count() == 1  # r2 written, not yet live
     snapshot.publish(spark, table, "r2")
     assert read_batch(spark, table, "snapshot").count() == 2
-    snapshot.vacuum(spark, table)
+    assert snapshot.vacuum(spark, table, keep=2) == []
+    assert snapshot.vacuum(spark, table) == ["r1"]
     assert not fs.exists(spark, snapshot.version_path(table, "r1"))
+    assert read_batch(spark, table, "snapshot").count() == 2
 
 
 def test_read_or_empty(spark, tmp_path):

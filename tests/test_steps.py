@@ -122,6 +122,8 @@ def test_rerun_is_idempotent_and_other_dates_untouched(spark, lake):
     run_medallion(spark, lake, "2026-04-18")
     run_medallion(spark, lake, DATE)
     run_medallion(spark, lake, DATE)
+    versions = spark.sparkContext._jvm.java.io.File(lake.paths(DATE)["sales_silver"] + "/versions").list()
+    assert len(versions) == 2  # live version and the one before it
     bronze = read_table(spark, lake.table("bronze", "sales_erp"))
     counts = {str(r["dt"]): r["count"] for r in bronze.groupBy("dt").count().collect()}
     assert counts == {"2026-04-18": 300, DATE: 400}
