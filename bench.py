@@ -69,6 +69,10 @@ def _timed(fn) -> float:
     return round(time.perf_counter() - t0, 3)
 
 
+def _step_seconds(results) -> dict[str, float]:
+    return {r.step: round((r.finished_at - r.started_at).total_seconds(), 3) for r in results}
+
+
 def _noop(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -115,6 +119,7 @@ def main() -> None:
     sales_rows = next(r.rows_in for r in results if r.step == "stg_sales_bronze")
     extra["medallion_sales_rows"] = int(sales_rows)
     extra["medallion_rows_per_sec"] = round(sales_rows / max(times["medallion_run"], 1e-9))
+    extra["medallion_steps"] = _step_seconds(results)
 
     if CLEAN:
         clean = Lake(scratch_path(spark, "bench-clean"))
@@ -124,6 +129,7 @@ def main() -> None:
         extra["clean_sales_rows"] = generate.CLEAN_SALES
         extra["clean_rows_per_sec"] = round(generate.CLEAN_SALES / max(times["clean_medallion_run"], 1e-9))
         assert all(r.status == "success" for r in clean_results)
+        extra["clean_steps"] = _step_seconds(clean_results)
 
     # the bench's own lakes are not needed after timing
     fs.delete(spark, lake.root)

@@ -36,7 +36,15 @@ from strata.operators import generate, marts, transforms
 from strata.operators.gates import evaluate_suite
 from strata.operators.ingest import with_lineage
 from strata.plans import medallion
-from strata.plans.steps import Endpoint, GateFailed, Step, apply_transform, read_run_log, run_step
+from strata.plans.steps import (
+    Endpoint,
+    GateFailed,
+    Step,
+    apply_transform,
+    publish_batch,
+    read_run_log,
+    run_step,
+)
 from strata.session import scratch_path
 from strata.sources import snapshot
 from strata.sources.io import read_batch, read_table, write_batch  # noqa: F401 (read_batch re-used by tools)
@@ -187,17 +195,8 @@ def q_snapshot_publish(spark, sf):
 
 
 def _publish_batch(spark: SparkSession, df: DataFrame, root: str, date: str) -> None:
-    """Replace one ``dt=`` batch whole through a staged step (T11-safe)."""
-    lake = Lake(root)
-    src = scratch_path(spark, "batch_source")
-    write_batch(df, src, "parquet")
-    step = Step(
-        name="publish",
-        group="bronze",
-        source=Endpoint(src, "parquet"),
-        target=Endpoint("{{ root }}/{{ group }}/sales_erp/dt={{ execution_date }}", "parquet"),
-    )
-    run_step(spark, step, date, lake, record=False)
+    """Replace one ``dt=`` batch whole: staged write, then swap (T11-safe)."""
+    publish_batch(spark, df, partition_dir(Lake(root).table("bronze", "sales_erp"), date), "parquet")
 
 
 def q_partition_overwrite(spark, sf):

@@ -41,6 +41,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.expectations import ROWS, Expectation, Suite, metric_columns
@@ -171,6 +172,30 @@ def _publish(spark: SparkSession, staged: str, target_path: str, fmt: str, run_i
     _drop_staging(spark, staged, fmt)
 
 
+def publish_batch(
+    spark: SparkSession,
+    df: DataFrame,
+    target_path: str,
+    fmt: str = "parquet",
+    run_id: str | None = None,
+    options: Mapping[str, str] | None = None,
+) -> int:
+    """Replace the batch at ``target_path`` with ``df``: write to staging,
+    then swap in (a pointer swap for snapshot tables). Also replaces with
+    an empty batch. Returns the rows written (observed on the write)."""
+    fmt = table_format(spark, fmt)
+    run_id = run_id or uuid.uuid4().hex[:12]
+    staged = _staging_path(target_path, fmt, run_id)
+    obs = Observation(f"publish_{run_id}")
+    try:
+        write_batch(df.observe(obs, F.count(F.lit(1)).alias(ROWS)), staged, fmt, options=options)
+    except Exception:
+        _drop_staging(spark, staged, fmt)
+        raise
+    _publish(spark, staged, target_path, fmt, run_id)
+    return int(obs.get.get(ROWS) or 0)
+
+
 def _read_for_quarantine(spark: SparkSession, path: str, endpoint: Endpoint) -> DataFrame:
     """Read a batch so that it can always be copied: text formats as text."""
     fmt = table_format(spark, endpoint.format)

@@ -99,3 +99,15 @@ def test_partition_pruning_and_dt_column(spark, tmp_path):
     assert one.count() == 2 and one.schema["dt"].dataType == T.DateType()
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-02" in plan
+
+
+def test_publish_batch_replaces_whole_partition(spark, tmp_path):
+    from strata.plans.steps import publish_batch
+
+    target = str(tmp_path / "t" / "dt=2024-01-01")
+    df = spark.createDataFrame([(1,), (2,), (3,)], "v long")
+    assert publish_batch(spark, df, target) == 3
+    assert publish_batch(spark, df.where("v > 5"), target) == 0  # empty batch still replaces
+    assert spark.read.parquet(target).count() == 0
+    assert publish_batch(spark, df, str(tmp_path / "s"), "snapshot") == 3
+    assert read_batch(spark, str(tmp_path / "s"), "snapshot").count() == 3
