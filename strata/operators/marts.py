@@ -14,9 +14,12 @@ optimizer's size estimate:
   customer (or the NULL key of unmatched sales) collapses to a handful of
   rows in the map-side combine before any shuffle.
 
-Sums and counts are distributive and the average is carried as (sum,
-count), so both plans equal join-then-aggregate, including fan-out over
-duplicate customer rows and the NULL region of unmatched sales. Adaptive
+Customer rows are first counted per (customer_id, region): a customer id
+present k times joins once and scales its sums by k, which is what the
+k-fold fan-out of the plain left join adds up to, without emitting the
+pairs. Sums and counts are distributive and the average is carried as
+(sum, count), so both plans equal join-then-aggregate, including the fan-out
+over duplicate customer rows and the NULL region of unmatched sales. Adaptive
 execution may still turn the shuffle join into a broadcast at run time
 when the customers side turns out small.
 """
@@ -132,19 +135,21 @@ def sales_summary(
     cents, rounded half away from zero, so it is the same whatever the
     partitioning; a double average is not, at exact half-cent ties.
     """
-    regions = silver_customers.select(F.col("customer_id"), F.col("uf").alias("region"))
+    copies = region_copies(silver_customers)
     if strategy == "auto":
-        strategy = "broadcast" if fits_broadcast(regions) else "pre_aggregate"
+        strategy = "broadcast" if fits_broadcast(copies) else "pre_aggregate"
+    # unmatched sales (no customer row) count once, in the NULL region
+    m = F.coalesce(F.col("copies"), F.lit(1).cast(T.LongType()))
     if strategy == "broadcast":
         sales = silver_sales.select(
             "customer_id", "id", "price", month_start("sale_date").alias("sale_month")
         )
-        joined = sales.join(F.broadcast(regions), on="customer_id", how="left")
+        joined = sales.join(F.broadcast(copies), on="customer_id", how="left")
         grouped = joined.groupBy("region", "sale_month").agg(
-            F.sum("price").alias("total_revenue"),
-            F.count("id").alias("total_orders"),
-            F.count("price").alias("priced"),
-            F.sum(to_cents("price")).alias("cents"),
+            F.sum(F.col("price") * m).alias("total_revenue"),
+            F.sum(F.when(F.col("id").isNotNull(), m).otherwise(F.lit(0))).alias("total_orders"),
+            F.sum(F.when(F.col("price").isNotNull(), m).otherwise(F.lit(0))).alias("priced"),
+            F.sum(to_cents("price") * m).alias("cents"),
         )
         return _summary(grouped, ordered)
     if strategy != "pre_aggregate":
@@ -157,16 +162,29 @@ def sales_summary(
         F.count("price").alias("priced"),
         F.sum(to_cents("price")).alias("cents"),
     )
-    joined = per_customer_month.join(regions, on="customer_id", how="left")
+    joined = per_customer_month.join(copies, on="customer_id", how="left")
     grouped = joined.groupBy("region", "sale_month").agg(
-        F.sum("revenue").alias("total_revenue"),
-        F.sum("orders").alias("total_orders"),
-        F.sum("priced").alias("priced"),
-        F.sum("cents").alias("cents"),
+        F.sum(F.col("revenue") * m).alias("total_revenue"),
+        F.sum(F.col("orders") * m).alias("total_orders"),
+        F.sum(F.col("priced") * m).alias("priced"),
+        F.sum(F.col("cents") * m).alias("cents"),
     )
     return _summary(grouped, ordered)
 
 
+def region_copies(silver_customers: DataFrame) -> DataFrame:
+    """(customer_id, region, copies): how many customer rows carry each id
+    and region. A left join emits one row per copy; the mart only sums, so
+    it joins these counts once and scales each sum by ``copies`` instead of
+    emitting every (sale, copy) pair — a customer id repeated a million
+    times stays one row here. NULL ids never match and are left out."""
+    return (
+        silver_customers.where(F.col("customer_id").isNotNull())
+        .groupBy(F.col("customer_id"), F.col("uf").alias("region"))
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+
+
 def sales_summary_direct(silver_sales: DataFrame, silver_customers: DataFrame) -> DataFrame:
     """The same mart as the plain join-then-aggregate, kept as a
     brute-force check for the planned variants."""

@@ -212,3 +212,17 @@ def test_enrich_spreads_null_keys_over_partitions(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_mart_does_not_emit_pairs_for_copied_customers(spark):
+    """A customer id copied many times: the mart scales sums by the copy
+    count instead of joining every copy with every sale."""
+    sales = transforms.silver_sales(spark.createDataFrame([(i, 7, "a", 2.5, D1) for i in range(50)], SALES))
+    copies = transforms.silver_customers(spark.createDataFrame([(7, "n", "e", "c", "sp")] * 400, CUSTOMERS))
+    for strategy in ("broadcast", "pre_aggregate"):
+        df = marts.sales_summary(sales, copies, strategy)
+        row = df.collect()[0]
+        assert (row["total_orders"], row["total_revenue"], row["avg_ticket"]) == (20000, 50000.0, 2.5)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "copies" in plan
+    assert marts.enrich_sales(sales, copies).count() == 20000  # the row-level join is the pairs
