@@ -62,6 +62,26 @@ def mean_of_cents(total: str, cents: str, n: str) -> Column:
     return F.when(k > F.lit(0), F.when(passthrough, t / k.cast(T.DoubleType())).otherwise(exact))
 
 
+def integral_from_text(c: Column | str, dtype: T.DataType = T.LongType()) -> Column:
+    """Whole-number text to an integral type, strictly.
+
+    ``"52"`` and ``"52.0"`` (how float-typed writers print whole numbers)
+    both give 52; empty text is NULL; anything else (``"52.5"``, ``"abc"``)
+    fails the batch through the ANSI cast. Plain integers take the fast
+    path (one ``try_cast``).
+    """
+    text = F.trim(col(c).cast(T.StringType()))
+    direct = text.try_cast(dtype)
+    as_double = text.try_cast(T.DoubleType())
+    whole = as_double.isNotNull() & (as_double == F.floor(as_double)) & (F.abs(as_double) < F.lit(2.0**53))
+    return (
+        F.when(text.isNull() | (text == F.lit("")), F.lit(None).cast(dtype))
+        .when(direct.isNotNull(), direct)
+        .when(whole, as_double.cast(dtype))
+        .otherwise(text.cast(dtype))
+    )
+
+
 def month_start(c: Column | str) -> Column:
     """First day of the month as a DATE (timestamps are cast to date first)."""
     return F.trunc(col(c).cast(T.DateType()), "month")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.columns import integral_from_text
 from strata.sources import fs, snapshot
 
 FORMATS = ("csv", "json", "parquet", "snapshot", "delta")
@@ -73,13 +74,28 @@ def read_batch(
         # Columns are matched to the header by name, as text, then cast
         # strictly: a declared CSV schema would be applied by position.
         text = spark.read.options(**opts).csv(path)
-        cols = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]
+        cols = [_from_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields]
         if file_name_column:
             cols.append(F.col("_metadata.file_name").alias(file_name_column))
         return text.select(*cols)
     if fmt == "json":
         opts.setdefault("multiLine", "false")
         opts.setdefault("mode", "FAILFAST")
+        if schema is not None and any(_integral(f.dataType) for f in schema.fields):
+            # integral fields are read as their JSON text, so 1011.0 is accepted
+            as_text = T.StructType(
+                [T.StructField(f.name, T.StringType(), True) if _integral(f.dataType) else f for f in schema.fields]
+            )
+            raw = spark.read.schema(as_text).options(**opts).json(path)
+            cols = [
+                (_from_text(F.col(f"`{f.name}`"), f.dataType) if _integral(f.dataType) else F.col(f"`{f.name}`")).alias(
+                    f.name
+                )
+                for f in schema.fields
+            ]
+            if file_name_column:
+                cols.append(F.col("_metadata.file_name").alias(file_name_column))
+            return raw.select(*cols)
         df = reader.options(**opts).json(path)
     elif fmt == "delta":
         df = reader.options(**opts).format("delta").load(path)
@@ -88,6 +104,15 @@ def read_batch(
     return _with_file_name(df, file_name_column)
 
 
+def _integral(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
+
+
+def _from_text(c, dtype: T.DataType):
+    """Text to the declared type: whole numbers may carry a ``.0``."""
+    return integral_from_text(c, dtype) if _integral(dtype) else c.cast(dtype)
+
+
 def _with_file_name(df: DataFrame, column: str | None) -> DataFrame:
     return df.withColumn(column, F.col("_metadata.file_name")) if column else df
 

@@ -44,9 +44,9 @@ def test_json_layouts(spark, tmp_path):
     assert read_batch(spark, str(arr), "json", LANDING_CUSTOMERS, {"multiLine": "true"}).count() == 2
 
 
-def test_csv_failfast_on_bad_integer(spark, tmp_path):
+def test_csv_fails_on_non_integral_id_text(spark, tmp_path):
     p = tmp_path / "s.csv"
-    p.write_text("id,customer_id,price,product,date\n52.0,1,1.0,x,2024-01-01\n")
+    p.write_text("id,customer_id,price,product,date\nabc,1,1.0,x,2024-01-01\n")
     from strata.sources.schemas import LANDING_SALES
     with pytest.raises(Exception):
         read_batch(spark, str(p), "csv", LANDING_SALES).collect()
@@ -111,3 +111,20 @@ def test_publish_batch_replaces_whole_partition(spark, tmp_path):
     assert spark.read.parquet(target).count() == 0
     assert publish_batch(spark, df, str(tmp_path / "s"), "snapshot") == 3
     assert read_batch(spark, str(tmp_path / "s"), "snapshot").count() == 3
+
+
+def test_whole_number_ids_written_as_floats_are_accepted(spark, tmp_path):
+    from strata.sources.schemas import LANDING_SALES
+
+    j = tmp_path / "c.json"
+    j.write_text('{"id": 1011.0, "name": "a"}\n{"id": null, "name": "b"}\n{"id": 7, "name": "c"}\n')
+    ids = [r["id"] for r in read_batch(spark, str(j), "json", LANDING_CUSTOMERS).collect()]
+    assert ids == [1011, None, 7]
+    c = tmp_path / "s.csv"
+    c.write_text("id,customer_id,price,product,date\n52.0,1,1.5,x,2024-01-01\n,2.0,1.5,x,2024-01-01\n")
+    rows = read_batch(spark, str(c), "csv", LANDING_SALES).collect()
+    assert [(r["id"], r["customer_id"]) for r in rows] == [(52, 1), (None, 2)]
+    bad = tmp_path / "b.csv"
+    bad.write_text("id,customer_id,price,product,date\n52.5,1,1.5,x,2024-01-01\n")
+    with pytest.raises(Exception):
+        read_batch(spark, str(bad), "csv", LANDING_SALES).collect()
