@@ -232,3 +232,19 @@ def test_transform_that_ignores_its_source_does_not_hang(spark, lake):
     )
     res = run(spark, constant, lake)
     assert (res.status, res.rows_in, res.rows_out) == ("success", 20, 3)
+
+
+def test_float_printed_ids_reach_the_target_gate(spark, lake):
+    """Landing ids printed as floats with NULLs (a float-typed writer):
+    read exactly, so the bronze target gate sees 51 NULL ids."""
+    path = lake.paths(DATE)["sales_landing"]
+    fs.mkdirs(spark, path)
+    lines = ["id,customer_id,price,product,date"]
+    lines += [f"{'' if i <= 51 else f'{i}.0'},{1000 + i % 7},{10 + i}.25,Laptop,{DATE}" for i in range(1, 201)]
+    with open(path.replace("file:", "") + "/part-0.csv", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    with pytest.raises(GateFailed) as err:
+        run(spark, medallion.SALES_BRONZE, lake)
+    res = err.value.result
+    assert res.status == "target_fail" and res.rows_in == 200
+    assert res.gates[1].results[0]["unexpected_count"] == 51
