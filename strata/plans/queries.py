@@ -158,12 +158,20 @@ def q_orders_by_region(spark, sf):
 
 
 def q_passthrough(spark, sf):
-    return apply_transform(spark, None, {"source_data": table(spark, sf, "orders")})
+    """A step without a transform passes its source through unchanged."""
+    return apply_transform(spark, None, {"source_data": table(spark, sf, "customer")})
+
+
+# Fixed value: the bronze sales transform written as SQL text over the
+# bound source (a step may carry SQL text instead of a DataFrame function).
+BRONZE_SALES_SQL = (
+    "SELECT id, customer_id, product, CAST(price AS DOUBLE) AS price, CAST(date AS DATE) AS sale_date "
+    "FROM {source_data}"
+)
 
 
 def q_sql_transform(spark, sf):
-    text = "SELECT id, customer_id, product, price, date FROM {source_data} WHERE price > 0"
-    return apply_transform(spark, text, {"source_data": landing_sales(spark, sf)})
+    return apply_transform(spark, BRONZE_SALES_SQL, {"source_data": landing_sales(spark, sf)})
 
 
 def q_csv_roundtrip(spark, sf):
@@ -222,7 +230,7 @@ def q_partition_prune(spark, sf):
 
 
 def q_ingest_lineage(spark, sf):
-    return _drop_volatile(with_lineage(table(spark, sf, "orders"), "sales"))
+    return _drop_volatile(with_lineage(table(spark, sf, "customer"), "customers"))
 
 
 GATE_SUITE = Suite(
@@ -610,8 +618,8 @@ ORACLES: dict[str, str] = {
     "orders_by_region": (
         f"SELECT region, CAST(sum(total_orders) AS BIGINT) AS total_orders FROM ({GOLD}) GROUP BY region"
     ),
-    "passthrough": "SELECT * FROM orders",
-    "sql_transform": f"SELECT id, customer_id, product, price, date FROM ({LS}) WHERE price > 0",
+    "passthrough": "SELECT * FROM customer",
+    "sql_transform": BRONZE_S,
     "csv_roundtrip": BRONZE_S,
     "json_roundtrip": BRONZE_C,
     "parquet_roundtrip": SILVER_S,
@@ -621,7 +629,7 @@ ORACLES: dict[str, str] = {
         f"UNION ALL SELECT *, DATE '{BATCH_DATE}' AS dt FROM ({BRONZE_S})"
     ),
     "partition_prune": f"SELECT *, DATE '{BATCH_DATE}' AS dt FROM ({BRONZE_S})",
-    "ingest_lineage": "SELECT *, 'sales' AS _domain, 'orders.parquet' AS _source_file FROM orders",
+    "ingest_lineage": "SELECT *, 'customers' AS _domain, 'customer.parquet' AS _source_file FROM customer",
     "gate_not_null": _not_null_sql("check_stg_sales_bronze_target", "id", FS),
     "gate_match_regex": _regex_sql("check_stg_customers_bronze_target", "email", _PAT, FS),
     "gate_between": _between_sql("check_sales_silver_target", "price", _LO, _HI, FS),

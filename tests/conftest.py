@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from strata.session import build_session, shared_dir  # noqa: E402
 from strata.sources.paths import Lake  # noqa: E402
