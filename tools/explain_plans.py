@@ -23,8 +23,9 @@ from strata.plans.steps import apply_transform  # noqa: E402
 from strata.session import build_session  # noqa: E402
 
 NOTES = {
-    "gold_sales_summary (customers broadcast)": "customers side under the broadcast threshold: sales are joined "
-    "where they are read (no shuffle of sales), one small shuffle of partial (region, month) groups, "
+    "gold_sales_summary (customers broadcast)": "customers side under the broadcast threshold: customer rows "
+    "are counted per (customer_id, region) (a small shuffle of the dimension) and broadcast; sales are joined "
+    "where they are read (no shuffle of sales), then one small shuffle of partial (region, month) groups. "
     "`price > 0` in PushedFilters, ReadSchema has the 4 used columns of orders.",
     "gold_sales_summary (customers over the threshold)": "same mart with broadcasting disabled: partial "
     "aggregation per (customer_id, month) before the first exchange, so the shuffle join moves partial "
