@@ -75,6 +75,7 @@ class Step:
     source_expectations: tuple[Expectation, ...] = ()
     target_expectations: tuple[Expectation, ...] = ()
     depends_on: tuple[str, ...] = ()
+    transform_args: Mapping[str, object] = field(default_factory=dict)
 
     @property
     def source_suite(self) -> Suite:
@@ -123,11 +124,17 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
-def apply_transform(spark: SparkSession, transform: Transform, frames: Mapping[str, DataFrame]) -> DataFrame:
+def apply_transform(
+    spark: SparkSession,
+    transform: Transform,
+    frames: Mapping[str, DataFrame],
+    args: Mapping[str, object] | None = None,
+) -> DataFrame:
     """Run the step transform over the named source frames.
 
     SQL text may use ``{name}`` placeholders (bound as DataFrame arguments)
-    or the bare view name ``source_data`` for a single-source step.
+    or the bare view name ``source_data`` for a single-source step; scalar
+    values are bound as named parameters (``:name``) from ``args``.
     """
     if transform is None:
         if len(frames) != 1:
@@ -138,11 +145,12 @@ def apply_transform(spark: SparkSession, transform: Transform, frames: Mapping[s
             return transform(next(iter(frames.values())))
         return transform(**frames)
     text = str(transform)
+    params = dict(args) if args else None
     if "{" in text:
-        return spark.sql(text, **frames)
+        return spark.sql(text, args=params, **frames)
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
-    return spark.sql(text)
+    return spark.sql(text, args=params)
 
 
 def _staging_path(target_path: str, fmt: str, run_id: str) -> str:
@@ -356,7 +364,7 @@ def run_step(
         result.rows_in = _count_rows(frames)
 
     try:
-        out = apply_transform(spark, step.transform, observed)
+        out = apply_transform(spark, step.transform, observed, step.transform_args)
         plan = _physical_plan(out) if obs_in is not None else ""
         if obs_in is not None and ("Exchange" in plan or obs_in_name not in plan):
             # The source observation would sit in a shuffle map stage, which
@@ -372,7 +380,7 @@ def run_step(
                 result.gates.append(gate_in)
             else:
                 result.rows_in = _count_rows({primary: frames[primary]})
-            out = apply_transform(spark, step.transform, frames)
+            out = apply_transform(spark, step.transform, frames, step.transform_args)
         tgt_cols = metric_columns(tgt_suite, out.schema)
     except GateFailed:
         raise

@@ -248,3 +248,13 @@ def test_float_printed_ids_reach_the_target_gate(spark, lake):
     res = err.value.result
     assert res.status == "target_fail" and res.rows_in == 200
     assert res.gates[1].results[0]["unexpected_count"] == 51
+
+
+def test_sql_transform_with_bound_parameters(spark, lake):
+    generate.clean_batch(spark, lake, DATE, n_customers=20, n_sales=100)
+    step = Step(**{**medallion.SALES_BRONZE.__dict__,
+                   "transform": "SELECT id, customer_id, product, CAST(price AS DOUBLE) AS price, "
+                                "CAST(date AS DATE) AS sale_date FROM {source_data} "
+                                "WHERE id <= :last_id AND product <> :skip",
+                   "transform_args": {"last_id": 60, "skip": "none"}})
+    assert run(spark, step, lake).rows_out == 60
