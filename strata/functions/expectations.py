@@ -99,7 +99,10 @@ def row_count_between(min_value: int | None = None, max_value: int | None = None
     return Expectation(ROW_COUNT_BETWEEN, min_value=min_value, max_value=max_value)
 
 
-_KWARGS = {f.name for f in fields(Expectation)} - {"type"}
+_KWARGS = {f.name for f in fields(Expectation)} - {"type", "meta"}
+# Keyword arguments of the quality library that only shape
+# reports; kept in ``meta``, never change a verdict.
+REPORT_KWARGS = frozenset({"result_format", "catch_exceptions", "include_config", "description", "notes", "severity"})
 
 
 def from_spec(spec: Mapping[str, object], strict: bool = True) -> Expectation | None:
@@ -113,11 +116,12 @@ def from_spec(spec: Mapping[str, object], strict: bool = True) -> Expectation |
     kwargs = dict(spec.get("kwargs") or {})
     try:
         etype = CLASS_TO_TYPE.get(name, name)
+        meta = dict(spec.get("meta") or {})
+        meta.update({k: kwargs.pop(k) for k in list(kwargs) if k in REPORT_KWARGS})
         unknown = set(kwargs) - _KWARGS
         if unknown:
             raise TypeError(f"{name}: unexpected arguments {sorted(unknown)}")
-        meta = spec.get("meta") or {}
-        return Expectation(etype, meta=dict(meta), **kwargs)
+        return Expectation(etype, meta=meta, **kwargs)
     except (UnknownExpectation, TypeError) as err:
         if strict:
             raise

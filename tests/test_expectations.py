@@ -159,3 +159,11 @@ def test_driver_rule_equals_spark_rule(spark):
         spark_rows = [r.asDict() for r in results_from_metrics(
             spark.createDataFrame([tuple(counts[f.name] for f in schema.fields)], schema), suite).collect()]
         assert spark_rows == result_rows(suite, counts)
+
+
+def test_report_only_kwargs_are_kept_as_meta():
+    e = from_spec({"expectation": "ExpectColumnValuesToNotBeNull",
+                   "kwargs": {"column": "id", "result_format": "COMPLETE", "severity": "critical"}})
+    assert e == not_null("id") and e.meta == {"result_format": "COMPLETE", "severity": "critical"}
+    with pytest.raises(TypeError):
+        from_spec({"expectation": "ExpectColumnValuesToNotBeNull", "kwargs": {"column": "id", "row_condition": "x>1"}})
