@@ -6,6 +6,7 @@
     python -m jobs.run_medallion --root <lake> --date 2026-04-19 corrupt landing
     python -m jobs.run_medallion --root <lake> --date 2026-04-19 ingest
     python -m jobs.run_medallion --root <lake> --date 2026-04-19 dashboard
+    python -m jobs.run_medallion --root <lake> --date 2026-04-19 suites --out suites/
 
 The date is required: every batch is addressed by it. ``run`` stops at the
 first failed gate and exits with status 2; the batch is then in quarantine.
@@ -42,11 +43,17 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--steps", nargs="*", default=None, help="step names (default: all)")
     sub.add_parser("ingest", help="copy landing batches to Parquet with lineage columns")
     sub.add_parser("dashboard", help="print the KPIs of the date's mart")
+    x = sub.add_parser("suites", help="write the steps' expectation suites as JSON files")
+    x.add_argument("--out", required=True)
     return p
 
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
+    if args.job == "suites":
+        for path in medallion.export_suites(args.out):
+            print(path)
+        return 0
     spark = build_session(args.master, app_name=f"strata-{args.job}")
     lake = Lake(args.root)
     if args.job == "generate":

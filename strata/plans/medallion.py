@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.expectations import between, match_regex, not_null, row_count_between
+from strata.functions.expectations import Suite, between, match_regex, not_null, row_count_between
 from strata.operators import marts, transforms
 from strata.operators.ingest import with_lineage
 from strata.plans.steps import Endpoint, GateFailed, Step, StepResult, run_step
@@ -183,3 +183,40 @@ def dashboard(spark: SparkSession, lake: Lake, execution_date: str) -> dict[str,
         "preview": gold,
     }
 
+
+def suites(steps: Sequence[Step] = ALL_STEPS) -> dict[str, Suite]:
+    """Every non-empty suite of the steps, by name (``check_<step>_<side>``)."""
+    out: dict[str, Suite] = {}
+    for step in steps:
+        for suite in (step.source_suite, step.target_suite):
+            if suite:
+                out[suite.name] = suite
+    return out
+
+
+def export_suites(directory: str, steps: Sequence[Step] = ALL_STEPS) -> list[str]:
+    """Write each suite as ``<name>.json`` (the saved-suite shape)."""
+    import os
+
+    os.makedirs(directory, exist_ok=True)
+    paths = []
+    for name, suite in sorted(suites(steps).items()):
+        path = os.path.join(directory, f"{name}.json")
+        with open(path, "w", encoding="utf-8") as f:
+            f.write(suite.to_json() + "\n")
+        paths.append(path)
+    return paths
+
+
+def load_suites(directory: str, strict: bool = True) -> dict[str, Suite]:
+    """Read every ``*.json`` suite of a folder."""
+    import glob
+    import os
+
+    loaded = {}
+    for path in sorted(glob.glob(os.path.join(directory, "*.json"))):
+        with open(path, encoding="utf-8") as f:
+            suite = Suite.from_json(f.read(), strict=strict)
+        loaded[suite.name] = suite
+    return loaded
+

@@ -167,3 +167,20 @@ def test_report_only_kwargs_are_kept_as_meta():
     assert e == not_null("id") and e.meta == {"result_format": "COMPLETE", "severity": "critical"}
     with pytest.raises(TypeError):
         from_spec({"expectation": "ExpectColumnValuesToNotBeNull", "kwargs": {"column": "id", "row_condition": "x>1"}})
+
+
+def test_step_suites_export_and_load(tmp_path):
+    from strata.plans import medallion
+
+    named = medallion.suites()
+    assert sorted(named) == [
+        "check_customers_silver_target",
+        "check_sales_silver_target",
+        "check_stg_customers_bronze_source",
+        "check_stg_customers_bronze_target",
+        "check_stg_sales_bronze_source",
+        "check_stg_sales_bronze_target",
+    ]
+    assert sum(len(s.expectations) for s in named.values()) == 7
+    medallion.export_suites(str(tmp_path))
+    assert medallion.load_suites(str(tmp_path)) == named
