@@ -151,10 +151,11 @@ class Suite:
     def to_json(self) -> str:
         out = []
         for e in self.expectations:
+            defaults = {"strict_min": False, "strict_max": False, "mostly": 1.0}
             kwargs = {
                 k: getattr(e, k)
                 for k in ("column", "regex", "min_value", "max_value", "strict_min", "strict_max", "mostly")
-                if getattr(e, k) not in (None, False) and not (k == "mostly" and e.mostly == 1.0)
+                if getattr(e, k) is not None and not (k in defaults and getattr(e, k) == defaults[k])
             }
             out.append({"type": e.type, "kwargs": kwargs, "meta": dict(e.meta)})
         return json.dumps({"name": self.name, "expectations": out}, indent=2, sort_keys=True)
