@@ -175,12 +175,46 @@ def dirty_batch(
 # runs over ``spark.range`` (the stand-alone batches below) or over the keys
 # of any table.
 
-# The corrupt batches' key ranges (half-open) and literals.
+# The corrupt batches, per batch in column order — key range
+# (half-open), every-n-th-key rules, literal values.
 LANDING_SALES_KEYS = (1, 101)
+LANDING_SALES_NULL_ID_EVERY = 10
+LANDING_SALES_NEGATIVE_EVERY = 15
+LANDING_SALES_NEGATIVE_PRICE = -100.0
+LANDING_SALES_PRICE = 50.0
+LANDING_SALES_DATE = "2024-01-01"
+LANDING_SALES_CUSTOMER_ID = 1
+LANDING_SALES_PRODUCT = "Produto Corrompido"
+
 LANDING_CUSTOMERS_KEYS = (1, 51)
+LANDING_CUSTOMERS_EMAIL_PREFIX = "invalid-email-"
+LANDING_CUSTOMERS_NAME_PREFIX = "User "
+LANDING_CUSTOMERS_CITY = "São Paulo"
+LANDING_CUSTOMERS_STATE = "SP"
+
 BRONZE_SALES_KEYS = (1000, 1050)
+BRONZE_SALES_CUSTOMER_ID = 101
+BRONZE_SALES_NULL_PRODUCT_EVERY = 5
+BRONZE_SALES_PRODUCT = "Fake Product"
+BRONZE_SALES_PRICE = -10.5
+BRONZE_SALES_DATE = "1900-01-01"
+BRONZE_SALES_DOMAIN = "sales"
+BRONZE_SALES_SOURCE_FILE = "corrupted_ingest.csv"
+
 BRONZE_CUSTOMERS_KEYS = (2000, 2050)
+BRONZE_CUSTOMERS_NULL_ID_EVERY = 3
+BRONZE_CUSTOMERS_NAME = "Corrupted User"
+BRONZE_CUSTOMERS_EMAIL = "corrupted@mail.com"
+BRONZE_CUSTOMERS_CITY = "Rio de Janeiro"
+BRONZE_CUSTOMERS_STATE = "RJ"
+BRONZE_CUSTOMERS_DOMAIN = "customers"
+BRONZE_CUSTOMERS_SOURCE_FILE = "corrupted_ingest.json"
+
 SILVER_SALES_KEYS = (5000, 5010)
+SILVER_SALES_CUSTOMER_ID = 1
+SILVER_SALES_PRODUCT = "Silver Corruption"
+SILVER_SALES_PRICE = 999999.99
+SILVER_SALES_DATE = "2026-04-20"
 
 
 def _every(n: Column, k: int) -> Column:
@@ -191,43 +225,56 @@ def _null(dtype: T.DataType) -> Column:
     return F.lit(None).cast(dtype)
 
 
+def _long(value: int) -> Column:
+    return F.lit(value).cast(T.LongType())
+
+
+def _now(now: Column | None) -> Column:
+    return now if now is not None else F.current_timestamp()
+
+
 def corrupt_landing_sales(keys: DataFrame, n: str = "n") -> DataFrame:
-    """NULL id on every 10th key, price -100.0 on every 15th (else 50.0)."""
+    """NULL id on every 10th key, a negative price on every 15th."""
     k = F.col(n)
     return keys.select(
-        F.when(_every(k, 10), _null(T.LongType())).otherwise(k).alias("id"),
-        F.when(_every(k, 15), F.lit(-100.0)).otherwise(F.lit(50.0)).alias("price"),
-        F.lit("2024-01-01").alias("date"),
-        F.lit(1).cast(T.LongType()).alias("customer_id"),
-        F.lit("Produto Corrompido").alias("product"),
+        F.when(_every(k, LANDING_SALES_NULL_ID_EVERY), _null(T.LongType())).otherwise(k).alias("id"),
+        F.when(_every(k, LANDING_SALES_NEGATIVE_EVERY), F.lit(LANDING_SALES_NEGATIVE_PRICE))
+        .otherwise(F.lit(LANDING_SALES_PRICE))
+        .alias("price"),
+        F.lit(LANDING_SALES_DATE).alias("date"),
+        _long(LANDING_SALES_CUSTOMER_ID).alias("customer_id"),
+        F.lit(LANDING_SALES_PRODUCT).alias("product"),
     )
 
 
 def corrupt_landing_customers(keys: DataFrame, created_at: str, n: str = "n") -> DataFrame:
-    """Every email invalid: ``invalid-email-<n>``."""
+    """Every email invalid (no ``@``)."""
     k = F.col(n)
     return keys.select(
         k.alias("id"),
-        F.concat(F.lit("invalid-email-"), k.cast(T.StringType())).alias("email"),
-        F.concat(F.lit("User "), k.cast(T.StringType())).alias("name"),
-        F.lit("São Paulo").alias("city"),
-        F.lit("SP").alias("state"),
+        F.concat(F.lit(LANDING_CUSTOMERS_EMAIL_PREFIX), k.cast(T.StringType())).alias("email"),
+        F.concat(F.lit(LANDING_CUSTOMERS_NAME_PREFIX), k.cast(T.StringType())).alias("name"),
+        F.lit(LANDING_CUSTOMERS_CITY).alias("city"),
+        F.lit(LANDING_CUSTOMERS_STATE).alias("state"),
         F.lit(created_at).alias("created_at"),
     )
 
 
 def corrupt_bronze_sales(keys: DataFrame, n: str = "n", now: Column | None = None) -> DataFrame:
-    """Negative price -10.5, NULL product on every 5th key, date 1900-01-01."""
+    """Negative price on every row, NULL product on every 5th key, a date
+    long before any sale."""
     k = F.col(n)
     return keys.select(
         k.alias("id"),
-        F.lit(101).cast(T.LongType()).alias("customer_id"),
-        F.when(_every(k, 5), _null(T.StringType())).otherwise(F.lit("Fake Product")).alias("product"),
-        F.lit(-10.5).alias("price"),
-        F.lit("1900-01-01").cast(T.DateType()).alias("sale_date"),
-        (now if now is not None else F.current_timestamp()).alias("_ingested_at"),
-        F.lit("sales").alias("_domain"),
-        F.lit("corrupted_ingest.csv").alias("_source_file"),
+        _long(BRONZE_SALES_CUSTOMER_ID).alias("customer_id"),
+        F.when(_every(k, BRONZE_SALES_NULL_PRODUCT_EVERY), _null(T.StringType()))
+        .otherwise(F.lit(BRONZE_SALES_PRODUCT))
+        .alias("product"),
+        F.lit(BRONZE_SALES_PRICE).alias("price"),
+        F.lit(BRONZE_SALES_DATE).cast(T.DateType()).alias("sale_date"),
+        _now(now).alias("_ingested_at"),
+        F.lit(BRONZE_SALES_DOMAIN).alias("_domain"),
+        F.lit(BRONZE_SALES_SOURCE_FILE).alias("_source_file"),
     )
 
 
@@ -235,27 +282,27 @@ def corrupt_bronze_customers(keys: DataFrame, n: str = "n", now: Column | None =
     """NULL customer_id on every 3rd key."""
     k = F.col(n)
     return keys.select(
-        F.when(_every(k, 3), _null(T.LongType())).otherwise(k).alias("customer_id"),
-        F.lit("Corrupted User").alias("name"),
-        F.lit("corrupted@mail.com").alias("email"),
-        F.lit("Rio de Janeiro").alias("city"),
-        F.lit("RJ").alias("state"),
-        (now if now is not None else F.current_timestamp()).alias("_ingested_at"),
-        F.lit("customers").alias("_domain"),
-        F.lit("corrupted_ingest.json").alias("_source_file"),
+        F.when(_every(k, BRONZE_CUSTOMERS_NULL_ID_EVERY), _null(T.LongType())).otherwise(k).alias("customer_id"),
+        F.lit(BRONZE_CUSTOMERS_NAME).alias("name"),
+        F.lit(BRONZE_CUSTOMERS_EMAIL).alias("email"),
+        F.lit(BRONZE_CUSTOMERS_CITY).alias("city"),
+        F.lit(BRONZE_CUSTOMERS_STATE).alias("state"),
+        _now(now).alias("_ingested_at"),
+        F.lit(BRONZE_CUSTOMERS_DOMAIN).alias("_domain"),
+        F.lit(BRONZE_CUSTOMERS_SOURCE_FILE).alias("_source_file"),
     )
 
 
 def corrupt_silver_sales(keys: DataFrame, n: str = "n", now: Column | None = None) -> DataFrame:
-    """Price 999999.99, far over the silver price bound."""
+    """A price far over the silver price bound."""
     k = F.col(n)
     return keys.select(
         k.alias("id"),
-        F.lit(1).cast(T.LongType()).alias("customer_id"),
-        F.lit("Silver Corruption").alias("product"),
-        F.lit(999999.99).alias("price"),
-        F.lit("2026-04-20").cast(T.DateType()).alias("sale_date"),
-        (now if now is not None else F.current_timestamp()).alias("_processed_at"),
+        _long(SILVER_SALES_CUSTOMER_ID).alias("customer_id"),
+        F.lit(SILVER_SALES_PRODUCT).alias("product"),
+        F.lit(SILVER_SALES_PRICE).alias("price"),
+        F.lit(SILVER_SALES_DATE).cast(T.DateType()).alias("sale_date"),
+        _now(now).alias("_processed_at"),
     )
 
 

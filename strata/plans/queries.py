@@ -57,6 +57,12 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 # Batch dates used by the sink queries.
 BATCH_DATE = "2026-04-19"
 OTHER_DATES = ("2026-04-17", "2026-04-18")
+# Fixed value: every 3rd order of the faulty batch carries an invalid email.
+INVALID_EMAIL_EVERY = 3
+
+_NULL_ID = generate.LANDING_SALES_NULL_ID_EVERY
+_NEGATIVE = generate.LANDING_SALES_NEGATIVE_EVERY
+_ORPHAN = generate.BRONZE_CUSTOMERS_NULL_ID_EVERY
 
 # --- Spark side -------------------------------------------------------------
 
@@ -86,7 +92,7 @@ def _silver_customers_with_orphans(spark: SparkSession, sf: str) -> DataFrame:
     df = _silver_customers(spark, sf)
     return df.withColumn(
         "customer_id",
-        F.when(every("customer_id", 3), F.lit(None).cast(T.LongType())).otherwise(F.col("customer_id")),
+        F.when(every("customer_id", _ORPHAN), F.lit(None).cast(T.LongType())).otherwise(F.col("customer_id")),
     )
 
 
@@ -96,12 +102,12 @@ def faulty_sales(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
     k = F.col("o_orderkey")
     return o.select(
-        F.when(every(k, 10), F.lit(None).cast(T.LongType())).otherwise(k).alias("id"),
+        F.when(every(k, _NULL_ID), F.lit(None).cast(T.LongType())).otherwise(k).alias("id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderpriority").alias("product"),
-        F.when(every(k, 15), -F.col("o_totalprice")).otherwise(F.col("o_totalprice")).alias("price"),
+        F.when(every(k, _NEGATIVE), -F.col("o_totalprice")).otherwise(F.col("o_totalprice")).alias("price"),
         F.col("o_orderdate").alias("date"),
-        F.when(every(k, 3), F.concat(F.lit("invalid-email-"), k.cast(T.StringType())))
+        F.when(every(k, INVALID_EMAIL_EVERY), F.concat(F.lit(generate.LANDING_CUSTOMERS_EMAIL_PREFIX), k.cast(T.StringType())))
         .otherwise(F.lit("ok@mail.com"))
         .alias("email"),
     )
@@ -354,7 +360,7 @@ def q_quarantine_source(spark, sf):
     """Customers landing with every 3rd id NULL: the bronze source gate
     fails and the raw landing batch (as text) is quarantined."""
     faulty = landing_customers(spark, sf).withColumn(
-        "id", F.when(every("id", 3), F.lit(None).cast(T.LongType())).otherwise(F.col("id"))
+        "id", F.when(every("id", _ORPHAN), F.lit(None).cast(T.LongType())).otherwise(F.col("id"))
     )
     lake = _landing_lake(spark, sf, customers=faulty)
     try:
@@ -508,7 +514,7 @@ BRONZE_C = f"SELECT id AS customer_id, name, email, city, state FROM ({LC})"
 SILVER_S = f"SELECT *, price * CAST(0.9 AS DOUBLE) AS price_with_discount FROM ({BRONZE_S}) WHERE price > 0"
 SILVER_C = f"SELECT *, upper(state) AS uf FROM ({BRONZE_C})"
 SILVER_C_ORPHANS = (
-    "SELECT CASE WHEN customer_id % 3 = 0 THEN NULL ELSE customer_id END AS customer_id, "
+    f"SELECT CASE WHEN customer_id % {_ORPHAN} = 0 THEN NULL ELSE customer_id END AS customer_id, "
     f"name, email, city, state, uf FROM ({SILVER_C})"
 )
 ENRICHED = (
@@ -523,10 +529,11 @@ GOLD = (
     "GROUP BY region, sale_month"
 )
 FS = (
-    "SELECT CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderkey END AS id, o_custkey AS customer_id, "
+    f"SELECT CASE WHEN o_orderkey % {_NULL_ID} = 0 THEN NULL ELSE o_orderkey END AS id, o_custkey AS customer_id, "
     "o_orderpriority AS product, "
-    "CASE WHEN o_orderkey % 15 = 0 THEN -o_totalprice ELSE o_totalprice END AS price, o_orderdate AS date, "
-    "CASE WHEN o_orderkey % 3 = 0 THEN concat('invalid-email-', CAST(o_orderkey AS VARCHAR)) "
+    f"CASE WHEN o_orderkey % {_NEGATIVE} = 0 THEN -o_totalprice ELSE o_totalprice END AS price, o_orderdate AS date, "
+    f"CASE WHEN o_orderkey % {INVALID_EMAIL_EVERY} = 0 "
+    f"THEN concat('{generate.LANDING_CUSTOMERS_EMAIL_PREFIX}', CAST(o_orderkey AS VARCHAR)) "
     "ELSE 'ok@mail.com' END AS email FROM orders"
 )
 
@@ -597,6 +604,12 @@ def _sales_invariants_sql(src_index: str, n_customers: int, null_first: int | No
     )
 
 
+def _sql(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("'", "''") + "'"
+
+
+G = generate
 ORDER_INDEX = "SELECT o_orderkey + 1 AS i FROM orders"
 CUSTOMER_INDEX = "SELECT c_custkey + 1 AS i FROM customer"
 
@@ -652,7 +665,7 @@ ORACLES: dict[str, str] = {
         f"SELECT *, DATE '{BATCH_DATE}' AS dt, 'target_fail_stg_sales_bronze' AS reason FROM ({BRONZE_FS})"
     ),
     "quarantine_source": (
-        "SELECT CAST(CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_custkey END AS VARCHAR) AS id, "
+        f"SELECT CAST(CASE WHEN c_custkey % {_ORPHAN} = 0 THEN NULL ELSE c_custkey END AS VARCHAR) AS id, "
         "c_name AS name, concat(lower(c_name), '@example.com') AS email, CAST(c_nationkey AS VARCHAR) AS city, "
         f"lower(c_mktsegment) AS state, CAST(NULL AS VARCHAR) AS created_at, DATE '{BATCH_DATE}' AS dt, "
         "'source_fail_stg_customers_bronze' AS reason FROM customer"
@@ -671,29 +684,36 @@ ORACLES: dict[str, str] = {
         f"count(*) FILTER (WHERE price IS NULL OR NOT price > 0) AS rows_dropped FROM ({FS})"
     ),
     "fault_landing_sales": (
-        "SELECT CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderkey END AS id, "
-        "CASE WHEN o_orderkey % 15 = 0 THEN CAST(-100.0 AS DOUBLE) ELSE CAST(50.0 AS DOUBLE) END AS price, "
-        "'2024-01-01' AS date, CAST(1 AS BIGINT) AS customer_id, 'Produto Corrompido' AS product FROM orders"
+        f"SELECT CASE WHEN o_orderkey % {G.LANDING_SALES_NULL_ID_EVERY} = 0 THEN NULL ELSE o_orderkey END AS id, "
+        f"CASE WHEN o_orderkey % {G.LANDING_SALES_NEGATIVE_EVERY} = 0 "
+        f"THEN CAST({G.LANDING_SALES_NEGATIVE_PRICE} AS DOUBLE) ELSE CAST({G.LANDING_SALES_PRICE} AS DOUBLE) END "
+        f"AS price, {_sql(G.LANDING_SALES_DATE)} AS date, CAST({G.LANDING_SALES_CUSTOMER_ID} AS BIGINT) "
+        f"AS customer_id, {_sql(G.LANDING_SALES_PRODUCT)} AS product FROM orders"
     ),
     "fault_landing_customers": (
-        "SELECT c_custkey AS id, 'invalid-email-' || CAST(c_custkey AS VARCHAR) AS email, "
-        "'User ' || CAST(c_custkey AS VARCHAR) AS name, 'São Paulo' AS city, 'SP' AS state, "
-        f"'{BATCH_DATE}' AS created_at FROM customer"
+        f"SELECT c_custkey AS id, {_sql(G.LANDING_CUSTOMERS_EMAIL_PREFIX)} || CAST(c_custkey AS VARCHAR) AS email, "
+        f"{_sql(G.LANDING_CUSTOMERS_NAME_PREFIX)} || CAST(c_custkey AS VARCHAR) AS name, "
+        f"{_sql(G.LANDING_CUSTOMERS_CITY)} AS city, {_sql(G.LANDING_CUSTOMERS_STATE)} AS state, "
+        f"{_sql(BATCH_DATE)} AS created_at FROM customer"
     ),
     "fault_bronze_sales": (
-        "SELECT o_orderkey AS id, CAST(101 AS BIGINT) AS customer_id, "
-        "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'Fake Product' END AS product, "
-        "CAST(-10.5 AS DOUBLE) AS price, CAST('1900-01-01' AS DATE) AS sale_date, "
-        "'sales' AS _domain, 'corrupted_ingest.csv' AS _source_file FROM orders"
+        f"SELECT o_orderkey AS id, CAST({G.BRONZE_SALES_CUSTOMER_ID} AS BIGINT) AS customer_id, "
+        f"CASE WHEN o_orderkey % {G.BRONZE_SALES_NULL_PRODUCT_EVERY} = 0 THEN NULL "
+        f"ELSE {_sql(G.BRONZE_SALES_PRODUCT)} END AS product, "
+        f"CAST({G.BRONZE_SALES_PRICE} AS DOUBLE) AS price, CAST({_sql(G.BRONZE_SALES_DATE)} AS DATE) AS sale_date, "
+        f"{_sql(G.BRONZE_SALES_DOMAIN)} AS _domain, {_sql(G.BRONZE_SALES_SOURCE_FILE)} AS _source_file FROM orders"
     ),
     "fault_bronze_customers": (
-        "SELECT CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_custkey END AS customer_id, "
-        "'Corrupted User' AS name, 'corrupted@mail.com' AS email, 'Rio de Janeiro' AS city, 'RJ' AS state, "
-        "'customers' AS _domain, 'corrupted_ingest.json' AS _source_file FROM customer"
+        f"SELECT CASE WHEN c_custkey % {G.BRONZE_CUSTOMERS_NULL_ID_EVERY} = 0 THEN NULL ELSE c_custkey END "
+        f"AS customer_id, {_sql(G.BRONZE_CUSTOMERS_NAME)} AS name, {_sql(G.BRONZE_CUSTOMERS_EMAIL)} AS email, "
+        f"{_sql(G.BRONZE_CUSTOMERS_CITY)} AS city, {_sql(G.BRONZE_CUSTOMERS_STATE)} AS state, "
+        f"{_sql(G.BRONZE_CUSTOMERS_DOMAIN)} AS _domain, {_sql(G.BRONZE_CUSTOMERS_SOURCE_FILE)} AS _source_file "
+        "FROM customer"
     ),
     "fault_silver_sales": (
-        "SELECT o_orderkey AS id, CAST(1 AS BIGINT) AS customer_id, 'Silver Corruption' AS product, "
-        "CAST(999999.99 AS DOUBLE) AS price, CAST('2026-04-20' AS DATE) AS sale_date FROM orders"
+        f"SELECT o_orderkey AS id, CAST({G.SILVER_SALES_CUSTOMER_ID} AS BIGINT) AS customer_id, "
+        f"{_sql(G.SILVER_SALES_PRODUCT)} AS product, CAST({G.SILVER_SALES_PRICE} AS DOUBLE) AS price, "
+        f"CAST({_sql(G.SILVER_SALES_DATE)} AS DATE) AS sale_date FROM orders"
     ),
     "gen_customers": (
         "SELECT count(*) AS n, min(i) + 1000 AS min_id, max(i) + 1000 AS max_id, count(*) AS named, "
