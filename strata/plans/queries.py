@@ -716,13 +716,14 @@ ORACLES: dict[str, str] = {
         f"CAST({_sql(G.SILVER_SALES_DATE)} AS DATE) AS sale_date FROM orders"
     ),
     "gen_customers": (
-        "SELECT count(*) AS n, min(i) + 1000 AS min_id, max(i) + 1000 AS max_id, count(*) AS named, "
+        f"SELECT count(*) AS n, min(i) + {G.FIRST_CUSTOMER_ID - 1} AS min_id, "
+        f"max(i) + {G.FIRST_CUSTOMER_ID - 1} AS max_id, count(*) AS named, "
         f"count(*) AS emailed, count(*) AS city_ok, count(*) AS state_ok FROM ({CUSTOMER_INDEX})"
     ),
     "gen_sales": _sales_invariants_sql(ORDER_INDEX, generate.CLEAN_CUSTOMERS, None),
     "gen_dirty_sales": _sales_invariants_sql(ORDER_INDEX, generate.DIRTY_CUSTOMERS, generate.DIRTY_NULL_SALE_IDS),
     "gen_dirty_customers": (
         f"SELECT count(*) AS n, count(*) FILTER (WHERE i <= {generate.DIRTY_NULL_CUSTOMER_IDS}) AS null_ids, "
-        f"max(i) + 1000 AS max_id FROM ({CUSTOMER_INDEX})"
+        f"max(i) + {G.FIRST_CUSTOMER_ID - 1} AS max_id FROM ({CUSTOMER_INDEX})"
     ),
 }
