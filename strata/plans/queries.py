@@ -121,23 +121,23 @@ def _cents(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: round_half_away(c, 2) for c in cols})
 
 
-def q_bronze_sales(spark, sf):
+def q_bronze_sales(spark: SparkSession, sf: str) -> DataFrame:
     return _bronze_sales(spark, sf)
 
 
-def q_bronze_customers(spark, sf):
+def q_bronze_customers(spark: SparkSession, sf: str) -> DataFrame:
     return _bronze_customers(spark, sf)
 
 
-def q_silver_sales(spark, sf):
+def q_silver_sales(spark: SparkSession, sf: str) -> DataFrame:
     return _drop_volatile(_silver_sales(spark, sf))
 
 
-def q_silver_customers(spark, sf):
+def q_silver_customers(spark: SparkSession, sf: str) -> DataFrame:
     return _drop_volatile(_silver_customers(spark, sf))
 
 
-def q_gold_enriched_sales(spark, sf):
+def q_gold_enriched_sales(spark: SparkSession, sf: str) -> DataFrame:
     return marts.enrich_sales(_silver_sales(spark, sf), _silver_customers_with_orphans(spark, sf))
 
 
@@ -147,23 +147,23 @@ def gold(spark: SparkSession, sf: str, ordered: bool = True) -> DataFrame:
     )
 
 
-def q_gold_sales_summary(spark, sf):
+def q_gold_sales_summary(spark: SparkSession, sf: str) -> DataFrame:
     return _cents(gold(spark, sf), "total_revenue")
 
 
-def q_dashboard_kpis(spark, sf):
+def q_dashboard_kpis(spark: SparkSession, sf: str) -> DataFrame:
     return _cents(marts.dashboard_kpis(gold(spark, sf, ordered=False)), "total_revenue", "avg_ticket")
 
 
-def q_revenue_by_region(spark, sf):
+def q_revenue_by_region(spark: SparkSession, sf: str) -> DataFrame:
     return _cents(marts.revenue_by_region(gold(spark, sf, ordered=False)), "total_revenue")
 
 
-def q_orders_by_region(spark, sf):
+def q_orders_by_region(spark: SparkSession, sf: str) -> DataFrame:
     return marts.orders_by_region(gold(spark, sf, ordered=False))
 
 
-def q_passthrough(spark, sf):
+def q_passthrough(spark: SparkSession, sf: str) -> DataFrame:
     """A step without a transform passes its source through unchanged."""
     return apply_transform(spark, None, {"source_data": table(spark, sf, "customer")})
 
@@ -176,29 +176,29 @@ BRONZE_SALES_SQL = (
 )
 
 
-def q_sql_transform(spark, sf):
+def q_sql_transform(spark: SparkSession, sf: str) -> DataFrame:
     return apply_transform(spark, BRONZE_SALES_SQL, {"source_data": landing_sales(spark, sf)})
 
 
-def q_csv_roundtrip(spark, sf):
+def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "csv_roundtrip")
     write_batch(_bronze_sales(spark, sf), path, "csv")
     return read_batch(spark, path, "csv", BRONZE_SALES)
 
 
-def q_json_roundtrip(spark, sf):
+def q_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "json_roundtrip")
     write_batch(_bronze_customers(spark, sf), path, "json")
     return read_batch(spark, path, "json", BRONZE_CUSTOMERS)
 
 
-def q_parquet_roundtrip(spark, sf):
+def q_parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "parquet_roundtrip")
     write_batch(q_silver_sales(spark, sf), path, "parquet")
     return read_batch(spark, path, "parquet")
 
 
-def q_snapshot_publish(spark, sf):
+def q_snapshot_publish(spark: SparkSession, sf: str) -> DataFrame:
     """Two versions written, the second published: readers see only it."""
     table_path = scratch_path(spark, "snapshot")
     write_batch(_bronze_customers(spark, sf), snapshot.version_path(table_path, "v1"), "parquet")
@@ -213,7 +213,7 @@ def _publish_batch(spark: SparkSession, df: DataFrame, root: str, date: str) ->
     publish_batch(spark, df, partition_dir(Lake(root).table("bronze", "sales_erp"), date), "parquet")
 
 
-def q_partition_overwrite(spark, sf):
+def q_partition_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     """Dates d1, d2 written; d2 rewritten with an empty batch; d3 written
     twice. The table holds d1 and d3 once each, d2 is empty."""
     root = scratch_path(spark, "lake")
@@ -227,7 +227,7 @@ def q_partition_overwrite(spark, sf):
     return read_table(spark, Lake(root).table("bronze", "sales_erp"), "parquet")
 
 
-def q_partition_prune(spark, sf):
+def q_partition_prune(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "lake")
     bronze = _bronze_sales(spark, sf)
     for d in (OTHER_DATES[1], BATCH_DATE):
@@ -235,7 +235,7 @@ def q_partition_prune(spark, sf):
     return read_table(spark, Lake(root).table("bronze", "sales_erp"), "parquet", execution_date=BATCH_DATE)
 
 
-def q_ingest_lineage(spark, sf):
+def q_ingest_lineage(spark: SparkSession, sf: str) -> DataFrame:
     return _drop_volatile(with_lineage(table(spark, sf, "customer"), "customers"))
 
 
@@ -251,21 +251,21 @@ GATE_SUITE = Suite(
 )
 
 
-def q_gate_not_null(spark, sf):
+def q_gate_not_null(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate_suite(faulty_sales(spark, sf), Suite("check_stg_sales_bronze_target", (not_null("id"),)))
 
 
-def q_gate_match_regex(spark, sf):
+def q_gate_match_regex(spark: SparkSession, sf: str) -> DataFrame:
     suite = Suite("check_stg_customers_bronze_target", (match_regex("email", medallion.EMAIL_PATTERN),))
     return evaluate_suite(faulty_sales(spark, sf), suite)
 
 
-def q_gate_between(spark, sf):
+def q_gate_between(spark: SparkSession, sf: str) -> DataFrame:
     suite = Suite("check_sales_silver_target", (between("price", *medallion.PRICE_BOUNDS),))
     return evaluate_suite(faulty_sales(spark, sf), suite)
 
 
-def q_gate_row_count(spark, sf):
+def q_gate_row_count(spark: SparkSession, sf: str) -> DataFrame:
     suite = Suite("check_stg_sales_bronze_source", (row_count_between(1, medallion.MAX_SALES_BATCH_ROWS),))
     return evaluate_suite(faulty_sales(spark, sf), suite)
 
@@ -275,13 +275,13 @@ def refund_batch(spark: SparkSession, sf: str) -> DataFrame:
     return _bronze_sales(spark, sf).withColumn("price", -F.col("price"))
 
 
-def q_gate_empty(spark, sf):
+def q_gate_empty(spark: SparkSession, sf: str) -> DataFrame:
     silver = transforms.silver_sales(refund_batch(spark, sf))
     suite = Suite("check_sales_silver_target", (between("price", *medallion.PRICE_BOUNDS), not_null("id")))
     return evaluate_suite(silver, suite)
 
 
-def q_gate_suite(spark, sf):
+def q_gate_suite(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate_suite(faulty_sales(spark, sf), GATE_SUITE)
 
 
@@ -292,7 +292,7 @@ def _faulty_landing_lake(spark: SparkSession, sf: str) -> Lake:
     return lake
 
 
-def q_quarantine_batch(spark, sf):
+def q_quarantine_batch(spark: SparkSession, sf: str) -> DataFrame:
     """The bronze sales step over the faulty batch: its target gate fails
     (NULL ids), the staged batch moves to quarantine, nothing publishes."""
     lake = _faulty_landing_lake(spark, sf)
@@ -312,7 +312,7 @@ def q_quarantine_batch(spark, sf):
     return read_table(spark, lake.quarantine_root, "parquet", execution_date=BATCH_DATE)
 
 
-def q_run_metrics(spark, sf):
+def q_run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """The silver sales step over the faulty batch: rows in, out, dropped,
     read back from the run log the step appended."""
     lake = _faulty_landing_lake(spark, sf)
@@ -349,14 +349,14 @@ def _landing_lake(spark: SparkSession, sf: str, customers: DataFrame | None = No
     return lake
 
 
-def q_medallion_gold(spark, sf):
+def q_medallion_gold(spark: SparkSession, sf: str) -> DataFrame:
     """Landing files -> every gated step -> the published gold mart."""
     lake = _landing_lake(spark, sf)
     medallion.run_medallion(spark, lake, BATCH_DATE, medallion.build_steps(price_bounds=ORDER_PRICE_BOUNDS))
     return _cents(medallion.read_gold(spark, lake, BATCH_DATE), "total_revenue")
 
 
-def q_quarantine_source(spark, sf):
+def q_quarantine_source(spark: SparkSession, sf: str) -> DataFrame:
     """Customers landing with every 3rd id NULL: the bronze source gate
     fails and the raw landing batch (as text) is quarantined."""
     faulty = landing_customers(spark, sf).withColumn(
@@ -370,31 +370,31 @@ def q_quarantine_source(spark, sf):
     return read_table(spark, lake.quarantine_root, "parquet", execution_date=BATCH_DATE)
 
 
-def _order_keys(spark, sf):
+def _order_keys(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(F.col("o_orderkey").alias("n"))
 
 
-def _customer_keys(spark, sf):
+def _customer_keys(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select(F.col("c_custkey").alias("n"))
 
 
-def q_fault_landing_sales(spark, sf):
+def q_fault_landing_sales(spark: SparkSession, sf: str) -> DataFrame:
     return generate.corrupt_landing_sales(_order_keys(spark, sf))
 
 
-def q_fault_landing_customers(spark, sf):
+def q_fault_landing_customers(spark: SparkSession, sf: str) -> DataFrame:
     return generate.corrupt_landing_customers(_customer_keys(spark, sf), BATCH_DATE)
 
 
-def q_fault_bronze_sales(spark, sf):
+def q_fault_bronze_sales(spark: SparkSession, sf: str) -> DataFrame:
     return _drop_volatile(generate.corrupt_bronze_sales(_order_keys(spark, sf)))
 
 
-def q_fault_bronze_customers(spark, sf):
+def q_fault_bronze_customers(spark: SparkSession, sf: str) -> DataFrame:
     return _drop_volatile(generate.corrupt_bronze_customers(_customer_keys(spark, sf)))
 
 
-def q_fault_silver_sales(spark, sf):
+def q_fault_silver_sales(spark: SparkSession, sf: str) -> DataFrame:
     return _drop_volatile(generate.corrupt_silver_sales(_order_keys(spark, sf)))
 
 
@@ -402,7 +402,7 @@ def _index_from(df: DataFrame, key: str) -> DataFrame:
     return df.select((F.col(key) + F.lit(1)).alias("i"))
 
 
-def q_gen_customers(spark, sf):
+def q_gen_customers(spark: SparkSession, sf: str) -> DataFrame:
     c = generate.customers_from_index(_index_from(table(spark, sf, "customer"), "c_custkey"))
     i = (F.col("id") - F.lit(generate.FIRST_CUSTOMER_ID - 1)).cast(T.StringType())
     return c.agg(
@@ -430,7 +430,7 @@ def _sales_invariants(s: DataFrame, n_customers: int, low: float, high: float) -
     )
 
 
-def q_gen_sales(spark, sf):
+def q_gen_sales(spark: SparkSession, sf: str) -> DataFrame:
     s = generate.sales_from_index(
         _index_from(table(spark, sf, "orders"), "o_orderkey"),
         generate.CLEAN_CUSTOMERS,
@@ -440,14 +440,14 @@ def q_gen_sales(spark, sf):
     return _sales_invariants(s, generate.CLEAN_CUSTOMERS, *generate.CLEAN_PRICE_RANGE)
 
 
-def q_gen_dirty_sales(spark, sf):
+def q_gen_dirty_sales(spark: SparkSession, sf: str) -> DataFrame:
     s = generate.dirty_sales_from_index(
         _index_from(table(spark, sf, "orders"), "o_orderkey"), generate.DIRTY_CUSTOMERS, BATCH_DATE
     )
     return _sales_invariants(s, generate.DIRTY_CUSTOMERS, *generate.DIRTY_PRICE_RANGE)
 
 
-def q_gen_dirty_customers(spark, sf):
+def q_gen_dirty_customers(spark: SparkSession, sf: str) -> DataFrame:
     c = generate.dirty_customers_from_index(_index_from(table(spark, sf, "customer"), "c_custkey"))
     return c.agg(
         F.count(F.lit(1)).alias("n"),
