@@ -72,8 +72,13 @@ def read_batch(
             opts.setdefault("inferSchema", "true")
             return _with_file_name(reader.options(**opts).csv(path), file_name_column)
         # Columns are matched to the header by name, as text, then cast
-        # strictly: a declared CSV schema would be applied by position.
-        text = spark.read.options(**opts).csv(path)
+        # strictly: a declared CSV schema would be applied by position. The
+        # header of the first file names the columns; every other file's
+        # header is checked against it (enforceSchema off), so files written
+        # with another column order fail instead of being misread.
+        names = spark.read.options(**opts).csv(path).columns
+        as_text = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+        text = spark.read.schema(as_text).options(**{**opts, "enforceSchema": "false"}).csv(path)
         cols = [_from_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields]
         if file_name_column:
             cols.append(F.col("_metadata.file_name").alias(file_name_column))

@@ -128,3 +128,16 @@ def test_whole_number_ids_written_as_floats_are_accepted(spark, tmp_path):
     bad.write_text("id,customer_id,price,product,date\n52.5,1,1.5,x,2024-01-01\n")
     with pytest.raises(Exception):
         read_batch(spark, str(bad), "csv", LANDING_SALES).collect()
+
+
+def test_csv_files_with_another_column_order_fail(spark, tmp_path):
+    from strata.sources.schemas import LANDING_SALES
+
+    d = tmp_path / "batch"
+    d.mkdir()
+    (d / "a.csv").write_text("id,customer_id,price,product,date\n1,5,1.5,x,2024-01-01\n")
+    (d / "b.csv").write_text("id,price,date,customer_id,product\n2,2.5,2024-01-01,6,y\n")
+    with pytest.raises(Exception):
+        read_batch(spark, str(d), "csv", LANDING_SALES).collect()
+    (d / "b.csv").write_text("id,customer_id,price,product,date\n2,6,2.5,y,2024-01-01\n")
+    assert read_batch(spark, str(d), "csv", LANDING_SALES).count() == 2
