@@ -265,7 +265,7 @@ def results_from_metrics(metrics: DataFrame, suite: Suite) -> DataFrame:
     """One result row per expectation from the one-row metrics frame."""
     structs = [_result_struct(suite, i, e) for i, e in enumerate(suite.expectations)]
     if not structs:
-        return metrics.limit(0).select(
+        return metrics.where(F.lit(False)).select(
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in RESULT_SCHEMA.fields]
         )
     return metrics.select(F.inline(F.array(*structs)))
