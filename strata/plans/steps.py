@@ -272,12 +272,20 @@ def write_run_log(spark: SparkSession, lake: Lake, result: StepResult) -> None:
         fs.write_text(spark, f"{lake.meta_root}/gate_results/{leaf}", text)
 
 
+def _read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    if not fs.has_data(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(path)
+
+
 def read_run_log(spark: SparkSession, lake: Lake) -> DataFrame:
-    return spark.read.schema(RUN_LOG_SCHEMA).json(f"{lake.meta_root}/run_log")
+    """Every recorded step run of the lake (empty before the first run)."""
+    return _read_log(spark, f"{lake.meta_root}/run_log", RUN_LOG_SCHEMA)
 
 
 def read_gate_results(spark: SparkSession, lake: Lake) -> DataFrame:
-    return spark.read.schema(GATE_RESULTS).json(f"{lake.meta_root}/gate_results")
+    """Every recorded expectation result of the lake."""
+    return _read_log(spark, f"{lake.meta_root}/gate_results", GATE_RESULTS)
 
 
 def _physical_plan(df: DataFrame) -> str:

@@ -258,3 +258,8 @@ def test_sql_transform_with_bound_parameters(spark, lake):
                                 "WHERE id <= :last_id AND product <> :skip",
                    "transform_args": {"last_id": 60, "skip": "none"}})
     assert run(spark, step, lake).rows_out == 60
+
+
+def test_logs_of_a_new_lake_are_empty(spark, lake):
+    assert read_run_log(spark, lake).count() == 0
+    assert read_gate_results(spark, lake).count() == 0
