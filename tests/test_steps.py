@@ -263,3 +263,19 @@ def test_sql_transform_with_bound_parameters(spark, lake):
 def test_logs_of_a_new_lake_are_empty(spark, lake):
     assert read_run_log(spark, lake).count() == 0
     assert read_gate_results(spark, lake).count() == 0
+
+
+def test_silver_step_keeps_filter_pushdown_under_its_gate(spark, lake):
+    from pyspark.sql import Observation
+
+    from strata.functions.expectations import metric_columns
+    from strata.plans.steps import apply_transform
+
+    generate.clean_batch(spark, lake, DATE, n_customers=10, n_sales=50)
+    run(spark, medallion.SALES_BRONZE, lake)
+    step = medallion.SALES_SILVER
+    src = spark.read.parquet(lake.paths(DATE)["sales_bronze"])
+    out = apply_transform(spark, step.transform, {"source_data": src})
+    plan = out.observe(Observation("t"), *metric_columns(step.target_suite, out.schema)) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(price,0" in plan and "CollectMetrics" in plan and "Exchange" not in plan
