@@ -6,8 +6,9 @@ side, checked against ``spark.sql.autoBroadcastJoinThreshold`` from the
 optimizer's size estimate:
 
 * under the threshold, customers are broadcast: sales are joined where
-  they are read and summed straight to (region, month), so the only
-  shuffle carries the partial aggregates of a few groups per task;
+  they are read and summed straight to (region, month); sales are never
+  shuffled, only the partial aggregates of a few groups per task (and the
+  small customers side, counted per id and region before broadcasting);
 * over it, sales are first summed per (customer_id, sale_month) and only
   those partial sums meet the customers in a shuffle join. The join then
   moves one row per customer and month instead of one per sale, and a hot

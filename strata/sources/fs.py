@@ -1,9 +1,9 @@
 """Small file-system actions through the session's Hadoop ``FileSystem``.
 
 Works for any scheme the cluster is configured for (``file:``, ``hdfs:``,
-``s3a:`` ...). Used for metadata moves only: existence checks, the
-staged-directory swap and the snapshot pointer. Data never passes
-through here.
+``s3a:`` ...). Used for metadata moves and tiny files only: existence
+checks, the staged-directory swap, the snapshot pointer and the run-log
+records. Table data never passes through here.
 """
 
 from __future__ import annotations
