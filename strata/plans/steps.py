@@ -48,7 +48,7 @@ from strata.functions.expectations import ROWS, Expectation, Suite, metric_colum
 from strata.operators.gates import GateResult, check_suite, technical_failure, verdict_from_metrics
 from strata.sources import fs, snapshot
 from strata.sources.io import read_batch, table_format, write_batch
-from strata.sources.paths import Lake, render_path
+from strata.sources.paths import Lake, check_date, render_path
 from strata.sources.schemas import GATE_RESULTS, RUN_LOG, all_strings
 
 log = logging.getLogger("strata.steps")
@@ -306,6 +306,7 @@ def run_step(
     record: bool = True,
 ) -> StepResult:
     """Gate, transform, write and publish one step for one date."""
+    check_date(execution_date)
     run_id = run_id or f"{execution_date}-{uuid.uuid4().hex[:10]}"
     result = StepResult(run_id=run_id, step=step.name, execution_date=execution_date, started_at=_now())
     ctx = {"root": lake.root, "name": step.name, "group": step.group}

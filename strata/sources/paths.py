@@ -8,6 +8,7 @@ under a Hive-style ``dt=<date>`` directory so readers of a table root get
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
 
 # File extension by format; table formats (snapshot, delta)
@@ -15,6 +16,18 @@ from dataclasses import dataclass
 EXTENSIONS = {"parquet": ".parquet", "csv": ".csv", "json": ".json"}
 
 
+def check_date(execution_date: str) -> str:
+    """The execution date as ``YYYY-MM-DD``; anything else raises, so every
+    batch folder parses as a DATE partition value."""
+    try:
+        parsed = _dt.date.fromisoformat(execution_date)
+    except (TypeError, ValueError) as err:
+        raise ValueError(f"execution date must be YYYY-MM-DD, got {execution_date!r}") from err
+    if parsed.isoformat() != execution_date:
+        raise ValueError(f"execution date must be YYYY-MM-DD, got {execution_date!r}")
+    return execution_date
+
+
 def render_path(template: str, execution_date: str, **context: str) -> str:
     """Replace ``{{ key }}`` placeholders; ``extension`` follows ``format``."""
     rendered = template.replace("{{ execution_date }}", execution_date)

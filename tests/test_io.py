@@ -141,3 +141,12 @@ def test_csv_files_with_another_column_order_fail(spark, tmp_path):
         read_batch(spark, str(d), "csv", LANDING_SALES).collect()
     (d / "b.csv").write_text("id,customer_id,price,product,date\n2,6,2.5,y,2024-01-01\n")
     assert read_batch(spark, str(d), "csv", LANDING_SALES).count() == 2
+
+
+def test_execution_dates_are_checked():
+    from strata.sources.paths import check_date
+
+    assert check_date("2026-04-19") == "2026-04-19"
+    for bad in ("2026-4-19", "today", "2026-02-30", "20260419"):
+        with pytest.raises(ValueError):
+            check_date(bad)
