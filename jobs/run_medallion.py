@@ -8,8 +8,9 @@
     python -m jobs.run_medallion --root <lake> --date 2026-04-19 dashboard
     python -m jobs.run_medallion --root <lake> --date 2026-04-19 suites --out suites/
 
-The date is required: every batch is addressed by it. ``run`` stops at the
-first failed gate and exits with status 2; the batch is then in quarantine.
+The date is required: every batch is addressed by it. ``run`` runs every
+step whose upstream succeeded, prints one line per step and exits with
+status 2 when a gate failed; failed batches are then in quarantine.
 On a cluster, submit with ``spark-submit`` and leave ``--master`` out.
 """
 
@@ -72,16 +73,16 @@ def main(argv: list[str] | None = None) -> int:
         steps = medallion.ALL_STEPS
         if args.steps:
             steps = tuple(s for s in steps if s.name in set(args.steps))
+        code = 0
         try:
             results = medallion.run_medallion(spark, lake, args.date, steps)
         except GateFailed as failed:
-            print(json.dumps({"step": failed.result.step, "status": failed.result.status,
-                              "quarantine_path": failed.result.quarantine_path, "error": failed.result.error}))
-            return 2
+            results, code = getattr(failed, "results", [failed.result]), 2
         for r in results:
-            print(json.dumps({"step": r.step, "status": r.status, "gates": r.gate_status,
-                              "rows_in": r.rows_in, "rows_out": r.rows_out, "target": r.target_path}))
-        return 0
+            print(json.dumps({"step": r.step, "status": r.status, "gates": r.gate_status, "rows_in": r.rows_in,
+                              "rows_out": r.rows_out, "target": r.target_path,
+                              "quarantine_path": r.quarantine_path, "error": r.error}))
+        return code
     if args.job == "ingest":
         for step in medallion.ingest_steps():
             r = run_step(spark, step, args.date, lake)

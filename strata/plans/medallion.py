@@ -8,6 +8,7 @@ Paths are templates under ``{{ root }}``; each batch is one ``dt=`` folder.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from strata.functions.expectations import Suite, between, match_regex, not_null, row_count_between
 from strata.operators import marts, transforms
 from strata.operators.ingest import with_lineage
-from strata.plans.steps import Endpoint, GateFailed, Step, StepResult, run_step
+from strata.plans.steps import Endpoint, GateFailed, Step, StepResult, run_step, write_run_log
 from strata.sources.io import read_or_empty
 from strata.sources.paths import Lake
 from strata.sources.schemas import (
@@ -147,15 +148,52 @@ def run_medallion(
     execution_date: str,
     steps: Sequence[Step] = ALL_STEPS,
     run_id: str | None = None,
+    stop_on_failure: bool = False,
 ) -> list[StepResult]:
-    """Run the steps for one date; the first failed gate stops the run."""
+    """Run the steps for one date in dependency order.
+
+    A failed step (gate or error) does not stop steps that do not depend on
+    it; steps downstream of it are recorded as ``skipped_upstream``. After
+    the run the first failure is raised, with every step's result attached
+    as ``.results``. ``stop_on_failure`` stops at the first failure instead.
+    """
     results: list[StepResult] = []
+    broken: set[str] = set()
+    first: BaseException | None = None
     for step in ordered(steps):
+        if any(dep in broken for dep in step.depends_on):
+            skipped = StepResult(
+                run_id=run_id or f"{execution_date}-skipped",
+                step=step.name,
+                execution_date=execution_date,
+                status="skipped_upstream",
+                error="upstream step failed: " + ", ".join(d for d in step.depends_on if d in broken),
+            )
+            skipped.started_at = skipped.finished_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+            write_run_log(spark, lake, skipped)
+            results.append(skipped)
+            broken.add(step.name)
+            continue
         try:
             results.append(run_step(spark, step, execution_date, lake, run_id=run_id))
         except GateFailed as failed:
             results.append(failed.result)
-            raise
+            broken.add(step.name)
+            first = first or failed
+        except Exception as err:
+            text = str(err).strip().splitlines()[0] if str(err).strip() else type(err).__name__
+            results.append(StepResult(run_id=run_id or "", step=step.name, execution_date=execution_date,
+                                      status="failed", error=text))
+            broken.add(step.name)
+            first = first or err
+        if first is not None and stop_on_failure:
+            break
+    if first is not None:
+        try:
+            first.results = results
+        except AttributeError:
+            pass
+        raise first
     return results
 
 

@@ -279,3 +279,23 @@ def test_silver_step_keeps_filter_pushdown_under_its_gate(spark, lake):
     plan = out.observe(Observation("t"), *metric_columns(step.target_suite, out.schema)) \
         ._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(price,0" in plan and "CollectMetrics" in plan and "Exchange" not in plan
+
+
+def test_failed_domain_does_not_stop_the_other(spark, lake):
+    generate.clean_batch(spark, lake, DATE, n_customers=30, n_sales=200)
+    dirty = lake.paths("2000-01-01")  # write dirty customers over the date's landing
+    generate.dirty_batch(spark, lake, "2000-01-01", n_customers=30, n_sales=10)
+    fs.delete(spark, lake.paths(DATE)["customers_landing"])
+    fs.rename(spark, dirty["customers_landing"], lake.paths(DATE)["customers_landing"])
+    with pytest.raises(GateFailed) as err:
+        run_medallion(spark, lake, DATE)
+    status = {r.step: r.status for r in err.value.results}
+    assert status == {
+        "stg_customers_bronze": "source_fail",
+        "customers_silver": "skipped_upstream",
+        "stg_sales_bronze": "success",
+        "sales_silver": "success",
+        "sales_summary": "skipped_upstream",
+    }
+    assert read_run_log(spark, lake).where("status = 'skipped_upstream'").count() == 2
+    assert not fs.exists(spark, lake.paths(DATE)["sales_summary"])
