@@ -1,7 +1,8 @@
 """Readers and writers, one dispatch per format.
 
-Formats: ``csv`` (header line; columns matched by name), ``json`` (newline-delimited by default;
-``multiLine`` for one array or pretty-printed document per file), ``parquet``,
+Formats: ``csv`` (header line; columns matched by name), ``json`` (one
+object per line, or one array per file: detected from the first file unless
+``multiLine`` is given), ``parquet``,
 ``delta`` (when the data source is on the class path) and ``snapshot``
 (our pointer-versioned Parquet table, the stand-in for ``delta``).
 Unknown formats raise.
@@ -84,7 +85,8 @@ def read_batch(
             cols.append(F.col("_metadata.file_name").alias(file_name_column))
         return text.select(*cols)
     if fmt == "json":
-        opts.setdefault("multiLine", "false")
+        if not any(k.lower() == "multiline" for k in opts):
+            opts["multiLine"] = "true" if json_is_array(spark, path) else "false"
         opts.setdefault("mode", "FAILFAST")
         if schema is not None and any(_integral(f.dataType) for f in schema.fields):
             # integral fields are read as their JSON text, so 1011.0 is accepted
@@ -109,6 +111,16 @@ def read_batch(
     return _with_file_name(df, file_name_column)
 
 
+def json_is_array(spark: SparkSession, path: str) -> bool:
+    """Whether the batch's first file holds one JSON array (read whole, one
+    task per file) rather than one JSON object per line (splittable)."""
+    first = fs.first_data_file(spark, path)
+    if first is None:
+        return False
+    head = fs.head_bytes(spark, first).decode("utf-8", "ignore").lstrip("\ufeff \t\r\n")
+    return head.startswith("[")
+
+
 def _integral(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
 

@@ -150,3 +150,14 @@ def test_execution_dates_are_checked():
     for bad in ("2026-4-19", "today", "2026-02-30", "20260419"):
         with pytest.raises(ValueError):
             check_date(bad)
+
+
+def test_json_layout_is_detected(spark, tmp_path):
+    d = tmp_path / "arr"
+    d.mkdir()
+    (d / "part-0.json").write_text('﻿[\n  {"id": 1, "name": "a"},\n  {"id": 2, "name": "b"}\n]\n')
+    assert read_batch(spark, str(d), "json", LANDING_CUSTOMERS).count() == 2
+    nl = tmp_path / "nl"
+    nl.mkdir()
+    (nl / "part-0.json").write_text('{"id": 1, "name": "a"}\n{"id": 2, "name": "b"}\n{"id": 3}\n')
+    assert read_batch(spark, str(nl), "json", LANDING_CUSTOMERS).count() == 3
