@@ -226,3 +226,28 @@ def test_mart_does_not_emit_pairs_for_copied_customers(spark):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "copies" in plan
     assert marts.enrich_sales(sales, copies).count() == 20000  # the row-level join is the pairs
+
+
+def test_hot_customer_key_is_split_by_adaptive_execution(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    saved = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = [(i, 7 if i % 3 else (i % 50) + 100, "a", 5.0, D1) for i in range(30000)]  # customer 7: 2/3 of sales
+        sales = transforms.silver_sales(spark.createDataFrame(rows, SALES))
+        customers = transforms.silver_customers(
+            spark.createDataFrame([(c, "n", "e", "c", "sp") for c in [7, *range(100, 150)]], CUSTOMERS))
+        out = marts.enrich_sales(sales, customers)
+        assert len(out.collect()) == 30000
+        assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
