@@ -9,6 +9,7 @@ Paths are templates under ``{{ root }}``; each batch is one ``dt=`` folder.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -163,7 +164,7 @@ def run_medallion(
     for step in ordered(steps):
         if any(dep in broken for dep in step.depends_on):
             skipped = StepResult(
-                run_id=run_id or f"{execution_date}-skipped",
+                run_id=run_id or f"{execution_date}-{uuid.uuid4().hex[:10]}",
                 step=step.name,
                 execution_date=execution_date,
                 status="skipped_upstream",
