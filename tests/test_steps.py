@@ -299,3 +299,16 @@ def test_failed_domain_does_not_stop_the_other(spark, lake):
     }
     assert read_run_log(spark, lake).where("status = 'skipped_upstream'").count() == 2
     assert not fs.exists(spark, lake.paths(DATE)["sales_summary"])
+
+
+def test_corrupt_silver_reaches_gold_because_gold_has_no_gate(spark, lake):
+    generate.clean_batch(spark, lake, DATE, n_customers=20, n_sales=100)
+    run_medallion(spark, lake, DATE)
+    generate.corrupt_silver(spark, lake, DATE)
+    res = run(spark, medallion.SALES_SUMMARY_STEP, lake)
+    assert (res.status, res.gate_status) == ("success", "skipped")
+    gold = read_gold(spark, lake, DATE).collect()
+    # customer 1 is not a generated customer (ids start at 1001): NULL region
+    corrupt = [r for r in gold if r["sale_month"].isoformat() == "2026-04-01" and r["region"] is None]
+    assert corrupt and corrupt[0]["total_orders"] == 10
+    assert corrupt[0]["avg_ticket"] == generate.SILVER_SALES_PRICE
