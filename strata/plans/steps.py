@@ -209,7 +209,7 @@ def _read_for_quarantine(spark: SparkSession, path: str, endpoint: Endpoint) ->
     fmt = table_format(spark, endpoint.format)
     opts = {**endpoint.options, "mode": "PERMISSIVE"}
     if fmt == "csv":
-        return spark.read.options(header="true", **opts).csv(path)
+        return spark.read.options(**{"header": "true", **opts}).csv(path)
     if fmt == "json" and endpoint.schema is not None:
         return read_batch(spark, path, fmt, all_strings(endpoint.schema), opts)
     return read_batch(spark, path, fmt, endpoint.schema, endpoint.options)

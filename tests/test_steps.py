@@ -312,3 +312,15 @@ def test_corrupt_silver_reaches_gold_because_gold_has_no_gate(spark, lake):
     corrupt = [r for r in gold if r["sale_month"].isoformat() == "2026-04-01" and r["region"] is None]
     assert corrupt and corrupt[0]["total_orders"] == 10
     assert corrupt[0]["avg_ticket"] == generate.SILVER_SALES_PRICE
+
+
+def test_source_quarantine_with_explicit_csv_options(spark, lake):
+    generate.dirty_batch(spark, lake, DATE, n_customers=20, n_sales=80)
+    step = Step(**{**medallion.SALES_BRONZE.__dict__,
+                   "source": Endpoint("{{ root }}/landing/sales_erp/dt={{ execution_date }}", "csv",
+                                      medallion.SALES_BRONZE.source.schema, {"header": "true", "sep": ","}),
+                   "source_expectations": (medallion.not_null("id"),)})
+    with pytest.raises(GateFailed) as err:
+        run(spark, step, lake)
+    assert err.value.result.status == "source_fail"
+    assert spark.read.parquet(err.value.result.quarantine_path).count() == 80
