@@ -18,3 +18,11 @@ def test_cli_generate_run_dashboard_corrupt(spark, lake, capsys):
     assert main(base + ["run", "--steps", "stg_sales_bronze"]) == 2
     failed = json.loads(capsys.readouterr().out.splitlines()[-1])
     assert failed["status"] == "target_fail" and "reason=target_fail_stg_sales_bronze" in failed["quarantine_path"]
+
+
+def test_cli_exports_suites(tmp_path, capsys):
+    from strata.plans import medallion
+
+    assert main(["--root", str(tmp_path), "--date", "2026-04-19", "suites", "--out", str(tmp_path / "s")]) == 0
+    assert len(capsys.readouterr().out.splitlines()) == 6
+    assert medallion.load_suites(str(tmp_path / "s")) == medallion.suites()
