@@ -288,6 +288,26 @@ def read_gate_results(spark: SparkSession, lake: Lake) -> DataFrame:
     return _read_log(spark, f"{lake.meta_root}/gate_results", GATE_RESULTS)
 
 
+def latest_gate_results(spark: SparkSession, lake: Lake, execution_date: str | None = None) -> DataFrame:
+    """The result rows of the most recent run of each suite (per date), with
+    that run's status and finish time: the current report of every gate."""
+    from pyspark.sql import Window
+
+    runs = read_run_log(spark, lake).select("run_id", "step", "status", "finished_at")
+    gates = read_gate_results(spark, lake)
+    if execution_date is not None:
+        gates = gates.where(F.col("execution_date") == F.lit(execution_date))
+    rows = gates.join(runs, on=["run_id", "step"], how="left")
+    latest = Window.partitionBy("suite", "execution_date").orderBy(
+        F.col("finished_at").desc_nulls_last(), F.col("run_id").desc()
+    )
+    return (
+        rows.withColumn("_rank", F.dense_rank().over(latest))
+        .where(F.col("_rank") == F.lit(1))
+        .drop("_rank")
+    )
+
+
 def _physical_plan(df: DataFrame) -> str:
     """The physical plan as text (exchanges and observed-metric nodes)."""
     return str(df._jdf.queryExecution().executedPlan().toString())

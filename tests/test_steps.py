@@ -324,3 +324,16 @@ def test_source_quarantine_with_explicit_csv_options(spark, lake):
         run(spark, step, lake)
     assert err.value.result.status == "source_fail"
     assert spark.read.parquet(err.value.result.quarantine_path).count() == 80
+
+
+def test_latest_gate_results_per_suite(spark, lake):
+    from strata.plans.steps import latest_gate_results
+
+    generate.dirty_batch(spark, lake, DATE, n_customers=20, n_sales=100)
+    with pytest.raises(GateFailed):
+        run(spark, medallion.SALES_BRONZE, lake)
+    generate.clean_batch(spark, lake, DATE, n_customers=20, n_sales=100)
+    run(spark, medallion.SALES_BRONZE, lake)
+    assert read_gate_results(spark, lake).count() == 6  # two runs, three expectations each
+    latest = latest_gate_results(spark, lake, DATE).collect()
+    assert len(latest) == 3 and all(r["success"] and r["status"] == "success" for r in latest)
