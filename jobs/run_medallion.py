@@ -6,6 +6,7 @@
     python -m jobs.run_medallion --root <lake> --date 2026-04-19 corrupt landing
     python -m jobs.run_medallion --root <lake> --date 2026-04-19 ingest
     python -m jobs.run_medallion --root <lake> --date 2026-04-19 dashboard
+    python -m jobs.run_medallion --root <lake> --date 2026-04-19 report
     python -m jobs.run_medallion --root <lake> --date 2026-04-19 suites --out suites/
 
 The date is required: every batch is addressed by it. ``run`` runs every
@@ -22,7 +23,7 @@ import sys
 
 from strata.operators import generate
 from strata.plans import medallion
-from strata.plans.steps import GateFailed, run_step
+from strata.plans.steps import GateFailed, latest_gate_results, run_step
 from strata.session import build_session
 from strata.sources.paths import Lake
 
@@ -44,6 +45,7 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--steps", nargs="*", default=None, help="step names (default: all)")
     sub.add_parser("ingest", help="copy landing batches to Parquet with lineage columns")
     sub.add_parser("dashboard", help="print the KPIs of the date's mart")
+    sub.add_parser("report", help="print the latest result of every gate for the date")
     x = sub.add_parser("suites", help="write the steps' expectation suites as JSON files")
     x.add_argument("--out", required=True)
     return p
@@ -88,6 +90,11 @@ def main(argv: list[str] | None = None) -> int:
             r = run_step(spark, step, args.date, lake)
             print(json.dumps({"step": r.step, "status": r.status, "rows_out": r.rows_out}))
         return 0
+    if args.job == "report":
+        rows = latest_gate_results(spark, lake, args.date).orderBy("suite", "expectation", "column_name")
+        for row in rows.collect():  # one row per expectation of each suite
+            print(json.dumps(row.asDict(), default=str))
+        return 0
     view = medallion.dashboard(spark, lake, args.date)
     print(json.dumps(view["kpis"].collect()[0].asDict()))
     for row in view["revenue_by_region"].orderBy("region").collect():

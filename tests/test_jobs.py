@@ -14,6 +14,9 @@ def test_cli_generate_run_dashboard_corrupt(spark, lake, capsys):
     assert kpis["total_orders"] == 400
     assert main(base + ["ingest"]) == 0
     capsys.readouterr()
+    assert main(base + ["report"]) == 0
+    report = [json.loads(line) for line in capsys.readouterr().out.splitlines()]
+    assert len(report) == 7 and all(r["success"] for r in report)
     assert main(base + ["corrupt", "landing"]) == 0
     assert main(base + ["run", "--steps", "stg_sales_bronze"]) == 2
     failed = json.loads(capsys.readouterr().out.splitlines()[-1])
