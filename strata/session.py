@@ -23,6 +23,9 @@ PIPELINE_CONF: dict[str, str] = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # coalesce shuffle output to the advisory size, not to the default
+    # parallelism: small results (the gold mart) become few right-sized files
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Partition directories are written whole (staged, then swapped in),
     # never merged into, so static overwrite is the only mode used.
