@@ -337,3 +337,18 @@ def test_latest_gate_results_per_suite(spark, lake):
     assert read_gate_results(spark, lake).count() == 6  # two runs, three expectations each
     latest = latest_gate_results(spark, lake, DATE).collect()
     assert len(latest) == 3 and all(r["success"] and r["status"] == "success" for r in latest)
+
+
+def test_text_target_failing_its_gate_is_quarantined_as_parquet(spark, lake):
+    from strata.functions.expectations import between
+
+    generate.clean_batch(spark, lake, DATE, n_customers=10, n_sales=40)
+    step = Step(**{**medallion.SALES_BRONZE.__dict__,
+                   "target": Endpoint("{{ root }}/export/sales/dt={{ execution_date }}", "csv"),
+                   "target_expectations": (between("price", 0, 1),)})
+    with pytest.raises(GateFailed) as err:
+        run(spark, step, lake)
+    res = err.value.result
+    assert res.status == "target_fail" and not fs.exists(spark, res.target_path)
+    assert spark.read.parquet(res.quarantine_path).count() == 40
+    assert not fs.exists(spark, lake.root + "/export/sales/_staging/" + res.run_id)
