@@ -117,3 +117,11 @@ def head_bytes(spark: SparkSession, path: str, n: int = 256) -> bytes:
     finally:
         stream.close()
 
+
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-folders of ``path`` (empty if it does not exist)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+

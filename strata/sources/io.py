@@ -146,15 +146,44 @@ def read_table(
     With ``execution_date`` the filter on ``dt`` is a partition filter:
     only that directory is listed and scanned.
     """
+    fmt = table_format(spark, fmt)
+    if fmt == "snapshot":
+        return _read_snapshot_table(spark, table_root, execution_date, schema)
     reader = spark.read.option("basePath", table_root)
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.format(table_format(spark, fmt)).load(table_root)
+    df = reader.format(fmt).load(table_root)
     if execution_date is not None:
         df = df.where(F.col("dt") == F.lit(execution_date).cast("date"))
     return df
 
 
+def _read_snapshot_table(
+    spark: SparkSession, table_root: str, execution_date: str | None, schema: T.StructType | None
+) -> DataFrame:
+    """The live version of every ``dt=`` batch of a snapshot table, as one
+    scan; ``dt`` comes from each file's path. With a date, only that batch's
+    pointer is resolved."""
+    root = table_root.rstrip("/")
+    if execution_date is not None:
+        dates = [execution_date]
+    else:
+        dates = [name[3:] for name in fs.list_dirs(spark, root) if name.startswith("dt=")]
+    paths = []
+    for d in sorted(dates):
+        version = snapshot.current_version(spark, f"{root}/dt={d}")
+        if version is not None:
+            paths.append(snapshot.version_path(f"{root}/dt={d}", version))
+    if not paths:
+        if schema is None:
+            raise FileNotFoundError(f"no published batch under {table_root}")
+        return spark.createDataFrame([], T.StructType(schema.fields + [T.StructField("dt", T.DateType(), True)]))
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(*paths)
+    day = F.regexp_extract(F.col("_metadata.file_path"), r"/dt=([^/]+)/versions/", 1)
+    return df.withColumn("dt", day.cast(T.DateType()))
+
+
 def read_or_empty(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
 ) -> DataFrame:

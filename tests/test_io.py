@@ -161,3 +161,16 @@ def test_json_layout_is_detected(spark, tmp_path):
     nl.mkdir()
     (nl / "part-0.json").write_text('{"id": 1, "name": "a"}\n{"id": 2, "name": "b"}\n{"id": 3}\n')
     assert read_batch(spark, str(nl), "json", LANDING_CUSTOMERS).count() == 3
+
+
+def test_snapshot_table_across_dates(spark, tmp_path):
+    from strata.plans.steps import publish_batch
+
+    root = str(tmp_path / "silver")
+    for d, n in (("2024-01-01", 2), ("2024-01-02", 3)):
+        publish_batch(spark, spark.range(n).withColumnRenamed("id", "v"), f"{root}/dt={d}", "snapshot")
+    publish_batch(spark, spark.range(5).withColumnRenamed("id", "v"), f"{root}/dt=2024-01-02", "snapshot")
+    every = read_table(spark, root, "snapshot")
+    counts = {str(r["dt"]): r["count"] for r in every.groupBy("dt").count().collect()}
+    assert counts == {"2024-01-01": 2, "2024-01-02": 5}  # the live version of each date only
+    assert read_table(spark, root, "delta", execution_date="2024-01-01").count() == 2
