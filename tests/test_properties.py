@@ -4,6 +4,7 @@ import datetime as dt
 import math
 from collections import defaultdict
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -99,3 +100,27 @@ def test_gates_match_brute_force(spark, rows, mostly):
     assert got[1]["unexpected_count"] == outside and got[1]["success"] == ok(len(present_x), outside, mostly)
     assert got[2]["unexpected_count"] == nomatch and got[2]["success"] == ok(len(present_s), nomatch, 1.0)
     assert got[3]["element_count"] == n and got[3]["success"] == (1 <= n <= 20)
+
+
+id_text = st.one_of(
+    st.integers(-10**15, 10**15).map(str),
+    st.integers(-10**15, 10**15).map(lambda i: f"{i}.0"),
+    st.integers(0, 10**6).map(lambda i: f" {i} "),
+    st.just(""),
+)
+
+
+@SETTINGS
+@given(st.lists(id_text, min_size=1, max_size=30))
+def test_integral_ids_from_text(spark, values):
+    from pyspark.sql import functions as F
+
+    from strata.functions.columns import integral_from_text
+
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    got = [r["v"] for r in df.select(integral_from_text("s").alias("v")).collect()]
+    want = [None if not v.strip() else int(float(v)) if v.strip().endswith(".0") else int(v) for v in values]
+    assert got == want
+    bad = spark.createDataFrame([("12.5",)], "s string").select(integral_from_text(F.col("s")).alias("v"))
+    with pytest.raises(Exception):
+        bad.collect()
