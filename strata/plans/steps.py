@@ -325,9 +325,24 @@ def run_step(
     run_id: str | None = None,
     record: bool = True,
 ) -> StepResult:
-    """Gate, transform, write and publish one step for one date."""
+    """Gate, transform, write and publish one step for one date.
+
+    The step's Spark jobs carry the description ``strata <step> dt=<date>
+    run=<run_id>`` (Spark UI, event log)."""
     check_date(execution_date)
     run_id = run_id or f"{execution_date}-{uuid.uuid4().hex[:10]}"
+    sc = spark.sparkContext
+    previous = sc.getLocalProperty("spark.job.description")
+    sc.setJobDescription(f"strata {step.name} dt={execution_date} run={run_id}")
+    try:
+        return _run_step(spark, step, execution_date, lake, run_id, record)
+    finally:
+        sc.setJobDescription(previous)
+
+
+def _run_step(
+    spark: SparkSession, step: Step, execution_date: str, lake: Lake, run_id: str, record: bool
+) -> StepResult:
     result = StepResult(run_id=run_id, step=step.name, execution_date=execution_date, started_at=_now())
     ctx = {"root": lake.root, "name": step.name, "group": step.group}
     endpoints = step.sources()
