@@ -467,7 +467,13 @@ def _run_step(
             finish("target_fail", _describe(gate_out) + note)
             raise GateFailed(result)
 
-    _publish(spark, staged, target_path, fmt, run_id)
+    try:
+        _publish(spark, staged, target_path, fmt, run_id)
+    except Exception as err:
+        # the staged output is left in place: a rerun replaces it, or it can
+        # be moved by hand
+        finish("failed", f"publish failed: {_first_line(err)}; staged at {staged}")
+        raise
     return finish("success")
 
 

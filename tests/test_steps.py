@@ -352,3 +352,18 @@ def test_text_target_failing_its_gate_is_quarantined_as_parquet(spark, lake):
     assert res.status == "target_fail" and not fs.exists(spark, res.target_path)
     assert spark.read.parquet(res.quarantine_path).count() == 40
     assert not fs.exists(spark, lake.root + "/export/sales/_staging/" + res.run_id)
+
+
+def test_failed_publish_is_recorded(spark, lake, monkeypatch):
+    from strata.plans import steps as steps_module
+
+    generate.clean_batch(spark, lake, DATE, n_customers=10, n_sales=30)
+
+    def refuse(*_args, **_kwargs):
+        raise OSError("rename refused")
+
+    monkeypatch.setattr(steps_module.fs, "rename", refuse)
+    with pytest.raises(OSError):
+        run(spark, medallion.SALES_BRONZE, lake)
+    row = read_run_log(spark, lake).collect()[0]
+    assert row["status"] == "failed" and row["error"].startswith("publish failed: rename refused")
