@@ -1,10 +1,10 @@
 """SpotSigs fingerprints: chains of content words after common-word anchors.
 
-A text's spots are its common words (of four languages), its start and its
-line starts. The signature at a spot is the chain of the next CHAIN words
+A text's spots are its common words (of four languages), its start, its line
+starts and the marks that end words or cells, so that lists and tables, which
+have hardly any common words, have spots too. The signature at a spot is the chain of the next CHAIN words
 that are not common; a fingerprint is the set of a text's signatures. Edits
-in one place leave the chains elsewhere alone, and boilerplate without
-running text has few spots.
+in one place leave the chains elsewhere alone.
 
 Two fingerprints are compared by Jaccard similarity. Sets whose lengths are
 too far apart can't be similar, so ``similar_pairs`` first deals sets to
@@ -37,7 +37,7 @@ _LONGEST_FIRST = sorted(set(ANCHORS), key=lambda w: (-len(w), w))
 def _normal(text: Column) -> Column:
     """Words in lower case, one blank between, '#' for every spot."""
     t = F.lower(F.coalesce(text, F.lit("")))
-    t = F.regexp_replace(t, r"[\r\n]+", " \u0001 ")
+    t = F.regexp_replace(t, r"[\r\n]+|[^\p{L}\p{N}\s]+(?=\s|$)", " \u0001 ")
     t = F.regexp_replace(t, r"[^\p{L}\p{N}\u0001]+", " ")
     t = F.concat(F.lit(" # "), F.translate(t, "\u0001", "#"), F.lit(" "))
     t = F.regexp_replace(t, r"(?<= )(?:" + "|".join(_LONGEST_FIRST) + r")(?= )", "#")
