@@ -3,9 +3,9 @@
 Exact up to collisions of 64-bit shingle hashes. Steps, each a Spark job over
 tables in the shared folder:
 
-1. Frequencies. Every task counts its shingles into ``2**CELL_BITS`` hashed
-   cells; Spark sums the cells. The finished table, one byte per cell on a log
-   scale, has a fixed size and is what tasks receive. Shingles are ordered by
+1. Frequencies. Every task counts its shingles into hashed cells; Spark sums
+   the cells. The finished table, one byte per cell on a log scale, has a
+   fixed size and is what tasks receive. Shingles are ordered by
    (cell frequency, hash): one total order for all documents, rare ones first,
    so the filters below lose nothing whatever the frequencies are.
 2. Classes. Documents with the same shingle set are one node, keyed by a
@@ -17,8 +17,9 @@ tables in the shared folder:
    The links found are contracted to components: a group of near copies
    collapses here in as many comparisons as it has members.
 5. Residual round. What is left in a group are pairs of different components;
-   sets outside a group's largest component are paired with the group's other
-   components, filtered and verified in the same way. No pair is lost: a
+   sets outside a group's largest component meet the group's other components
+   in a join whose condition holds all filters, so only pairs that pass them
+   all become rows; these are verified in the same way. No pair is lost: a
    pair is skipped only if both already are in one component.
 6. Components of all links.
 
@@ -38,24 +39,28 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import clean_select, components, shingle_sets, short_batches, written
 
-CELL_BITS = 24  # frequency cells: a table of 16 MB, whatever the corpus
+CELL_BITS = 24  # frequency cells of one table: 16 MB, whatever the corpus
+TABLES = 1  # with more, a shingle's frequency is the least of its cells
 _CHUNK_BITS = 16  # cells of one shuffled block
 HIST = 16  # parts of the suffix filter
+BITS = 256  # parity bits of a set
 
 
-def _cells(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+def _cells(shingles: np.ndarray, which: int) -> np.ndarray:
+    at = (shingles >> np.uint64(64 - CELL_BITS * (which + 1))) & np.uint64((1 << CELL_BITS) - 1)
+    return at.astype(np.int64) + (which << CELL_BITS)
 
 
 def shingle_frequencies(docs: DataFrame, words: int) -> np.ndarray:
     """Log-scaled corpus frequency of every cell, one byte each."""
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << CELL_BITS, dtype=np.uint32)
+        total = np.zeros(TABLES << CELL_BITS, dtype=np.uint32)
         for batch in it:
             found, _ = shingle_sets(batch.column(0), words)
-            cells, n = np.unique(_cells(found), return_counts=True)
-            total[cells] += n.astype(np.uint32)
+            for which in range(TABLES):
+                cells, n = np.unique(_cells(found, which), return_counts=True)
+                total[cells] += n.astype(np.uint32)
         blocks = total.reshape(-1, 1 << _CHUNK_BITS)
         used = np.flatnonzero(blocks.any(axis=1))
         for k in used.tolist():
@@ -82,8 +87,8 @@ def shingle_frequencies(docs: DataFrame, words: int) -> np.ndarray:
     counted = text.mapInArrow(count, "chunk int, cells binary")
     summed = counted.repartition("chunk").mapInArrow(add, "chunk int, cells binary")
     short_batches(spark)
-    table = np.zeros(1 << CELL_BITS, dtype=np.uint8)
-    for k, raw in summed.collect():  # the fixed table: 2**CELL_BITS bytes at most
+    table = np.zeros(TABLES << CELL_BITS, dtype=np.uint8)
+    for k, raw in summed.collect():  # the fixed tables: TABLES * 2**CELL_BITS bytes at most
         table[k << _CHUNK_BITS : (k + 1) << _CHUNK_BITS] = np.frombuffer(zlib.decompress(bytes(raw)), dtype=np.uint8)
     return table
 
@@ -106,8 +111,9 @@ def _overlap(total: Column, num: int, den: int) -> Column:
 
 
 def document_sets(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """``doc_id, h, n, prefix, hist``: set key, set size, first shingles of
-    the global order (8 bytes each) and shingle counts by hash range."""
+    """``doc_id, h, n, prefix, hist, bits``: set key, set size, first shingles
+    of the global order (8 bytes each), shingle counts by hash range, and the
+    parity of the counts by another range."""
     table = docs.sparkSession.sparkContext.broadcast(shingle_frequencies(docs, words))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +123,8 @@ def document_sets(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
             rows = len(n)
             key = _set_key(sets, offs) if len(sets) else np.zeros(rows, np.int64)
             of = np.repeat(np.arange(rows), n)
-            order = np.lexsort((sets, table.value[_cells(sets)], of))
+            level = np.minimum.reduce([table.value[_cells(sets, which)] for which in range(TABLES)])
+            order = np.lexsort((sets, level, of))
             ranked = sets[order]
             length = np.where(n > 0, n - -(-num * n // den) + 1, 0)
             prefix = [ranked[a : a + k].tobytes() for a, k in zip(offs[:-1].tolist(), length.tolist())]
@@ -125,13 +132,18 @@ def document_sets(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
             hist = pa.ListArray.from_arrays(
                 pa.array(np.arange(rows + 1, dtype=np.int32) * HIST), pa.array(part.astype(np.int32))
             )
+            odd = np.bincount(of * BITS + (sets & np.uint64(BITS - 1)).astype(np.int64), minlength=rows * BITS) & 1
+            bits = pa.ListArray.from_arrays(
+                pa.array(np.arange(rows + 1, dtype=np.int32) * (BITS // 64)),
+                pa.array(np.packbits(odd.astype(np.uint8)).view(np.int64)),
+            )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(key), pa.array(n.astype(np.int32)), pa.array(prefix, pa.binary()), hist],
-                names=["doc_id", "h", "n", "prefix", "hist"],
+                [batch.column(0), pa.array(key), pa.array(n.astype(np.int32)), pa.array(prefix, pa.binary()), hist, bits],
+                names=["doc_id", "h", "n", "prefix", "hist", "bits"],
             )
 
     rows = clean_select(docs, {"doc_id": "long", "text": "string"})
-    return rows.mapInArrow(run, "doc_id long, h long, n int, prefix binary, hist array<int>")
+    return rows.mapInArrow(run, "doc_id long, h long, n int, prefix binary, hist array<int>, bits array<long>")
 
 
 def _prefix_rows(reps: DataFrame) -> DataFrame:
@@ -150,20 +162,27 @@ def _prefix_rows(reps: DataFrame) -> DataFrame:
     return reps.select("h", "n", "prefix").mapInArrow(run, "tok long, h long, n int, pos int")
 
 
-def _filtered(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct pairs ``(ah, an, bh, bn)`` that pass the length, positional
-    and suffix filters, from rows that also carry the positions pa, pb."""
-    total = F.col("an") + F.col("bn")
-    short, long = F.least("an", "bn"), F.greatest("an", "bn")
-    most = F.least("pa", "pb") + 1 + F.least(F.col("an") - F.col("pa") - 1, F.col("bn") - F.col("pb") - 1)
+def _may_link(a: str, b: str, num: int, den: int) -> Column:
+    """Length, positional and suffix filters on columns ``<a>n, <a>pos,
+    <a>hist, <a>bits`` and those of b.
+
+    Positional: before a pair's first common shingle neither side has a common
+    one, so from there on both must still hold the overlap needed. Rows of
+    later common shingles may fail; the first one's row does not. Suffix: the
+    counts by hash range, and the parity bits, differ in at least as many
+    places as they show; two sets that link differ in few.
+    """
+    c = lambda side, name: F.col(side + name)
+    total = c(a, "n") + c(b, "n")
     need = _overlap(total, num, den)
-    near = pairs.where((short * den >= long * num) & (most >= need))
-    near = near.select("ah", "an", "bh", "bn").distinct()
-    hist = reps.select("h", "n", "hist")
-    ha = hist.select(F.col("h").alias("ah"), F.col("n").alias("an"), F.col("hist").alias("ahist"))
-    hb = hist.select(F.col("h").alias("bh"), F.col("n").alias("bn"), F.col("hist").alias("bhist"))
-    apart = F.aggregate(F.zip_with("ahist", "bhist", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    return near.join(ha, ["ah", "an"]).join(hb, ["bh", "bn"]).where(apart <= total - 2 * need).select("ah", "an", "bh", "bn")
+    short, long = F.least(c(a, "n"), c(b, "n")), F.greatest(c(a, "n"), c(b, "n"))
+    left = F.least(c(a, "n") - c(a, "pos"), c(b, "n") - c(b, "pos"))
+    flips = sum(
+        (F.bit_count(c(a, "bits")[k].bitwiseXOR(c(b, "bits")[k])) for k in range(1, BITS // 64)),
+        F.bit_count(c(a, "bits")[0].bitwiseXOR(c(b, "bits")[0])),
+    )
+    apart = F.aggregate(F.zip_with(c(a, "hist"), c(b, "hist"), lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+    return (short * den >= long * num) & (left >= need) & (flips <= total - 2 * need) & (apart <= total - 2 * need)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -235,44 +254,56 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     found = written(document_sets(docs, words, num, den), "join-sets")
     full = found.where("n > 0")
     reps = written(
-        full.groupBy("h", "n").agg(F.min("doc_id").alias("doc_id"), F.first("prefix").alias("prefix"), F.first("hist").alias("hist")),
+        full.groupBy("h", "n").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("prefix", "hist", "bits")]),
         "join-reps",
     )
-    rows = _prefix_rows(reps)
-    hub = rows.groupBy("tok").agg(F.count("*").alias("k"), F.min(F.struct("n", "h", "pos")).alias("c")).where("k > 1")
+    # the smaller set of a pair must show the first common shingle early: a
+    # group without such a row holds no pair
+    early = F.col("pos") <= F.col("n") - _overlap(F.col("n") + F.col("n"), num, den)
+    rows = _prefix_rows(reps).withColumn("early", early)
+    hub = rows.groupBy("tok").agg(
+        F.count("*").alias("k"), F.min(F.when(F.col("early"), F.struct("h", "n", "pos"))).alias("c")
+    ).where("k > 1 and c is not null")
     shared = written(
-        rows.join(hub, "tok").select("tok", "h", "n", "pos", F.col("c.h").alias("ch"), F.col("c.n").alias("cn"), F.col("c.pos").alias("cp")),
+        rows.join(hub, "tok").select("tok", "h", "n", "pos", "early", F.col("c.h").alias("ch"), F.col("c.n").alias("cn"), F.col("c.pos").alias("cp")),
         "join-shared",
     )
-    star = shared.where("h <> ch or n <> cn").select(
-        F.col("ch").alias("ah"), F.col("cn").alias("an"), F.col("cp").alias("pa"),
-        F.col("h").alias("bh"), F.col("n").alias("bn"), F.col("pos").alias("pb"),
+    shape = reps.select("h", "n", "hist", "bits")
+    star = shared.where("h <> ch or n <> cn").alias("y").join(shape.alias("ys"), ["h", "n"]).select(
+        *[F.col(f"y.{c}").alias(f"b{c}") for c in ("h", "n", "pos")], F.col("ys.hist").alias("bhist"), F.col("ys.bits").alias("bbits"),
+        F.col("ch").alias("ah"), F.col("cn").alias("an"), F.col("cp").alias("apos"),
+    )
+    centre = shape.select(*[F.col(c).alias("a" + c) for c in shape.columns])
+    tried = written(
+        star.join(centre, ["ah", "an"]).where(_may_link("a", "b", num, den)).select("ah", "an", "bh", "bn").distinct(),
+        "join-star",
     )
-    tried = written(_filtered(star, reps, num, den), "join-star")
     links = written(_verified(tried, docs, reps, words, num, den), "join-links")
     edges = links.select(_node("ah", "an").alias("a"), _node("bh", "bn").alias("b"))
     part = components(edges, "join-cc")
 
     # residual: pairs across components within a shingle's group
-    named = shared.select("tok", "h", "n", "pos", _node("h", "n").alias("node")).join(part, "node", "left")
-    named = named.select("tok", "h", "n", "pos", F.coalesce("component", "node").alias("comp"))
+    named = shared.select("tok", "h", "n", "pos", "early", _node("h", "n").alias("node")).join(part, "node", "left")
+    named = named.select("tok", "h", "n", "pos", "early", F.coalesce("component", "node").alias("comp"))
     mixed = named.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("tok")
-    open_rows = written(named.join(mixed, "tok"), "join-open")
+    open_rows = written(named.join(mixed, "tok").join(shape, ["h", "n"]), "join-open")
     major = (
         open_rows.groupBy("tok", "comp").agg(F.count("*").alias("k"))
         .groupBy("tok").agg(F.max(F.struct("k", "comp")).alias("m")).select("tok", F.col("m.comp").alias("major"))
     )
     minor = open_rows.join(major, "tok").where("comp <> major")
-    x, y = minor.alias("x"), open_rows.alias("y")
-    first_of = (F.col("y.comp") == F.col("x.major")) | (_node("x.h", "x.n") < _node("y.h", "y.n"))
-    rest = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.comp") != F.col("y.comp")) & first_of)
+    same_group = (F.col("x.tok") == F.col("y.tok")) & (F.col("x.comp") != F.col("y.comp"))
     swap = _node("x.h", "x.n") < _node("y.h", "y.n")
+    once = (F.col("y.comp") == F.col("x.major")) | swap
     pick = lambda a, b: F.when(swap, F.col(a)).otherwise(F.col(b))
-    rest = rest.select(
-        pick("x.h", "y.h").alias("ah"), pick("x.n", "y.n").alias("an"), pick("x.pos", "y.pos").alias("pa"),
-        pick("y.h", "x.h").alias("bh"), pick("y.n", "x.n").alias("bn"), pick("y.pos", "x.pos").alias("pb"),
-    )
-    left = _filtered(rest, reps, num, den)
+
+    def paired(x: DataFrame, y: DataFrame) -> DataFrame:
+        return x.alias("x").join(y.alias("y"), same_group & once & _may_link("x.", "y.", num, den)).select(
+            pick("x.h", "y.h").alias("ah"), pick("x.n", "y.n").alias("an"),
+            pick("y.h", "x.h").alias("bh"), pick("y.n", "x.n").alias("bn"),
+        )
+
+    left = paired(minor.where("early"), open_rows).union(paired(minor.where("not early"), open_rows.where("early"))).distinct()
     seen = tried.select("ah", "an", "bh", "bn").union(tried.select("bh", "bn", "ah", "an"))
     left = written(left.join(seen, ["ah", "an", "bh", "bn"], "left_anti"), "join-rest")
     if not left.isEmpty():
