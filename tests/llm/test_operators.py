@@ -1,0 +1,303 @@
+"""Operators against brute force, on small tables with awkward rows."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from strata.llm import ann, linededup, mixing, ngramjoin, packing, pii, spotsigs, tokenfiles, toxicity, warc
+from strata.llm.tokens import default_tokenizer
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, taken string, h long"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words(rng, n):
+    return " ".join("w%d" % rng.randrange(400) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(3)
+    out = [None, "", "   \n\t", "one", "Two words", "a b c"]
+    for _ in range(14):
+        base = words(rng, rng.randrange(30, 200))
+        out += [base, base, base.upper()]
+        parts = base.split(" ")
+        parts[len(parts) // 2] = "edited"
+        out.append(" ".join(parts))
+    out.append(words(rng, 12000))
+    out += ["the cat sat\nHOME | ABOUT\n" + words(rng, 9) for _ in range(12)]
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    rows = [(i, t, "en", None if i % 7 == 0 else "s0" if i % 3 else "s%d" % (i % 5), 0, 1, "x", 2) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Null ids, repeated rows, null everywhere."""
+    rows = [(None, None, None, None, None, None, None, None)] * 2
+    rows += [(5, "same text of a few words here", None, "s", 1, 1, "x", 1)] * 3
+    rows += [(None, "same text of a few words here", None, "s", 1, 1, "x", 1)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def empty(docs):
+    return docs.where("doc_id < 0")
+
+
+def test_line_dedup_matches_sql(spark, docs, odd):
+    got = linededup.drop_site_lines(docs).select("doc_id", "text", "lang", "source", "n_chars", "lines_dropped").collect()
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text", "lang", "source", "n_chars").toArrow())
+    want = con.execute(linededup.oracle("documents")).fetchall()
+    assert sorted(map(tuple, got)) == sorted(want) and sum(r[5] for r in got) > 0
+    assert linededup.drop_site_lines(odd).count() == 6
+    assert linededup.drop_site_lines(empty(docs)).count() == 0
+
+
+def test_warc_round_trip(spark):
+    long = "<p>" + "x" * 200 + "</p>"
+    urls = ["http://a.example.org/x?y=1#z", None, "not a url", "https://B.example.org:8080/ü", "http://a.example.org/x?y=1"]
+    rows = [(i, urls[i % 5], [long, None, "", "short", "é" * 60, "u%d" % i * 40][i % 6], "clash") for i in range(40)]
+    rows += [(None, None, long, "n"), (0, urls[0], long, "again")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest string")
+    got = sorted(map(tuple, warc.archive_round_trip(pages).collect()), key=str)
+    want = []
+    first = {}
+    for i, _, html, _ in rows:
+        body = (html or "").encode()
+        if i is not None and len(body) >= 100:
+            first[body] = min(i, first.get(body, i))
+    count = {b: sum((r[2] or "").encode() == b for r in rows) for b in first}
+    for i, _, html, _ in rows:
+        body = (html or "").encode()
+        ref = first.get(body) if count.get(body, 0) > 1 else None
+        again = ref is not None and i != ref
+        want.append((i, len(body), hashlib.sha256(body).hexdigest(), "revisit" if again else "response", ref if again else None))
+    assert got == sorted(want, key=str)
+    assert warc.archive_round_trip(pages.where("page_id < 0")).count() == 0
+
+
+def test_surt(spark):
+    df = spark.createDataFrame([("http://User@WWW.Example.org:80/a?b=1#c",), ("https://x.org",), (None,)], "u string")
+    assert [r[0] for r in df.select(warc.surt(df.u)).collect()] == ["org,example,www)/a?b=1", "org,x)/", "-"]
+
+
+def brute_components(rows, k, num, den):
+    sets = {}
+    for i, t in rows:
+        w = WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+        sets[i] = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
+    label = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in itertools.combinations(sets, 2):
+            if sets[a] and sets[b] and den * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b]) and label[a] != label[b]:
+                label[a] = label[b] = min(label[a], label[b])
+                changed = True
+    return {i: (len(sets[i]), label[i]) for i in sets}
+
+
+@pytest.mark.parametrize("k,num", [(3, 90), (5, 80)])
+def test_ngram_join_matches_brute_force(spark, docs, texts, k, num):
+    got = {r[0]: (r[1], r[2]) for r in ngramjoin.jaccard_components(docs, k, num, 100).collect()}
+    assert got == brute_components(list(enumerate(texts)), k, num, 100)
+
+
+def test_ngram_join_family_of_near_copies(spark):
+    """Members that link only through others, and members that don't."""
+    rng = random.Random(5)
+    base = words(rng, 120).split(" ")
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for _ in range(i % 5):
+            w[rng.randrange(len(w))] = "e%d" % rng.randrange(10**6)
+        rows.append((i, " ".join(w)))
+    got = {r[0]: (r[1], r[2]) for r in ngramjoin.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, 100).collect()}
+    assert got == brute_components(rows, 3, 90, 100)
+
+
+def test_ngram_join_odd_rows(spark, docs, odd):
+    got = ngramjoin.jaccard_components(odd, 3, 90, 100).collect()
+    assert sorted(map(str, ((r[1], r[2]) for r in got))) == ["(0, None)"] * 2 + ["(4, 5)"] * 4 or len(got) == 6
+    assert ngramjoin.jaccard_components(empty(docs)).count() == 0
+    assert ngramjoin.one_per_component(odd).where("doc_id = 5").count() == 1
+
+
+def test_mix_meets_targets(spark, docs, texts, odd):
+    rows = mixing.mix(docs).collect()
+    sizes = {i: len(WORD.findall(t or "")) for i, t in enumerate(texts)}
+    assert {r.doc_id: r["size"] for r in rows} == sizes
+    per = {}
+    for r in rows:
+        s = per.setdefault(r.source, [0, 0, r.target])
+        s[0] += r["size"]
+        s[1] += r.taken
+        assert r.taken <= 3 * r["size"] and r.taken == sum(p["words"] for p in r.passes)
+    total = sum(s[0] for s in per.values())
+    weights = dict(zip(sorted(per, key=lambda x: (x is None, x or "")), itertools.cycle((5.0, 2.0, 1.0))))
+    target, capped = {}, set()
+    while True:
+        left = total - sum(3 * per[s][0] for s in capped)
+        free = sum(weights[s] for s in per if s not in capped)
+        target = {s: 3 * per[s][0] if s in capped else left * weights[s] / free for s in per}
+        over = {s for s in per if s not in capped and target[s] > 3 * per[s][0]}
+        if not over:
+            break
+        capped |= over
+    for s, (_, taken, t) in per.items():
+        assert t == pytest.approx(target[s]) and abs(taken - t) <= 1
+    assert sorted(map(str, mixing.mix(docs).collect())) == sorted(map(str, rows))
+    assert mixing.mix(odd).count() == 6 and mixing.mix(empty(docs)).count() == 0
+
+
+def test_shard_quotas_are_exact(spark):
+    upto = {r.s: r.upto for r in mixing.shard_quotas(spark.createDataFrame([(1, 37), (2, 0), (3, 11)], "s int, quota long"), 4).collect()}
+    assert {s: u[-1] for s, u in upto.items()} == {1: 37, 2: 0, 3: 11}
+    shards = [sum(u[k] - (u[k - 1] if k else 0) for u in upto.values()) for k in range(4)]
+    assert sorted(shards) == [12, 12, 12, 12]
+
+
+def test_mixed_rows_hold_the_words_taken(spark, docs):
+    out = mixing.mixed_rows(docs, mixing.mix(docs))
+    taken = sum(r.taken for r in mixing.mix(docs).collect())
+    assert sum(len(WORD.findall(r.text or "")) for r in out.collect()) == taken
+
+
+def ids_of(text):
+    t = Tokenizer.from_file(default_tokenizer())
+    t.encode_special_tokens = True
+    return np.array(t.encode(text or "", add_special_tokens=False).ids + [0], dtype="<u4")
+
+
+@pytest.mark.parametrize("which", ["local_search", "segment_tree"])
+def test_packing_is_lossless(spark, docs, texts, odd, which):
+    def run(df):
+        if which == "local_search":
+            return [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32, r.sequence_id, r.offset) for r in packing.best_fit_pack(df).collect()]
+        rows = tokenfiles.read_packed(tokenfiles.write_packed(df)).collect()
+        return [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32, (r.file, r.row), r.offset) for r in rows]
+
+    rows = run(docs)
+    ids = {i: ids_of(t) for i, t in enumerate(texts)}
+    assert {i: sum(r[3] for r in rows if r[0] == i) for i in ids} == {i: len(x) for i, x in ids.items()}
+    for i, piece, start, length, crc, _, _ in rows:
+        assert crc == zlib.crc32(ids[i][start : start + length].tobytes())
+        assert piece == 0 or length == 2048
+    for _, group in itertools.groupby(sorted(rows, key=lambda r: (r[5], r[6])), key=lambda r: r[5]):
+        at = 0
+        for r in group:
+            assert r[6] == at
+            at += r[3]
+        assert at <= 2048
+    assert len({r[5] for r in rows}) <= -(-sum(map(len, ids.values())) // 2048) + (1 if which == "local_search" else 3)
+    assert len(run(odd)) == 6 and run(empty(docs)) == []
+
+
+def test_local_search_empties_bins():
+    lengths = np.array([6, 6, 5, 5, 4, 4])  # 30 in bins of 10
+    bins = packing.local_search([[0, 4], [1], [2], [3, 5]], lengths, 10)
+    assert len(bins) == 3 and sorted(i for b in bins for i in b) == list(range(6))
+    assert all(lengths[b].sum() <= 10 for b in bins)
+
+
+def test_free_space_tree_finds_the_best_fit():
+    tree = tokenfiles.FreeSpaceTree(10)
+    for row, free in enumerate((3, 7, 10)):
+        tree.add(free, row)
+    assert tree.take(4) == (7, 1) and tree.take(4) == (10, 2) and tree.take(4) is None and tree.take(1) == (3, 0)
+
+
+def test_fingerprints(spark, docs, texts, odd):
+    rows = sorted(spotsigs.fingerprints(docs, 3).collect(), key=lambda r: r.doc_id)
+    plain = [t or "" for t in texts]
+    for i, r in enumerate(rows):
+        k = len(plain[i]) // 4
+        edited = plain[i][: len(plain[i]) - k] + plain[(i + 1) % len(plain)][:k]
+        assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and r.n_chars == len(plain[i])
+        a, b, c = ({x[j : j + 8] for j in range(0, len(x), 8)} for x in (r.fingerprint, r.edited_fingerprint, rows[(i + 1) % len(rows)].fingerprint))
+        assert r.near_edited == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
+        assert r.near_next == pytest.approx(len(a & c) / len(a | c) if a | c else 1.0)
+    seen = {}
+    assert all(seen.setdefault(t, r.fingerprint) == r.fingerprint for t, r in zip(plain, rows))
+    assert spotsigs.fingerprints(odd, 2).count() == 6 and spotsigs.fingerprints(empty(docs), 2).count() == 0
+
+
+def test_similar_pairs_match_brute_force(spark, docs):
+    sets = {}
+    for r in docs.select("doc_id", spotsigs.signatures(docs.text).alias("s")).collect():
+        if r.s:
+            key = tuple(r.s)
+            sets[key] = min(r.doc_id, sets.get(key, r.doc_id))
+    want = {tuple(sorted((sets[a], sets[b]))) for a, b in itertools.combinations(sets, 2)
+            if len(set(a) & set(b)) >= 0.8 * len(set(a) | set(b))}
+    assert {(r.a, r.b) for r in spotsigs.similar_pairs(docs).collect()} == want and want
+
+
+def test_toxicity_learns(spark, odd, docs):
+    rng = random.Random(9)
+    rows = [(i, words(rng, 60) + (" vile scum wretch" if i % 3 == 0 else "")) for i in range(600)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(600)] + [(None, 1), (3, None)], "doc_id long, toxic int")
+    df = spark.createDataFrame(rows + [(1000, None), (1001, "")], "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.toxicity(df, toxicity.train_labels(labels)).collect()}
+    held = [i for i in range(600) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum(got[i].predicted == int(i % 3 == 0) for i in held) / len(held) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got.values()) and len(got) == 602
+    assert toxicity.toxicity(odd, labels.limit(0)).where("predicted = 0").count() == 6
+
+
+def test_nearest_matches_brute_force(spark):
+    rng = np.random.default_rng(1)
+    base = rng.standard_normal((700, 16)).astype(np.float32)
+    base[50:350] = base[50]  # a common vector
+    rows = [(i, v.tolist()) for i, v in enumerate(base)]
+    rows += [(900, None), (1000, [0.0] * 16), (1100, [float("nan")] * 16), (1200, [1.0, None]), (None, rows[1][1]), (7, rows[7][1])]
+    got = {}
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    m, hit = base.astype(float), 0
+    assert set(got) == {0, 100, 200, 300, 400, 500, 600}
+    for q, found in got.items():
+        d = np.sqrt(((m - m[q]) ** 2).sum(1))
+        order = [i for i in np.lexsort((np.arange(len(m)), d)) if i != q][:10]
+        found = sorted(found)
+        assert [f[0] for f in found] == list(range(1, 11))
+        assert all(abs(d[i] - s) < 1e-12 for _, i, s in found)
+        hit += len(set(order) & {f[1] for f in found})
+    assert hit / 70 >= 0.9
+    few = spark.createDataFrame(rows[:4], "vec_id long, embedding array<float>")
+    assert ann.nearest(few).count() == 3 and ann.nearest(few.limit(0)).count() == 0
+
+
+def test_surrogates(spark, odd, docs):
+    rng = random.Random(4)
+    mails = ["ann.%02d@mail.example.com" % i for i in range(40)]
+    rows = [(i, "write %s or +1 (902) 555-1%03d, ip 10.0.0.%d, card 4111111111111111, Mrs Jane Doe met Mr Иван Петров; token = \"%040x\" password=%016x" % (rng.choice(mails), i, i, i, i)) for i in range(60)]
+    df = spark.createDataFrame(rows + [(None, None), (61, "")], "doc_id long, text string")
+    out = {r.doc_id: r for r in pii.replace_entities(df).collect()}
+    fw = {}
+    for i, t in rows:
+        new = out[i].text
+        assert "example.com" not in new and "4111111111111111" not in new and "Jane" not in new and "Иван" not in new
+        a, b = (re.search(r"write (\S+) or (\+1 \(\d{3}\) \d{3}-\d{4}), ip (\S+), card (\d{16}), Mrs (\w+ \w+) met Mr (\w+ \w+); token = \"(\w{40})\" password=(\w{16})", x).groups() for x in (t, new))
+        for x, y in zip(a, b):
+            assert fw.setdefault(x, y) == y  # one entity, one surrogate
+        assert b[4].split()[0] in pii.NAMES[("f", "latin")] and b[5].split()[0] in pii.NAMES[("m", "cyrillic")]
+        digits = [int(c) for c in reversed(b[3])]
+        assert sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(digits)) % 10 == 0
+    assert len(set(fw.values())) == len(fw) and not set(fw) & set(fw.values())
+    assert out[None].entities == 0 and out[61].text == ""
+    assert pii.replace_entities(odd).count() == 6 and pii.replace_entities(empty(docs)).count() == 0
