@@ -42,6 +42,7 @@ def _parser() -> argparse.ArgumentParser:
     c = sub.add_parser("corrupt", help="replace a layer's batch with corrupt rows")
     c.add_argument("layer", choices=["landing", "bronze", "silver"])
     r = sub.add_parser("run", help="run the gated steps and the gold mart")
+    r.add_argument("--max-sales-rows", type=int, default=None, help="upper bound of the sales row-count gate (default: none)")
     r.add_argument("--steps", nargs="*", default=None, help="step names (default: all)")
     sub.add_parser("ingest", help="copy landing batches to Parquet with lineage columns")
     sub.add_parser("dashboard", help="print the KPIs of the date's mart")
@@ -72,7 +73,7 @@ def main(argv: list[str] | None = None) -> int:
          "silver": generate.corrupt_silver}[args.layer](spark, lake, args.date)
         return 0
     if args.job == "run":
-        steps = medallion.ALL_STEPS
+        steps = medallion.build_steps(max_sales_rows=args.max_sales_rows)
         if args.steps:
             steps = tuple(s for s in steps if s.name in set(args.steps))
         code = 0

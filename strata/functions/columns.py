@@ -34,32 +34,16 @@ def round_half_away(c: Column | str, scale: int = 2) -> Column:
     )
 
 
-def to_cents(c: Column | str) -> Column:
-    """Price in whole cents (LONG), ties away from zero; NULL/NaN give NULL."""
-    x = col(c)
-    half_up = F.floor(F.abs(x) * F.lit(100.0) + F.lit(0.5))
-    return F.when(F.isnan(x), F.lit(None).cast(T.LongType())).otherwise(
-        F.when(x < F.lit(0), -half_up).otherwise(half_up)
-    )
-
-
-def mean_of_cents(total: str, cents: str, n: str) -> Column:
-    """Exact mean of values summed as whole cents, rounded to the cent
-    (ties away from zero), as a DOUBLE. Arguments are column names.
+def mean_ticket(total: str, n: str) -> Column:
+    """Mean of ``n`` unrounded prices with sum ``total``, rounded to the cent.
 
-    The cents sum is an exact LONG, so the result does not depend on the
-    order in which partitions were added up (a double sum does, and at an
-    exact half-cent tie that decides the rounding). The rounding uses
-    integral division (``div``), exact at any magnitude. ``total`` is the
-    double sum of the same values: when it is NaN or infinite it is passed
-    through as a plain average would be.
+    The mean is first rounded to nine decimals, which removes the trace that
+    the order of a double sum leaves, so a half-cent tie rounds the same way
+    however the rows were partitioned. NaN, infinite and huge means are
+    passed through, as a plain average would give them.
     """
-    rounded = F.expr(f"(2 * abs(`{cents}`) + `{n}`) div (2 * `{n}`)")
-    signed = F.when(F.col(cents) < F.lit(0), -rounded).otherwise(rounded)
-    exact = signed.cast(T.DoubleType()) / F.lit(100.0)
-    t, k = F.col(total), F.col(n)
-    passthrough = F.isnan(t) | (F.abs(t) == F.lit(float("inf")))
-    return F.when(k > F.lit(0), F.when(passthrough, t / k.cast(T.DoubleType())).otherwise(exact))
+    mean = F.col(total) / F.col(n).cast(T.DoubleType())
+    return F.when(F.col(n) > F.lit(0), round_half_away(round_half_away(mean, 9), 2))
 
 
 def integral_from_text(c: Column | str, dtype: T.DataType = T.LongType()) -> Column:

@@ -64,6 +64,8 @@ class Expectation:
             raise TypeError(f"{self.type} needs a column")
         if self.type == MATCH_REGEX and self.regex is None:
             raise TypeError(f"{self.type} needs a regex")
+        if self.type in (BETWEEN, ROW_COUNT_BETWEEN) and self.min_value is None and self.max_value is None:
+            raise TypeError(f"{self.type} needs a bound")
         if not 0.0 <= self.mostly <= 1.0:
             raise TypeError("mostly must lie in [0, 1]")
 

@@ -44,9 +44,16 @@ def _verdict(suite: Suite, rows: list) -> GateResult:
     return GateResult(suite.name, all(bool(r["success"]) for r in results), results)
 
 
+def root_cause(err: BaseException) -> str:
+    """The message that says why: the innermost ``Caused by`` of a JVM error,
+    else the first line."""
+    lines = str(err).strip().splitlines()
+    causes = [x.strip()[len("Caused by:") :].strip() for x in lines if x.strip().startswith("Caused by:")]
+    return causes[-1] if causes else lines[0] if lines else type(err).__name__
+
+
 def technical_failure(suite: Suite, err: BaseException) -> GateResult:
-    text = str(err).strip().splitlines()[0] if str(err).strip() else type(err).__name__
-    return GateResult(suite.name, False, (), f"Technical validation failure: {text}")
+    return GateResult(suite.name, False, (), f"Technical validation failure: {root_cause(err)}")
 
 
 def check_suite(df: DataFrame, suite: Suite) -> GateResult:

@@ -1,9 +1,9 @@
 """Gold mart and the KPI aggregates read from it.
 
 ``sales_summary`` is revenue by (region, sale_month) over silver sales left
-joined to silver customers. The plan depends on the size of the customers
-side, checked against ``spark.sql.autoBroadcastJoinThreshold`` from the
-optimizer's size estimate:
+joined to silver customers. The plan depends on the customers' row count,
+measured on the silver table (a metadata count for Parquet), times the width
+of a row as it is broadcast; compressed file sizes say nothing about that:
 
 * under the threshold, customers are broadcast: sales are joined where
   they are read and summed straight to (region, month); sales are never
@@ -20,9 +20,7 @@ present k times joins once and scales its sums by k, which is what the
 k-fold fan-out of the plain left join adds up to, without emitting the
 pairs. Sums and counts are distributive and the average is carried as
 (sum, count), so both plans equal join-then-aggregate, including the fan-out
-over duplicate customer rows and the NULL region of unmatched sales. Adaptive
-execution may still turn the shuffle join into a broadcast at run time
-when the customers side turns out small.
+over duplicate customer rows and the NULL region of unmatched sales.
 """
 
 from __future__ import annotations
@@ -31,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.columns import mean_of_cents, month_start, to_cents
+from strata.functions.columns import mean_ticket, month_start
 
 
 def _customer_regions(silver_customers: DataFrame) -> DataFrame:
@@ -85,30 +83,14 @@ def enrich_sales(silver_sales: DataFrame, silver_customers: DataFrame) -> DataFr
     )
 
 
-def _size_estimate(df: DataFrame) -> int | None:
-    """Optimizer's size estimate of ``df`` in bytes (None if unavailable)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
+# Bytes of a broadcast customer row: id, region text, count and row header.
+BROADCAST_ROW_BYTES = 96
+MAX_BROADCAST_BYTES = 10 << 20
 
 
-def _broadcast_threshold(df: DataFrame) -> int:
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760") or "-1"
-    raw = raw.strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if raw.endswith(suffix) and raw[: -len(suffix)].strip().lstrip("-").isdigit():
-            return int(raw[: -len(suffix)]) * units[suffix]
-    return int(raw)
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when the optimizer's estimate of ``df`` is under the broadcast
-    threshold (a threshold of -1 disables broadcasting)."""
-    threshold = _broadcast_threshold(df)
-    size = _size_estimate(df)
-    return threshold >= 0 and size is not None and size <= threshold
+def fits_broadcast(silver_customers: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """True when the customers' measured row count bounds the broadcast side."""
+    return silver_customers.count() * BROADCAST_ROW_BYTES <= max_bytes
 
 
 def _summary(grouped: DataFrame, ordered: bool = True) -> DataFrame:
@@ -117,7 +99,7 @@ def _summary(grouped: DataFrame, ordered: bool = True) -> DataFrame:
         F.col("sale_month"),
         F.col("total_revenue"),
         F.col("total_orders").cast(T.LongType()).alias("total_orders"),
-        mean_of_cents("total_revenue", "cents", "priced").alias("avg_ticket"),
+        mean_ticket("total_revenue", "priced").alias("avg_ticket"),
     )
     return out.orderBy(F.desc_nulls_last("total_revenue")) if ordered else out
 
@@ -132,13 +114,12 @@ def sales_summary(
     ``strategy``: ``auto`` (by the size check), ``broadcast`` or
     ``pre_aggregate``. ``ordered=False`` leaves out the final sort, for
     consumers that aggregate the mart again (the KPIs): Spark keeps a sort
-    under a double sum, which would cost a range shuffle for nothing. ``avg_ticket`` is the exact mean of the prices in
-    cents, rounded half away from zero, so it is the same whatever the
-    partitioning; a double average is not, at exact half-cent ties.
+    under a double sum, which would cost a range shuffle for nothing. ``avg_ticket`` is the mean of the
+    unrounded prices, carried as (sum, count) and rounded at the end.
     """
     copies = region_copies(silver_customers)
     if strategy == "auto":
-        strategy = "broadcast" if fits_broadcast(copies) else "pre_aggregate"
+        strategy = "broadcast" if fits_broadcast(silver_customers) else "pre_aggregate"
     # unmatched sales (no customer row) count once, in the NULL region
     m = F.coalesce(F.col("copies"), F.lit(1).cast(T.LongType()))
     if strategy == "broadcast":
@@ -150,7 +131,6 @@ def sales_summary(
             F.sum(F.col("price") * m).alias("total_revenue"),
             F.sum(F.when(F.col("id").isNotNull(), m).otherwise(F.lit(0))).alias("total_orders"),
             F.sum(F.when(F.col("price").isNotNull(), m).otherwise(F.lit(0))).alias("priced"),
-            F.sum(to_cents("price") * m).alias("cents"),
         )
         return _summary(grouped, ordered)
     if strategy != "pre_aggregate":
@@ -161,14 +141,12 @@ def sales_summary(
         F.sum("price").alias("revenue"),
         F.count("id").alias("orders"),
         F.count("price").alias("priced"),
-        F.sum(to_cents("price")).alias("cents"),
     )
-    joined = per_customer_month.join(copies, on="customer_id", how="left")
+    joined = per_customer_month.join(copies.hint("merge"), on="customer_id", how="left")
     grouped = joined.groupBy("region", "sale_month").agg(
         F.sum(F.col("revenue") * m).alias("total_revenue"),
         F.sum(F.col("orders") * m).alias("total_orders"),
         F.sum(F.col("priced") * m).alias("priced"),
-        F.sum(F.col("cents") * m).alias("cents"),
     )
     return _summary(grouped, ordered)
 
@@ -194,7 +172,6 @@ def sales_summary_direct(silver_sales: DataFrame, silver_customers: DataFrame) -
         F.sum("sale_value").alias("total_revenue"),
         F.count("id").alias("total_orders"),
         F.count("sale_value").alias("priced"),
-        F.sum(to_cents("sale_value")).alias("cents"),
     )
     return _summary(grouped)
 

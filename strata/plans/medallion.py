@@ -29,13 +29,14 @@ from strata.sources.schemas import (
     SILVER_SALES,
 )
 
-# Gate parameters of the four steps.
+# Gate parameters of the four steps. The upper row bound holds
+# only where a caller asks for it (``max_sales_rows``).
 MAX_SALES_BATCH_ROWS = 2_000_000
 EMAIL_PATTERN = r"[^@]+@[^@]+\.[^@]+"
 PRICE_BOUNDS = (0, 10_000)
 
 def build_steps(
-    max_sales_rows: int = MAX_SALES_BATCH_ROWS,
+    max_sales_rows: int | None = None,
     email_pattern: str = EMAIL_PATTERN,
     price_bounds: tuple[float, float] = PRICE_BOUNDS,
 ) -> tuple[Step, ...]:
@@ -183,7 +184,7 @@ def run_medallion(
             first = first or failed
         except Exception as err:
             text = str(err).strip().splitlines()[0] if str(err).strip() else type(err).__name__
-            results.append(StepResult(run_id=run_id or "", step=step.name, execution_date=execution_date,
+            results.append(getattr(err, "step_result", None) or StepResult(run_id=run_id or "", step=step.name, execution_date=execution_date,
                                       status="failed", error=text))
             broken.add(step.name)
             first = first or err

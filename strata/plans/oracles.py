@@ -45,9 +45,13 @@ ENRICHED = (
 )
 GOLD = (
     "SELECT region, sale_month, sum(sale_value) AS total_revenue, count(id) AS total_orders, "
-    "CAST((2 * sum(cents) + count(cents)) // (2 * count(cents)) AS DOUBLE) / 100 AS avg_ticket "
-    f"FROM (SELECT *, CAST(round(sale_value * 100) AS BIGINT) AS cents FROM ({ENRICHED})) "
-    "GROUP BY region, sale_month"
+    f"round(round(avg(sale_value), 9), 2) AS avg_ticket FROM ({ENRICHED}) GROUP BY region, sale_month"
+)
+# a landing line: every 4th carries two extra fields, every 7th is no CSV row of the schema
+RAW_LINE = (
+    "CASE WHEN o_orderkey % 7 = 0 THEN concat('garbage \"', CAST(o_orderkey AS VARCHAR)) "
+    "WHEN o_orderkey % 4 = 0 THEN concat(CAST(o_orderkey AS VARCHAR), ',1,2.5,x,2024-01-01,extra,fields') "
+    "ELSE concat(CAST(o_orderkey AS VARCHAR), ',1,2.5,x,2024-01-01') END"
 )
 FS = (
     f"SELECT CASE WHEN o_orderkey % {_NULL_ID} = 0 THEN NULL ELSE o_orderkey END AS id, o_custkey AS customer_id, "
@@ -153,7 +157,7 @@ ORACLES: dict[str, str] = {
         f"SELECT region, CAST(sum(total_orders) AS BIGINT) AS total_orders FROM ({GOLD}) GROUP BY region"
     ),
     "passthrough": "SELECT * FROM customer",
-    "sql_transform": BRONZE_S,
+    "sql_transform": f"SELECT * FROM ({BRONZE_S}) WHERE id >= 100 OR id IS NULL",
     "csv_roundtrip": BRONZE_S,
     "json_roundtrip": BRONZE_C,
     "parquet_roundtrip": SILVER_S,
@@ -188,15 +192,24 @@ ORACLES: dict[str, str] = {
     "quarantine_source": (
         f"SELECT CAST(CASE WHEN c_custkey % {_ORPHAN} = 0 THEN NULL ELSE c_custkey END AS VARCHAR) AS id, "
         "c_name AS name, concat(lower(c_name), '@example.com') AS email, CAST(c_nationkey AS VARCHAR) AS city, "
-        f"lower(c_mktsegment) AS state, CAST(NULL AS VARCHAR) AS created_at, DATE '{BATCH_DATE}' AS dt, "
+        f"lower(c_mktsegment) AS state, DATE '{BATCH_DATE}' AS dt, "
         "'source_fail_stg_customers_bronze' AS reason FROM customer"
     ),
+    "quarantine_raw_lines": (
+        f"SELECT {RAW_LINE} AS raw_line, 'source_fail_stg_sales_bronze' AS reason FROM orders "
+        "UNION ALL SELECT 'id,customer_id,price,product,date', 'source_fail_stg_sales_bronze'"
+    ),
+    "json_mixed_layout": "SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation FROM customer",
+    "gold_fractional_prices": (
+        "SELECT region, sale_month, round(sum(sale_value), 2) AS total_revenue, count(id) AS total_orders, "
+        "round(round(avg(sale_value), 9), 2) AS avg_ticket FROM (SELECT id, region, sale_month, "
+        f"sale_value * CAST(0.9 AS DOUBLE) / 7 AS sale_value FROM ({ENRICHED})) GROUP BY region, sale_month"
+    ),
     "medallion_gold": (
         "SELECT region, sale_month, round(sum(sale_value), 2) AS total_revenue, count(id) AS total_orders, "
-        "CAST((2 * sum(cents) + count(cents)) // (2 * count(cents)) AS DOUBLE) / 100 AS avg_ticket "
+        "round(round(avg(sale_value), 9), 2) AS avg_ticket "
         "FROM (SELECT s.id, s.price AS sale_value, c.uf AS region, "
-        "CAST(date_trunc('month', s.sale_date) AS DATE) AS sale_month, "
-        "CAST(round(s.price * 100) AS BIGINT) AS cents "
+        "CAST(date_trunc('month', s.sale_date) AS DATE) AS sale_month "
         f"FROM ({SILVER_S}) s LEFT JOIN ({SILVER_C}) c ON s.customer_id = c.customer_id) "
         "GROUP BY region, sale_month"
     ),

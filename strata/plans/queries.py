@@ -169,16 +169,15 @@ def q_passthrough(spark: SparkSession, sf: str) -> DataFrame:
     return apply_transform(spark, None, {"source_data": table(spark, sf, "customer")})
 
 
-# Fixed value: the bronze sales transform written as SQL text over the
-# bound source (a step may carry SQL text instead of a DataFrame function).
-BRONZE_SALES_SQL = (
-    "SELECT id, customer_id, product, CAST(price AS DOUBLE) AS price, CAST(date AS DATE) AS sale_date "
-    "FROM {source_data}"
-)
+# The bronze sales step as SQL text over the bound source, with a bound parameter.
+BRONZE_SALES_SQL = """
+    SELECT id, customer_id, product, CAST(price AS DOUBLE) AS price, to_date(date) AS sale_date
+    FROM {source_data} WHERE id >= :first_id OR id IS NULL
+"""
 
 
 def q_sql_transform(spark: SparkSession, sf: str) -> DataFrame:
-    return apply_transform(spark, BRONZE_SALES_SQL, {"source_data": landing_sales(spark, sf)})
+    return apply_transform(spark, BRONZE_SALES_SQL, {"source_data": landing_sales(spark, sf)}, {"first_id": 100})
 
 
 def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -368,7 +367,50 @@ def q_quarantine_source(spark: SparkSession, sf: str) -> DataFrame:
         run_step(spark, medallion.CUSTOMERS_BRONZE, BATCH_DATE, lake)
     except GateFailed:
         pass
-    return read_table(spark, lake.quarantine_root, "parquet", execution_date=BATCH_DATE)
+    kept = read_table(spark, lake.quarantine_root, "parquet", execution_date=BATCH_DATE)
+    fields = F.from_json("raw_line", "id string, name string, email string, city string, state string")
+    return kept.select(fields.alias("r"), "dt", "reason").select("r.*", "dt", "reason")
+
+
+def q_quarantine_raw_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """A sales CSV with extra fields and broken lines: every line of the
+    batch, the header included, is in quarantine as it was."""
+    key = F.col("o_orderkey")
+    row = F.concat(key.cast("string"), F.lit(",1,2.5,x,2024-01-01"))
+    line = (
+        F.when(key % 7 == 0, F.concat(F.lit('garbage "'), key.cast("string")))
+        .when(key % 4 == 0, F.concat(row, F.lit(",extra,fields")))
+        .otherwise(row)
+    )
+    head = spark.range(1).select(F.lit("id,customer_id,price,product,date").alias("value"))
+    lake = Lake(scratch_path(spark, "lake"))
+    lines = head.union(table(spark, sf, "orders").select(line.alias("value")))
+    lines.coalesce(1).write.text(lake.paths(BATCH_DATE)["sales_landing"])
+    try:
+        run_step(spark, medallion.SALES_BRONZE, BATCH_DATE, lake)
+    except GateFailed:
+        pass
+    return read_table(spark, lake.quarantine_root, "parquet", execution_date=BATCH_DATE).select("raw_line", "reason")
+
+
+def q_json_mixed_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """One batch of array files and line files, all rows read."""
+    c = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation")
+    )
+    path = scratch_path(spark, "mixed-json")
+    c.where("id % 2 = 0").write.json(f"{path}/lines")
+    text = F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct("id", "name", "nation"))), ","), F.lit("]"))
+    by_file = c.where("id % 2 <> 0").groupBy(F.floor(F.col("id") / 500)).agg(text.alias("value"))
+    by_file.select("value").repartition(4).write.option("maxRecordsPerFile", "1").text(f"{path}/arrays")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("nation", T.IntegerType())])
+    return read_batch(spark, path, "json", schema, {"recursiveFileLookup": "true"})
+
+
+def q_gold_fractional_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """The mart over prices with fractions of a cent."""
+    sales = _silver_sales(spark, sf).withColumn("price", F.col("price") * F.lit(0.9) / F.lit(7))
+    return _cents(marts.sales_summary(sales, _silver_customers_with_orphans(spark, sf)), "total_revenue")
 
 
 def _order_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -484,6 +526,9 @@ QUERIES: dict[str, QueryFn] = {
     "gate_suite": q_gate_suite,
     "quarantine_batch": q_quarantine_batch,
     "quarantine_source": q_quarantine_source,
+    "quarantine_raw_lines": q_quarantine_raw_lines,
+    "json_mixed_layout": q_json_mixed_layout,
+    "gold_fractional_prices": q_gold_fractional_prices,
     "medallion_gold": q_medallion_gold,
     "run_metrics": q_run_metrics,
     "fault_landing_sales": q_fault_landing_sales,

@@ -45,11 +45,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.expectations import ROWS, Expectation, Suite, metric_columns
-from strata.operators.gates import GateResult, check_suite, technical_failure, verdict_from_metrics
+from strata.operators.gates import GateResult, check_suite, technical_failure, verdict_from_metrics, root_cause
 from strata.sources import fs, snapshot
 from strata.sources.io import read_batch, table_format, write_batch
 from strata.sources.paths import Lake, check_date, render_path
-from strata.sources.schemas import GATE_RESULTS, RUN_LOG, all_strings
+from strata.sources.schemas import GATE_RESULTS, RUN_LOG
 
 log = logging.getLogger("strata.steps")
 
@@ -124,6 +124,14 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
+def load_sql(spark: SparkSession, path: str) -> str:
+    """The SQL text of a step from a file on any file system."""
+    text = fs.read_text(spark, path)
+    if text is None:
+        raise FileNotFoundError(path)
+    return text
+
+
 def apply_transform(
     spark: SparkSession,
     transform: Transform,
@@ -132,8 +140,7 @@ def apply_transform(
 ) -> DataFrame:
     """Run the step transform over the named source frames.
 
-    SQL text may use ``{name}`` placeholders (bound as DataFrame arguments)
-    or the bare view name ``source_data`` for a single-source step; scalar
+    SQL text may use ``{name}`` placeholders for the sources or the bare view name ``source_data`` for a single-source step; scalar
     values are bound as named parameters (``:name``) from ``args``.
     """
     if transform is None:
@@ -146,10 +153,9 @@ def apply_transform(
         return transform(**frames)
     text = str(transform)
     params = dict(args) if args else None
-    if "{" in text:
-        return spark.sql(text, args=params, **frames)
-    for name, df in frames.items():
+    for name, df in frames.items():  # other braces, as in regular expressions, stay
         df.createOrReplaceTempView(name)
+        text = text.replace("{" + name + "}", name)
     return spark.sql(text, args=params)
 
 
@@ -165,18 +171,24 @@ def _drop_staging(spark: SparkSession, staged: str, fmt: str) -> None:
     fs.delete(spark, staged if fmt == "snapshot" else staged.rsplit("/", 1)[0])
 
 
-# Versions of a snapshot table kept after a publish: the live one and the
-# one before it (a reader may still be scanning the previous version).
-SNAPSHOT_VERSIONS_KEPT = 2
-
-
 def _publish(spark: SparkSession, staged: str, target_path: str, fmt: str, run_id: str) -> None:
     if fmt == "snapshot":
         snapshot.publish(spark, target_path, run_id)
-        snapshot.vacuum(spark, target_path, keep=SNAPSHOT_VERSIONS_KEPT)
         return
-    fs.delete(spark, target_path)
-    fs.rename(spark, staged, target_path)
+    if fmt == "delta":  # the table format replaces its contents and keeps its history
+        write_batch(read_batch(spark, staged, fmt), target_path, fmt)
+        _drop_staging(spark, staged, fmt)
+        return
+    # the old batch is set aside, never deleted before the new one is in place
+    aside = f"{staged}.old"
+    if fs.exists(spark, target_path):
+        fs.rename(spark, target_path, aside)
+    try:
+        fs.rename(spark, staged, target_path)
+    except Exception:
+        if fs.exists(spark, aside) and not fs.exists(spark, target_path):
+            fs.rename(spark, aside, target_path)
+        raise
     _drop_staging(spark, staged, fmt)
 
 
@@ -205,13 +217,12 @@ def publish_batch(
 
 
 def _read_for_quarantine(spark: SparkSession, path: str, endpoint: Endpoint) -> DataFrame:
-    """Read a batch so that it can always be copied: text formats as text."""
+    """Read a batch so that all of it can be copied: text formats line by
+    line, as they are (``raw_line``), with the name of each line's file."""
     fmt = table_format(spark, endpoint.format)
-    opts = {**endpoint.options, "mode": "PERMISSIVE"}
-    if fmt == "csv":
-        return spark.read.options(**{"header": "true", **opts}).csv(path)
-    if fmt == "json" and endpoint.schema is not None:
-        return read_batch(spark, path, fmt, all_strings(endpoint.schema), opts)
+    if fmt in ("csv", "json"):
+        lines = spark.read.text(path)
+        return lines.select(F.col("value").alias("raw_line"), F.col("_metadata.file_name").alias("source_file"))
     return read_batch(spark, path, fmt, endpoint.schema, endpoint.options)
 
 
@@ -387,7 +398,7 @@ def _run_step(
     except Exception as err:
         if src_suite:
             fail_source(technical_failure(src_suite, err))
-        finish("failed", _first_line(err))
+        err.step_result = finish("failed", _first_line(err))
         raise
 
     # rows_in: folded into the source observation when the source is gated
@@ -429,7 +440,7 @@ def _run_step(
     except GateFailed:
         raise
     except Exception as err:
-        finish("failed", _first_line(err))
+        err.step_result = finish("failed", _first_line(err))
         raise
     obs_out = Observation(f"out_{step.name}_{uuid.uuid4().hex[:8]}")
     try:
@@ -440,7 +451,7 @@ def _run_step(
             gate = check_suite(frames[primary], src_suite)
             if not gate.success:
                 fail_source(gate)
-        finish("failed", _first_line(err))
+        err.step_result = finish("failed", _first_line(err))
         raise
 
     if obs_in is not None:
@@ -470,16 +481,15 @@ def _run_step(
     try:
         _publish(spark, staged, target_path, fmt, run_id)
     except Exception as err:
-        # the staged output is left in place: a rerun replaces it, or it can
-        # be moved by hand
-        finish("failed", f"publish failed: {_first_line(err)}; staged at {staged}")
+        # the staged output is left in place, to be moved by hand; a rerun
+        # writes its own
+        err.step_result = finish("failed", f"publish failed: {_first_line(err)}; staged at {staged}")
         raise
     return finish("success")
 
 
 def _first_line(err: BaseException) -> str:
-    text = str(err).strip()
-    return text.splitlines()[0] if text else type(err).__name__
+    return root_cause(err)
 
 
 def _describe(gate: GateResult) -> str:

@@ -32,6 +32,9 @@ PIPELINE_CONF: dict[str, str] = {
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
 
+# Without these, casts and dates silently give other results.
+REQUIRED = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")
+
 
 def build_session(
     master: str | None = None,
@@ -60,7 +63,8 @@ def apply_pipeline_conf(spark: SparkSession) -> None:
         try:
             spark.conf.set(key, value)
         except Exception:  # static conf on a shared session: keep the cluster's value
-            pass
+            if key in REQUIRED and spark.conf.get(key, "").lower() != value.lower():
+                raise
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -74,6 +78,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
         spark.sparkContext.setCheckpointDir(configured)

@@ -93,29 +93,12 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def first_data_file(spark: SparkSession, path: str) -> str | None:
-    """Path of the first visible data file under ``path`` (or ``path``)."""
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in ``path`` (empty if it does not exist)."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
-        return None
-    if fs.isFile(p):
-        return str(p.toString())
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        found = it.next().getPath()
-        if not found.getName().startswith(("_", ".")):
-            return str(found.toString())
-    return None
-
-
-def head_bytes(spark: SparkSession, path: str, n: int = 256) -> bytes:
-    """The first ``n`` bytes of a file (fewer if it is shorter)."""
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        return bytes(stream.readNBytes(n))
-    finally:
-        stream.close()
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isFile()]
 
 
 def list_dirs(spark: SparkSession, path: str) -> list[str]:

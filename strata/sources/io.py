@@ -1,8 +1,7 @@
 """Readers and writers, one dispatch per format.
 
 Formats: ``csv`` (header line; columns matched by name), ``json`` (one
-object per line, or one array per file: detected from the first file unless
-``multiLine`` is given), ``parquet``,
+object per line, or one array per file, also mixed in one batch), ``parquet``,
 ``delta`` (when the data source is on the class path) and ``snapshot``
 (our pointer-versioned Parquet table, the stand-in for ``delta``).
 Unknown formats raise.
@@ -12,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,12 +51,17 @@ def read_batch(
     schema: T.StructType | None = None,
     options: Mapping[str, str] | None = None,
     file_name_column: str | None = None,
+    extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Read one batch (a folder or file) in the given format.
 
     ``file_name_column`` adds the base name of each row's file, taken from
-    the scan's hidden ``_metadata`` column.
+    the scan's hidden ``_metadata`` column; ``extra`` adds columns that a CSV
+    or JSON scan computes from it.
     """
+    extra = dict(extra or {})
+    if file_name_column:
+        extra[file_name_column] = F.col("_metadata.file_name")
     fmt = table_format(spark, fmt)
     opts = dict(options or {})
     if fmt == "snapshot":
@@ -71,7 +75,7 @@ def read_batch(
         opts.setdefault("mode", "FAILFAST")
         if schema is None:
             opts.setdefault("inferSchema", "true")
-            return _with_file_name(reader.options(**opts).csv(path), file_name_column)
+            return reader.options(**opts).csv(path).select("*", *[c.alias(n) for n, c in extra.items()])
         # Columns are matched to the header by name, as text, then cast
         # strictly: a declared CSV schema would be applied by position. The
         # header of the first file names the columns; every other file's
@@ -81,44 +85,59 @@ def read_batch(
         as_text = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
         text = spark.read.schema(as_text).options(**{**opts, "enforceSchema": "false"}).csv(path)
         cols = [_from_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields]
-        if file_name_column:
-            cols.append(F.col("_metadata.file_name").alias(file_name_column))
-        return text.select(*cols)
+        return text.select(*cols, *[c.alias(n) for n, c in extra.items()])
     if fmt == "json":
-        if not any(k.lower() == "multiline" for k in opts):
-            opts["multiLine"] = "true" if json_is_array(spark, path) else "false"
-        opts.setdefault("mode", "FAILFAST")
-        if schema is not None and any(_integral(f.dataType) for f in schema.fields):
-            # integral fields are read as their JSON text, so 1011.0 is accepted
-            as_text = T.StructType(
-                [T.StructField(f.name, T.StringType(), True) if _integral(f.dataType) else f for f in schema.fields]
-            )
-            raw = spark.read.schema(as_text).options(**opts).json(path)
-            cols = [
-                (_from_text(F.col(f"`{f.name}`"), f.dataType) if _integral(f.dataType) else F.col(f"`{f.name}`")).alias(
-                    f.name
-                )
-                for f in schema.fields
-            ]
-            if file_name_column:
-                cols.append(F.col("_metadata.file_name").alias(file_name_column))
-            return raw.select(*cols)
-        df = reader.options(**opts).json(path)
-    elif fmt == "delta":
+        declared = next((str(opts.pop(k)).lower() == "true" for k in list(opts) if k.lower() == "multiline"), None)
+        arrays, others = json_layouts(spark, path, opts) if declared is not False else ([], [path])
+        if declared and others:
+            raise ValueError(f"{others[0]} does not hold one JSON array; it would lose records as multiLine")
+        parts = [
+            _read_json(spark, files, schema, {"mode": "FAILFAST", **opts, "multiLine": multi}, extra)
+            for files, multi in ((others, "false"), (arrays, "true"))
+            if files
+        ]
+        if not parts:
+            parts = [_read_json(spark, [path], schema, {**opts, "multiLine": "false"}, extra)]
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=schema is None)
+    if fmt == "delta":
         df = reader.options(**opts).format("delta").load(path)
     else:
         df = reader.options(**opts).parquet(path)
     return _with_file_name(df, file_name_column)
 
 
-def json_is_array(spark: SparkSession, path: str) -> bool:
-    """Whether the batch's first file holds one JSON array (read whole, one
-    task per file) rather than one JSON object per line (splittable)."""
-    first = fs.first_data_file(spark, path)
-    if first is None:
-        return False
-    head = fs.head_bytes(spark, first).decode("utf-8", "ignore").lstrip("\ufeff \t\r\n")
-    return head.startswith("[")
+def _read_json(
+    spark: SparkSession, paths: list[str], schema: T.StructType | None, opts: Mapping[str, str], extra: Mapping[str, Column]
+) -> DataFrame:
+    """JSON files of one layout."""
+    if schema is not None:
+        # integral fields are read as their JSON text, so 1011.0 is accepted
+        as_text = T.StructType(
+            [T.StructField(f.name, T.StringType(), True) if _integral(f.dataType) else f for f in schema.fields]
+        )
+        raw = spark.read.schema(as_text).options(**opts).json(paths)
+        cols = [
+            (_from_text(F.col(f"`{f.name}`"), f.dataType) if _integral(f.dataType) else F.col(f"`{f.name}`")).alias(f.name)
+            for f in schema.fields
+        ]
+        return raw.select(*cols, *[c.alias(n) for n, c in extra.items()])
+    return spark.read.options(**opts).json(paths).select("*", *[c.alias(n) for n, c in extra.items()])
+
+
+def json_layouts(spark: SparkSession, path: str, options: Mapping[str, str] | None = None) -> tuple[list[str], list[str]]:
+    """The batch's files by layout: those that hold one JSON array (read
+    whole, one task per file) and those with one object per line (splittable).
+
+    A file is an array if one of its lines starts with a bracket; Spark scans
+    the lines, however many blanks come first. The scan is saved by declaring
+    ``multiLine`` false.
+    """
+    where = {k: v for k, v in (options or {}).items() if k in ("recursiveFileLookup", "pathGlobFilter")}
+    lines = spark.read.options(**where).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^[\\s\ufeff]+", "").alias("line")
+    )
+    found = lines.groupBy("file").agg(F.max(F.col("line").startswith("[").cast("int")).alias("array")).collect()
+    return [r["file"] for r in found if r["array"]], [r["file"] for r in found if not r["array"]]
 
 
 def _integral(dtype: T.DataType) -> bool:
@@ -143,19 +162,25 @@ def read_table(
 ) -> DataFrame:
     """Read a ``dt=``-partitioned table root; ``dt`` becomes a column.
 
-    With ``execution_date`` the filter on ``dt`` is a partition filter:
-    only that directory is listed and scanned.
+    With ``execution_date`` only that date's folder is listed and scanned.
+    CSV and JSON go through ``read_batch``, with headers and strict types.
     """
     fmt = table_format(spark, fmt)
     if fmt == "snapshot":
         return _read_snapshot_table(spark, table_root, execution_date, schema)
-    reader = spark.read.option("basePath", table_root)
+    root = table_root.rstrip("/")
+    where = f"{root}/dt={execution_date}" if execution_date is not None else root
+    if fmt in ("csv", "json"):
+        day = F.regexp_extract(F.col("_metadata.file_path"), r"/dt=([^/]+)/", 1).cast(T.DateType())
+        opts = {"recursiveFileLookup": "true"}
+        df = read_batch(spark, where, fmt, schema, opts, file_name_column=None, extra={"dt": day})
+        return df
+    reader = spark.read.option("basePath", root)
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.format(fmt).load(table_root)
-    if execution_date is not None:
-        df = df.where(F.col("dt") == F.lit(execution_date).cast("date"))
-    return df
+    if execution_date is not None and not fs.exists(spark, where):  # no such date: no rows
+        return reader.format(fmt).load(root).where(F.col("dt") == F.lit(execution_date).cast("date"))
+    return reader.format(fmt).load(where)
 
 
 def _read_snapshot_table(

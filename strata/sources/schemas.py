@@ -100,8 +100,3 @@ GATE_RESULTS = _schema(
     ("unexpected_percent", T.DoubleType()),
     ("success", T.BooleanType()),
 )
-
-
-def all_strings(schema: T.StructType) -> T.StructType:
-    """Same column names, every column text: reads any landing file as-is."""
-    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])

@@ -4,11 +4,12 @@ Used for the silver layer when the ``delta`` data source is not on the
 class path. Layout of one table::
 
     <table>/versions/<run_id>/part-*.parquet   one folder per write
-    <table>/_CURRENT                           text: the live version id
+    <table>/_CURRENT-<number>                  text: a published version id
 
-A write goes to a new version folder; publishing replaces the small
-``_CURRENT`` pointer. Readers resolve the pointer first, so they see
-either the old or the new version, never a mix. One writer per table.
+A write goes to a new version folder; publishing adds the pointer with the
+next number and deletes nothing. Readers take the highest number, so at any
+moment they see either the old or the new version, never none and never a
+mix. Old versions stay until they are removed by hand. One writer per table.
 """
 
 from __future__ import annotations
@@ -25,13 +26,21 @@ def version_path(table_path: str, version: str) -> str:
     return f"{table_path.rstrip('/')}/versions/{version}"
 
 
+def _pointers(spark: SparkSession, table_path: str) -> list[str]:
+    names = [n for n in fs.list_files(spark, table_path) if n.startswith(f"{POINTER}-")]
+    return sorted(names)
+
+
 def current_version(spark: SparkSession, table_path: str) -> str | None:
-    text = fs.read_text(spark, f"{table_path.rstrip('/')}/{POINTER}")
+    found = _pointers(spark, table_path)
+    text = fs.read_text(spark, f"{table_path.rstrip('/')}/{found[-1]}") if found else None
     return text.strip() if text else None
 
 
 def publish(spark: SparkSession, table_path: str, version: str) -> None:
-    fs.write_text(spark, f"{table_path.rstrip('/')}/{POINTER}", version)
+    found = _pointers(spark, table_path)
+    number = int(found[-1].rsplit("-", 1)[1]) + 1 if found else 0
+    fs.write_text(spark, f"{table_path.rstrip('/')}/{POINTER}-{number:012d}", version)
 
 
 def read_snapshot(
@@ -44,25 +53,3 @@ def read_snapshot(
     if schema is not None:
         reader = reader.schema(schema)
     return reader.parquet(version_path(table_path, version))
-
-
-def vacuum(spark: SparkSession, table_path: str, keep: int = 1) -> list[str]:
-    """Drop old version folders; keep the published one and the ``keep - 1``
-    most recently written others (readers that resolved an older pointer
-    may still be scanning it). Returns the dropped version ids."""
-    live = current_version(spark, table_path)
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/versions")
-    hfs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not hfs.exists(root):
-        return []
-    others = sorted(
-        (st for st in hfs.listStatus(root) if st.getPath().getName() != live),
-        key=lambda st: st.getModificationTime(),
-        reverse=True,
-    )
-    dropped = []
-    for st in others[max(keep - 1, 0):]:
-        hfs.delete(st.getPath(), True)
-        dropped.append(st.getPath().getName())
-    return dropped

@@ -67,7 +67,7 @@ def test_dirty_customers_fail_bronze_source(spark, lake):
     assert res.gates[0].results[0]["unexpected_count"] == generate.DIRTY_NULL_CUSTOMER_IDS
     assert not fs.exists(spark, lake.paths(DATE)["customers_bronze"])
     q = spark.read.parquet(res.quarantine_path)
-    assert q.count() == 100 and "created_at" in q.columns  # the whole landing batch, as read
+    assert q.columns[:2] == ["raw_line", "source_file"]  # the whole landing batch, line by line
     assert not fs.exists(spark, lake.table("bronze", "customers_crm") + "/_staging/" + res.run_id)
 
 
@@ -323,7 +323,9 @@ def test_source_quarantine_with_explicit_csv_options(spark, lake):
     with pytest.raises(GateFailed) as err:
         run(spark, step, lake)
     assert err.value.result.status == "source_fail"
-    assert spark.read.parquet(err.value.result.quarantine_path).count() == 80
+    kept = spark.read.parquet(err.value.result.quarantine_path)
+    files = kept.select("source_file").distinct().count()
+    assert kept.count() == 80 + files  # every line, each file's header included
 
 
 def test_latest_gate_results_per_suite(spark, lake):

@@ -32,7 +32,7 @@ def main() -> None:
     generate.clean_batch(spark, lake, DATE, n_customers=n_customers, n_sales=n_sales)
     generated = time.perf_counter() - t
     # the row-count gate's upper bound is a parameter; raise it to the batch size
-    steps = build_steps(max_sales_rows=max(n_sales, 2_000_000))
+    steps = build_steps()
     t = time.perf_counter()
     results = run_medallion(spark, lake, DATE, steps)
     ran = time.perf_counter() - t
