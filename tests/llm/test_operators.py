@@ -236,10 +236,19 @@ def test_fingerprints(spark, docs, texts, odd):
     assert spotsigs.fingerprints(odd, 2).count() == 6 and spotsigs.fingerprints(empty(docs), 2).count() == 0
 
 
-def test_similar_pairs_match_brute_force(spark, docs):
+def test_similar_pairs_match_brute_force(spark):
+    rng, rows = random.Random(8), [(None, "the lone text"), (99, None)]
+    for _ in range(6):
+        base = " ".join("the w%d w%d" % (rng.randrange(900), rng.randrange(900)) for _ in range(40)).split(" ")
+        for edits in (0, 1, 2, 6):
+            w = list(base)
+            for _ in range(edits):
+                w[rng.randrange(len(w))] = "e%d" % rng.randrange(10**6)
+            rows.append((len(rows) - 2, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
     sets = {}
     for r in docs.select("doc_id", spotsigs.signatures(docs.text).alias("s")).collect():
-        if r.s:
+        if r.s and r.doc_id is not None:
             key = tuple(r.s)
             sets[key] = min(r.doc_id, sets.get(key, r.doc_id))
     want = {tuple(sorted((sets[a], sets[b]))) for a, b in itertools.combinations(sets, 2)
