@@ -39,6 +39,8 @@ PATTERNS: dict[str, str] = {
     "person_m": r"(?<=\b(?:Mr|Herr|M|Sr|Don)\.? )\p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# No pattern matches in a text without one of these: a cheap test first.
+HINT = r"[0-9@]|password=|token = \"|\b(?:Mrs|Ms|Mme|Sra|Frau|Mr|Herr|M|Sr|Don)\.? \p{Lu}"
 
 # Surrogate first and last names by gender and script.
 NAMES: dict[tuple[str, str], tuple[str, ...]] = {
@@ -178,7 +180,8 @@ def replace_entities(docs: DataFrame, key: str = KEY, doc_id: str = "doc_id", te
     """
     names = docs.columns
     t = F.col(f"`{text}`")
-    found = docs.withColumn("_found", F.regexp_extract_all(t, F.lit(ANY), F.lit(0)))
+    matches = F.when(t.rlike(HINT), F.regexp_extract_all(t, F.lit(ANY), F.lit(0)))
+    found = docs.withColumn("_found", matches)
     has = F.coalesce(F.size("_found") > 0, F.lit(False))
     none = found.where(~has)
     # texts with entities: numbered within the written table, whose files fix the order
