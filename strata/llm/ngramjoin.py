@@ -261,11 +261,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     # group without such a row holds no pair
     early = F.col("pos") <= F.col("n") - _overlap(F.col("n") + F.col("n"), num, den)
     rows = _prefix_rows(reps).withColumn("early", early)
-    hub = rows.groupBy("tok").agg(
-        F.count("*").alias("k"), F.min(F.when(F.col("early"), F.struct("h", "n", "pos"))).alias("c")
-    ).where("k > 1 and c is not null")
+    # most shingles stand in one prefix only: they are told apart by narrow
+    # counts, so that only shared ones meet in wider rows
+    repeated = rows.groupBy("tok").agg(F.count("*").alias("k"), F.max("early").alias("e")).where("k > 1 and e").select("tok")
+    kept = written(rows.join(repeated, "tok"), "join-kept")
+    hub = kept.groupBy("tok").agg(F.min(F.when(F.col("early"), F.struct("h", "n", "pos"))).alias("c"))
     shared = written(
-        rows.join(hub, "tok").select("tok", "h", "n", "pos", "early", F.col("c.h").alias("ch"), F.col("c.n").alias("cn"), F.col("c.pos").alias("cp")),
+        kept.join(hub, "tok").select("tok", "h", "n", "pos", "early", F.col("c.h").alias("ch"), F.col("c.n").alias("cn"), F.col("c.pos").alias("cp")),
         "join-shared",
     )
     shape = reps.select("h", "n", "hist", "bits")
