@@ -44,6 +44,7 @@ TABLES = 1  # with more, a shingle's frequency is the least of its cells
 _CHUNK_BITS = 16  # cells of one shuffled block
 HIST = 16  # parts of the suffix filter
 BITS = 256  # parity bits of a set
+MARKS = 1 << 27  # bits of the table of wanted ids: 16 MB, whatever the corpus
 
 
 def _cells(shingles: np.ndarray, which: int) -> np.ndarray:
@@ -185,6 +186,25 @@ def _may_link(a: str, b: str, num: int, den: int) -> Column:
     return (short * den >= long * num) & (left >= need) & (flips <= total - 2 * need) & (apart <= total - 2 * need)
 
 
+def _mark(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(MARKS))
+
+
+def _marked(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows of ``rows`` whose key hashes to a bit that a key of ``wanted`` set:
+    all rows with a wanted key and few others, before anything is shuffled.
+    The bitmaps have a fixed size; on a corpus that fills them more rows pass."""
+    bit = _mark(F.col(wanted.columns[0]))
+    bitmaps = wanted.groupBy(F.bitmap_bucket_number(bit).alias("_block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("_bits")
+    )
+    at = _mark(F.col(key))
+    met = rows.withColumn("_block", F.bitmap_bucket_number(at)).join(F.broadcast(bitmaps), "_block")
+    place = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return met.where(F.getbit(byte, (place % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """Those pairs whose whole texts reach the threshold."""
     ends = pairs.select(F.col("ah").alias("h"), F.col("an").alias("n")).union(pairs.select("bh", "bn")).distinct()
@@ -200,9 +220,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, nu
             )
 
     # the class representative's text; its id alone picks the row, its set key confirms it
-    picked = clean_select(docs, {"doc_id": "long", "text": "string"}).alias("d").join(
-        need.select(F.col("doc_id").alias("rep")).distinct(), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi"
-    )
+    wanted = need.select(F.col("doc_id").alias("rep")).distinct()
+    picked = _marked(clean_select(docs, {"doc_id": "long", "text": "string"}), "doc_id", wanted).alias("d").join(
+        wanted, F.col("doc_id").eqNullSafe(F.col("rep"))  # distinct ids; a semi join would be pushed below the marks
+    ).select("doc_id", "text")
     texts = picked.mapInArrow(keyed, "doc_id long, h long, n int, text string").alias("t")
     same = (F.col("t.h") == F.col("r.h")) & (F.col("t.n") == F.col("r.n")) & F.col("t.doc_id").eqNullSafe(F.col("r.doc_id"))
     texts = written(
