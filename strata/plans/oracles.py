@@ -186,6 +186,12 @@ ORACLES: dict[str, str] = {
             _regex_sql("check_faulty_sales", "email", _PAT, FS),
         ]
     ),
+    "sql_file_transform": (
+        "SELECT c_custkey AS id, c_name AS name FROM customer "
+        "WHERE c_custkey >= 100 AND regexp_matches(c_name, '[0-9]{9}$')"
+    ),
+    "gate_skipped": f"SELECT 'skipped' AS gate_status, count(*) AS rows_in, count(*) AS rows_out FROM ({FS})",
+    "gate_technical_failure": f"SELECT id, customer_id, price, 'target_fail_sales_copy' AS reason FROM ({FS})",
     "quarantine_batch": (
         f"SELECT *, DATE '{BATCH_DATE}' AS dt, 'target_fail_stg_sales_bronze' AS reason FROM ({BRONZE_FS})"
     ),
@@ -261,3 +267,6 @@ ORACLES: dict[str, str] = {
         f"max(i) + {G.FIRST_CUSTOMER_ID - 1} AS max_id FROM ({CUSTOMER_INDEX})"
     ),
 }
+
+# the saved suite gives the same rows as the suite itself
+ORACLES["gate_saved_suite"] = ORACLES["gate_suite"]

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from strata.functions.columns import round_half_away
 from strata.functions.expectations import (
+    Expectation,
     Suite,
     between,
     match_regex,
@@ -42,12 +43,13 @@ from strata.plans.steps import (
     GateFailed,
     Step,
     apply_transform,
+    load_sql,
     publish_batch,
     read_run_log,
     run_step,
 )
 from strata.session import scratch_path
-from strata.sources import snapshot
+from strata.sources import fs, snapshot
 from strata.sources.io import read_batch, read_table, write_batch  # noqa: F401 (read_batch re-used by tools)
 from strata.sources.paths import Lake, partition_dir
 from strata.sources.schemas import BRONZE_CUSTOMERS, BRONZE_SALES
@@ -333,6 +335,57 @@ def q_run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_sql_file_transform(spark: SparkSession, sf: str) -> DataFrame:
+    """A step's SQL loaded from a file, with a bound parameter and a regular
+    expression in braces."""
+    path = scratch_path(spark, "sql") + "/names.sql"
+    fs.write_text(
+        spark,
+        path,
+        "SELECT c_custkey AS id, c_name AS name FROM {source_data} "
+        "WHERE c_custkey >= :first_id AND c_name RLIKE '[0-9]{9}$'",
+    )
+    frames = {"source_data": table(spark, sf, "customer")}
+    return apply_transform(spark, load_sql(spark, path), frames, {"first_id": 100})
+
+
+def q_gate_saved_suite(spark: SparkSession, sf: str) -> DataFrame:
+    """The suite saved as JSON, read back by expectation type, evaluated."""
+    path = scratch_path(spark, "suite") + "/check_faulty_sales.json"
+    fs.write_text(spark, path, GATE_SUITE.to_json())
+    return evaluate_suite(faulty_sales(spark, sf), Suite.from_json(fs.read_text(spark, path)))
+
+
+def _faulty_copy_step(*target_expectations: Expectation) -> Step:
+    return Step(
+        name="sales_copy",
+        group="bronze",
+        source=Endpoint("{{ root }}/landing/sales_erp/dt={{ execution_date }}", "parquet"),
+        target=Endpoint("{{ root }}/{{ group }}/sales_erp/dt={{ execution_date }}", "parquet"),
+        target_expectations=target_expectations,
+    )
+
+
+def q_gate_skipped(spark: SparkSession, sf: str) -> DataFrame:
+    """A step without expectations publishes the whole faulty batch; the run
+    log says that its gates were skipped."""
+    lake = _faulty_landing_lake(spark, sf)
+    run_step(spark, _faulty_copy_step(), BATCH_DATE, lake)
+    return read_run_log(spark, lake).select("gate_status", "rows_in", "rows_out")
+
+
+def q_gate_technical_failure(spark: SparkSession, sf: str) -> DataFrame:
+    """A gate that cannot be evaluated (no such column) fails the step: the
+    batch is quarantined whole."""
+    lake = _faulty_landing_lake(spark, sf)
+    try:
+        run_step(spark, _faulty_copy_step(not_null("no_such_column")), BATCH_DATE, lake)
+    except GateFailed:
+        pass
+    kept = read_table(spark, lake.quarantine_root, "parquet", execution_date=BATCH_DATE)
+    return kept.select("id", "customer_id", "price", "reason")
+
+
 # Fixed value: order totals lie below one million, the price bound of the
 # silver gate when orders play the sales batch.
 ORDER_PRICE_BOUNDS = (0, 1_000_000)
@@ -531,6 +584,10 @@ QUERIES: dict[str, QueryFn] = {
     "gold_fractional_prices": q_gold_fractional_prices,
     "medallion_gold": q_medallion_gold,
     "run_metrics": q_run_metrics,
+    "sql_file_transform": q_sql_file_transform,
+    "gate_saved_suite": q_gate_saved_suite,
+    "gate_skipped": q_gate_skipped,
+    "gate_technical_failure": q_gate_technical_failure,
     "fault_landing_sales": q_fault_landing_sales,
     "fault_landing_customers": q_fault_landing_customers,
     "fault_bronze_sales": q_fault_bronze_sales,

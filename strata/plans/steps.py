@@ -436,7 +436,12 @@ def _run_step(
             else:
                 result.rows_in = _count_rows({primary: frames[primary]})
             out = apply_transform(spark, step.transform, frames, step.transform_args)
-        tgt_cols = metric_columns(tgt_suite, out.schema)
+        gate_broken = None
+        try:
+            tgt_cols = metric_columns(tgt_suite, out.schema)
+        except Exception as err:  # the gate can't be evaluated: it fails, the staged batch is quarantined
+            gate_broken = technical_failure(tgt_suite, err)
+            tgt_cols = metric_columns(Suite(tgt_suite.name, ()), out.schema)
     except GateFailed:
         raise
     except Exception as err:
@@ -466,7 +471,7 @@ def _run_step(
     metrics_out = obs_out.get
     result.rows_out = int(metrics_out.get(ROWS) or 0)
     if tgt_suite:
-        gate_out = verdict_from_metrics(tgt_suite, metrics_out)
+        gate_out = gate_broken or verdict_from_metrics(tgt_suite, metrics_out)
         result.gates.append(gate_out)
         if not gate_out.success:
             reason = f"target_fail_{step.name}"
