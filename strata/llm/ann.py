@@ -5,9 +5,11 @@ the median, until a leaf is small. The fitted forest has a fixed bound (at
 most SAMPLE points per tree); every vector is then sent down every tree and
 indexed under its leaf. A query walks all trees through one shared priority
 queue, always opening the node whose worst split margin is best, until the
-leaves taken hold SEARCH_VECTORS vectors of all trees together. Queries meet
-the vectors of their leaves in blocks of bounded size; the exact distances of
-the candidates decide.
+leaves taken hold enough vectors of all trees together. How many are enough is
+measured on the table itself: the exact neighbours of CALIBRATE queries are
+found by brute force, and the search goes as far as RECALL of them need (at
+least SEARCH_VECTORS). Queries meet the vectors of their leaves in blocks of
+bounded size; the exact distances of the candidates decide.
 
 Equal vectors are one point of the index: it keeps its TOP + 1 smallest ids,
 more can never be among the nearest. So a vector that a third of all rows
@@ -30,7 +32,9 @@ TOP = 10
 TREES = 12
 SAMPLE = 1 << 16  # points that the forest is fitted on, at most
 LEAF = 64  # sample points of a leaf, at most
-SEARCH_VECTORS = 6000  # index entries looked at per query, over all trees
+SEARCH_VECTORS = 6000  # index entries looked at per query, over all trees, at least
+CALIBRATE = 256  # queries whose exact neighbours say how many entries it takes
+RECALL = 0.95  # share of those neighbours that the search has to reach
 BLOCK = 2048  # vectors of one block of a leaf
 SEED = 7
 
@@ -93,26 +97,50 @@ class Forest:
             at[inner] = kids[node, side]
         return -1 - at
 
-    def search(self, q: np.ndarray, counts: list[np.ndarray], want: int) -> list[tuple[int, int]]:
-        """Leaves (tree, leaf) by best margin until ``want`` entries."""
+    def walk(self, q: np.ndarray, counts: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
+        """All leaves with entries, best margin first: tree, leaf, entries."""
         q = q.astype(np.float32)
         queue = [(-np.inf, t, tree[3]) for t, tree in enumerate(self.trees)]
         heapq.heapify(queue)
-        found, have = [], 0
-        while queue and have < want:
+        while queue:
             worst, t, node = heapq.heappop(queue)
             if node < 0:
                 if n := int(counts[t][-1 - node]):
-                    found.append((t, -1 - node))
-                    have += n
+                    yield t, -1 - node, n
                 continue
             normals, offsets, kids, _, _ = self.trees[t]
             margin = float(normals[node] @ q - offsets[node])
             # the priority is the larger of the losses met on the way
             heapq.heappush(queue, (max(worst, margin), t, int(kids[node, 0])))
             heapq.heappush(queue, (max(worst, -margin), t, int(kids[node, 1])))
+
+    def search(self, q: np.ndarray, counts: list[np.ndarray], want: int) -> list[tuple[int, int]]:
+        """Leaves (tree, leaf) by best margin until ``want`` entries."""
+        found, have = [], 0
+        for t, leaf, n in self.walk(q, counts):
+            found.append((t, leaf))
+            have += n
+            if have >= want:
+                break
         return found
 
+    def needs(self, q: np.ndarray, counts: list[np.ndarray], homes: list[list[int]]) -> list[int]:
+        """Entries that ``search`` must want to reach each of some vectors,
+        given the leaf of every tree that holds it."""
+        waiting: dict[tuple[int, int], list[int]] = {}
+        for i, home in enumerate(homes):
+            for t, leaf in enumerate(home):
+                waiting.setdefault((t, leaf), []).append(i)
+        need: dict[int, int] = {}
+        have = 0
+        for t, leaf, n in self.walk(q, counts):
+            for i in waiting.get((t, leaf), ()):
+                need.setdefault(i, have + 1)
+            if len(need) == len(homes):
+                break
+            have += n
+        return list(need.values())
+
 
 def _points(vectors: DataFrame, top: int) -> DataFrame:
     """Distinct vectors ``point, v, ids`` with their top + 1 smallest ids."""
@@ -123,6 +151,43 @@ def _points(vectors: DataFrame, top: int) -> DataFrame:
     )
 
 
+def _effort(points: DataFrame, queries: DataFrame, shared, counts: list[np.ndarray], top: int, seed: int) -> int:
+    """Index entries a query has to look at so that RECALL of the exact
+    nearest other points of a fixed number of queries are among them."""
+    drawn = queries.select("v").distinct().orderBy(F.xxhash64("v", F.lit(seed))).limit(CALIBRATE).collect()
+    if not drawn:
+        return 0
+    asked = np.array([r[0] for r in drawn], dtype=np.float64)
+
+    def exact(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        score = np.full((len(asked), 0), np.inf)
+        homes = np.zeros((len(asked), 0, len(shared.value.trees)), dtype=np.int64)
+        for part in it:
+            m = np.stack(part["v"].to_numpy())
+            d = (asked**2).sum(axis=1)[:, None] + (m**2).sum(axis=1) - 2 * (asked @ m.T)
+            near = np.argsort(d, axis=1, kind="stable")[:, : top + 1]
+            d = np.take_along_axis(d, near, axis=1)
+            mine, at = np.unique(near, return_inverse=True)
+            leaf = np.stack([shared.value.leaves(t, m[mine]) for t in range(len(shared.value.trees))], axis=1)
+            # the point itself is no neighbour: every other point differs from it
+            d[(m[near] == asked[:, None, :]).all(axis=2)] = np.inf
+            score = np.concatenate((score, d), axis=1)
+            homes = np.concatenate((homes, leaf[at.reshape(near.shape)]), axis=1)
+            best = np.argsort(score, axis=1, kind="stable")[:, :top]
+            score = np.take_along_axis(score, best, axis=1)
+            homes = np.take_along_axis(homes, best[:, :, None], axis=1)
+        q, k = np.nonzero(np.isfinite(score))
+        yield pd.DataFrame({"q": q, "score": score[q, k], "homes": pd.Series(list(homes[q, k]), dtype=object)})
+
+    found = points.select("v").mapInPandas(exact, "q int, score double, homes array<long>")
+    rank = F.row_number().over(Window.partitionBy("q").orderBy("score", "homes"))
+    homes: dict[int, list[list[int]]] = {}
+    for r in found.withColumn("_r", rank).where(F.col("_r") <= top).collect():  # CALIBRATE * top rows
+        homes.setdefault(r["q"], []).append(r["homes"])
+    needs = sorted(n for q, near in homes.items() for n in shared.value.needs(asked[q], counts, near))
+    return needs[min(len(needs) - 1, int(RECALL * len(needs)))] if needs else 0
+
+
 def nearest(
     df: DataFrame,
     query: Column | None = None,
@@ -177,13 +242,14 @@ def nearest(
     blocks = max(1, -(-int(max(c.max() for c in counts)) // BLOCK))
 
     queries = rows.where(query).select(F.col("vec_id").alias("query_id"), "v").distinct()
+    want = max(search_vectors, _effort(points, queries, shared, counts, top, seed))
 
     def probe(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in it:
             out = [
                 (q, t, leaf, v)
                 for q, v in zip(part["query_id"], part["v"])
-                for t, leaf in shared.value.search(np.asarray(v), known.value, search_vectors)
+                for t, leaf in shared.value.search(np.asarray(v), known.value, want)
             ]
             if out:
                 yield pd.DataFrame(out, columns=["query_id", "tree", "leaf", "v"])
@@ -196,15 +262,18 @@ def nearest(
     hit = entries.withColumn("block", block).join(points.select("point", "v"), "point")
 
     def rank(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not (len(left) and len(right)):
+            return pd.DataFrame({"query_id": [], "point": [], "score": []})
+        right = right.sort_values("point")  # stable sorts then settle ties by id
+        m, ids = np.stack(right["v"].to_numpy()), right["point"].to_numpy()
+        asked, names = np.stack(left["v"].to_numpy()), left["query_id"].to_numpy()
+        step = max(1, (1 << 21) // m.size)  # queries at once: bounds the temporary arrays
         out = []
-        if len(left) and len(right):
-            m = np.stack(right["v"].to_numpy())
-            ids = right["point"].to_numpy()
-            for q, v in zip(left["query_id"], left["v"]):
-                d = np.sqrt(((m - v) ** 2).sum(axis=1))
-                best = np.lexsort((ids, d))[: top + 1]
-                out.append(pd.DataFrame({"query_id": q, "point": ids[best], "score": d[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "point": [], "score": []})
+        for k in range(0, len(asked), step):
+            d = np.sqrt(((m - asked[k : k + step, None, :]) ** 2).sum(axis=2))
+            best = np.argsort(d, axis=1, kind="stable")[:, : top + 1]
+            out.append((np.repeat(names[k : k + step], best.shape[1]), ids[best].ravel(), np.take_along_axis(d, best, axis=1).ravel()))
+        return pd.DataFrame(dict(zip(("query_id", "point", "score"), map(np.concatenate, zip(*out)))))
 
     keys = ["tree", "leaf", "block"]
     local = probes.groupBy(*keys).cogroup(hit.groupBy(*keys)).applyInPandas(rank, "query_id long, point long, score double")

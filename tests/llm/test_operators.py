@@ -9,6 +9,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strata.llm import ann, linededup, mixing, ngramjoin, packing, pii, spotsigs, tokenfiles, toxicity, warc
@@ -304,6 +305,22 @@ def test_nearest_matches_brute_force(spark):
     assert ann.nearest(few).count() == 3 and ann.nearest(few.limit(0)).count() == 0
 
 
+def test_nearest_keeps_its_recall_on_larger_tables(spark):
+    """A search of a fixed number of entries finds less the larger the table."""
+    rng = np.random.default_rng(4)
+    m = rng.standard_normal((20000, 32)) + 2 * rng.standard_normal((20, 32))[rng.integers(0, 20, 20000)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in ann.nearest(df, F.col("vec_id") % 200 == 0, trees=4, search_vectors=500).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = 0
+    for q, ids in found.items():
+        d = ((m - m[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hit += len(ids & set(np.argsort(d)[:10].tolist()))
+    assert len(found) == 100 and hit / 1000 >= 0.9
+
+
 def test_surrogates(spark, odd, docs):
     rng = random.Random(4)
     mails = ["ann.%02d@mail.example.com" % i for i in range(40)]
