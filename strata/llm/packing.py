@@ -187,7 +187,8 @@ def best_fit_pack(
     def placed(df: DataFrame, sequence, offset, kind: int) -> DataFrame:
         return df.select(*names, (sequence * 3 + kind).alias("sequence_id"), offset.alias("offset"))
 
-    number = F.col("group") * F.lit(group) + F.col("bin")
+    # a group may hold more than ``group`` pieces, so its bins get 32 bits
+    number = F.shiftleft("group", 32) + F.col("bin")
     whole = rows.where(F.col("length") == capacity)
     return (
         placed(whole, F.monotonically_increasing_id(), F.lit(0).cast("long"), 0)

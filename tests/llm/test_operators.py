@@ -208,6 +208,19 @@ def test_packing_is_lossless(spark, docs, texts, odd, which):
     assert len(run(odd)) == 6 and run(empty(docs)) == []
 
 
+def test_sequences_of_groups_stay_apart(spark):
+    """Lone pieces, dealt unevenly: a group has more bins than its mean size."""
+    rows = [(i, " ".join("abcdefghijk"[i % 3 :])) for i in range(203)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(100, "doc_id")
+    per = {}
+    for r in packing.best_fit_pack(df, capacity=16, group=4).collect():
+        per.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert sum(map(len, per.values())) == 203
+    for found in per.values():
+        ends = list(itertools.accumulate(n for _, n in sorted(found)))
+        assert [at for at, _ in sorted(found)] == [0, *ends[:-1]] and ends[-1] <= 16
+
+
 def test_local_search_empties_bins():
     lengths = np.array([6, 6, 5, 5, 4, 4])  # 30 in bins of 10
     bins = packing.local_search([[0, 4], [1], [2], [3, 5]], lengths, 10)
