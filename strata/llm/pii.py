@@ -24,14 +24,19 @@ from strata.llm.common import written
 KEY = "strata-surrogates"  # the caller's secret
 ROUNDS = 64
 
+TOKEN = r"[0-9A-Za-z_-]{16,}(?:\.[0-9A-Za-z_-]+)*"
 # Types in order of precedence; patterns have no capturing groups.
 PATTERNS: dict[str, str] = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "aws_key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "password": r"(?<=password=)[^\s\"']+",
-    "token": r"(?<=token = \")[0-9A-Za-z]{16,}(?=\")",
+    "password": r"(?<=(?i:password) ?= ?[\"']?)[^\s\"']+",
+    "token": r"(?<=(?i:token) ?[=:] ?[\"']?)" + TOKEN,
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?![A-Za-z0-9])",
-    "phone": r"(?<![\w+])\+[0-9]{1,3}[ -]\(?[0-9]{2,4}\)?[ -][0-9]{3}[ -][0-9]{4}(?![0-9])",
+    # +1 902 555-1000; other groups after a country code; (902) 555-1000; 902-555-1000
+    "phone": r"(?<![\w+])\+[0-9]{1,3}[ -]\(?[0-9]{2,4}\)?[ -][0-9]{3}[ -][0-9]{4}(?![0-9])"
+    r"|(?<![\w+])\+[0-9](?:[ .-]?\(?[0-9]\)?){7,14}(?![0-9])"
+    r"|(?<![\w(])\([0-9]{2,5}\)[ -]?[0-9]{3,4}[ -][0-9]{3,4}(?![0-9])"
+    r"|(?<![\w+-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![\w-])",
     "ipv4": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z])",
@@ -40,7 +45,7 @@ PATTERNS: dict[str, str] = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # No pattern matches in a text without one of these: a cheap test first.
-HINT = r"[0-9@]|password=|token = \"|\b(?:Mrs|Ms|Mme|Sra|Frau|Mr|Herr|M|Sr|Don)\.? \p{Lu}"
+HINT = r"[0-9@]|AKIA|(?i:password|token) ?[=:]|\b(?:Mrs|Ms|Mme|Sra|Frau|Mr|Herr|M|Sr|Don)\.? \p{Lu}"
 
 # Surrogate first and last names by gender and script.
 NAMES: dict[tuple[str, str], tuple[str, ...]] = {
@@ -161,8 +166,8 @@ def _kinds(text: Column, found: Column) -> Column:
     """Type of every match: by its own form, or by what stands before it."""
     before = F.split(text, ANY, -1)
     by_context = lambda e, i: (
-        F.when(F.get(before, i).endswith("password="), "password")
-        .when(F.get(before, i).endswith('token = "'), "token")
+        F.when(F.get(before, i).rlike(r"(?i:password) ?= ?[\"']?$"), "password")
+        .when(F.get(before, i).rlike(r"(?i:token) ?[=:] ?[\"']?$") & e.rlike(f"^(?:{TOKEN})$"), "token")
         .when(F.get(before, i).rlike(r"\b(?:Mrs|Ms|Mme|Sra|Frau)\.? $"), "person_f")
         .otherwise(_type_of(e))
     )
