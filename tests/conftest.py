@@ -10,9 +10,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from strata.session import build_session, shared_dir  # noqa: E402
 from strata.sources.paths import Lake  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(

@@ -6,9 +6,8 @@ from collections import Counter
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
-
 import __spark_entry__ as contract
+from strata.sources.testdata import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()

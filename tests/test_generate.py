@@ -58,8 +58,7 @@ def test_corrupt_batches(spark, lake):
 
 
 def test_generators_run_on_table_keys(spark):
-    from strata.sources.testdata import table
-    from conftest import SF_SMALL
+    from strata.sources.testdata import SF_SMALL, table
     keys = table(spark, SF_SMALL, "orders").select((F.col("o_orderkey") + 1).alias("i"))
     s = generate.sales_from_index(keys, 100, (10.0, 20.0), "2024-01-01")
     assert s.count() == keys.count()

@@ -9,8 +9,7 @@ from pyspark.sql import types as T
 from strata.functions.columns import round_half_away
 from strata.operators import marts, transforms
 from strata.sources.schemas import LANDING_SALES
-
-from conftest import SF_SMALL
+from strata.sources.testdata import SF_SMALL
 
 SALES = T.StructType(
     [
