@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, linededup, mixing, ngramjoin, packing, pii, spotsigs, tokenfiles, toxicity, warc
+from strata.llm import (
+    ann, hardneg, hostgraph, linededup, mixing, ngramjoin, packing, pii, resample, spotsigs, tokenfiles, toxicity, warc,
+)
 from strata.llm.common import table
 
 
@@ -70,11 +72,29 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_entities(table(spark, sf_dir, "documents"))
 
 
+def op11_spanning_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, per positive; every seventh
+    vector counts as of the next label."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+def op12_host_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url: rules, else the link graph of hosts."""
+    return hostgraph.judge(table(spark, sf_dir, "pages"))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents scored and drawn by their likeness to the benchmark's n-grams."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_warc_index, op3_ngram_jaccard, op4_mix_sources, op5_best_fit_pack,
         op6_token_files, op7_spotsigs, op8_toxicity, op9_projection_forest, op10_surrogates,
+        op11_spanning_tree, op12_host_graph, op13_importance,
     )
 }
 
@@ -90,4 +110,6 @@ ORACLES: dict[str, str] = {
                CASE WHEN first IS NOT NULL AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN first IS NOT NULL AND page_id <> first THEN first END AS refers_to
         FROM p LEFT JOIN g USING (digest)""",
+    "op11_spanning_tree": hardneg.oracle("embeddings"),
+    "op12_host_graph": hostgraph.oracle("pages"),
 }
