@@ -9,7 +9,7 @@ Spark side, so a mismatch points at the Spark logic, not at a constant.
 from __future__ import annotations
 
 from strata.operators import generate
-from strata.plans import medallion
+from strata.plans import gate_queries, medallion
 from strata.plans.queries import (
     _NEGATIVE,
     _NULL_ID,
@@ -270,3 +270,4 @@ ORACLES: dict[str, str] = {
 
 # the saved suite gives the same rows as the suite itself
 ORACLES["gate_saved_suite"] = ORACLES["gate_suite"]
+ORACLES |= gate_queries.ORACLES

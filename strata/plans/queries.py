@@ -37,7 +37,7 @@ from strata.functions.expectations import (
 from strata.operators import generate, marts, transforms
 from strata.operators.gates import evaluate_suite
 from strata.operators.ingest import with_lineage
-from strata.plans import medallion
+from strata.plans import gate_queries, medallion
 from strata.plans.steps import (
     Endpoint,
     GateFailed,
@@ -597,4 +597,5 @@ QUERIES: dict[str, QueryFn] = {
     "gen_sales": q_gen_sales,
     "gen_dirty_sales": q_gen_dirty_sales,
     "gen_dirty_customers": q_gen_dirty_customers,
+    **gate_queries.QUERIES,
 }

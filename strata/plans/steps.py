@@ -26,6 +26,12 @@ inspected:
 Readers therefore never see a batch that failed a gate, and a rerun of the
 same date replaces the old batch entirely, even with zero rows.
 
+Expectations that need more than the observed metrics (uniqueness, order,
+quantiles, other tables) are completed on the source frame and on the staged
+output, before anything is published; a suite may name the step's other
+sources, or catalog tables, as other tables. When a gate fails, the most
+frequent unexpected values are recorded with the run.
+
 When the write itself fails (a bad cast, an unreadable landing file) and
 the step has a source suite, that suite is evaluated on its own so a bad
 batch is still reported and quarantined as a source failure.
@@ -38,14 +44,24 @@ import json
 import logging
 import uuid
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.expectations import ROWS, Expectation, Suite, metric_columns
-from strata.operators.gates import GateResult, check_suite, technical_failure, verdict_from_metrics, root_cause
+from strata.operators.gates import (
+    VALUES_SCHEMA,
+    GateResult,
+    check_suite,
+    has_measures,
+    root_cause,
+    suite_columns,
+    technical_failure,
+    unexpected_values,
+    verdict_from_metrics,
+)
 from strata.sources import fs, snapshot
 from strata.sources.io import read_batch, table_format, write_batch
 from strata.sources.paths import Lake, check_date, render_path
@@ -281,6 +297,27 @@ def write_run_log(spark: SparkSession, lake: Lake, result: StepResult) -> None:
     if gate_rows:
         text = "\n".join(json.dumps(r) for r in gate_rows)
         fs.write_text(spark, f"{lake.meta_root}/gate_results/{leaf}", text)
+    values = [{**keys, **v} for g in result.gates for v in g.values]
+    if values:
+        fs.write_text(spark, f"{lake.meta_root}/gate_values/{leaf}", "\n".join(json.dumps(v) for v in values))
+
+
+GATE_VALUES = T.StructType(GATE_RESULTS.fields[:3] + VALUES_SCHEMA.fields)
+
+
+def with_values(gate: GateResult, df: DataFrame, suite: Suite) -> GateResult:
+    """A failed gate with its most frequent unexpected values; the verdict
+    stands without them if they cannot be read."""
+    failed = {(r["expectation"], r["column_name"]) for r in gate.failed}
+    if gate.success or not failed:
+        return gate
+    wrong = tuple(e for e in suite.expectations if (e.type, e.label) in failed)
+    try:
+        values = unexpected_values(df, replace(suite, expectations=wrong)).collect()  # a fixed number per expectation
+    except Exception as err:
+        log.warning("no unexpected values for %s: %s", suite.name, root_cause(err))
+        return gate
+    return replace(gate, values=tuple(v.asDict() for v in sorted(values, key=lambda v: (v["expectation"], v["column_name"], v["value_rank"]))))
 
 
 def _read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -299,6 +336,11 @@ def read_gate_results(spark: SparkSession, lake: Lake) -> DataFrame:
     return _read_log(spark, f"{lake.meta_root}/gate_results", GATE_RESULTS)
 
 
+def read_gate_values(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The unexpected values recorded with every failed gate of the lake."""
+    return _read_log(spark, f"{lake.meta_root}/gate_values", GATE_VALUES)
+
+
 def latest_gate_results(spark: SparkSession, lake: Lake, execution_date: str | None = None) -> DataFrame:
     """The result rows of the most recent run of each suite (per date), with
     that run's status and finish time: the current report of every gate."""
@@ -379,7 +421,7 @@ def _run_step(
         return result
 
     def fail_source(gate: GateResult) -> None:
-        result.gates.append(gate)
+        result.gates.append(with_values(gate, frames[primary], src_suite) if primary in frames else gate)
         _drop_staging(spark, staged, fmt)
         reason = f"source_fail_{step.name}"
         note = ""
@@ -407,7 +449,7 @@ def _run_step(
     obs_in = None
     if src_suite or table_format(spark, endpoints[primary].format) in ("csv", "json"):
         try:
-            src_cols = metric_columns(src_suite, frames[primary].schema)
+            src_cols = suite_columns(src_suite, frames[primary].schema)
         except Exception as err:
             fail_source(technical_failure(src_suite, err))
         obs_in_name = f"in_{step.name}_{uuid.uuid4().hex[:8]}"
@@ -428,8 +470,9 @@ def _run_step(
             # measure the source in its own aggregate instead.
             obs_in = None
             if src_suite:
-                gate_in = check_suite(frames[primary], src_suite)
-                result.rows_in = gate_in.results[0]["element_count"] if gate_in.results else None
+                gate_in = check_suite(frames[primary], src_suite, frames)
+                unconditioned = [r for r, e in zip(gate_in.results, src_suite.expectations) if e.row_condition is None]
+                result.rows_in = unconditioned[0]["element_count"] if unconditioned else None
                 if not gate_in.success:
                     fail_source(gate_in)
                 result.gates.append(gate_in)
@@ -438,7 +481,7 @@ def _run_step(
             out = apply_transform(spark, step.transform, frames, step.transform_args)
         gate_broken = None
         try:
-            tgt_cols = metric_columns(tgt_suite, out.schema)
+            tgt_cols = suite_columns(tgt_suite, out.schema)
         except Exception as err:  # the gate can't be evaluated: it fails, the staged batch is quarantined
             gate_broken = technical_failure(tgt_suite, err)
             tgt_cols = metric_columns(Suite(tgt_suite.name, ()), out.schema)
@@ -453,7 +496,7 @@ def _run_step(
     except Exception as err:
         _drop_staging(spark, staged, fmt)
         if src_suite:
-            gate = check_suite(frames[primary], src_suite)
+            gate = check_suite(frames[primary], src_suite, frames)
             if not gate.success:
                 fail_source(gate)
         err.step_result = finish("failed", _first_line(err))
@@ -462,7 +505,7 @@ def _run_step(
     if obs_in is not None:
         metrics_in = obs_in.get
         result.rows_in = int(metrics_in.get(ROWS) or 0)
-        gate_in = verdict_from_metrics(src_suite, metrics_in)
+        gate_in = verdict_from_metrics(src_suite, metrics_in, frames[primary], frames)
         if src_suite:
             if not gate_in.success:
                 fail_source(gate_in)
@@ -471,7 +514,12 @@ def _run_step(
     metrics_out = obs_out.get
     result.rows_out = int(metrics_out.get(ROWS) or 0)
     if tgt_suite:
-        gate_out = gate_broken or verdict_from_metrics(tgt_suite, metrics_out)
+        written = None
+        if gate_broken is None and (has_measures(tgt_suite) or not verdict_from_metrics(tgt_suite, metrics_out).success):
+            written = read_batch(spark, staged, "parquet" if fmt == "snapshot" else fmt, out.schema)
+        gate_out = gate_broken or verdict_from_metrics(tgt_suite, metrics_out, written, frames)
+        if not gate_out.success and written is not None:
+            gate_out = with_values(gate_out, written, tgt_suite)
         result.gates.append(gate_out)
         if not gate_out.success:
             reason = f"target_fail_{step.name}"

@@ -99,4 +99,5 @@ GATE_RESULTS = _schema(
     ("unexpected_count", T.LongType()),
     ("unexpected_percent", T.DoubleType()),
     ("success", T.BooleanType()),
+    ("observed_values", T.ArrayType(T.DoubleType())),
 )
