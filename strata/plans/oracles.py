@@ -17,6 +17,7 @@ from strata.plans.queries import (
     BATCH_DATE,
     INVALID_EMAIL_EVERY,
     OTHER_DATES,
+    RAW_KEYS_PER_PART,
 )
 
 LS = (
@@ -203,7 +204,8 @@ ORACLES: dict[str, str] = {
     ),
     "quarantine_raw_lines": (
         f"SELECT {RAW_LINE} AS raw_line, 'source_fail_stg_sales_bronze' AS reason FROM orders "
-        "UNION ALL SELECT 'id,customer_id,price,product,date', 'source_fail_stg_sales_bronze'"
+        "UNION ALL SELECT 'id,customer_id,price,product,date', 'source_fail_stg_sales_bronze' "
+        f"FROM (SELECT DISTINCT o_orderkey // {RAW_KEYS_PER_PART} FROM orders)"
     ),
     "json_mixed_layout": "SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation FROM customer",
     "gold_fractional_prices": (
@@ -271,3 +273,5 @@ ORACLES: dict[str, str] = {
 # the saved suite gives the same rows as the suite itself
 ORACLES["gate_saved_suite"] = ORACLES["gate_suite"]
 ORACLES |= gate_queries.ORACLES
+ORACLES["csv_sniffed"] = f"SELECT * REPLACE ('a;b ' || product AS product, CAST(date AS DATE) AS date) FROM ({LS})"
+ORACLES["catalog_gold"] = ORACLES["gold_sales_summary"]

@@ -19,6 +19,7 @@ and return a DataFrame that reads the written data back.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,8 +51,10 @@ from strata.plans.steps import (
 )
 from strata.session import scratch_path
 from strata.sources import fs, snapshot
+from strata.sources.catalog import SourceCatalog
 from strata.sources.io import read_batch, read_table, write_batch  # noqa: F401 (read_batch re-used by tools)
 from strata.sources.paths import Lake, partition_dir
+from strata.sources.sniff import read_sniffed
 from strata.sources.schemas import BRONZE_CUSTOMERS, BRONZE_SALES
 from strata.sources.testdata import every, landing_customers, landing_sales, table
 
@@ -60,6 +63,8 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 # Batch dates used by the sink queries.
 BATCH_DATE = "2026-04-19"
 OTHER_DATES = ("2026-04-17", "2026-04-18")
+# Order keys of one file of the raw landing batch (each file has its header).
+RAW_KEYS_PER_PART = 10_000
 # Fixed value: every 3rd order of the faulty batch carries an invalid email.
 INVALID_EMAIL_EVERY = 3
 
@@ -426,8 +431,8 @@ def q_quarantine_source(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_quarantine_raw_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """A sales CSV with extra fields and broken lines: every line of the
-    batch, the header included, is in quarantine as it was."""
+    """A sales CSV of many files with extra fields and broken lines: every
+    line of the batch, the headers included, is in quarantine as it was."""
     key = F.col("o_orderkey")
     row = F.concat(key.cast("string"), F.lit(",1,2.5,x,2024-01-01"))
     line = (
@@ -435,10 +440,14 @@ def q_quarantine_raw_lines(spark: SparkSession, sf: str) -> DataFrame:
         .when(key % 4 == 0, F.concat(row, F.lit(",extra,fields")))
         .otherwise(row)
     )
-    head = spark.range(1).select(F.lit("id,customer_id,price,product,date").alias("value"))
     lake = Lake(scratch_path(spark, "lake"))
-    lines = head.union(table(spark, sf, "orders").select(line.alias("value")))
-    lines.coalesce(1).write.text(lake.paths(BATCH_DATE)["sales_landing"])
+    part = F.floor(key / RAW_KEYS_PER_PART).alias("part")
+    lines = table(spark, sf, "orders").select(part, F.lit(1).alias("place"), line.alias("value"))
+    head = lines.select("part").distinct().select(
+        "part", F.lit(0).alias("place"), F.lit("id,customer_id,price,product,date").alias("value")
+    )
+    files = head.union(lines).repartition("part").sortWithinPartitions("part", "place")
+    files.select("part", "value").write.partitionBy("part").text(lake.paths(BATCH_DATE)["sales_landing"])
     try:
         run_step(spark, medallion.SALES_BRONZE, BATCH_DATE, lake)
     except GateFailed:
@@ -446,6 +455,33 @@ def q_quarantine_raw_lines(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, lake.quarantine_root, "parquet", execution_date=BATCH_DATE).select("raw_line", "reason")
 
 
+def q_csv_sniffed(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales written with semicolons and single quotes, read back with neither
+    schema nor dialect declared."""
+    path = scratch_path(spark, "sniffed-csv")
+    sales = landing_sales(spark, sf).withColumn("product", F.concat(F.lit("a;b "), F.col("product")))
+    write_batch(sales.withColumn("date", F.col("date").cast("date")), path, "csv", options={"sep": ";", "quote": "'"})
+    return read_sniffed(spark, path)
+
+
+def q_catalog_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """The gold mart over silver tables that only a declaration file names."""
+    lake = Lake(scratch_path(spark, "lake"))
+    for name, df in (("sales", _silver_sales(spark, sf)), ("customers", _silver_customers_with_orphans(spark, sf))):
+        publish_batch(spark, df, partition_dir(lake.table("silver", name), BATCH_DATE), "snapshot")
+    declared = {"sources": [{"name": "silver", "schema": "silver", "tables": [
+        {"name": "sales_silver", "meta": {"external_location": "{{ root }}/silver/sales/dt={{ var('execution_date') }}"},
+         "columns": [{"name": "id", "data_type": "bigint"}, {"name": "price", "data_type": "double"}]},
+        {"name": "customers_silver", "meta": {"external_location": "{{ root }}/silver/customers/dt={{ var('execution_date') }}"},
+         "columns": [{"name": "customer_id", "data_type": "bigint"}, {"name": "uf", "data_type": "string"}]},
+    ]}]}
+    path = f"{lake.meta_root}/sources.json"
+    fs.write_text(spark, path, json.dumps(declared))
+    sources = SourceCatalog.from_file(spark, path, root=lake.root)
+    frames = [sources.read(spark, f"silver.{name}", BATCH_DATE) for name in ("sales_silver", "customers_silver")]
+    return _cents(marts.sales_summary(*frames), "total_revenue")
+
+
 def q_json_mixed_layout(spark: SparkSession, sf: str) -> DataFrame:
     """One batch of array files and line files, all rows read."""
     c = table(spark, sf, "customer").select(
@@ -581,6 +617,8 @@ QUERIES: dict[str, QueryFn] = {
     "quarantine_source": q_quarantine_source,
     "quarantine_raw_lines": q_quarantine_raw_lines,
     "json_mixed_layout": q_json_mixed_layout,
+    "csv_sniffed": q_csv_sniffed,
+    "catalog_gold": q_catalog_gold,
     "gold_fractional_prices": q_gold_fractional_prices,
     "medallion_gold": q_medallion_gold,
     "run_metrics": q_run_metrics,

@@ -58,9 +58,20 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small text file: write a sibling, then rename over."""
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    """Replace a small text file: write a sibling, then rename over. Without
+    ``overwrite`` the file must not exist yet (FileExistsError if it does)."""
     fs, p = _fs(spark, path)
+    if not overwrite:
+        try:
+            out = fs.create(p, False)
+        except Exception as err:
+            raise FileExistsError(path) from err
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+        return
     jvm = spark.sparkContext._jvm
     tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), "." + p.getName() + ".tmp")
     out = fs.create(tmp, True)
@@ -93,6 +104,24 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def plain(spark: SparkSession, file: str) -> str:
+    """A file as Spark lists it (an encoded URI) as a plain path."""
+    jvm = spark.sparkContext._jvm
+    return str(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file)).toString())
+
+
+def read_head(spark: SparkSession, path: str, size: int) -> bytes:
+    """The first bytes of a file's contents, decompressed as Spark would."""
+    fs, p = _fs(spark, path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    codec = spark.sparkContext._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+    stream = fs.open(p)
+    try:
+        return bytes((codec.createInputStream(stream) if codec is not None else stream).readNBytes(size))
+    finally:
+        stream.close()
+
+
 def list_files(spark: SparkSession, path: str) -> list[str]:
     """Names of the files directly in ``path`` (empty if it does not exist)."""
     fs, p = _fs(spark, path)

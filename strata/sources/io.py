@@ -1,6 +1,7 @@
 """Readers and writers, one dispatch per format.
 
-Formats: ``csv`` (header line; columns matched by name), ``json`` (one
+Formats: ``csv`` (header line; columns matched by name; without a declared
+schema the files show delimiter, quotes and header), ``json`` (one
 object per line, or one array per file, also mixed in one batch), ``parquet``,
 ``delta`` (when the data source is on the class path) and ``snapshot``
 (our pointer-versioned Parquet table, the stand-in for ``delta``).
@@ -10,6 +11,7 @@ Unknown formats raise.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from pyspark.sql import types as T
 
 from strata.functions.columns import integral_from_text
 from strata.sources import fs, snapshot
+from strata.sources.sniff import sniff_csv
 
 FORMATS = ("csv", "json", "parquet", "snapshot", "delta")
 
@@ -71,6 +74,11 @@ def read_batch(
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
+        given = {k.lower() for k in opts}
+        if schema is None and not given & {"sep", "delimiter", "header"}:
+            shown = sniff_csv(spark, path, opts)
+            if shown.columns:
+                opts = {**shown.options, **opts}
         opts.setdefault("header", "true")
         opts.setdefault("mode", "FAILFAST")
         if schema is None:
@@ -128,16 +136,25 @@ def json_layouts(spark: SparkSession, path: str, options: Mapping[str, str] | No
     """The batch's files by layout: those that hold one JSON array (read
     whole, one task per file) and those with one object per line (splittable).
 
-    A file is an array if one of its lines starts with a bracket; Spark scans
-    the lines, however many blanks come first. The scan is saved by declaring
-    ``multiLine`` false.
+    A file is an array if the first character that is not blank is a bracket.
+    Only heads are read, some files at once, so the rows are scanned once; the
+    heads too are saved by declaring ``multiLine`` false.
     """
     where = {k: v for k, v in (options or {}).items() if k in ("recursiveFileLookup", "pathGlobFilter")}
-    lines = spark.read.options(**where).text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^[\\s\ufeff]+", "").alias("line")
-    )
-    found = lines.groupBy("file").agg(F.max(F.col("line").startswith("[").cast("int")).alias("array")).collect()
-    return [r["file"] for r in found if r["array"]], [r["file"] for r in found if not r["array"]]
+    files = [fs.plain(spark, f) for f in spark.read.options(**where).text(path).inputFiles()]
+
+    def is_array(file: str) -> bool:
+        size = 1 << 12
+        while True:
+            head = fs.read_head(spark, file, size)
+            text = head.lstrip(b" \t\r\n\x0b\x0c\xef\xbb\xbf")
+            if text or len(head) < size:
+                return text.startswith(b"[")
+            size *= 16  # blanks only, so far
+
+    with ThreadPoolExecutor(16) as pool:
+        arrays = list(pool.map(is_array, files))
+    return [f for f, a in zip(files, arrays) if a], [f for f, a in zip(files, arrays) if not a]
 
 
 def _integral(dtype: T.DataType) -> bool:

@@ -7,9 +7,11 @@ class path. Layout of one table::
     <table>/_CURRENT-<number>                  text: a published version id
 
 A write goes to a new version folder; publishing adds the pointer with the
-next number and deletes nothing. Readers take the highest number, so at any
-moment they see either the old or the new version, never none and never a
-mix. Old versions stay until they are removed by hand. One writer per table.
+next number and deletes nothing. Readers take the highest number (a pointer
+whose text is still being written counts as not there), so at any moment they
+see either the old or the new version, never none and never a mix. Old versions
+stay until they are removed by hand. Of two publishers that take the same
+number one gets it, the other fails and its version stays unpublished.
 """
 
 from __future__ import annotations
@@ -32,15 +34,24 @@ def _pointers(spark: SparkSession, table_path: str) -> list[str]:
 
 
 def current_version(spark: SparkSession, table_path: str) -> str | None:
-    found = _pointers(spark, table_path)
-    text = fs.read_text(spark, f"{table_path.rstrip('/')}/{found[-1]}") if found else None
-    return text.strip() if text else None
+    for name in reversed(_pointers(spark, table_path)):
+        text = fs.read_text(spark, f"{table_path.rstrip('/')}/{name}")
+        if text and text.strip():
+            return text.strip()
+    return None
+
+
+class PublishConflict(RuntimeError):
+    """Another publisher took the number of this version's pointer."""
 
 
 def publish(spark: SparkSession, table_path: str, version: str) -> None:
     found = _pointers(spark, table_path)
     number = int(found[-1].rsplit("-", 1)[1]) + 1 if found else 0
-    fs.write_text(spark, f"{table_path.rstrip('/')}/{POINTER}-{number:012d}", version)
+    try:
+        fs.write_text(spark, f"{table_path.rstrip('/')}/{POINTER}-{number:012d}", version, False)
+    except FileExistsError as err:
+        raise PublishConflict(f"{table_path}: version {version} lost number {number} to another publisher") from err
 
 
 def read_snapshot(
