@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.session import scratch_path
+from strata.sources import fs
 
 # A word is a run of anything but these six bytes (a fixed rule of the contracts).
 SPACE_BYTES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -38,7 +39,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_written_at", None):
+            fs.delete(df.sparkSession, path)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it: no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
@@ -183,6 +201,7 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     while not edges.isEmpty():
         hook = edges.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("p"))
         up = hook.select(F.col("u").alias("p"), F.col("p").alias("pp"))
+        before = (labels, edges)
         hook = written(
             hook.join(up, "p", "left").select("u", F.coalesce("pp", "p").alias("p")), f"{name}-hook"
         )
@@ -203,6 +222,8 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
             moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct(),
             f"{name}-edges",
         )
+        forget(hook, *before)
+    forget(edges)
     return labels
 
 

@@ -4,10 +4,11 @@ A line is boilerplate on a host when the share of the host's pages that hold
 it exceeds a ratio. Pages are counted per (host, line) with map-side partial
 sums over 64-bit line hashes, so only one small row per distinct line and
 task is shuffled, and a host with a third of all pages is spread over its
-lines. The flagged (host, line) pairs are few: at most
-(lines per page) / ratio per host. They meet the pages' line hashes in a join
-that Spark broadcasts or splits by size, and each changed page then gets the
-set of hashes to drop.
+lines. The flagged lines of a host are few: at most (lines per page) / ratio.
+They become one array per host, and pages meet it by host: the table of arrays
+is written first, so Spark knows its size and broadcasts it while it is small,
+and texts stay where they are; beyond that it is a merge join that splits hosts
+with many pages.
 """
 
 from __future__ import annotations
@@ -42,7 +43,8 @@ def drop_site_lines(
 
     Lines are split at line feeds and compared without blanks, tabs and
     carriage returns at either end; blank lines are never boilerplate. A line
-    counts once per page, repeated rows count each. Adds ``lines_dropped``.
+    counts once per page, repeated rows count each. Adds ``lines_dropped`` (in
+    place of a column of that name).
     Pages of unknown host (null) belong to no site and stay as they are; so
     do null and empty texts. A page of which every line goes keeps its row
     with an empty text. ``key`` need not be unique or non-null.
@@ -60,22 +62,24 @@ def drop_site_lines(
         often.join(totals, "_h").where(F.col("_n") > F.lit(ratio) * F.col("_pages")).select("_h", "_line"),
         "site-lines",
     )
-    drops = (
-        lines.join(flagged, ["_h", "_line"])
-        .groupBy("_h", "_k")
-        .agg(F.collect_set("_line").alias("_drop"))
-        .select(F.col("_h").alias("_dh"), F.col("_k").alias("_dk"), "_drop")
-    )
-    joined = pages.join(drops, (h == F.col("_dh")) & k.eqNullSafe(F.col("_dk")), "left")
-    gone = lambda x: F.coalesce(F.array_contains(F.col("_drop"), _line_key(x)), F.lit(False))
-    kept = F.filter(_lines(t), lambda x: ~gone(x))
-    change = F.col("_drop").isNotNull() & (F.length(t) > 0)
-    out = joined.withColumn(
-        "_lost", F.when(change, F.size(_lines(t)) - F.size(kept)).otherwise(F.lit(0)).cast("long")
+    drops = written(
+        flagged.groupBy("_h").agg(F.collect_set("_line").alias("drop")).withColumnRenamed("_h", "host"), "site-drops"
     )
+    # the page's own columns in one struct: no name of theirs can clash
+    page = pages.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("page"))
+    own = F.col(f"page.`{text}`")
+    joined = page.join(drops, F.col(f"page.`{host}`") == F.col("host"), "left")
+    gone = lambda x: F.array_contains(F.col("drop"), _line_key(x))
+    kept = F.filter(_lines(own), lambda x: ~gone(x))
+    out = joined.withColumn("kept", F.when(F.col("drop").isNotNull() & (F.length(own) > 0), kept))
+    lost = F.coalesce(F.size(_lines(own)) - F.size("kept"), F.lit(0)).cast("long")
     return out.select(
-        *[F.when(change, F.array_join(kept, "\n")).otherwise(t).alias(c) if c == text else F.col(f"`{c}`") for c in names],
-        F.col("_lost").alias("lines_dropped"),
+        *[
+            F.when(lost > 0, F.array_join("kept", "\n")).otherwise(own).alias(c) if c == text else F.col(f"page.`{c}`").alias(c)
+            for c in names
+            if c != "lines_dropped"
+        ],
+        lost.alias("lines_dropped"),
     )
 
 

@@ -15,11 +15,16 @@
    the totals kept exactly. After log2(shards) levels each shard holds a
    random share of every source, with its unit count fixed.
 5. A source's permuted blocks are dealt to shards by these counts and each
-   shard is shuffled locally by a keyed hash.
+   shard is shuffled locally: every task sorts the documents it holds of a
+   shard by a keyed hash of document and pass, and writes them in that order.
 
 DataFrame functions only. Texts never move: only ids and sizes are shuffled,
 and every group is a (source, block), so a source with a third of all rows is
-spread over its blocks. Sources are components of a mixture: their table (one
+spread over its blocks. How often and where a document goes depends on its
+block alone, but for the one block per source that the target cuts, so texts
+meet the table of blocks (at most MAX_BLOCKS a source, small enough to be
+broadcast), and only documents of cut blocks, one in some thousands, are joined
+one by one. Sources are components of a mixture: their table (one
 row each) is handled whole, documents never are.
 """
 
@@ -32,9 +37,10 @@ from strata.llm.common import n_words, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
-SHARDS = 8  # a power of two
+SHARDS = 8  # a power of two, at least
+SHARD_WORDS = 1 << 27  # words of one shard, about; larger mixes have more shards
 BLOCK_DOCS = 1024  # documents in a block of a source that has all documents
-MAX_BLOCKS = 4096  # blocks of a source; beyond, blocks get larger
+MAX_BLOCKS = 4096  # blocks of a source: keeps their table small; beyond, blocks hold more documents
 SEED = 20240229
 
 
@@ -124,22 +130,13 @@ def shard_quotas(sources: DataFrame, shards: int = SHARDS) -> DataFrame:
     return counts.select("s", running.alias("upto"))
 
 
-def mix(
-    docs: DataFrame,
-    weights: tuple[float, ...] = WEIGHTS,
-    max_epochs: int = MAX_EPOCHS,
-    shards: int = SHARDS,
-    block_docs: int = BLOCK_DOCS,
-) -> DataFrame:
-    """What the mix takes of every row of ``docs`` (``doc_id, text, source``).
+def _block(doc_id: Column, body: Column, blocks: int) -> Column:
+    return F.floor(_unit(doc_id, body) * blocks).cast("int")
 
-    Returns one row per row: ``doc_id, source, size, source_size, target,
-    taken, body`` (hash of the text) and ``passes``, an array of ``(pass,
-    shard, place, words)``: in that shard, at the rank that ``place`` gives,
-    the first ``words`` words of the text. Null text: size 0. A null source
-    is a source. Repeated rows are documents of their own. Extra columns are
-    ignored. Reruns give the same rows.
-    """
+
+def _plan(docs: DataFrame, weights: tuple[float, ...], max_epochs: int, shards: int | None, block_docs: int) -> tuple[DataFrame, DataFrame, int]:
+    """Ids and sizes of all documents, what every block gives (``_source,
+    _block``, targets, passes), and the number of blocks."""
     base = docs.select(
         F.col("`doc_id`").cast("long").alias("doc_id"),
         F.col("`source`").cast("string").alias("source"),
@@ -148,11 +145,14 @@ def mix(
     )
     base = written(base, "mix-sizes")
     blocks_of = min(max(1, -(-base.count() // block_docs)), MAX_BLOCKS)
-    base = base.withColumn("block", F.floor(_unit(F.col("doc_id"), F.col("body")) * blocks_of).cast("int"))
+    base = base.withColumn("block", _block(F.col("doc_id"), F.col("body"), blocks_of))
     blocks = written(
         base.groupBy("source", "block").agg(F.sum("size").alias("words")), "mix-blocks"
     )
     per_source = blocks.groupBy("source").agg(F.sum("words").alias("source_size"), F.count("*").alias("n"))
+    if shards is None:
+        words = blocks.agg(F.sum("words")).first()[0] or 0
+        shards = max(SHARDS, 1 << max(0, (words // SHARD_WORDS).bit_length()))
     goal = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(goal / F.col("source_size"))).otherwise(0).cast("long")
     targets = written(
@@ -178,31 +178,61 @@ def mix(
     upto = shard_quotas(quotas, shards)
     unit = lambda e: (e * F.col("n") + F.col("rank")).cast("long")
 
-    def shard(u: Column) -> Column:
-        return F.size(F.filter("upto", lambda x: x <= u))
-
-    def place(e: Column) -> Column:
-        return F.xxhash64("s", "block", e, F.lit(SEED))
-
     def piece(e: Column) -> Column:
         e = e.cast("long")
-        return F.struct(e.alias("pass"), shard(unit(e)).alias("shard"), place(e).alias("place"))
+        shard = F.size(F.filter("upto", lambda x: x <= unit(e)))
+        return F.struct(e.alias("pass"), shard.alias("shard"))
 
     dealt = placed.join(upto, "s").select(
-        F.col("source").alias("_source"), F.col("block").alias("_block"), "source_size", "target", "epochs", "part",
+        F.col("source").alias("_source"), F.col("block").alias("_block"), "source_size", "target", "epochs", "part", "words",
         F.when(F.col("epochs") > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("epochs") - 1, F.lit(0).cast("long"))), piece))
-        .otherwise(F.array().cast("array<struct<pass:bigint,shard:int,place:bigint>>")).alias("full"),
+        .otherwise(F.array().cast("array<struct<pass:bigint,shard:int>>")).alias("full"),
         piece(F.col("epochs")).alias("last"),
     )
-    # documents of the block in order; the one that meets the target is cut
+    return base, written(dealt, "mix-dealt"), blocks_of
+
+
+def _cut_within(base: DataFrame) -> DataFrame:
+    """Words of a block ahead of each of its documents, in permuted order; the
+    document that meets the target is cut."""
     within = Window.partitionBy("source", "block").orderBy(
         _unit(F.col("doc_id"), F.col("body"), F.lit("within")), "doc_id", "body"
     ).rowsBetween(Window.unboundedPreceding, -1)
-    base = base.withColumn("_ahead", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    joined = base.join(dealt, F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block")))
+    return base.withColumn("_ahead", F.coalesce(F.sum("size").over(within), F.lit(0)))
+
+
+def _same_block() -> Column:
+    return F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block"))
+
+
+def _place(x: Column, doc_id: Column, body: Column) -> Column:
+    """Where a document stands in its shard: a keyed hash of it and its pass."""
+    return F.xxhash64(doc_id, body, x["pass"], F.lit(SEED))
+
+
+def mix(
+    docs: DataFrame,
+    weights: tuple[float, ...] = WEIGHTS,
+    max_epochs: int = MAX_EPOCHS,
+    shards: int | None = None,
+    block_docs: int = BLOCK_DOCS,
+) -> DataFrame:
+    """What the mix takes of every row of ``docs`` (``doc_id, text, source``).
+
+    Returns one row per row: ``doc_id, source, size, source_size, target,
+    taken, body`` (hash of the text) and ``passes``, an array of ``(pass,
+    shard, place, words)``: in that shard, at the rank that ``place`` gives,
+    the first ``words`` words of the text. Null text: size 0. A null source
+    is a source. Repeated rows are documents of their own. Extra columns are
+    ignored. Reruns give the same rows. ``shards`` must be a power of two;
+    without it their number follows the words of ``docs``.
+    """
+    base, dealt, _ = _plan(docs, weights, max_epochs, shards, block_docs)
+    joined = _cut_within(base).join(dealt, _same_block())
     rest = F.greatest(F.lit(0), F.least("size", F.col("part") - F.col("_ahead")))
     as_row = lambda x, words: F.struct(
-        x["pass"].alias("pass"), x["shard"].alias("shard"), x["place"].alias("place"), words.cast("long").alias("words")
+        x["pass"].alias("pass"), x["shard"].alias("shard"),
+        _place(x, F.col("doc_id"), F.col("body")).alias("place"), words.cast("long").alias("words"),
     )
     return joined.withColumn("_rest", rest).select(
         "doc_id", "source", "size", "source_size", "target",
@@ -223,17 +253,52 @@ def first_words(text: Column, words: Column) -> Column:
     return F.array_join(F.slice(piece, F.lit(1), F.greatest(words, F.lit(0)).cast("int")), "")
 
 
-def mixed_rows(docs: DataFrame, taken: DataFrame) -> DataFrame:
-    """The documents as the mix takes them: one row per pass over a document,
-    with ``shard`` and ``place``; the cut one holds its first words only.
-    Columns of ``docs``, which must have ``doc_id`` and ``text``."""
-    moves = taken.select(
-        F.col("doc_id").alias("_id"), F.col("body").alias("_body"), F.col("size").alias("_size"), F.inline("passes")
-    ).distinct()
-    names = docs.columns
-    same = F.col("`doc_id`").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("`text`").cast("string")) == F.col("_body"))
-    cut = F.when(F.col("words") < F.col("_size"), first_words(F.col("`text`"), F.col("words"))).otherwise(F.col("`text`"))
-    return docs.join(moves, same).select(
-        *[cut.alias(c) if c == "text" else F.length(cut).cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in names],
-        "shard", "place",
+def mixed_rows(
+    docs: DataFrame,
+    weights: tuple[float, ...] = WEIGHTS,
+    max_epochs: int = MAX_EPOCHS,
+    shards: int | None = None,
+    block_docs: int = BLOCK_DOCS,
+) -> DataFrame:
+    """The documents as ``mix`` takes them: one row per pass over a document,
+    each task's rows shard by shard, shuffled within each.
+
+    Columns of ``docs`` (which must have ``doc_id, text, source``; ``n_chars``
+    follows the text) and ``mix_shard, mix_place`` (in place of columns of that
+    name): written by shard and sorted by place, a task's file of a shard is a
+    shuffled run. The cut document of a source holds its first words only;
+    documents without words are not taken. Of repeated rows of one id and text
+    that include the cut one, each holds the most words any of them does."""
+    base, dealt, blocks_of = _plan(docs, weights, max_epochs, shards, block_docs)
+    names = [c for c in docs.columns if c not in ("mix_shard", "mix_place")]
+    text, doc_id = F.col("`text`").cast("string"), F.col("`doc_id`").cast("long")
+    body = F.xxhash64(text)
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"), F.col("`source`").cast("string").alias("source"),
+        doc_id.alias("id"), body.alias("body"), _block(doc_id, body, blocks_of).alias("block"),
+    ).where(F.coalesce(F.col("doc.text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    met = rows.join(dealt, _same_block())
+    cut = (F.col("part") > 0) & (F.col("part") < F.col("words"))
+    taken = F.concat("full", F.when(F.col("part") > 0, F.array("last")).otherwise(F.array().cast("array<struct<pass:bigint,shard:int>>")))
+    uncut = met.where(~cut).select("doc", "id", "body", F.lit(None).cast("long").alias("most"), F.explode(taken).alias("x"))
+    # documents of cut blocks: all of a full pass, and of the last one what the target leaves
+    ends = _cut_within(base.join(dealt.where(cut).select("_source", "_block", "part"), _same_block()))
+    ends = ends.withColumn("rest", F.greatest(F.lit(0), F.least("size", F.col("part") - F.col("_ahead"))))
+    ends = ends.groupBy("doc_id", "body").agg(F.max("rest").alias("most"), F.first("size").alias("size"))
+    ends = ends.select(F.col("doc_id").alias("_id"), F.col("body").alias("_body"), "most", "size")
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("body") == F.col("_body"))
+    at_end = met.where(cut).join(ends, same)
+    whole = F.lit(None).cast("long")
+    passes = F.concat(
+        F.transform("full", lambda x: F.struct(whole.alias("most"), x.alias("x"))),
+        F.array(F.struct(F.when(F.col("most") < F.col("size"), F.col("most")).alias("most"), F.col("last").alias("x"))),
+    )
+    at_end = at_end.select("doc", "id", "body", F.explode(passes).alias("p")).select("doc", "id", "body", "p.most", "p.x")
+    out = uncut.union(at_end.where("most is null or most > 0"))
+    own = F.col("doc.`text`")
+    own = F.when(F.col("most").isNotNull(), first_words(own, F.col("most"))).otherwise(own)
+    out = out.select(
+        *[own.alias(c) if c == "text" else F.length(own).cast("long").alias(c) if c == "n_chars" else F.col(f"doc.`{c}`").alias(c) for c in names],
+        F.col("x.shard").alias("mix_shard"), _place(F.col("x"), F.col("id"), F.col("body")).alias("mix_place"),
     )
+    return out.sortWithinPartitions("mix_shard", "mix_place")

@@ -12,15 +12,19 @@ tables in the shared folder:
    64-bit set hash and the set size; copies are never joined.
 3. Prefixes. A set of n shingles shows its first ``n - ceil(t * n) + 1``; two
    sets of Jaccard t or more share one of them. Prefix rows meet by shingle.
-4. Star round. In each shingle's group every set is compared with the group's
-   smallest set only (length, positional and suffix filter, then the texts).
-   The links found are contracted to components: a group of near copies
-   collapses here in as many comparisons as it has members.
+4. Star rounds. In each shingle's group every set of another component is
+   compared with one centre (length, positional and suffix filter, then the
+   texts), and the links found are contracted: a round costs as many comparisons
+   as there are rows. The first centre is the group's smallest set, later ones
+   are drawn anew in every round, so a family of near copies that do not all
+   reach one centre grows together from several. Groups left with one component
+   are done.
 5. Residual round. What is left in a group are pairs of different components;
    sets outside a group's largest component meet the group's other components
-   in a join whose condition holds all filters, so only pairs that pass them
-   all become rows; these are verified in the same way. No pair is lost: a
-   pair is skipped only if both already are in one component.
+   in a join whose condition holds the filters, so only pairs that pass them
+   become rows, and those at their first common shingle; these are verified in
+   the same way. No pair is lost: a pair is skipped only if it was compared
+   before, or both sets already are in one component.
 6. Components of all links.
 
 A hot shingle, set or document meets others only in joins that adaptive
@@ -34,17 +38,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import clean_select, components, shingle_sets, short_batches, written
+from strata.llm.common import clean_select, components, forget, fresh, shingle_sets, short_batches, written
 
 CELL_BITS = 24  # frequency cells of one table: 16 MB, whatever the corpus
 TABLES = 1  # with more, a shingle's frequency is the least of its cells
 _CHUNK_BITS = 16  # cells of one shuffled block
 HIST = 16  # parts of the suffix filter
 BITS = 256  # parity bits of a set
-MARKS = 1 << 27  # bits of the table of wanted ids: 16 MB, whatever the corpus
+MARKS = 1 << 27  # bits of a table of wanted keys: 16 MB, whatever the corpus
+ROUNDS = 2  # star rounds at most; the residual round takes all that is left
+HEAD = 32  # first shingles by which a pair knows an earlier common one
 
 
 def _cells(shingles: np.ndarray, which: int) -> np.ndarray:
@@ -147,62 +154,92 @@ def document_sets(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, h long, n int, prefix binary, hist array<int>, bits array<long>")
 
 
-def _prefix_rows(reps: DataFrame) -> DataFrame:
+def _prefix_rows(reps: DataFrame, head: int = 0) -> DataFrame:
+    """``tok, h, n, pos, early`` of every prefix shingle; with ``head`` also the
+    set's first shingles before this one, that many at most.
+
+    The smaller set of a pair must show the first common shingle early: a
+    group without such a row holds no pair."""
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             raw = batch.column(2)
             k = np.array([len(x.as_py()) // 8 for x in raw], dtype=np.int64)
             tok = np.frombuffer(b"".join(x.as_py() for x in raw), dtype=np.int64)
             at = np.repeat(np.arange(len(k)), k)
-            pos = np.arange(len(tok)) - np.repeat(np.cumsum(k) - k, k)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(tok), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(pos.astype(np.int32))],
-                names=["tok", "h", "n", "pos"],
-            )
-
-    return reps.select("h", "n", "prefix").mapInArrow(run, "tok long, h long, n int, pos int")
-
-
-def _may_link(a: str, b: str, num: int, den: int) -> Column:
-    """Length, positional and suffix filters on columns ``<a>n, <a>pos,
-    <a>hist, <a>bits`` and those of b.
-
-    Positional: before a pair's first common shingle neither side has a common
-    one, so from there on both must still hold the overlap needed. Rows of
-    later common shingles may fail; the first one's row does not. Suffix: the
-    counts by hash range, and the parity bits, differ in at least as many
-    places as they show; two sets that link differ in few.
-    """
-    c = lambda side, name: F.col(side + name)
-    total = c(a, "n") + c(b, "n")
-    need = _overlap(total, num, den)
-    short, long = F.least(c(a, "n"), c(b, "n")), F.greatest(c(a, "n"), c(b, "n"))
-    left = F.least(c(a, "n") - c(a, "pos"), c(b, "n") - c(b, "pos"))
-    flips = sum(
-        (F.bit_count(c(a, "bits")[k].bitwiseXOR(c(b, "bits")[k])) for k in range(1, BITS // 64)),
-        F.bit_count(c(a, "bits")[0].bitwiseXOR(c(b, "bits")[0])),
-    )
-    apart = F.aggregate(F.zip_with(c(a, "hist"), c(b, "hist"), lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    return (short * den >= long * num) & (left >= need) & (flips <= total - 2 * need) & (apart <= total - 2 * need)
+            first = np.repeat(np.cumsum(k) - k, k)
+            pos = np.arange(len(tok)) - first
+            which = pa.array(at)
+            columns = {"tok": pa.array(tok), "h": batch.column(0).take(which), "n": batch.column(1).take(which),
+                       "pos": pa.array(pos.astype(np.int32)), "early": batch.column(3).take(which)}
+            columns["early"] = pc.less_equal(columns["pos"], columns["early"])
+            if head:
+                size = np.minimum(pos, head)
+                ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))
+                inner = np.repeat(first, size) + np.arange(ends[-1]) - np.repeat(ends[:-1], size)
+                columns["head"] = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(tok[inner]))
+            yield pa.RecordBatch.from_pydict(columns)
+
+    schema = "tok long, h long, n int, pos int, early boolean" + (", head array<long>" if head else "")
+    return reps.select("h", "n", "prefix", "early").mapInArrow(run, schema)
+
+
+def _reach(a: str, b: str, num: int, den: int) -> Column:
+    """Length and positional filters on columns ``<a>n, <a>pos`` and those of b.
+
+    Before a pair's first common shingle neither side has a common one, so from
+    there on both must still hold the overlap needed. Rows of later common
+    shingles may fail; the first one's row does not."""
+    n, m = F.col(a + "n"), F.col(b + "n")
+    left = F.least(n - F.col(a + "pos"), m - F.col(b + "pos"))
+    return (F.least(n, m) * den >= F.greatest(n, m) * num) & (left >= _overlap(n + m, num, den))
+
+
+def _same_bits(a: str, b: str, num: int, den: int) -> Column:
+    """Suffix filter: the parity bits of two sets differ in at most as many
+    places as the sets differ in elements; sets that link differ in few."""
+    total = F.col(a + "n") + F.col(b + "n")
+    x, y = F.col(a + "bits"), F.col(b + "bits")
+    flips = sum((F.bit_count(x[k].bitwiseXOR(y[k])) for k in range(1, BITS // 64)), F.bit_count(x[0].bitwiseXOR(y[0])))
+    return flips <= total - 2 * _overlap(total, num, den)
+
+
+def _same_shape(a: str, b: str, num: int, den: int) -> Column:
+    """The same by the counts of elements per hash range."""
+    total = F.col(a + "n") + F.col(b + "n")
+    gaps = F.zip_with(F.col(a + "hist"), F.col(b + "hist"), lambda x, y: F.abs(x - y))
+    return F.aggregate(gaps, F.lit(0), lambda s, x: s + x) <= total - 2 * _overlap(total, num, den)
 
 
 def _mark(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(MARKS))
 
 
-def _marked(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows of ``rows`` whose key hashes to a bit that a key of ``wanted`` set:
-    all rows with a wanted key and few others, before anything is shuffled.
-    The bitmaps have a fixed size; on a corpus that fills them more rows pass."""
+def _split(rows: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key hashes to a bit that a key of ``wanted`` set (all rows
+    with a wanted key and few others), and the other rows, told apart before
+    anything is shuffled. The bitmaps have a fixed size; on a corpus that
+    fills them more rows count as wanted."""
+    block, bits = fresh(rows, "_block"), fresh(rows, "_bits")
     bit = _mark(F.col(wanted.columns[0]))
-    bitmaps = wanted.groupBy(F.bitmap_bucket_number(bit).alias("_block")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("_bits")
+    bitmaps = wanted.groupBy(F.bitmap_bucket_number(bit).alias(block)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias(bits)
     )
-    at = _mark(F.col(key))
-    met = rows.withColumn("_block", F.bitmap_bucket_number(at)).join(F.broadcast(bitmaps), "_block")
+    at = _mark(F.col(f"`{key}`"))
+    met = rows.withColumn(block, F.bitmap_bucket_number(at)).join(F.broadcast(bitmaps), block, "left")
     place = F.bitmap_bit_position(at)
-    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return met.where(F.getbit(byte, (place % 8).cast("int")) == 1).select(*rows.columns)
+    byte = F.conv(F.hex(F.substring(bits, F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    names = [F.col(f"`{c}`") for c in rows.columns]
+    return met.where(hit).select(*names), met.where(~hit).select(*names)
+
+
+def _shaped(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
+    """Those distinct pairs that pass both suffix filters."""
+    shape = reps.select("h", "n", "hist", "bits")
+    side = lambda s: shape.select(*[F.col(c).alias(s + c) for c in shape.columns])
+    met = pairs.join(side("a"), ["ah", "an"]).join(side("b"), ["bh", "bn"])
+    return met.where(_same_bits("a", "b", num, den) & _same_shape("a", "b", num, den)).select("ah", "an", "bh", "bn")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -221,7 +258,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, nu
 
     # the class representative's text; its id alone picks the row, its set key confirms it
     wanted = need.select(F.col("doc_id").alias("rep")).distinct()
-    picked = _marked(clean_select(docs, {"doc_id": "long", "text": "string"}), "doc_id", wanted).alias("d").join(
+    picked = _split(clean_select(docs, {"doc_id": "long", "text": "string"}), "doc_id", wanted)[0].alias("d").join(
         wanted, F.col("doc_id").eqNullSafe(F.col("rep"))  # distinct ids; a semi join would be pushed below the marks
     ).select("doc_id", "text")
     texts = picked.mapInArrow(keyed, "doc_id long, h long, n int, text string").alias("t")
@@ -251,13 +288,44 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, nu
     ta = texts.select(F.col("h").alias("ah"), F.col("n").alias("an"), F.col("text").alias("ta"))
     tb = texts.select(F.col("h").alias("bh"), F.col("n").alias("bn"), F.col("text").alias("tb"))
     joined = pairs.join(tb, ["bh", "bn"]).join(ta, ["ah", "an"])
-    return joined.select("ah", "an", "bh", "bn", "ta", "tb").mapInArrow(compare, "ah long, an int, bh long, bn int")
+    reached = joined.select("ah", "an", "bh", "bn", "ta", "tb").mapInArrow(compare, "ah long, an int, bh long, bn int")
+    reached = written(reached, "join-links")
+    forget(texts)
+    return reached
 
 
 def _node(h: str, n: str) -> Column:
     return F.struct(F.col(h).alias("h"), F.col(n).alias("n"))
 
 
+def _ordered_pair() -> list[Column]:
+    """A pair's columns, the smaller node first."""
+    swap = _node("ah", "an") <= _node("bh", "bn")
+    pick = lambda a, b: F.when(swap, F.col(a)).otherwise(F.col(b))
+    return [pick("ah", "bh").alias("ah"), pick("an", "bn").alias("an"), pick("bh", "ah").alias("bh"), pick("bn", "an").alias("bn")]
+
+
+def _unseen(pairs: DataFrame, tried: list[DataFrame]) -> DataFrame:
+    for seen in tried:
+        pairs = pairs.join(seen, ["ah", "an", "bh", "bn"], "left_anti")
+    return pairs
+
+
+def _edges(links: list[DataFrame]) -> DataFrame:
+    out = links[0]
+    for more in links[1:]:
+        out = out.union(more)
+    return out.select(_node("ah", "an").alias("a"), _node("bh", "bn").alias("b"))
+
+
+def _still_open(kept: DataFrame, part: DataFrame) -> DataFrame:
+    """Rows of the groups that still hold two components, with their own."""
+    named = kept.withColumn("node", _node("h", "n")).join(part, "node", "left")
+    named = named.select("tok", "h", "n", "pos", "early", F.coalesce("component", "node").alias("comp"))
+    mixed = named.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("tok")
+    return written(_split(named, "tok", mixed)[0].join(mixed, "tok"), "join-groups")
+
+
 def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``
     (``doc_id, text``): documents link when ``den * intersection >= num *
@@ -273,66 +341,78 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     spark = docs.sparkSession
     short_batches(spark)
     found = written(document_sets(docs, words, num, den), "join-sets")
-    full = found.where("n > 0")
-    reps = written(
-        full.groupBy("h", "n").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("prefix", "hist", "bits")]),
+    full = found.where("n > 0").withColumn("key", F.xxhash64("h", "n"))
+    # one row per class of copies: only sets that occur more than once move
+    copied = written(
+        full.groupBy("h", "n").agg(F.count("*").alias("k")).where("k > 1").select(F.xxhash64("h", "n").alias("key")), "join-copied"
+    )
+    several, single = _split(full, "key", copied)
+    shape = ["h", "n", "doc_id", "prefix", "hist", "bits"]
+    several = written(
+        several.groupBy("h", "n").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("prefix", "hist", "bits")]),
         "join-reps",
     )
-    # the smaller set of a pair must show the first common shingle early: a
-    # group without such a row holds no pair
-    early = F.col("pos") <= F.col("n") - _overlap(F.col("n") + F.col("n"), num, den)
-    rows = _prefix_rows(reps).withColumn("early", early)
+    early = (F.col("n") - _overlap(F.col("n") + F.col("n"), num, den)).cast("int").alias("early")
+    reps = single.select(*shape).union(several.select(*shape)).select(*shape, early)
+
     # most shingles stand in one prefix only: they are told apart by narrow
     # counts, so that only shared ones meet in wider rows
-    repeated = rows.groupBy("tok").agg(F.count("*").alias("k"), F.max("early").alias("e")).where("k > 1 and e").select("tok")
-    kept = written(rows.join(repeated, "tok"), "join-kept")
-    hub = kept.groupBy("tok").agg(F.min(F.when(F.col("early"), F.struct("h", "n", "pos"))).alias("c"))
-    shared = written(
-        kept.join(hub, "tok").select("tok", "h", "n", "pos", "early", F.col("c.h").alias("ch"), F.col("c.n").alias("cn"), F.col("c.pos").alias("cp")),
-        "join-shared",
+    rows = _prefix_rows(reps)
+    repeated = written(
+        rows.groupBy("tok").agg(F.count("*").alias("k"), F.max("early").alias("e")).where("k > 1 and e").select("tok"), "join-toks"
     )
-    shape = reps.select("h", "n", "hist", "bits")
-    star = shared.where("h <> ch or n <> cn").alias("y").join(shape.alias("ys"), ["h", "n"]).select(
-        *[F.col(f"y.{c}").alias(f"b{c}") for c in ("h", "n", "pos")], F.col("ys.hist").alias("bhist"), F.col("ys.bits").alias("bbits"),
-        F.col("ch").alias("ah"), F.col("cn").alias("an"), F.col("cp").alias("apos"),
-    )
-    centre = shape.select(*[F.col(c).alias("a" + c) for c in shape.columns])
-    tried = written(
-        star.join(centre, ["ah", "an"]).where(_may_link("a", "b", num, den)).select("ah", "an", "bh", "bn").distinct(),
-        "join-star",
-    )
-    links = written(_verified(tried, docs, reps, words, num, den), "join-links")
-    edges = links.select(_node("ah", "an").alias("a"), _node("bh", "bn").alias("b"))
-    part = components(edges, "join-cc")
+    kept = written(_split(rows, "tok", repeated)[0].join(repeated, "tok"), "join-kept")
+    open_rows = kept.withColumn("comp", _node("h", "n"))
+    tried, links, part = [], [], None
+    pair = ["ah", "an", "bh", "bn"]
+    for turn in range(ROUNDS):
+        drawn = F.xxhash64("h", "n", "tok", F.lit(turn)) if turn else F.lit(0).cast("long")
+        centre = open_rows.where("early").groupBy("tok").agg(F.min(F.struct(drawn.alias("d"), "h", "n", "pos", "comp")).alias("c"))
+        star = open_rows.join(centre, "tok").where(F.col("comp") != F.col("c.comp")).select(
+            F.col("c.h").alias("ah"), F.col("c.n").alias("an"), F.col("c.pos").alias("apos"),
+            F.col("h").alias("bh"), F.col("n").alias("bn"), F.col("pos").alias("bpos"),
+        )
+        star = star.where(_reach("a", "b", num, den)).select(*_ordered_pair()).distinct()
+        fresh_pairs = written(_shaped(_unseen(star, tried), reps, num, den), "join-star")
+        tried.append(fresh_pairs)
+        reached = None if fresh_pairs.isEmpty() else _verified(fresh_pairs, docs, reps, words, num, den)
+        if reached is None or reached.isEmpty():
+            break
+        links.append(reached)
+        old = (open_rows, part)
+        part = components(_edges(links), "join-cc")
+        open_rows = _still_open(kept, part)
+        forget(*[t for t in old if t is not None])
 
     # residual: pairs across components within a shingle's group
-    named = shared.select("tok", "h", "n", "pos", "early", _node("h", "n").alias("node")).join(part, "node", "left")
-    named = named.select("tok", "h", "n", "pos", "early", F.coalesce("component", "node").alias("comp"))
-    mixed = named.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("tok")
-    open_rows = written(named.join(mixed, "tok").join(shape, ["h", "n"]), "join-open")
+    if part is None:
+        part = components(_edges([spark.createDataFrame([], "ah long, an int, bh long, bn int")]), "join-cc")
+    whole = _prefix_rows(reps, HEAD).select("tok", "h", "n", "head").join(open_rows, ["tok", "h", "n"])
+    whole = whole.join(reps.select("h", "n", "bits"), ["h", "n"])
     major = (
         open_rows.groupBy("tok", "comp").agg(F.count("*").alias("k"))
         .groupBy("tok").agg(F.max(F.struct("k", "comp")).alias("m")).select("tok", F.col("m.comp").alias("major"))
     )
-    minor = open_rows.join(major, "tok").where("comp <> major")
+    whole = written(whole.join(major, "tok"), "join-open")
+    minor = whole.where("comp <> major")
     same_group = (F.col("x.tok") == F.col("y.tok")) & (F.col("x.comp") != F.col("y.comp"))
     swap = _node("x.h", "x.n") < _node("y.h", "y.n")
     once = (F.col("y.comp") == F.col("x.major")) | swap
-    pick = lambda a, b: F.when(swap, F.col(a)).otherwise(F.col(b))
+    first = ~F.arrays_overlap("x.head", "y.head")
 
     def paired(x: DataFrame, y: DataFrame) -> DataFrame:
-        return x.alias("x").join(y.alias("y"), same_group & once & _may_link("x.", "y.", num, den)).select(
-            pick("x.h", "y.h").alias("ah"), pick("x.n", "y.n").alias("an"),
-            pick("y.h", "x.h").alias("bh"), pick("y.n", "x.n").alias("bn"),
-        )
-
-    left = paired(minor.where("early"), open_rows).union(paired(minor.where("not early"), open_rows.where("early"))).distinct()
-    seen = tried.select("ah", "an", "bh", "bn").union(tried.select("bh", "bn", "ah", "an"))
-    left = written(left.join(seen, ["ah", "an", "bh", "bn"], "left_anti"), "join-rest")
+        near = _reach("x.", "y.", num, den) & _same_bits("x.", "y.", num, den)
+        return x.alias("x").join(y.alias("y"), same_group & once & near & first).select(
+            F.col("x.h").alias("ah"), F.col("x.n").alias("an"), F.col("y.h").alias("bh"), F.col("y.n").alias("bn")
+        ).select(*_ordered_pair())
+
+    left = paired(minor.where("early"), whole).union(paired(minor.where("not early"), whole.where("early"))).distinct()
+    left = written(_shaped(_unseen(left, tried), reps, num, den), "join-rest")
     if not left.isEmpty():
-        more = written(_verified(left, docs, reps, words, num, den), "join-more")
-        edges = edges.union(more.select(_node("ah", "an").alias("a"), _node("bh", "bn").alias("b")))
-        part = components(edges, "join-cc2")
+        links.append(_verified(left, docs, reps, words, num, den))
+        forget(part)
+        part = components(_edges(links), "join-cc2")
+    forget(left, whole, kept, repeated, open_rows, *tried)
 
     classes = reps.select("h", "n", "doc_id", _node("h", "n").alias("node")).join(part, "node", "left")
     classes = classes.select("h", "n", "doc_id", F.coalesce("component", "node").alias("comp"))
@@ -348,13 +428,19 @@ def one_per_component(docs: DataFrame, words: int = 5, num: int = 80, den: int =
     the smallest id stays. Rows without shingles and rows without an id (which
     name no document) all stay. Of repeated rows of the same id one stays."""
     found = written(jaccard_components(docs, words, num, den), "join-components")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col("`doc_id`") == F.col("_gone"), "left_anti")
-    twice = found.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_twice"))
-    names = docs.columns
-    marked = kept.join(twice, F.col("`doc_id`") == F.col("_twice"), "left")
-    once = marked.where("_twice is null").select(*[F.col(f"`{c}`") for c in names])
-    again = marked.where("_twice is not null").withColumn(
-        "_row", F.row_number().over(Window.partitionBy("_twice").orderBy(*[F.col(f"`{c}`") for c in names]))
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("id")).distinct()
+    twice = found.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    decided = written(
+        gone.withColumn("gone", F.lit(True)).join(twice.select(F.col("doc_id").alias("id"), F.lit(True).alias("twice")), "id", "full"),
+        "join-decided",
     )
-    return once.union(again.where("_row = 1").select(*[F.col(f"`{c}`") for c in names]))
+    # rows that nothing is said about stay where they are
+    names = docs.columns
+    own = [F.col(f"d.`{c}`").alias(c) for c in names]
+    maybe, sure = _split(docs, "doc_id", decided.select("id"))
+    met = maybe.alias("d").join(decided.alias("s"), F.col("d.`doc_id`") == F.col("s.id"), "left").where("s.gone is null")
+    once = met.where("s.twice is null").select(*own)
+    place = fresh(docs, "_place")
+    by_row = Window.partitionBy("s.id").orderBy(*[F.col(f"d.`{c}`") for c in names])
+    again = met.where("s.twice is not null").select(*own, F.row_number().over(by_row).alias(place)).where(F.col(place) == 1)
+    return sure.union(once).union(again.select(*[F.col(f"`{c}`") for c in names]))

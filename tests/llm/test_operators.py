@@ -173,9 +173,45 @@ def test_shard_quotas_are_exact(spark):
 
 
 def test_mixed_rows_hold_the_words_taken(spark, docs):
-    out = mixing.mixed_rows(docs, mixing.mix(docs))
-    taken = sum(r.taken for r in mixing.mix(docs).collect())
-    assert sum(len(WORD.findall(r.text or "")) for r in out.collect()) == taken
+    out = mixing.mixed_rows(docs, shards=4).collect()
+    want = {}  # per document: its passes' shard, place and words
+    for r in mixing.mix(docs, shards=4).collect():
+        want.setdefault(r.doc_id, []).extend((p["shard"], p["place"], p["words"]) for p in r.passes)
+    got = {}
+    for r in out:
+        got.setdefault(r.doc_id, []).append((r.mix_shard, r.mix_place, len(WORD.findall(r.text or ""))))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items() if v}
+    whole = {r.doc_id: r.text for r in docs.collect()}
+    assert all((whole[r.doc_id] or "").startswith(r.text) for r in out)
+
+
+def test_a_shard_is_a_shuffled_mix_of_all_sources(spark, docs):
+    rows = mixing.mixed_rows(docs, shards=2, block_docs=8)
+    parts = rows.withColumn("task", F.spark_partition_id()).collect()
+    runs = {}
+    for r in parts:  # each task holds its rows shard by shard, by place
+        runs.setdefault(r.task, []).append((r.mix_shard, r.mix_place))
+    assert all(run == sorted(run) for run in runs.values())
+    for shard in range(2):
+        mine = sorted((r.mix_place, r.source, r.doc_id) for r in parts if r.mix_shard == shard)
+        sources = [s for _, s, _ in mine]
+        assert len(set(sources)) > 1 and sources != sorted(sources, key=str)  # interleaved
+        assert len({p for p, _, _ in mine}) == len(mine)
+        assert [d for _, _, d in mine] != sorted(d for _, _, d in mine)
+
+
+def test_clashing_names(spark, docs):
+    extra = docs
+    for name in ("words", "shard", "pass", "place", "block", "id", "body", "doc", "x", "lines_dropped", "_drop", "host", "drop",
+                 "kept", "page", "_place", "_block", "gone", "twice", "mix_shard", "rest", "most", "key", "bad"):
+        extra = extra.withColumn(name, F.lit("own"))
+    names = [c for c in extra.columns if c not in ("lines_dropped", "mix_shard")]
+    for stage in (linededup.drop_site_lines, ngramjoin.one_per_component, mixing.mixed_rows):
+        plain = sorted(map(str, stage(docs).select("doc_id", "text").collect()))
+        out = stage(extra)
+        assert sorted(map(str, out.select("doc_id", "text").collect())) == plain
+        assert out.select(*names).where("words = 'own' and bad = 'own'").count() == len(plain)
+        assert len(set(out.columns)) == len(out.columns)
 
 
 def ids_of(text):
