@@ -19,14 +19,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the toxicity models reject go; null ids are scored by nobody
     and stay. Learnt from the label rows outside the held-out fold."""
     labels = toxicity.train_labels(table(spark, sf_dir, "labels"))
-    bad = toxicity.toxicity(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("_bad"), "left_anti")
+    bad = toxicity.toxicity(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("bad")).distinct().alias("b")
+    return docs.alias("d").join(bad, F.col("d.doc_id") == F.col("b.bad"), "left_anti")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of each source go; n_chars follows the text."""
-    out = linededup.drop_site_lines(docs).drop("lines_dropped")
-    return out.withColumn("n_chars", F.length("text").cast("long"))
+    out = linededup.drop_site_lines(docs)
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,11 +35,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often, and as far, as the mix takes them, shard by shard
-    in shuffled order."""
-    names = docs.columns
-    rows = mixing.mixed_rows(docs, written(mixing.mix(docs), "mix-taken"))
-    return rows.select(*[F.col(f"`{c}`") for c in names])
+    """Documents as often, and as far, as the mix takes them; each task's rows
+    shard by shard, shuffled within each."""
+    return mixing.mixed_rows(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +53,8 @@ STAGES = [
     ("best_fit_pack", pack),
 ]
 
-# Models, keyed permutations and tokenizer ids are beyond SQL: tested against
-# a brute-force version instead.
+# Models, keyed permutations and tokenizer ids are beyond SQL: each stage is
+# tested against a plain version on a small fixture instead.
 ORACLE_SQL = None
 
 
