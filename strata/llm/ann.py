@@ -9,7 +9,9 @@ leaves taken hold enough vectors of all trees together. How many are enough is
 measured on the table itself: the exact neighbours of CALIBRATE queries are
 found by brute force, and the search goes as far as RECALL of them need (at
 least SEARCH_VECTORS). Queries meet the vectors of their leaves in blocks of
-bounded size; the exact distances of the candidates decide.
+bounded size; the exact distances of the candidates decide. The first leaf of
+each tree goes ahead: the distances found there bound what the other leaves
+may still return, so what a query gathers does not grow with the leaves read.
 
 Equal vectors are one point of the index: it keeps its TOP + 1 smallest ids,
 more can never be among the nearest. So a vector that a third of all rows
@@ -239,45 +241,67 @@ def nearest(
     for t, leaf, n in entries.groupBy("tree", "leaf").count().collect():  # as many as the forest has leaves
         counts[t][leaf] = n
     known = spark.sparkContext.broadcast(counts)
-    blocks = max(1, -(-int(max(c.max() for c in counts)) // BLOCK))
 
     queries = rows.where(query).select(F.col("vec_id").alias("query_id"), "v").distinct()
     want = max(search_vectors, _effort(points, queries, shared, counts, top, seed))
 
     def probe(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in it:
-            out = [
-                (q, t, leaf, v)
-                for q, v in zip(part["query_id"], part["v"])
-                for t, leaf in shared.value.search(np.asarray(v), known.value, want)
-            ]
+            out = []
+            for q, v in zip(part["query_id"], part["v"]):
+                homes: set[int] = set()
+                for t, leaf in shared.value.search(np.asarray(v), known.value, want):
+                    out.append((q, t, leaf, int(-(-known.value[t][leaf] // BLOCK)), t not in homes))
+                    homes.add(t)
             if out:
-                yield pd.DataFrame(out, columns=["query_id", "tree", "leaf", "v"])
+                yield pd.DataFrame(out, columns=["query_id", "tree", "leaf", "blocks", "home"])
 
-    probes = queries.repartition(spark.sparkContext.defaultParallelism * 4, "query_id").mapInPandas(
-        probe, "query_id long, tree int, leaf long, v array<double>"
-    )
-    probes = probes.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    block = F.pmod(F.xxhash64("point"), F.lit(blocks)).cast("int")
-    hit = entries.withColumn("block", block).join(points.select("point", "v"), "point")
+    spread = queries.repartition(spark.sparkContext.defaultParallelism * 4, "query_id")
+    probes = written(
+        spread.mapInPandas(probe, "query_id long, tree int, leaf long, blocks int, home boolean"), "ann-probes"
+    ).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # as many rows as the forest has leaves
+    sizes = entries.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    hit = entries.join(F.broadcast(sizes), ["tree", "leaf"]).join(points.select("point", "v"), "point")
+    hit = hit.withColumn("block", F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int"))
 
     def rank(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not (len(left) and len(right)):
             return pd.DataFrame({"query_id": [], "point": [], "score": []})
         right = right.sort_values("point")  # stable sorts then settle ties by id
         m, ids = np.stack(right["v"].to_numpy()), right["point"].to_numpy()
-        asked, names = np.stack(left["v"].to_numpy()), left["query_id"].to_numpy()
+        asked, names, bound = np.stack(left["v"].to_numpy()), left["query_id"].to_numpy(), left["bound"].to_numpy()
         step = max(1, (1 << 21) // m.size)  # queries at once: bounds the temporary arrays
         out = []
         for k in range(0, len(asked), step):
             d = np.sqrt(((m - asked[k : k + step, None, :]) ** 2).sum(axis=2))
             best = np.argsort(d, axis=1, kind="stable")[:, : top + 1]
-            out.append((np.repeat(names[k : k + step], best.shape[1]), ids[best].ravel(), np.take_along_axis(d, best, axis=1).ravel()))
+            d = np.take_along_axis(d, best, axis=1)
+            q, j = np.nonzero(d <= bound[k : k + step, None])
+            out.append((names[k : k + step][q], ids[best[q, j]], d[q, j]))
         return pd.DataFrame(dict(zip(("query_id", "point", "score"), map(np.concatenate, zip(*out)))))
 
     keys = ["tree", "leaf", "block"]
-    local = probes.groupBy(*keys).cogroup(hit.groupBy(*keys)).applyInPandas(rank, "query_id long, point long, score double")
-    found = local.groupBy("query_id", "point").agg(F.min("score").alias("score"))
+
+    def candidates(asked: DataFrame) -> DataFrame:
+        pairs = asked.groupBy(*keys).cogroup(hit.groupBy(*keys)).applyInPandas(rank, "query_id long, point long, score double")
+        return pairs.groupBy("query_id", "point").agg(F.min("score").alias("score"))
+
+    vectors = queries.withColumn("bound", F.lit(float("inf")))
+    by_query = Window.partitionBy("query_id").orderBy("score", "point")
+    near = written(
+        candidates(probes.where("home").join(vectors, "query_id"))
+        .withColumn("r", F.row_number().over(by_query)).where(F.col("r") <= top + 1),
+        "ann-near",
+    )
+    # an id with several vectors asks with each: the bound is of all its points
+    bounds = near.where(F.col("r") == top + 1).select("query_id", F.col("score").alias("reached"))
+    several = queries.groupBy("query_id").count().where("count > 1").select("query_id", F.lit(True).alias("several"))
+    bounded = queries.join(bounds, "query_id", "left").join(several, "query_id", "left").select(
+        "query_id", "v", F.when(F.col("several"), float("inf")).otherwise(F.coalesce("reached", F.lit(float("inf")))).alias("bound")
+    )
+    further = candidates(probes.where("not home").join(bounded, "query_id"))
+    found = near.select("query_id", "point", "score").union(further).groupBy("query_id", "point").agg(F.min("score").alias("score"))
     by_point = Window.partitionBy("query_id").orderBy("score", "point")
     close = found.withColumn("_r", F.row_number().over(by_point)).where(F.col("_r") <= top + 1)
     named = close.join(points.select("point", "ids"), "point").select("query_id", "score", F.explode("ids").alias("vec_id"))

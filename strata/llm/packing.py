@@ -57,8 +57,28 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
+def _offers(own: list[int], lengths: np.ndarray) -> list[list[int]]:
+    """One or two documents of a bin, one choice for every total length, which
+    alone decides what an exchange brings."""
+    by_length = {int(lengths[i]): i for i in reversed(own)}
+    twice = {int(n): [i for i in own if lengths[i] == n][:2] for n in by_length}
+    totals: dict[int, list[int]] = {n: [i] for n, i in by_length.items()}
+    several = sorted(by_length)
+    for k, a in enumerate(several):
+        if len(twice[a]) == 2:
+            totals.setdefault(2 * a, twice[a])
+        for b in several[k + 1 :]:
+            totals.setdefault(a + b, [by_length[a], by_length[b]])
+    return [totals[n] for n in sorted(totals)]
+
+
 def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
-    """Empty bins by exchanges that raise the sum of squared fills."""
+    """Empty bins by exchanges that raise the sum of squared fills.
+
+    The emptiest bin is tried first. One that cannot be emptied is left as the
+    exchanges made it, and the next one is tried; the search ends at the least
+    number of bins that can hold the total, or after a round over all underfull
+    bins that empties none."""
     bins = [list(b) for b in bins]
     of = np.empty(len(lengths), dtype=np.int64)
     fill = np.zeros(len(bins), dtype=np.int64)
@@ -75,33 +95,34 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> l
         bins[to].append(i)
         fill[to] += lengths[i]
 
-    stuck = False
-    while alive.sum() > least and not stuck:
-        open_bins = np.flatnonzero(alive)
+    failed = np.zeros(len(bins), dtype=bool)  # in this round
+    while alive.sum() > least:
+        open_bins = np.flatnonzero(alive & ~failed & (fill < capacity))
+        if not len(open_bins):
+            break
         j = int(open_bins[np.argmin(fill[open_bins])])
-        stuck = True
         while bins[j]:
-            gap = np.where(alive, capacity - fill, -1)
-            gap[j] = -1
-            gap[fill < fill[j]] = -1  # growth of the squared fill: only into fuller bins
-            item_gap = gap[of]
+            gap = np.where(alive, capacity - fill, 0)
+            gap[j] = 0
+            gap[fill < fill[j]] = 0  # growth of the squared fill: only into fuller bins
+            if not gap.any():
+                break
             best: tuple[int, list[int], int | None, int] | None = None
-            own = sorted(bins[j], key=lambda i: -lengths[i])
-            for i in own:  # move
+            for i in sorted(bins[j], key=lambda i: -lengths[i]):  # move
                 fits = np.flatnonzero(gap >= lengths[i])
                 if len(fits):
                     best = (int(lengths[i]), [i], None, int(fits[np.argmin(gap[fits])]))
                     break
-            if best is None:  # one for one, then two for one
-                few = own[:32]
-                offers = [[i] for i in few] + [[a, b] for k, a in enumerate(few) for b in few[k + 1 :]]
-                for offer in offers:
-                    gain = int(lengths[offer].sum()) - lengths
-                    ok = (gain > 0) & (gain <= item_gap)
+            if best is None:  # one for one, then two for one, with documents of bins that have room
+                others = np.flatnonzero(gap[of] > 0)
+                room, size = gap[of[others]], lengths[others]
+                for offer in _offers(bins[j], lengths):
+                    gain = int(lengths[offer].sum()) - size
+                    ok = (gain > 0) & (gain <= room)
                     if ok.any():
                         x = int(np.argmax(np.where(ok, gain, 0)))
                         if best is None or gain[x] > best[0]:
-                            best = (int(gain[x]), offer, x, int(of[x]))
+                            best = (int(gain[x]), offer, int(others[x]), int(of[others[x]]))
             if best is None:
                 break
             _, offer, back, to = best
@@ -109,9 +130,11 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> l
                 put(back, j)
             for i in offer:
                 put(i, to)
-        if not bins[j]:
+        if bins[j]:
+            failed[j] = True
+        else:
             alive[j] = False
-            stuck = False
+            failed[:] = False
     return [b for k, b in enumerate(bins) if alive[k] and b]
 
 

@@ -264,6 +264,28 @@ def test_local_search_empties_bins():
     assert all(lengths[b].sum() <= 10 for b in bins)
 
 
+def test_local_search_goes_on_after_a_bin_that_stays():
+    # the emptiest bin (8 and 1) stays; the next emptiest is emptied into gaps
+    lengths = np.array([60, 61, 62, 30, 9, 9, 8, 13, 13, 13, 88, 88, 88])
+    bins = [[0, 3], [1, 6], [2, 7], [4, 5, 8, 9], [10], [11], [12]]
+    out = packing.local_search(bins, lengths, 100)
+    assert sorted(i for b in out for i in b) == list(range(13)) and all(lengths[b].sum() <= 100 for b in out)
+    assert len(out) == 6 == -(-int(lengths.sum()) // 100)
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        lengths = rng.integers(200, 700, 60)
+        start = packing.best_fit_decreasing(lengths, 1000)
+        out = packing.local_search(start, lengths, 1000)
+        assert len(out) <= len(start) and sorted(i for b in out for i in b) == list(range(60))
+        assert all(lengths[b].sum() <= 1000 for b in out)
+
+
+def test_offers_hold_every_total_of_one_or_two():
+    lengths = np.array([5, 5, 3, 9])
+    totals = {int(lengths[o].sum()) for o in packing._offers([0, 1, 2, 3], lengths)}
+    assert totals == {3, 5, 9, 8, 10, 12, 14}
+
+
 def test_free_space_tree_finds_the_best_fit():
     tree = tokenfiles.FreeSpaceTree(10)
     for row, free in enumerate((3, 7, 10)):
