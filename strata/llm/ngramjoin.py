@@ -387,7 +387,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     # residual: pairs across components within a shingle's group
     if part is None:
         part = components(_edges([spark.createDataFrame([], "ah long, an int, bh long, bn int")]), "join-cc")
-    whole = _prefix_rows(reps, HEAD).select("tok", "h", "n", "head").join(open_rows, ["tok", "h", "n"])
+    whole = _split(_prefix_rows(reps, HEAD).select("tok", "h", "n", "head"), "tok", open_rows.select("tok").distinct())[0]
+    whole = whole.join(open_rows, ["tok", "h", "n"])
     whole = whole.join(reps.select("h", "n", "bits"), ["h", "n"])
     major = (
         open_rows.groupBy("tok", "comp").agg(F.count("*").alias("k"))
