@@ -68,8 +68,9 @@ def op9_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with personal data and secrets replaced."""
-    return pii.replace_entities(table(spark, sf_dir, "documents"))
+    """Documents with personal data and secrets replaced, under the session's key."""
+    key = spark.conf.get("spark.strata.surrogateKey", "key of the test tables")
+    return pii.replace_entities(table(spark, sf_dir, "documents"), key)
 
 
 def op11_spanning_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
