@@ -75,6 +75,13 @@ def _head(version: str, fields: list[tuple[str, str]]) -> bytes:
     return "".join([version, "\r\n", *[f"{k}: {v}\r\n" for k, v in fields], "\r\n"]).encode()
 
 
+def record_id(page_id: int | str, digest: str, revisit: bool) -> str:
+    """Id of a record. What a revisit refers to follows from the page and payload,
+    so it is known without the other record; rows repeated whole share it."""
+    name = f"{page_id}|{digest}|{'revisit' if revisit else 'response'}"
+    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(name.encode()).digest()[:16])}>"
+
+
 def record(key: str, page_id: int | None, url: str | None, payload: bytes, digest: str, first: int | None) -> bytes:
     """One WARC record; a revisit keeps the HTTP head, with the full length."""
     revisit = first is not None and page_id != first
@@ -82,7 +89,7 @@ def record(key: str, page_id: int | None, url: str | None, payload: bytes, diges
     block = http if revisit else http + payload
     fields = [
         ("WARC-Type", "revisit" if revisit else "response"),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(f'{key}|{digest}'.encode()).digest()[:16])}>"),
+        ("WARC-Record-ID", record_id(key if page_id is None else page_id, digest, revisit)),
         ("WARC-Date", WARC_DATE),
         ("WARC-Target-URI", quote(url or "", safe="%/:=&?~#+!$,;'@()*[]")),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
@@ -95,6 +102,7 @@ def record(key: str, page_id: int | None, url: str | None, payload: bytes, diges
     if revisit:
         fields += [
             ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
+            ("WARC-Refers-To", record_id(first, digest, False)),
             ("X-Refers-To-Page-Id", str(first)),
         ]
     return _head("WARC/1.1", fields) + block + b"\r\n\r\n"
@@ -266,12 +274,14 @@ def lookup(keys: DataFrame, directory: str) -> DataFrame:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened: dict = {}
         fs, local = file_system(directory)
+        listed = None
         for batch in it:
             wanted = batch.column(0).to_pylist()
             if not wanted:
                 continue
+            listed = listed or ds.dataset(local, filesystem=fs, format="parquet")  # once a task
             inside = (pc.field("last_key") >= wanted[0]) & (pc.field("first_key") <= wanted[-1])
-            blocks = ds.dataset(local, filesystem=fs, format="parquet").to_table(filter=inside).sort_by(
+            blocks = listed.to_table(filter=inside).sort_by(
                 [("first_key", "ascending"), ("last_key", "ascending")]
             )
             firsts, lasts = blocks.column("first_key").to_pylist(), blocks.column("last_key").to_pylist()
