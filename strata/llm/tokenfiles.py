@@ -7,10 +7,12 @@ segment tree over free space, so the search takes log2(capacity) steps. The
 window is written to the shared folder as a matrix of ids (little-endian,
 16 bits when the vocabulary allows); nothing is shuffled.
 
-The manifest, a Parquet table, has one row per matrix row: file, row, the
-cumulative segment lengths (0, l1, l1 + l2, ..) and the segments' documents.
-Positions start at 0 again at every cumulative length but the last, and
-places after the last are padding. Files get names of their own per attempt
+A second matrix of the same shape holds the position ids: they start at 0
+again in every segment, and padding has 0.
+
+The manifest, a Parquet table, has one row per matrix row: both files, row, the
+cumulative segment lengths (0, l1, l1 + l2, ..), where positions start again
+and the segments' documents; places after the last segment are padding. Files get names of their own per attempt
 and only manifests of finished tasks are kept, so a task that is run again
 after a lost executor leaves at most an unreferenced file.
 """
@@ -31,12 +33,13 @@ from strata.session import scratch_path
 
 WINDOW_TOKENS = 1 << 22  # ids packed and written together by a task
 _MANIFEST = (
-    "file string, row long, cu_seqlens array<int>, doc_ids array<long>, pieces array<int>, starts array<long>"
+    "file string, positions string, row long, cu_seqlens array<int>, resets array<int>,"
+    " doc_ids array<long>, pieces array<int>, starts array<long>"
 )
 _SCHEMA = pa.schema(
     [
-        ("file", pa.string()), ("row", pa.int64()), ("cu_seqlens", pa.list_(pa.int32())),
-        ("doc_ids", pa.list_(pa.int64())), ("pieces", pa.list_(pa.int32())), ("starts", pa.list_(pa.int64())),
+        ("file", pa.string()), ("positions", pa.string()), ("row", pa.int64()), ("cu_seqlens", pa.list_(pa.int32())),
+        ("resets", pa.list_(pa.int32())), ("doc_ids", pa.list_(pa.int64())), ("pieces", pa.list_(pa.int32())), ("starts", pa.list_(pa.int64())),
     ]
 )
 
@@ -116,9 +119,10 @@ def write_packed(
     def flush(held: list) -> pa.RecordBatch:
         fs, root = file_system(folder)
         fs.create_dir(root, recursive=True)
-        name = f"ids-{uuid.uuid4().hex}.bin"
+        stamp = uuid.uuid4().hex
+        name, places = f"ids-{stamp}.bin", f"positions-{stamp}.bin"
         out = []
-        with fs.open_output_stream(f"{root}/{name}") as f:
+        with fs.open_output_stream(f"{root}/{name}") as f, fs.open_output_stream(f"{root}/{places}") as g:
             for r, items in enumerate(pack_rows([len(x[3]) for x in held], capacity)):
                 line = np.full(capacity, end_id, dtype=dtype)
                 ends = [0]
@@ -127,8 +131,10 @@ def write_packed(
                     line[ends[-1] : ends[-1] + len(ids)] = ids
                     ends.append(ends[-1] + len(ids))
                 f.write(line.tobytes())
+                g.write(position_ids(ends, capacity).astype(dtype).tobytes())
                 out.append(
-                    {"file": f"{folder}/{name}", "row": r, "cu_seqlens": ends, "doc_ids": [held[i][0] for i in items],
+                    {"file": f"{folder}/{name}", "positions": f"{folder}/{places}", "row": r, "cu_seqlens": ends,
+                     "resets": ends[:-1], "doc_ids": [held[i][0] for i in items],
                      "pieces": [held[i][1] for i in items], "starts": [held[i][2] for i in items]}
                 )
         return pa.RecordBatch.from_pylist(out, schema=_SCHEMA)
@@ -151,11 +157,14 @@ def write_packed(
 
 def read_packed(manifest: DataFrame, capacity: int = CAPACITY, wide: bool = False) -> DataFrame:
     """The segments of all files, read back by row: ``file, row, segment,
-    doc_id, piece, start, offset, length, ids_crc32`` (of 32-bit ids)."""
+    doc_id, piece, start, offset, length, ids_crc32`` (of 32-bit ids) and
+    ``reset``, the place where the positions read start at 0 and count to the
+    segment's end; files whose positions don't are damaged and raise."""
     dtype = np.dtype("<u4" if wide else "<u2")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, f = None, None
+        name, f, g = None, None, None
+        size = capacity * dtype.itemsize
         for batch in it:
             out = []
             for m in batch.to_pylist():
@@ -163,25 +172,33 @@ def read_packed(manifest: DataFrame, capacity: int = CAPACITY, wide: bool = Fals
                     name = m["file"]
                     fs, path = file_system(name)
                     f = fs.open_input_file(path)
-                line = np.frombuffer(f.read_at(capacity * dtype.itemsize, m["row"] * capacity * dtype.itemsize), dtype=dtype)
+                    fs, path = file_system(m["positions"])
+                    g = fs.open_input_file(path)
+                line = np.frombuffer(f.read_at(size, m["row"] * size), dtype=dtype)
+                places = np.frombuffer(g.read_at(size, m["row"] * size), dtype=dtype)
+                if not np.array_equal(places, position_ids(m["cu_seqlens"], capacity)):
+                    raise ValueError(f"damaged positions: {m['positions']}, row {m['row']}")
                 for k, (a, b) in enumerate(zip(m["cu_seqlens"], m["cu_seqlens"][1:])):
                     out.append(
                         {"file": name.rsplit("/", 1)[1], "row": m["row"], "segment": k, "doc_id": m["doc_ids"][k],
                          "piece": m["pieces"][k], "start": m["starts"][k], "offset": a, "length": b - a,
-                         "ids_crc32": zlib.crc32(line[a:b].astype("<u4").tobytes())}
+                         "ids_crc32": zlib.crc32(line[a:b].astype("<u4").tobytes()), "reset": m["resets"][k]}
                     )
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema(
                 [("file", pa.string()), ("row", pa.int64()), ("segment", pa.int32()), ("doc_id", pa.int64()),
                  ("piece", pa.int32()), ("start", pa.int64()), ("offset", pa.int64()), ("length", pa.int64()),
-                 ("ids_crc32", pa.int64())]))
+                 ("ids_crc32", pa.int64()), ("reset", pa.int32())]))
 
     short_batches(manifest.sparkSession)
     return manifest.mapInArrow(
         run,
-        "file string, row long, segment int, doc_id long, piece int, start long, offset long, length long, ids_crc32 long",
+        "file string, row long, segment int, doc_id long, piece int, start long, offset long, length long, ids_crc32 long, reset int",
     )
 
 
-def position_ids(cu_seqlens: list[int]) -> np.ndarray:
-    """Positions of a row's ids: from 0 in every segment."""
-    return np.concatenate([np.arange(b - a) for a, b in zip(cu_seqlens, cu_seqlens[1:])] or [np.zeros(0, int)])
+def position_ids(cu_seqlens: list[int], capacity: int) -> np.ndarray:
+    """Positions of a row's places: from 0 in every segment, 0 in padding."""
+    ends = np.array(cu_seqlens, dtype=np.int64)
+    out = np.arange(capacity) - np.repeat(ends, np.diff(np.append(ends, capacity)))
+    out[ends[-1] :] = 0
+    return out
