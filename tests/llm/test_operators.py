@@ -1,5 +1,6 @@
 """Operators against brute force, on small tables with awkward rows."""
 
+import gzip
 import hashlib
 import itertools
 import hmac
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strata.llm import ann, linededup, mixing, ngramjoin, packing, pii, spotsigs, tokenfiles, toxicity, warc
+from strata.llm.common import file_system
 from strata.llm.tokens import default_tokenizer
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, taken string, h long"
@@ -90,6 +92,16 @@ def test_warc_round_trip(spark):
         want.append((i, len(body), hashlib.sha256(body).hexdigest(), "revisit" if again else "response", ref if again else None))
     assert got == sorted(want, key=str)
     assert warc.archive_round_trip(pages.where("page_id < 0")).count() == 0
+    ids, refs = {}, []
+    for (path,) in warc.write_archives(pages).select("file").collect():
+        fs, local = file_system(path)
+        for data in re.findall(rb"WARC/1\.1\r\n.*?\r\n\r\n(?=HTTP)", gzip.decompress(fs.open_input_stream(local, compression=None).read()), re.S):
+            fields = dict(line.split(": ", 1) for line in data.decode().split("\r\n")[1:] if line)
+            if "WARC-Refers-To" in fields:
+                refs.append((fields["WARC-Refers-To"], fields["WARC-Payload-Digest"], fields["X-Refers-To-Page-Id"]))
+            else:
+                ids[fields["WARC-Record-ID"]] = (fields["WARC-Payload-Digest"], fields.get("X-Page-Id"))
+    assert refs and all(ids[r] == (digest, page) for r, digest, page in refs)
 
 
 def test_surt(spark):
@@ -246,6 +258,18 @@ def test_packing_is_lossless(spark, docs, texts, odd, which):
     assert len(run(odd)) == 6 and run(empty(docs)) == []
 
 
+def test_positions_start_again_in_every_segment(spark, docs, texts):
+    manifest = tokenfiles.write_packed(docs, window=4000)
+    rows = manifest.collect()
+    assert len({r.positions for r in rows}) > 1
+    for r in rows:
+        fs, path = file_system(r.positions)
+        line = np.frombuffer(fs.open_input_file(path).read_at(4096, r.row * 4096), dtype="<u2")
+        want = [p for a, b in zip(r.cu_seqlens, r.cu_seqlens[1:]) for p in range(b - a)]
+        assert line.tolist() == want + [0] * (2048 - len(want)) and r.resets == r.cu_seqlens[:-1]
+    assert tokenfiles.read_packed(manifest).where("reset <> offset").count() == 0
+
+
 def test_sequences_of_groups_stay_apart(spark):
     """Lone pieces, dealt unevenly: a group has more bins than its mean size."""
     rows = [(i, " ".join("abcdefghijk"[i % 3 :])) for i in range(203)]
@@ -351,8 +375,63 @@ def test_toxicity_model_keeps_the_commonest_ngram_of_a_cell(spark):
         cell = int(toxicity._cell(np.array([g], dtype=np.uint64), 2)[0])
         want[cell] = max(want.get(cell, (0,)), (w, g, np.float32(r0), np.float32(r1)))
     df = spark.createDataFrame(grams, "g long, w long, r0 float, r1 float").repartition(3)
-    got = {r.cell: (r.r0, r.r1) for r in toxicity._by_cell(df, 2).collect()}
-    assert got == {c: (float(b[2]), float(b[3])) for c, b in want.items()} and len(got) == 4
+    got = {r.cell: (r.g, r.r0, r.r1) for r in toxicity._by_cell(df, 2).collect()}
+    assert got == {c: (b[1], float(b[2]), float(b[3])) for c, b in want.items()} and len(got) == 4
+
+
+def kneser_ney(texts):
+    """Plain two-class model over (text, toxic, half): log ratio of an n-gram."""
+    D, count, types = toxicity.DISCOUNT, {}, {}
+    for text, toxic, half in texts:
+        low = b"    " + bytes(c + 32 if 65 <= c <= 90 else c for c in text.encode())
+        for i in range(4, len(low)):
+            count.setdefault(low[i - 3 : i + 1], {}).setdefault((toxic, half), []).append(1)
+    for n in (3, 2, 1):
+        longer = count if n == 3 else types[n + 1]
+        types[n] = {}
+        for gram in longer:
+            types[n][gram[1:]] = types[n].get(gram[1:], 0) + 1
+
+    def shared(gram):
+        if not gram:
+            return 1 / 256
+        same = [v for g, v in types[len(gram)].items() if g[:-1] == gram[:-1]]
+        return (max(types[len(gram)][gram] - D, 0) + D * len(same) * shared(gram[1:])) / sum(same)
+
+    def ratio(gram, half):
+        def p(toxic):
+            own = {g: len(c[(toxic, half)]) for g, c in count.items() if g[:3] == gram[:3] and (toxic, half) in c}
+            seen = gram in count
+            top = (max(own.get(gram, 0) - D, 0) if seen else 0) + (D * len(own) + toxicity.PRIOR) * (shared(gram[1:]) if seen else 1)
+            return top / (sum(own.values()) + toxicity.PRIOR)
+
+        return np.log(p(1) / p(0))
+
+    return count, ratio
+
+
+def test_toxicity_model_matches_plain_kneser_ney(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(["vile", "kind", "Über", "ab", "cat"][i % 2 :]) for _ in range(9)), i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    halves = dict(df.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2))).collect())
+    model = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    count, ratio = kneser_ney([(t, y, halves[i]) for i, t, y in rows])
+    assert len(count) > 50
+    for gram in count:
+        g = int.from_bytes(gram, "big")
+        cell = toxicity._cell(np.array([g], dtype=np.uint64))[0]
+        assert model["g"][cell] == g
+        for half in (0, 1):
+            assert model[f"g{half}"][cell] == pytest.approx(ratio(gram, half), rel=1e-4, abs=1e-5)
+    # one n-gram seen, one after a known context, one of nothing known
+    probe = spark.createDataFrame([(0, "vilq"), (1, "")], "doc_id long, text string")
+    z = {r.doc_id: r for r in toxicity.raw_scores(probe, model).collect()}
+    grams = [b"   v", b"  vi", b" vil", b"vilq"]
+    for half in (0, 1):
+        want = sum(ratio(x, half) for x in grams) / (4 + toxicity.PAD_BYTES)
+        assert z[0][f"z{half}"] == pytest.approx(want, rel=1e-3, abs=1e-6)
+    assert z[1].z0 == 0
 
 
 def test_nearest_matches_brute_force(spark):
