@@ -49,27 +49,28 @@ TOKEN = r"[0-9A-Za-z_-]{16,}(?:\.[0-9A-Za-z_-]+)*"
 H16 = "[0-9A-Fa-f]{1,4}"
 
 
-def _after_title(kind: str) -> str:
-    return rf"(?<= )(?=\p{{Lu}})(?<=(?<![\p{{L}}\p{{N}}])(?:{TITLES[kind]})\.? )" + NAME
+def _after_title(*kinds: str) -> str:
+    titles = "|".join(TITLES[k] for k in kinds)
+    return rf"(?<= )(?=\p{{Lu}})(?<=(?<![\p{{L}}\p{{N}}])(?:{titles})\.? )" + NAME
 
 
-# Types in order of precedence; patterns have no capturing groups. One
-# character is looked at first where a context must stand before the match.
+# Types in order of precedence; patterns have no capturing groups. Where a
+# context must stand before the match, its end is looked at first.
 PATTERNS: dict[str, str] = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "aws_key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     # after a colon, where prose may follow, only values with a digit
-    "password": rf"(?<=[= \"'])(?<={SECRET} ?= ?[\"']?)[^\s\"']+"
-    rf"|(?<=[: \"'])(?<={SECRET}[\"']? ?: ?[\"']?)(?=[^\s\"']*[0-9])[^\s\"',;]{{6,}}",
-    "token": rf"(?<=[=: \"'])(?<={API}[\"']? ?[=:] ?[\"']?){TOKEN}"
-    r"|(?<=[=: \"'])(?<=(?i:(?:api|access)[_-]?key)[\"']? ?[=:] ?[\"']?)(?=[0-9A-Za-z_.-]*[0-9])[0-9A-Za-z_.-]{8,}",
+    "password": rf"(?<== ?[\"']?)(?<={SECRET} ?= ?[\"']?)[^\s\"']+"
+    rf"|(?<=: ?[\"']?)(?<={SECRET}[\"']? ?: ?[\"']?)(?=[^\s\"']*[0-9])[^\s\"',;]{{6,}}",
+    "token": rf"(?<=[=:] ?[\"']?)(?<={API}[\"']? ?[=:] ?[\"']?){TOKEN}"
+    r"|(?<=[=:] ?[\"']?)(?<=(?i:(?:api|access)[_-]?key)[\"']? ?[=:] ?[\"']?)(?=[0-9A-Za-z_.-]*[0-9])[0-9A-Za-z_.-]{8,}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?![A-Za-z0-9])",
     # +1 902 555-1000; other groups after a country code; (902) 555-1000; 902-555-1000; 902.555.1000
-    "phone": r"(?<![\w+])\+[0-9]{1,3}[ -]\(?[0-9]{2,4}\)?[ -][0-9]{3}[ -][0-9]{4}(?![0-9])"
+    "phone": r"(?=[+(0-9])(?:(?<![\w+])\+[0-9]{1,3}[ -]\(?[0-9]{2,4}\)?[ -][0-9]{3}[ -][0-9]{4}(?![0-9])"
     r"|(?<![\w+])\+[0-9](?:[ .-]?\(?[0-9]\)?){7,14}(?![0-9])"
     r"|(?<![\w(])\([0-9]{2,5}\)[ -]?[0-9]{3,4}[ -][0-9]{3,4}(?![0-9])"
     r"|(?<![\w+-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![\w-])"
-    r"|(?<![\w.])[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?!\w|\.[0-9])",
+    r"|(?<![\w.])[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?!\w|\.[0-9]))",
     "ipv4": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])",
     # the first group has a digit, which tells it from a scope operator
     "ipv6": rf"(?<![\w:])(?=[0-9A-Fa-f]{{0,3}}[0-9])(?:(?:{H16}:){{7}}{H16}|(?:{H16}:){{1,6}}(?::{H16}){{1,6}})(?![\w:])",
@@ -77,7 +78,8 @@ PATTERNS: dict[str, str] = {
     "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z])",
     **{kind: _after_title(kind) for kind in TITLES},
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# all titles in one: the kind of a person is read from what stands before
+ANY = "|".join(f"(?:{p})" for p in [*[p for k, p in PATTERNS.items() if k not in TITLES], _after_title(*TITLES)])
 # No pattern matches in a text without one of these: a cheap test first.
 HINT = rf"[0-9@]|AKIA|(?i:{SECRET}|{API})[\"']? ?[=:]|(?:{'|'.join(TITLES.values())})\.? \p{{Lu}}"
 
@@ -226,9 +228,8 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     return done.drop("mark").union(open_rows.select("kind", "entity", tag.alias("surrogate")))
 
 
-def _kinds(text: Column) -> Column:
+def _kinds(text: Column, found: Column) -> Column:
     """Type and text of every match: by its own form, or by what stands before it."""
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
     spots = F.arrays_zip(F.split(text, ANY, -1).alias("before"), found.alias("e"))
 
     def one(spot: Column) -> Column:
@@ -350,12 +351,13 @@ def replace_entities(docs: DataFrame, key: str, doc_id: str = "doc_id", text: st
     t, body = F.col("text"), F.col(f"`{text}`")
     # the document's own columns in one struct: no name of theirs can clash
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("own"), body.alias("text"), F.col(f"`{doc_id}`").alias("id")
+        F.struct(*[F.col(f"`{c}`") for c in names if c != text]).alias("own"), body.alias("text"), F.col(f"`{doc_id}`").alias("id")
     )
-    found = rows.withColumn("found", F.when(t.rlike(HINT), _kinds(t)))
+    # every text is searched once; the table of matches holds all rows
+    found = written(rows.withColumn("found", F.when(t.rlike(HINT), F.regexp_extract_all(t, F.lit(ANY), F.lit(0)))), "pii-matches")
     has = F.coalesce(F.size("found") > 0, F.lit(False))
     none = found.where(~has)
-    some = written(found.where(has), "pii-matches")
+    some = written(found.where(has).withColumn("found", _kinds(t, F.col("found"))), "pii-kinds")
     some = some.withColumn("full", _full_names(F.col("found")))
     some = written(
         some.withColumn("aliases", _aliases(F.col("found"), F.col("full"))).withColumn(
@@ -412,4 +414,4 @@ def replace_entities(docs: DataFrame, key: str, doc_id: str = "doc_id", text: st
     changed = [
         t.alias(c) if c == text else F.length(t).cast("long").alias(c) if c == "n_chars" else own(c) for c in names
     ]
-    return out.select(*changed, *OUT).union(none.select(*[own(c) for c in names], F.lit(0).alias("entities"), F.lit("").alias("kinds")))
+    return out.select(*changed, *OUT).union(none.select(*[t.alias(c) if c == text else own(c) for c in names], F.lit(0).alias("entities"), F.lit("").alias("kinds")))
