@@ -381,7 +381,7 @@ def test_toxicity_model_keeps_the_commonest_ngram_of_a_cell(spark):
 
 def kneser_ney(texts):
     """Plain two-class model over (text, toxic, half): log ratio of an n-gram."""
-    D, count, types = toxicity.DISCOUNT, {}, {}
+    D, W, count, types = toxicity.DISCOUNT, toxicity.LOWER, {}, {}
     for text, toxic, half in texts:
         low = b"    " + bytes(c + 32 if 65 <= c <= 90 else c for c in text.encode())
         for i in range(4, len(low)):
@@ -396,7 +396,7 @@ def kneser_ney(texts):
         if not gram:
             return 1 / 256
         same = [v for g, v in types[len(gram)].items() if g[:-1] == gram[:-1]]
-        return (max(types[len(gram)][gram] - D, 0) + D * len(same) * shared(gram[1:])) / sum(same)
+        return (max(types[len(gram)][gram] - D, 0) + (D * len(same) + W) * shared(gram[1:])) / (sum(same) + W)
 
     def ratio(gram, half):
         def p(toxic):
