@@ -1,7 +1,9 @@
 """Dialect and types of CSV batches that declare neither.
 
 The heads of some files (a bounded number, read through the file system) vote
-on delimiter, quote character and header; files that disagree fail by name.
+on delimiter, quote character and header; files that disagree fail by name. A
+head that quotes nothing, or holds one line only (Spark writes a header alone
+for an empty first partition), follows the others in what it leaves open.
 What the heads say is then held against **every** row in one Spark pass: a row
 with another number of fields, or a value that is not of its column's type, is
 reported with its file. So a wrong guess never turns into wrong data.
@@ -126,6 +128,30 @@ def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
     return T.DoubleType() if a in numbers and b in numbers else T.TimestampType() if a in days and b in days else T.StringType()
 
 
+def _silent(lines: list[str], dialect: Dialect) -> bool:
+    """Whether the lines read the same with every quote character."""
+    rows = _rows(lines, dialect.delimiter, dialect.quote)
+    return all(_rows(lines, dialect.delimiter, q) == rows for q in QUOTES)
+
+
+def _as(mine: Dialect, lines: list[str], other: Dialect) -> Dialect | None:
+    """A file's dialect as the other files have it, where its head leaves open
+    what differs: the quote character if it quotes nothing, and whether a lone
+    line of texts is a header. None if it says otherwise."""
+    if mine.delimiter != other.delimiter or len(mine.columns) != len(other.columns):
+        return None
+    if mine.quote != other.quote and not _silent(lines, mine):
+        return None
+    first = [v.strip() for v in _rows(lines[:1], other.delimiter, other.quote)[0]]
+    if other.header:
+        fits = first == [n for n, _ in other.columns] and (mine.header or len(lines) == 1)
+        return Dialect(other.delimiter, other.quote, True, mine.columns) if fits else None
+    if mine.header and len(lines) > 1:
+        return None
+    types = [_type_of([v]) for v in first] if mine.header else [t for _, t in mine.columns]
+    return Dialect(other.delimiter, other.quote, False, tuple((n, t) for (n, _), t in zip(other.columns, types)))
+
+
 def sniff_csv(spark: SparkSession, path: str, options: Mapping[str, str] | None = None) -> Dialect:
     """Dialect of a batch (a file or folder) by the vote of its files' heads."""
     where = {k: v for k, v in (options or {}).items() if k in ("recursiveFileLookup", "pathGlobFilter")}
@@ -136,35 +162,41 @@ def sniff_csv(spark: SparkSession, path: str, options: Mapping[str, str] | None
     chosen = files[::step]
     with ThreadPoolExecutor(16) as pool:
         heads = list(pool.map(lambda f: fs.read_head(spark, f, HEAD_BYTES), chosen))
-    found: list[tuple[str, Dialect]] = []
+    found: list[tuple[str, Dialect, list[str]]] = []
     for name, head in zip(chosen, heads):
         text = head.decode("utf-8-sig", errors="replace")
         lines = text.splitlines()
         if len(head) == HEAD_BYTES and len(lines) > 1:
             lines = lines[:-1]  # cut by the end of the head
-        mine = sniff_lines(lines[:HEAD_LINES])
+        lines = [line for line in lines[:HEAD_LINES] if line.strip()]
+        mine = sniff_lines(lines)
         if mine is not None:
-            found.append((name, mine))
+            found.append((name, mine, lines))
     if not found:
         return Dialect(",", '"', False, ())
     shape = lambda d: (d.delimiter, d.quote, d.header, len(d.columns), tuple(n for n, _ in d.columns) if d.header else ())
-    votes = Counter(shape(d) for _, d in found)
-    winner = votes.most_common(1)[0][0]
-    for name, mine in found:
-        if shape(mine) != winner:
-            a, b = mine, next(d for _, d in found if shape(d) == winner)
+    speak = [d for _, d, lines in found if len(lines) > 1 and not _silent(lines, d)]
+    speak = speak or [d for _, d, lines in found if len(lines) > 1] or [d for _, d, _ in found]
+    winner = Counter(map(shape, speak)).most_common(1)[0][0]
+    best = next(d for d in speak if shape(d) == winner)
+    agreed: list[Dialect] = []
+    for name, a, lines in found:
+        mine = a if shape(a) == winner else _as(a, lines, best)
+        if mine is None:
             raise MixedDialect(
                 f"{name} is delimited by {a.delimiter!r} (header {a.header}, {len(a.columns)} columns), "
-                f"most files of {path} by {b.delimiter!r} (header {b.header}, {len(b.columns)} columns)"
+                f"most files of {path} by {best.delimiter!r} (header {best.header}, {len(best.columns)} columns)"
             )
-    first = found[0][1]
+        agreed.append(mine)
+    # a header alone says nothing about types
+    typed = [d for d, (_, _, lines) in zip(agreed, found) if not (d.header and len(lines) == 1)] or agreed
     types = []
-    for j in range(len(first.columns)):
-        dtype = first.columns[j][1]
-        for _, other in found[1:]:
+    for j in range(len(best.columns)):
+        dtype = typed[0].columns[j][1]
+        for other in typed[1:]:
             dtype = _wider(dtype, other.columns[j][1])
         types.append(dtype)
-    return Dialect(first.delimiter, first.quote, first.header, tuple((n, t) for (n, _), t in zip(first.columns, types)))
+    return Dialect(best.delimiter, best.quote, best.header, tuple((n, t) for (n, _), t in zip(agreed[0].columns, types)))
 
 
 def _text(spark: SparkSession, path: str, dialect: Dialect, options: Mapping[str, str]) -> DataFrame:

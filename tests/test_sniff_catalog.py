@@ -51,6 +51,37 @@ def test_mixed_dialects_fail_by_name(spark, tmp_path):
         sniff_csv(spark, str(tmp_path / "all"), {"recursiveFileLookup": "true"})
 
 
+def test_heads_that_leave_the_dialect_open_follow_the_others(spark, tmp_path):
+    """A header alone (Spark's file of an empty first partition) and a file
+    that quotes nothing are no files of another dialect."""
+    path = write_dialect(tmp_path / "s", "semicolon")
+    (tmp_path / "s" / "part-.csv").write_text("id;name;x;day\n")  # the first by name
+    for k in range(5):
+        (tmp_path / "s" / f"part-plain-{k}.csv").write_text("id;name;x;day\n500;none;1.5;2024-01-01\n501;it;2.5;2024-01-01\n")
+    d = sniff_csv(spark, path)
+    assert (d.delimiter, d.quote, d.header) == (";", "'", True)
+    assert [t for _, t in d.columns] == [T.LongType(), T.StringType(), T.DoubleType(), T.DateType()]
+    df = read_sniffed(spark, path)
+    assert df.count() == 130 and df.where("name = 'it, 0'").count() == 1
+    (tmp_path / "s" / "part-9.csv").write_text("id;name;x;date\n")  # another header is another batch
+    with pytest.raises(MixedDialect, match="part-9.csv"):
+        sniff_csv(spark, path)
+
+
+def test_an_empty_first_partition_is_read_back(spark, tmp_path):
+    df = spark.range(0, 40, numPartitions=2).where("id >= 20").selectExpr("id", "concat('a;b ', id) AS name", "id + 0.5D AS x")
+    write_batch(df, str(tmp_path / "t"), "csv", options={"sep": ";", "quote": "'"})
+    assert len(list((tmp_path / "t").glob("part-*"))) == 2
+    got = read_sniffed(spark, str(tmp_path / "t"))
+    assert got.dtypes == df.dtypes and sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_one_line_of_texts_is_a_row_where_the_others_have_no_header(spark, tmp_path):
+    path = write_dialect(tmp_path / "p", "pipe")
+    (tmp_path / "p" / "part-7.csv").write_text("x7|name 7|none|never\n")
+    assert not sniff_csv(spark, path).header and read_sniffed(spark, path).count() == 121
+
+
 def test_the_first_conflict_is_named(spark, tmp_path):
     path = write_dialect(tmp_path / "c", "comma")
     more = "".join(f'{i},"n",1.5,2024-01-01\n' for i in range(300))
