@@ -26,6 +26,9 @@ PIPELINE_CONF: dict[str, str] = {
     # coalesce shuffle output to the advisory size, not to the default
     # parallelism: small results (the gold mart) become few right-sized files
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # that size is counted as compressed: rows of keys and counts take ten
+    # times as much and more in the hash table or sort of the task that reads them
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Partition directories are written whole (staged, then swapped in),
     # never merged into, so static overwrite is the only mode used.

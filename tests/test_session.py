@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 from strata.session import PIPELINE_CONF, apply_pipeline_conf, scratch_path, shared_dir
 from strata.sources import fs
 
@@ -27,3 +30,24 @@ def test_text_files_replace_and_read(spark, tmp_path):
     assert fs.exists(spark, str(tmp_path / "e" / "d" / "_CURRENT"))
     fs.delete(spark, str(tmp_path / "e"))
     assert not fs.exists(spark, str(tmp_path / "e"))
+
+
+ROWS = 1_500_000
+
+
+def grouped(spark):
+    """Keys and counts, as the uniqueness gates shuffle them (gate_unique)."""
+    return spark.range(ROWS).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@pytest.mark.parametrize("rows", [grouped])
+def test_a_task_reads_a_bounded_share_of_compact_rows(spark, rows):
+    """Rows that compress well are not all merged into one task."""
+    apply_pipeline_conf(spark)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        most = rows(spark).groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert most[1] >= ROWS // 3 and most[0] <= most[1] * 0.7
