@@ -40,7 +40,12 @@ def grouped(spark):
     return spark.range(ROWS).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@pytest.mark.parametrize("rows", [grouped])
+def anti_joined(spark):
+    """Keys against another table's keys (gate_other_table)."""
+    return grouped(spark).join(spark.range(0, -ROWS, -1).distinct().hint("merge"), "id", "left_anti")
+
+
+@pytest.mark.parametrize("rows", [grouped, anti_joined])
 def test_a_task_reads_a_bounded_share_of_compact_rows(spark, rows):
     """Rows that compress well are not all merged into one task."""
     apply_pipeline_conf(spark)
