@@ -45,7 +45,13 @@ def anti_joined(spark):
     return grouped(spark).join(spark.range(0, -ROWS, -1).distinct().hint("merge"), "id", "left_anti")
 
 
-@pytest.mark.parametrize("rows", [grouped, anti_joined])
+def dealt(spark):
+    """Lines dealt by file and sorted (quarantine_raw_lines)."""
+    rows = spark.range(ROWS).select(F.floor(F.col("id") / 10_000).alias("part"), F.concat("id", F.lit(",1,2.5,x,2024-01-01")).alias("value"))
+    return rows.repartition("part").sortWithinPartitions("part", "value")
+
+
+@pytest.mark.parametrize("rows", [grouped, anti_joined, dealt])
 def test_a_task_reads_a_bounded_share_of_compact_rows(spark, rows):
     """Rows that compress well are not all merged into one task."""
     apply_pipeline_conf(spark)
