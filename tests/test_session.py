@@ -38,7 +38,7 @@ ROWS = 1_500_000
 
 def grouped(spark):
     """Keys and counts, as the uniqueness gates shuffle them (gate_unique)."""
-    return spark.range(ROWS).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return spark.range(ROWS).selectExpr("id + 1 AS id").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def anti_joined(spark):
