@@ -435,6 +435,28 @@ def test_toxicity_model_matches_plain_kneser_ney(spark):
     assert z[1].z0 == 0
 
 
+def test_toxicity_scores_ngrams_that_share_a_cell_by_their_own_ratio(spark):
+    """Four cells for all n-grams and contexts: scores are those of the plain model."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(["vile", "kind", "Über", "ab", "cat"][i % 2 :]) for _ in range(9)), i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    halves = dict(df.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2))).collect())
+    docs, labels = df.select("doc_id", "text"), df.select("doc_id", "toxic")
+    count, ratio = kneser_ney([(t, y, halves[i]) for i, t, y in rows])
+    few = toxicity.fit(docs, labels, bits=2)
+    assert few["others"]["g"].count() == len(count) - 4
+    texts = [(0, "vilq"), (1, ""), (2, None), (3, "kind vile kind cat"), (3, "kind vile kind cat"), (None, "ab"), (4, "zzzzzz")]
+    probe = spark.createDataFrame(texts + [(10 + i, t) for i, t, _ in rows[:6]], "doc_id long, text string")
+    got = sorted((r.doc_id or -1, r.z0, r.z1) for r in toxicity.raw_scores(probe, few).collect())
+    wide = sorted((r.doc_id or -1, r.z0, r.z1) for r in toxicity.raw_scores(probe, toxicity.fit(docs, labels)).collect())
+    assert len(got) == 13
+    for a, b in zip(got, wide):
+        assert a == pytest.approx(b, rel=1e-5, abs=1e-9)
+    low = b"   kind vile kind cat"
+    want = [sum(ratio(low[i : i + 4], k) for i in range(len(low) - 3)) / (18 + toxicity.PAD_BYTES) for k in (0, 1)]
+    assert [r[1:] for r in got if r[0] == 3] == [pytest.approx(tuple(want), rel=1e-4)] * 2
+
+
 def test_nearest_matches_brute_force(spark):
     rng = np.random.default_rng(1)
     base = rng.standard_normal((700, 16)).astype(np.float32)
