@@ -18,6 +18,8 @@ expressions and chains are cut out by one pattern with a lookahead.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -99,10 +101,11 @@ def similar_pairs(docs: DataFrame, threshold: float = 0.8, doc_id: str = "doc_id
     return scored.where(F.col("likeness") >= threshold)
 
 
-def with_next(docs: DataFrame, columns: list[str], parts: int) -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str], parts: int, made: Mapping[str, Column] | None = None) -> DataFrame:
     """``docs`` (``doc_id, text`` and ``columns``) with ``next`` and
     ``next_<column>``: those of the next row by (doc_id, text hash), nulls
-    last; the last row's next is the first.
+    last; the last row's next is the first. ``made`` are columns computed from
+    a row, once it is known which rows are wanted.
 
     Ranges of ids are windows of their own. Each range also gets the first
     rows of the next range that has rows, so no window spans the table.
@@ -118,14 +121,15 @@ def with_next(docs: DataFrame, columns: list[str], parts: int) -> DataFrame:
     # the first row of every range: as many as there are ranges
     firsts = rows.groupBy("_part").agg(F.min(F.struct("doc_id", "_tie")).alias("f")).orderBy("_part").collect()
     if not firsts:
-        return docs.withColumns({"next": F.lit(None).cast("string")} | {f"next_{c}": F.col(c) for c in columns})
+        found = docs.withColumns(dict(made or {}))
+        return found.withColumns({"next": F.lit(None).cast("string")} | {f"next_{c}": F.col(c) for c in columns})
     marks = docs.sparkSession.createDataFrame(
         [(firsts[k - 1]["_part"], f["f"]["doc_id"], f["f"]["_tie"], int(k == 0)) for k, f in enumerate(firsts)],
         "_to int, _id long, _hash long, _wrap int",
     )
     heads = rows.join(F.broadcast(marks), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_hash")))
     heads = heads.drop("_part", "_id", "_hash").withColumnRenamed("_to", "_part")
-    both = rows.withColumn("_wrap", F.lit(-1)).unionByName(heads)
+    both = rows.withColumn("_wrap", F.lit(-1)).unionByName(heads).withColumns(dict(made or {}))
     order = Window.partitionBy("_part").orderBy(F.col("_wrap") >= 0, F.col("_wrap"), F.col("doc_id").asc_nulls_last(), "_tie")
     out = both.withColumns(
         {"next": F.lead("text").over(order)} | {f"next_{c}": F.lead(c).over(order) for c in columns}
@@ -152,7 +156,7 @@ def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
         F.col("`doc_id`").cast("long").alias("doc_id"), F.coalesce(F.col("`text`").cast("string"), F.lit("")).alias("text")
     )
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    paired = with_next(rows.withColumn("sigs", signatures(F.col("text"))), ["sigs"], min(4 * parts, 1000))
+    paired = with_next(rows, ["sigs"], min(4 * parts, 1000), {"sigs": signatures(F.col("text"))})
     own = paired.withColumn("edited", edited_text(F.col("text"), F.col("next")))
     own = own.withColumn("esigs", signatures(F.col("edited")))
     return own.select(

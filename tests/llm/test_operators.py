@@ -457,6 +457,21 @@ def test_toxicity_scores_ngrams_that_share_a_cell_by_their_own_ratio(spark):
     assert [r[1:] for r in got if r[0] == 3] == [pytest.approx(tuple(want), rel=1e-4)] * 2
 
 
+def test_spotsigs_makes_no_signatures_of_rows_it_only_looks_among(spark):
+    """The first rows of the ranges are picked before signatures are made."""
+    rows = [(i, f"the house number {i} of the street\nand more words of {i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = spotsigs.fingerprints(df, 2)
+    tree = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    joins = [k for k, line in enumerate(tree) if line.lstrip(" :+-").startswith("Join")]
+    assert joins
+    for k in joins:
+        end = next((j for j in range(k + 1, len(tree)) if depth(tree[j]) <= depth(tree[k])), len(tree))
+        assert not any("regexp_extract_all" in line for line in tree[k:end])
+    assert found.where("near_next is not null").count() == 60
+
+
 def test_nearest_matches_brute_force(spark):
     rng = np.random.default_rng(1)
     base = rng.standard_normal((700, 16)).astype(np.float32)
