@@ -11,14 +11,17 @@ tables in the shared folder:
 2. Classes. Documents with the same shingle set are one node, keyed by a
    64-bit set hash and the set size; copies are never joined.
 3. Prefixes. A set of n shingles shows its first ``n - ceil(t * n) + 1``; two
-   sets of Jaccard t or more share one of them. Prefix rows meet by shingle.
+   sets of Jaccard t or more share one of them. Prefix rows meet by shingle. A
+   shingle that two sets show is one pair: the length and positional filter
+   decide on it where the rows are counted, before any pair is made.
 4. Star rounds. In each shingle's group every set of another component is
    compared with one centre (length, positional and suffix filter, then the
    texts), and the links found are contracted: a round costs as many comparisons
    as there are rows. The first centre is the group's smallest set, later ones
    are drawn anew in every round, so a family of near copies that do not all
-   reach one centre grows together from several. Groups left with one component
-   are done.
+   reach one centre grows together from several. A group's centre then leaves
+   it, as all its pairs are decided; groups left with one component or without
+   an early row are done.
 5. Residual round. What is left in a group are pairs of different components;
    sets outside a group's largest component meet the group's other components
    in a join whose condition holds the filters, so only pairs that pass them
@@ -184,15 +187,32 @@ def _prefix_rows(reps: DataFrame, head: int = 0) -> DataFrame:
     return reps.select("h", "n", "prefix", "early").mapInArrow(run, schema)
 
 
-def _reach(a: str, b: str, num: int, den: int) -> Column:
-    """Length and positional filters on columns ``<a>n, <a>pos`` and those of b.
+def _fits(small: Column, large: Column, left: Column, num: int, den: int) -> Column:
+    """Length and positional filters on a pair's smaller and larger set and on
+    the fewest shingles that one of them has left.
 
     Before a pair's first common shingle neither side has a common one, so from
     there on both must still hold the overlap needed. Rows of later common
     shingles may fail; the first one's row does not."""
+    return (small * den >= large * num) & (left >= _overlap(small + large, num, den))
+
+
+def _reach(a: str, b: str, num: int, den: int) -> Column:
+    """The same on columns ``<a>n, <a>pos`` and those of b."""
     n, m = F.col(a + "n"), F.col(b + "n")
     left = F.least(n - F.col(a + "pos"), m - F.col(b + "pos"))
-    return (F.least(n, m) * den >= F.greatest(n, m) * num) & (left >= _overlap(n + m, num, den))
+    return _fits(F.least(n, m), F.greatest(n, m), left, num, den)
+
+
+def _shared(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """``tok`` of the shingles that may hold a pair that links: shown by several
+    sets, one of them early; if by two only, they pass the filters."""
+    groups = rows.groupBy("tok").agg(
+        F.count("*").alias("k"), F.max("early").alias("e"), F.min("n").alias("small"), F.max("n").alias("large"),
+        F.min(F.col("n") - F.col("pos")).alias("left"),
+    )
+    pair = _fits(F.col("small"), F.col("large"), F.col("left"), num, den)
+    return groups.where("k > 1 and e").where((F.col("k") > 2) | pair).select("tok")
 
 
 def _same_bits(a: str, b: str, num: int, den: int) -> Column:
@@ -318,11 +338,15 @@ def _edges(links: list[DataFrame]) -> DataFrame:
     return out.select(_node("ah", "an").alias("a"), _node("bh", "bn").alias("b"))
 
 
-def _still_open(kept: DataFrame, part: DataFrame) -> DataFrame:
-    """Rows of the groups that still hold two components, with their own."""
-    named = kept.withColumn("node", _node("h", "n")).join(part, "node", "left")
-    named = named.select("tok", "h", "n", "pos", "early", F.coalesce("component", "node").alias("comp"))
-    mixed = named.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("tok")
+def _still_open(rows: DataFrame, part: DataFrame | None) -> DataFrame:
+    """Rows of the groups that still hold two components and an early row, with
+    their own component."""
+    named = rows.select("tok", "h", "n", "pos", "early", "comp")
+    if part is not None:
+        named = named.drop("comp").withColumn("node", _node("h", "n")).join(part, "node", "left")
+        named = named.select("tok", "h", "n", "pos", "early", F.coalesce("component", "node").alias("comp"))
+    groups = named.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("early").alias("e"))
+    mixed = groups.where("lo <> hi and e").select("tok")
     return written(_split(named, "tok", mixed)[0].join(mixed, "tok"), "join-groups")
 
 
@@ -358,9 +382,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     # most shingles stand in one prefix only: they are told apart by narrow
     # counts, so that only shared ones meet in wider rows
     rows = _prefix_rows(reps)
-    repeated = written(
-        rows.groupBy("tok").agg(F.count("*").alias("k"), F.max("early").alias("e")).where("k > 1 and e").select("tok"), "join-toks"
-    )
+    repeated = written(_shared(rows, num, den), "join-toks")
     kept = written(_split(rows, "tok", repeated)[0].join(repeated, "tok"), "join-kept")
     open_rows = kept.withColumn("comp", _node("h", "n"))
     tried, links, part = [], [], None
@@ -368,7 +390,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     for turn in range(ROUNDS):
         drawn = F.xxhash64("h", "n", "tok", F.lit(turn)) if turn else F.lit(0).cast("long")
         centre = open_rows.where("early").groupBy("tok").agg(F.min(F.struct(drawn.alias("d"), "h", "n", "pos", "comp")).alias("c"))
-        star = open_rows.join(centre, "tok").where(F.col("comp") != F.col("c.comp")).select(
+        # all pairs of a centre are decided in this round: it leaves its group
+        others = open_rows.join(centre, "tok").where((F.col("h") != F.col("c.h")) | (F.col("n") != F.col("c.n")))
+        star = others.where(F.col("comp") != F.col("c.comp")).select(
             F.col("c.h").alias("ah"), F.col("c.n").alias("an"), F.col("c.pos").alias("apos"),
             F.col("h").alias("bh"), F.col("n").alias("bn"), F.col("pos").alias("bpos"),
         )
@@ -376,13 +400,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
         fresh_pairs = written(_shaped(_unseen(star, tried), reps, num, den), "join-star")
         tried.append(fresh_pairs)
         reached = None if fresh_pairs.isEmpty() else _verified(fresh_pairs, docs, reps, words, num, den)
-        if reached is None or reached.isEmpty():
-            break
-        links.append(reached)
-        old = (open_rows, part)
-        part = components(_edges(links), "join-cc")
-        open_rows = _still_open(kept, part)
-        forget(*[t for t in old if t is not None])
+        old = [open_rows]
+        if reached is not None and not reached.isEmpty():
+            links.append(reached)
+            old += [part] if part is not None else []
+            part = components(_edges(links), "join-cc")
+        open_rows = _still_open(others, part)
+        forget(*old)
 
     # residual: pairs across components within a shingle's group
     if part is None:

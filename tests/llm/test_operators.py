@@ -145,6 +145,40 @@ def test_ngram_join_family_of_near_copies(spark):
     assert got == brute_components(rows, 3, 90, 100)
 
 
+def join_tables(spark, monkeypatch, texts):
+    """The result of the join at nine tenths, and the rows of its tables."""
+    rows, written = {}, ngramjoin.written
+
+    def counted(df, name):
+        out = written(df, name)
+        rows.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(ngramjoin, "written", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r[0]: r[2] for r in ngramjoin.jaccard_components(docs, 3, 90, 100).collect()}, rows
+
+
+def test_ngram_join_drops_pairs_that_cannot_link_where_they_are_counted(spark, monkeypatch):
+    # a{i} b{i} c{i} is the rarest shingle of two sets, of one and of two shingles
+    texts = [t for i in range(20) for t in (f"a{i} b{i} c{i}", f"a{i} b{i} c{i} d{i}", *[f"b{i} c{i} d{i}"] * 3)]
+    got, rows = join_tables(spark, monkeypatch, texts)
+    assert got == {i: i - max(0, i % 5 - 2) for i in range(100)}
+    assert rows["join-toks"] == [0] and rows["join-kept"] == [0]
+
+
+def test_ngram_join_closes_a_group_whose_pairs_are_decided(spark, monkeypatch):
+    # three sets of five shingles share their rarest one and no other
+    texts = []
+    for i in range(20):
+        for j in range(3):
+            rest = f"b{i} c{i} " + " ".join(f"x{i}_{j}_{k}" for k in range(4))
+            texts += [f"a{i} {rest}", *[rest] * 4]
+    got, rows = join_tables(spark, monkeypatch, texts)
+    assert got == {i: i - max(0, i % 5 - 1) for i in range(300)}
+    assert rows["join-kept"] == [60] and rows["join-open"] == [0]
+
+
 def test_ngram_join_odd_rows(spark, docs, odd):
     got = ngramjoin.jaccard_components(odd, 3, 90, 100).collect()
     assert sorted(map(str, ((r[1], r[2]) for r in got))) == ["(0, None)"] * 2 + ["(5, 5)"] * 4
