@@ -64,7 +64,13 @@ def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True
     fs, p = _fs(spark, path)
     if not overwrite:
         try:
-            out = fs.create(p, False)
+            # a local file system looks for the file and creates it in two steps
+            local = fs.getUri().getScheme() == "file"
+            if local:
+                fs.mkdirs(p.getParent())
+                if not spark.sparkContext._jvm.java.io.File(p.toUri().getPath()).createNewFile():
+                    raise FileExistsError(path)
+            out = fs.create(p, local)
         except Exception as err:
             raise FileExistsError(path) from err
         try:

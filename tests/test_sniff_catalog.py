@@ -160,6 +160,20 @@ def test_publishers_at_once(spark, tmp_path):
     assert 1 <= sum(won) and len(snapshot._pointers(spark, table)) == sum(won)
 
 
+def test_one_of_many_writers_creates_a_file(spark, tmp_path):
+    def run(path):
+        try:
+            fs.write_text(spark, path, "mine", False)
+            return True
+        except FileExistsError:
+            return False
+
+    with ThreadPoolExecutor(8) as pool:
+        for k in range(40):
+            path = str(tmp_path / "new" / f"f{k}")
+            assert sum(pool.map(run, [path] * 8)) == 1 and fs.read_text(spark, path) == "mine"
+
+
 DATE = "2026-04-19"
 
 
