@@ -43,7 +43,8 @@ PRIOR = 1.0  # weight of the shared backoff in every context
 LOWER = 128.0  # the same within the shared orders: a context of few n-grams says little
 PAD_BYTES = 200  # added to the length, so that a few bytes decide nothing
 BINS = 4096  # of the calibration histogram
-_CHUNK = 1 << 21
+_CHUNK = 1 << 18  # bytes worked on at once: their n-grams, sorts and cells take 100 bytes each for a while
+_HELD = 1 << 19  # n-grams that a counting task holds before it sums or returns them, 40 bytes each
 
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += 32
@@ -78,16 +79,24 @@ def _pieces(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 
 def _count_batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task: n-gram, and its counts in (toxic, half) order 00 01 10 11."""
-    total: dict[str, np.ndarray] = {}
+    """N-grams and their counts in (toxic, half) order 00 01 10 11. A task holds
+    about _HELD of them, whatever it reads: what is more is returned as it comes,
+    so an n-gram may come several times."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def merged(grams: np.ndarray, counts: np.ndarray) -> None:
-        if total:
-            grams = np.concatenate((total["g"], grams))
-            counts = np.concatenate((total["c"], counts))
+    def merge() -> None:
+        grams, counts = (np.concatenate(x) for x in zip(*held))
         u, inv = np.unique(grams, return_inverse=True)
-        c = np.stack([np.bincount(inv, weights=counts[:, k], minlength=len(u)) for k in range(4)], axis=1)
-        total["g"], total["c"] = u, c
+        held[:] = [(u, np.stack([np.bincount(inv, weights=counts[:, k], minlength=len(u)) for k in range(4)], axis=1))]
+
+    def emptied() -> Iterator[pa.RecordBatch]:
+        u, c = held.pop()
+        for i in range(0, len(u), 1 << 16):
+            part = slice(i, i + (1 << 16))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(u[part].astype(np.int64))] + [pa.array(c[part, k].astype(np.int64)) for k in range(4)],
+                names=["g", "o0", "o1", "t0", "t1"],
+            )
 
     for batch in it:
         kind = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -97,13 +106,14 @@ def _count_batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             own = np.repeat(kind[i : i + len(rows) - 1], np.diff(rows))
             u, inv = np.unique(g, return_inverse=True)
-            c = np.bincount(inv * 4 + own, minlength=4 * len(u)).reshape(-1, 4).astype(np.float64)
-            merged(u, c)
-    if total:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(total["g"].astype(np.int64))] + [pa.array(total["c"][:, k].astype(np.int64)) for k in range(4)],
-            names=["g", "o0", "o1", "t0", "t1"],
-        )
+            held.append((u, np.bincount(inv * 4 + own, minlength=4 * len(u)).reshape(-1, 4).astype(np.float64)))
+            if sum(len(x) for x, _ in held) > _HELD:
+                merge()
+                if len(held[0][0]) > _HELD // 2:
+                    yield from emptied()
+    if held:
+        merge()
+        yield from emptied()
 
 
 def _weight(prefix: str = "") -> Column:

@@ -6,10 +6,12 @@ import itertools
 import hmac
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -469,6 +471,37 @@ def test_toxicity_model_matches_plain_kneser_ney(spark):
     assert z[1].z0 == 0
 
 
+def test_toxicity_counting_holds_little_at_once(monkeypatch):
+    rng = random.Random(19)
+    texts = [None, "", "a", "x" * 300] + ["".join(chr(rng.randrange(97, 105)) for _ in range(8000)) for _ in range(500)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(texts), pa.array([k % 4 for k in range(len(texts))], pa.int32())], names=["text", "kind"]
+    )
+    list(toxicity._count_batches(iter([batch.slice(0, 4)])))
+    tracemalloc.start()
+    whole = list(toxicity._count_batches(iter([batch] * 2)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+
+    def summed(found):
+        sums = {}
+        for part in found:
+            for g, *c in zip(*(x.to_pylist() for x in part.columns)):
+                sums[g] = [a + b for a, b in zip(sums.get(g, [0] * 4), c)]
+        return sums
+
+    want = {}
+    for k, text in enumerate(texts):
+        padded = b"   " + (text or "").encode()
+        for i in range(len(padded) - 3):
+            want.setdefault(int.from_bytes(padded[i : i + 4], "big"), [0] * 4)[k % 4] += 2
+    assert summed(whole) == want
+    monkeypatch.setattr(toxicity, "_HELD", 2000)
+    parts = list(toxicity._count_batches(iter([batch] * 2)))
+    assert len(parts) > 2 and summed(parts) == want
+
+
 def test_toxicity_scores_ngrams_that_share_a_cell_by_their_own_ratio(spark):
     """Four cells for all n-grams and contexts: scores are those of the plain model."""
     rng = random.Random(8)
