@@ -8,6 +8,8 @@ ran, not the whole lineage, and a table that is read twice is computed once.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -23,7 +25,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Rows of one Arrow batch: texts can be long, so batches are kept short.
 BATCH_ROWS = 512
 # Bytes hashed at once; bounds the temporary arrays of a task.
-HASH_CHUNK = 1 << 21
+HASH_CHUNK = 1 << 17
+# Rows of a batch worked on at once where each gives arrays many times its size.
+PIECE_ROWS = 128
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _powers = np.ones(1, dtype=np.uint64)
@@ -64,6 +68,13 @@ def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def in_pieces(it: Iterator[pa.RecordBatch], rows: int = PIECE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a few rows, for arrays that take many times a batch."""
+    for batch in it:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def clean_select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Only the named columns, cast; clashing extra columns stay out of the way."""
     return df.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in columns.items()])

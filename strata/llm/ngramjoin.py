@@ -45,7 +45,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import clean_select, components, forget, fresh, shingle_sets, short_batches, written
+from strata.llm.common import clean_select, components, forget, fresh, in_pieces, shingle_sets, short_batches, written
 
 CELL_BITS = 24  # frequency cells of one table: 16 MB, whatever the corpus
 TABLES = 1  # with more, a shingle's frequency is the least of its cells
@@ -67,7 +67,7 @@ def shingle_frequencies(docs: DataFrame, words: int) -> np.ndarray:
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(TABLES << CELL_BITS, dtype=np.uint32)
-        for batch in it:
+        for batch in in_pieces(it):
             found, _ = shingle_sets(batch.column(0), words)
             for which in range(TABLES):
                 cells, n = np.unique(_cells(found, which), return_counts=True)
@@ -128,7 +128,7 @@ def document_sets(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     table = docs.sparkSession.sparkContext.broadcast(shingle_frequencies(docs, words))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
+        for batch in in_pieces(it):
             sets, offs = shingle_sets(batch.column(1), words)
             n = np.diff(offs)
             rows = len(n)
@@ -165,7 +165,7 @@ def _prefix_rows(reps: DataFrame, head: int = 0) -> DataFrame:
     group without such a row holds no pair."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
+        for batch in in_pieces(it):
             raw = batch.column(2)
             k = np.array([len(x.as_py()) // 8 for x in raw], dtype=np.int64)
             tok = np.frombuffer(b"".join(x.as_py() for x in raw), dtype=np.int64)
@@ -268,7 +268,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, nu
     need = ends.join(reps.select("h", "n", "doc_id"), ["h", "n"])
 
     def keyed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
+        for batch in in_pieces(it):
             sets, offs = shingle_sets(batch.column(1), words)
             key = _set_key(sets, offs) if len(sets) else np.zeros(batch.num_rows, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -288,7 +288,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, nu
     )
 
     def compare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
+        for batch in in_pieces(it):
             sa, oa = shingle_sets(batch.column(4), words)
             sb, ob = shingle_sets(batch.column(5), words)
             na, nb = np.diff(oa), np.diff(ob)

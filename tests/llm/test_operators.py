@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from strata.llm import ann, linededup, mixing, ngramjoin, packing, pii, spotsigs, tokenfiles, toxicity, warc
+from strata.llm import ann, common, linededup, mixing, ngramjoin, packing, pii, spotsigs, tokenfiles, toxicity, warc
 from strata.llm.common import file_system
 from strata.llm.tokens import default_tokenizer
 
@@ -181,6 +181,25 @@ def test_ngram_join_closes_a_group_whose_pairs_are_decided(spark, monkeypatch):
     assert rows["join-kept"] == [60] and rows["join-open"] == [0]
 
 
+def test_word_hashes_and_pieces_hold_little_at_once(monkeypatch):
+    rng = random.Random(23)
+    texts = pa.array(["".join(rng.choices("abcdefgh", k=20_000)) for _ in range(100)] + ["A b", None, "", "a B"])
+    tracemalloc.start()
+    found, offs = common.word_hashes(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20
+    monkeypatch.setattr(common, "HASH_CHUNK", 1 << 21)
+    whole = common.word_hashes(texts)
+    assert found.tolist() == whole[0].tolist() and offs.tolist() == whole[1].tolist()
+    assert found[100:102].tolist() == found[102:104].tolist() and len(found) == 104
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300))], names=["x"])
+    parts = list(common.in_pieces(iter([batch, batch.slice(0, 0), batch.slice(7, 1)])))
+    assert max(p.num_rows for p in parts) == 128
+    assert [x for p in parts for x in p.column(0).to_pylist()] == [*range(300), 7]
+
+
 def test_ngram_join_odd_rows(spark, docs, odd):
     got = ngramjoin.jaccard_components(odd, 3, 90, 100).collect()
     assert sorted(map(str, ((r[1], r[2]) for r in got))) == ["(0, None)"] * 2 + ["(5, 5)"] * 4
