@@ -52,7 +52,8 @@ TABLES = 1  # with more, a shingle's frequency is the least of its cells
 _CHUNK_BITS = 16  # cells of one shuffled block
 HIST = 16  # parts of the suffix filter
 BITS = 256  # parity bits of a set
-MARKS = 1 << 27  # bits of a table of wanted keys: 16 MB, whatever the corpus
+MARKS = 1 << 27  # bits of a table of wanted keys at most: 16 MB, whatever the corpus
+KEY_BITS = 128  # of such a table for each wanted key, up to there
 ROUNDS = 2  # star rounds at most; the residual round takes all that is left
 HEAD = 32  # first shingles by which a pair knows an earlier common one
 
@@ -124,7 +125,8 @@ def _overlap(total: Column, num: int, den: int) -> Column:
 def document_sets(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """``doc_id, h, n, prefix, hist, bits``: set key, set size, first shingles
     of the global order (8 bytes each), shingle counts by hash range, and the
-    parity of the counts by another range."""
+    parity of the counts by another range. A written table: the frequencies
+    are dropped on the driver and the executors once it is there."""
     table = docs.sparkSession.sparkContext.broadcast(shingle_frequencies(docs, words))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +156,11 @@ def document_sets(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
             )
 
     rows = clean_select(docs, {"doc_id": "long", "text": "string"})
-    return rows.mapInArrow(run, "doc_id long, h long, n int, prefix binary, hist array<int>, bits array<long>")
+    out = written(
+        rows.mapInArrow(run, "doc_id long, h long, n int, prefix binary, hist array<int>, bits array<long>"), "join-sets"
+    )
+    table.destroy()
+    return out
 
 
 def _prefix_rows(reps: DataFrame, head: int = 0) -> DataFrame:
@@ -231,21 +237,24 @@ def _same_shape(a: str, b: str, num: int, den: int) -> Column:
     return F.aggregate(gaps, F.lit(0), lambda s, x: s + x) <= total - 2 * _overlap(total, num, den)
 
 
-def _mark(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(MARKS))
+def _marks(most: int) -> int:
+    """Bits of the table of ``most`` wanted keys: a power of two, one block at least."""
+    return min(MARKS, max(1 << 15, 1 << (KEY_BITS * most).bit_length()))
 
 
-def _split(rows: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _split(rows: DataFrame, key: str, wanted: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
     """Rows whose key hashes to a bit that a key of ``wanted`` set (all rows
     with a wanted key and few others), and the other rows, told apart before
-    anything is shuffled. The bitmaps have a fixed size; on a corpus that
-    fills them more rows count as wanted."""
+    anything is shuffled. ``wanted`` has ``most`` keys or fewer: the bitmaps
+    that driver and executors hold follow it up to a fixed size; on a corpus
+    that fills them more rows count as wanted."""
     block, bits = fresh(rows, "_block"), fresh(rows, "_bits")
-    bit = _mark(F.col(wanted.columns[0]))
+    marks = F.lit(_marks(most))
+    bit = F.pmod(F.xxhash64(F.col(wanted.columns[0])), marks)
     bitmaps = wanted.groupBy(F.bitmap_bucket_number(bit).alias(block)).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias(bits)
     )
-    at = _mark(F.col(f"`{key}`"))
+    at = F.pmod(F.xxhash64(F.col(f"`{key}`")), marks)
     met = rows.withColumn(block, F.bitmap_bucket_number(at)).join(F.broadcast(bitmaps), block, "left")
     place = F.bitmap_bit_position(at)
     byte = F.conv(F.hex(F.substring(bits, F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
@@ -262,8 +271,8 @@ def _shaped(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
     return met.where(_same_bits("a", "b", num, den) & _same_shape("a", "b", num, den)).select("ah", "an", "bh", "bn")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Those pairs whose whole texts reach the threshold."""
+def _verified(pairs: DataFrame, docs: DataFrame, most: int, reps: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """Those pairs of the sets of ``most`` documents at most whose whole texts reach the threshold."""
     ends = pairs.select(F.col("ah").alias("h"), F.col("an").alias("n")).union(pairs.select("bh", "bn")).distinct()
     need = ends.join(reps.select("h", "n", "doc_id"), ["h", "n"])
 
@@ -278,7 +287,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, nu
 
     # the class representative's text; its id alone picks the row, its set key confirms it
     wanted = need.select(F.col("doc_id").alias("rep")).distinct()
-    picked = _split(clean_select(docs, {"doc_id": "long", "text": "string"}), "doc_id", wanted)[0].alias("d").join(
+    picked = _split(clean_select(docs, {"doc_id": "long", "text": "string"}), "doc_id", wanted, most)[0].alias("d").join(
         wanted, F.col("doc_id").eqNullSafe(F.col("rep"))  # distinct ids; a semi join would be pushed below the marks
     ).select("doc_id", "text")
     texts = picked.mapInArrow(keyed, "doc_id long, h long, n int, text string").alias("t")
@@ -338,16 +347,16 @@ def _edges(links: list[DataFrame]) -> DataFrame:
     return out.select(_node("ah", "an").alias("a"), _node("bh", "bn").alias("b"))
 
 
-def _still_open(rows: DataFrame, part: DataFrame | None) -> DataFrame:
-    """Rows of the groups that still hold two components and an early row, with
-    their own component."""
+def _still_open(rows: DataFrame, part: DataFrame | None, most: int) -> DataFrame:
+    """Rows of the groups, ``most`` at most, that still hold two components and
+    an early row, with their own component."""
     named = rows.select("tok", "h", "n", "pos", "early", "comp")
     if part is not None:
         named = named.drop("comp").withColumn("node", _node("h", "n")).join(part, "node", "left")
         named = named.select("tok", "h", "n", "pos", "early", F.coalesce("component", "node").alias("comp"))
     groups = named.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("early").alias("e"))
     mixed = groups.where("lo <> hi and e").select("tok")
-    return written(_split(named, "tok", mixed)[0].join(mixed, "tok"), "join-groups")
+    return written(_split(named, "tok", mixed, most)[0].join(mixed, "tok"), "join-groups")
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -364,13 +373,14 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     """
     spark = docs.sparkSession
     short_batches(spark)
-    found = written(document_sets(docs, words, num, den), "join-sets")
+    found = document_sets(docs, words, num, den)
+    total = found.count()  # no table of documents that are told apart below has more keys
     full = found.where("n > 0").withColumn("key", F.xxhash64("h", "n"))
     # one row per class of copies: only sets that occur more than once move
     copied = written(
         full.groupBy("h", "n").agg(F.count("*").alias("k")).where("k > 1").select(F.xxhash64("h", "n").alias("key")), "join-copied"
     )
-    several, single = _split(full, "key", copied)
+    several, single = _split(full, "key", copied, total)
     shape = ["h", "n", "doc_id", "prefix", "hist", "bits"]
     several = written(
         several.groupBy("h", "n").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("prefix", "hist", "bits")]),
@@ -383,7 +393,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     # counts, so that only shared ones meet in wider rows
     rows = _prefix_rows(reps)
     repeated = written(_shared(rows, num, den), "join-toks")
-    kept = written(_split(rows, "tok", repeated)[0].join(repeated, "tok"), "join-kept")
+    groups = repeated.count()
+    kept = written(_split(rows, "tok", repeated, groups)[0].join(repeated, "tok"), "join-kept")
     open_rows = kept.withColumn("comp", _node("h", "n"))
     tried, links, part = [], [], None
     pair = ["ah", "an", "bh", "bn"]
@@ -399,19 +410,21 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
         star = star.where(_reach("a", "b", num, den)).select(*_ordered_pair()).distinct()
         fresh_pairs = written(_shaped(_unseen(star, tried), reps, num, den), "join-star")
         tried.append(fresh_pairs)
-        reached = None if fresh_pairs.isEmpty() else _verified(fresh_pairs, docs, reps, words, num, den)
+        reached = None if fresh_pairs.isEmpty() else _verified(fresh_pairs, docs, total, reps, words, num, den)
         old = [open_rows]
         if reached is not None and not reached.isEmpty():
             links.append(reached)
             old += [part] if part is not None else []
             part = components(_edges(links), "join-cc")
-        open_rows = _still_open(others, part)
+        open_rows = _still_open(others, part, groups)
         forget(*old)
+        if open_rows.isEmpty():  # every pair is decided
+            break
 
     # residual: pairs across components within a shingle's group
     if part is None:
         part = components(_edges([spark.createDataFrame([], "ah long, an int, bh long, bn int")]), "join-cc")
-    whole = _split(_prefix_rows(reps, HEAD).select("tok", "h", "n", "head"), "tok", open_rows.select("tok").distinct())[0]
+    whole = _split(_prefix_rows(reps, HEAD).select("tok", "h", "n", "head"), "tok", open_rows.select("tok").distinct(), groups)[0]
     whole = whole.join(open_rows, ["tok", "h", "n"])
     whole = whole.join(reps.select("h", "n", "bits"), ["h", "n"])
     major = (
@@ -431,13 +444,15 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
             F.col("x.h").alias("ah"), F.col("x.n").alias("an"), F.col("y.h").alias("bh"), F.col("y.n").alias("bn")
         ).select(*_ordered_pair())
 
-    left = paired(minor.where("early"), whole).union(paired(minor.where("not early"), whole.where("early"))).distinct()
-    left = written(_shaped(_unseen(left, tried), reps, num, den), "join-rest")
-    if not left.isEmpty():
-        links.append(_verified(left, docs, reps, words, num, den))
-        forget(part)
-        part = components(_edges(links), "join-cc2")
-    forget(left, whole, kept, repeated, open_rows, *tried)
+    if not whole.isEmpty():
+        left = paired(minor.where("early"), whole).union(paired(minor.where("not early"), whole.where("early"))).distinct()
+        left = written(_shaped(_unseen(left, tried), reps, num, den), "join-rest")
+        tried.append(left)
+        if not left.isEmpty():
+            links.append(_verified(left, docs, total, reps, words, num, den))
+            forget(part)
+            part = components(_edges(links), "join-cc2")
+    forget(whole, kept, repeated, open_rows, *tried)
 
     classes = reps.select("h", "n", "doc_id", _node("h", "n").alias("node")).join(part, "node", "left")
     classes = classes.select("h", "n", "doc_id", F.coalesce("component", "node").alias("comp"))
@@ -462,7 +477,7 @@ def one_per_component(docs: DataFrame, words: int = 5, num: int = 80, den: int =
     # rows that nothing is said about stay where they are
     names = docs.columns
     own = [F.col(f"d.`{c}`").alias(c) for c in names]
-    maybe, sure = _split(docs, "doc_id", decided.select("id"))
+    maybe, sure = _split(docs, "doc_id", decided.select("id"), found.count())
     met = maybe.alias("d").join(decided.alias("s"), F.col("d.`doc_id`") == F.col("s.id"), "left").where("s.gone is null")
     once = met.where("s.twice is null").select(*own)
     place = fresh(docs, "_place")

@@ -325,6 +325,7 @@ def raw_scores(docs: DataFrame, model: dict[str, Any]) -> DataFrame:
         ),
         "kn-parts",
     )
+    shared.destroy()  # the written parts need it no more
     # neither side has a bound, so none is broadcast; sums in decimals do not depend on their order
     each = part.select("row", F.inline("open"))
     for key in ("g", "h"):

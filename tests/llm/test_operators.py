@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import itertools
 import hmac
+import os
 import random
 import re
 import tracemalloc
@@ -13,6 +14,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -181,6 +183,49 @@ def test_ngram_join_closes_a_group_whose_pairs_are_decided(spark, monkeypatch):
     assert rows["join-kept"] == [60] and rows["join-open"] == [0]
 
 
+def test_ngram_join_tables_of_wanted_keys_follow_their_number(spark, monkeypatch):
+    """What is broadcast has blocks of 4 KB, of which 128 bits are for a key."""
+    blocks, told = [], ngramjoin.F.broadcast
+    monkeypatch.setattr(ngramjoin.F, "broadcast", lambda df: (blocks.append(df.count()), told(df))[1])
+    rng = random.Random(31)
+    texts = [words(rng, 60) for _ in range(200)]
+    texts = texts + [t + " end" for t in texts] + texts[:50]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r[0]: (r[1], r[2]) for r in ngramjoin.jaccard_components(docs, 3, 90, 100).collect()}
+    assert {got[i][1] for i in range(200)} == set(range(200)) and all(got[i][1] == i % 200 for i in range(400))
+    assert all(got[400 + i] == got[i] for i in range(50))
+    assert len(ngramjoin.one_per_component(docs).collect()) == 200
+    assert max(blocks) <= 128 * 2 * 60 * 450 >> 15  # one a key before: some thousands
+    assert sum(blocks) < 200
+
+
+@pytest.mark.parametrize("most,bits", [(0, 1 << 15), (255, 1 << 15), (1000, 1 << 17), (1 << 20, 1 << 27), (1 << 40, 1 << 27)])
+def test_ngram_join_bits_of_wanted_keys(most, bits):
+    assert ngramjoin._marks(most) == bits
+
+
+def test_split_finds_every_wanted_key(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 100 != 0, F.col("id")).alias("k"), F.col("id").alias("_block"))
+    wanted = spark.range(0, 3000, 7).select(F.col("id").alias("w"))
+    for most in (429, 1):  # with too small a number more rows count as wanted, never fewer
+        hit, rest = ngramjoin._split(rows, "k", wanted, most)
+        hit, rest = sorted(r._block for r in hit.collect()), sorted(r._block for r in rest.collect())
+        assert sorted(hit + rest) == list(range(3000)) and hit == sorted(set(hit))
+        assert {k for k in range(0, 3000, 7) if k % 100} <= set(hit) and len(hit) < 500
+
+
+def test_broadcasts_go_once_their_table_is_written(spark, monkeypatch):
+    sent, plain = [], SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: (sent.append(plain(self, value)), sent[-1])[1])
+    rows = [(i, ("vile kind " if i % 2 else "calm mild ") * (1 + i % 5), i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    sets = ngramjoin.document_sets(df, 3, 90, 100)
+    assert sets.count() == 40
+    scores = toxicity.raw_scores(df, toxicity.fit(df, df))
+    assert scores.count() == 40
+    assert len(sent) == 2 and not any(os.path.exists(b._path) for b in sent)
+
+
 def test_word_hashes_and_pieces_hold_little_at_once(monkeypatch):
     rng = random.Random(23)
     texts = pa.array(["".join(rng.choices("abcdefgh", k=20_000)) for _ in range(100)] + ["A b", None, "", "a B"])
