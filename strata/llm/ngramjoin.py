@@ -382,12 +382,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     )
     several, single = _split(full, "key", copied, total)
     shape = ["h", "n", "doc_id", "prefix", "hist", "bits"]
-    several = written(
-        several.groupBy("h", "n").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("prefix", "hist", "bits")]),
-        "join-reps",
-    )
+    several = several.groupBy("h", "n").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("prefix", "hist", "bits")])
     early = (F.col("n") - _overlap(F.col("n") + F.col("n"), num, den)).cast("int").alias("early")
-    reps = single.select(*shape).union(several.select(*shape)).select(*shape, early)
+    # written, as a dozen queries read it: else each tells the copies apart again
+    reps = written(single.select(*shape).union(several.select(*shape)).select(*shape, early), "join-reps")
 
     # most shingles stand in one prefix only: they are told apart by narrow
     # counts, so that only shared ones meet in wider rows

@@ -199,6 +199,26 @@ def test_ngram_join_tables_of_wanted_keys_follow_their_number(spark, monkeypatch
     assert sum(blocks) < 200
 
 
+def test_ngram_join_tells_copies_apart_once(spark, monkeypatch):
+    """Few tables of wanted keys: the classes of copies are not worked out again by every query."""
+    asked, told = [], ngramjoin._split
+    monkeypatch.setattr(ngramjoin, "_split", lambda rows, key, *more: (asked.append(key), told(rows, key, *more))[1])
+    plans, written = {}, ngramjoin.written
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return written(df, name)
+
+    monkeypatch.setattr(ngramjoin, "written", seen)
+    texts = [f"a{i} b{i} c{i} d{i} e{i} f{i} g{i} h{i} i{i} j{i} k{i} l{i}" for i in range(50)] * 2
+    texts += [t + " m" for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r[0]: r[2] for r in ngramjoin.jaccard_components(docs, 3, 80, 100).collect()}
+    assert got == {i: i % 50 for i in range(200)}
+    assert asked.count("key") == 1 and "bitmap" in plans["join-reps"]
+    assert all("bitmap" not in plans[name] for name in ("join-toks", "join-star"))
+
+
 @pytest.mark.parametrize("most,bits", [(0, 1 << 15), (255, 1 << 15), (1000, 1 << 17), (1 << 20, 1 << 27), (1 << 40, 1 << 27)])
 def test_ngram_join_bits_of_wanted_keys(most, bits):
     assert ngramjoin._marks(most) == bits
